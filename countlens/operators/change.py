@@ -1,0 +1,51 @@
+"""Change of a per-key total between two periods (decline / growth)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from countlens.functions.change import difference, percent_of
+from countlens.operators.periods import paired_period_totals
+
+
+def period_change(
+    df: DataFrame,
+    ts_col: str,
+    id_col: str,
+    value_col: str,
+    base: tuple[str, str],
+    current: tuple[str, str],
+    direction: str,
+    base_out: str,
+    current_out: str,
+    change_out: str,
+    percent_out: str,
+    count_type: str = "bigint",
+) -> DataFrame:
+    """Totals of two periods per key, their difference and percent change.
+
+    ``direction="decline"``: ``change = base - current``;
+    ``direction="growth"``: ``change = current - base``. The percent is the
+    change over the *base* (earlier) total times 100 in both cases; a zero
+    base gives NULL. Keys missing from either period are dropped (inner
+    join semantics), computed in one scan (see ``paired_period_totals``).
+    """
+    totals = paired_period_totals(
+        df, ts_col, base, current, id_col, value_col, "__base", "__current"
+    )
+    b = F.col("__base").cast(count_type)
+    c = F.col("__current").cast(count_type)
+    if direction == "decline":
+        change = difference(b, c)
+    elif direction == "growth":
+        change = difference(c, b)
+    else:
+        raise ValueError(f"direction must be 'decline' or 'growth', not {direction!r}")
+    return totals.select(
+        F.col(id_col),
+        b.alias(base_out),
+        c.alias(current_out),
+        change.alias(change_out),
+        percent_of(change, b).alias(percent_out),
+    )
