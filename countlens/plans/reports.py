@@ -38,7 +38,7 @@ def top_n_by_day(
     label_col: str = "sensor_description",
     count_type: str = "bigint",
     id_type: str | None = None,
-    ordered: bool = True,
+    ordered: bool = False,
     broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Top ``n`` sensors per calendar day by summed count, labelled.
@@ -47,6 +47,11 @@ def top_n_by_day(
     ``location_name``, ``daily_count``. Plan: pruned scan -> partial/final
     sum per (day, sensor) -> partial WindowGroupLimit -> shuffle by day ->
     row_number <= n -> left join to the (size-checked) dimension.
+
+    ``ordered=True`` adds a global sort (day descending, rank ascending),
+    which costs a sampling pass and a range shuffle; by default rows come
+    unordered, as the original's sort placed before the label join is
+    dropped by the optimizer anyway.
     """
     src = counts.select(
         day_of(counts, ts_col).alias("__day"),
@@ -74,7 +79,7 @@ def top_n_by_month(
     dim_key: str = "location_id",
     label_col: str = "sensor_description",
     count_type: str = "bigint",
-    ordered: bool = True,
+    ordered: bool = False,
     broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Top ``n`` sensors per month, rolled up from the *daily top-n report*.
