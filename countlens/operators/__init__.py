@@ -1,17 +1,17 @@
 """Relational building blocks: period totals, ranking, change, labels, checks."""
 
 from countlens.operators.change import period_change
-from countlens.operators.enrich import bounded_broadcast, has_at_most, with_label
+from countlens.operators.enrich import bounded_broadcast, with_label, within_bounds
 from countlens.operators.periods import paired_period_totals, period_total
 from countlens.operators.ranking import rank_within, top_n_by_period
 
 __all__ = [
     "bounded_broadcast",
-    "has_at_most",
     "paired_period_totals",
     "period_change",
     "period_total",
     "rank_within",
     "top_n_by_period",
     "with_label",
+    "within_bounds",
 ]

@@ -9,31 +9,56 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
-# Default bound for broadcasting the (key, label) projection of a dimension.
-# Half a million narrow rows stay well under the broadcast limits of a
-# default executor; above it the join is shuffled instead.
+# Default bounds for broadcasting the (key, label) projection of a dimension.
+# Half a million narrow rows / 64 MiB stay well under the broadcast limits
+# of a default executor; above either bound the join is shuffled instead.
 DEFAULT_BROADCAST_MAX_ROWS = 500_000
+DEFAULT_BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has no more than ``max_rows`` rows.
+def _row_bytes(df: DataFrame):
+    """Per-row size estimate: text/binary lengths plus 8 bytes per other column."""
+    parts = []
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (StringType, BinaryType)):
+            parts.append(F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)) + F.lit(8))
+        else:
+            parts.append(F.lit(8))
+    total = parts[0]
+    for p in parts[1:]:
+        total = total + p
+    return total
 
-    Proves the bound by counting at most ``max_rows + 1`` rows: the limit is
-    applied per partition before anything is gathered, so a large input is
-    not read in full just to learn that it is large.
+
+def within_bounds(df: DataFrame, max_rows: int, max_bytes: int | None = None) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (and ``max_bytes`` bytes).
+
+    Proves the bound with one small job that reads at most ``max_rows + 1``
+    rows: the limit is applied per partition before anything is gathered,
+    so a large input is never read in full just to learn that it is large.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    probe = df.limit(max_rows + 1).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")
+    ).first()
+    if probe.n > max_rows:
+        return False
+    return max_bytes is None or (probe.b or 0) <= max_bytes
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` when its row count is proven small, else ``df`` unchanged.
+def bounded_broadcast(
+    df: DataFrame,
+    max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    max_bytes: int | None = DEFAULT_BROADCAST_MAX_BYTES,
+) -> DataFrame:
+    """``broadcast(df)`` when its size is proven small, else ``df`` unchanged.
 
     Without the hint Spark plans a shuffle (sort-merge) join, and AQE can
     still switch it to a broadcast at runtime from the *measured* shuffle
     size, so the fallback is never worse than the default.
     """
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
+    return F.broadcast(df) if within_bounds(df, max_rows, max_bytes) else df
 
 
 def with_label(
@@ -44,6 +69,7 @@ def with_label(
     label_col: str,
     out_col: str,
     broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
+    broadcast_max_bytes: int | None = DEFAULT_BROADCAST_MAX_BYTES,
 ) -> DataFrame:
     """Left-join ``dim[label_col]`` onto ``facts`` as ``out_col``.
 
@@ -54,6 +80,6 @@ def with_label(
     """
     side = dim.select(F.col(dim_key).alias("__dim_key"), F.col(label_col).alias(out_col))
     if broadcast_max_rows is not None:
-        side = bounded_broadcast(side, broadcast_max_rows)
+        side = bounded_broadcast(side, broadcast_max_rows, broadcast_max_bytes)
     joined = facts.join(side, F.col(fact_key) == F.col("__dim_key"), "left")
     return joined.drop("__dim_key")

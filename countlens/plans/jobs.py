@@ -16,7 +16,16 @@ from countlens.operators.checks import (
     sensor_reference_checks,
     top_n_by_day_checks,
 )
-from countlens.plans.reports import decline_report, growth_report, top_n_by_day, top_n_by_month
+from countlens.plans.reports import (
+    LAST_YEAR,
+    LOCKDOWN_BASE,
+    LOCKDOWN_CURRENT,
+    PREVIOUS_YEAR,
+    decline_report,
+    growth_report,
+    top_n_by_day,
+    top_n_by_month,
+)
 from countlens.sources.files import read_counts_csv, read_reference_json
 from countlens.sources.tables import publish_table
 
@@ -45,7 +54,13 @@ def ingest_reference(
 
 
 def build_reports(
-    spark: SparkSession, root: str, raw_db: str = "raw", report_db: str = "report", n: int = 10
+    spark: SparkSession,
+    root: str,
+    raw_db: str = "raw",
+    report_db: str = "report",
+    n: int = 10,
+    decline_periods: tuple = (LOCKDOWN_BASE, LOCKDOWN_CURRENT),
+    growth_periods: tuple = (PREVIOUS_YEAR, LAST_YEAR),
 ) -> dict[str, str]:
     """Write the four reports from the stored raw tables; returns locations."""
     counts = spark.table(f"{raw_db}.{SENSOR_COUNTS}")
@@ -58,8 +73,12 @@ def build_reports(
     out[TOP_BY_MONTH] = publish_table(
         top_n_by_month(daily, dim, n=n), f"{report_db}.{TOP_BY_MONTH}", root
     )
-    out[DECLINES] = publish_table(decline_report(counts, dim), f"{report_db}.{DECLINES}", root)
-    out[GROWTH] = publish_table(growth_report(counts, dim), f"{report_db}.{GROWTH}", root)
+    out[DECLINES] = publish_table(
+        decline_report(counts, dim, *decline_periods), f"{report_db}.{DECLINES}", root
+    )
+    out[GROWTH] = publish_table(
+        growth_report(counts, dim, *growth_periods), f"{report_db}.{GROWTH}", root
+    )
     return out
 
 

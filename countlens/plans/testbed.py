@@ -31,6 +31,7 @@ from countlens.functions.datetime import (
 from countlens.operators import checks as ck
 from countlens.operators.enrich import with_label
 from countlens.operators.periods import period_total
+from countlens.plans import jobs
 from countlens.plans.reports import decline_report, growth_report, top_n_by_day, top_n_by_month
 from countlens.session import scratch_path
 from countlens.sources.files import read_counts_csv, read_reference_json
@@ -98,6 +99,42 @@ def raw_count_file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sensor_reference_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """supplier in the stored ``sensor_reference_data`` shape."""
+    sup = _supplier(spark, sf_dir)
+    return sup.select(
+        F.col("s_suppkey").cast("int").alias("location_id"),
+        F.col("s_name").alias("sensor_description"),
+        F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("sensor_name"),
+        F.lit(None).cast("string").alias("installation_date"),
+        F.lit(None).cast("string").alias("note"),
+        F.lit("Outdoor").alias("location_type"),
+        F.lit("A").alias("status"),
+        F.lit(None).cast("string").alias("direction_1"),
+        F.lit(None).cast("string").alias("direction_2"),
+        F.col("s_acctbal").alias("latitude"),
+        F.col("s_nationkey").cast("double").alias("longitude"),
+        F.struct(
+            F.col("s_nationkey").cast("double").alias("lon"), F.col("s_acctbal").alias("lat")
+        ).alias("location"),
+    )
+
+
+def build_test_mart(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Land both raw tables from the test tables and build the four reports
+    as stored tables, exactly as the jobs run (fresh databases per call)."""
+    tag = os.path.basename(scratch_path(spark, "mart")).replace("-", "_")
+    root = scratch_path(spark, "mart")
+    raw_db, report_db = f"cl_raw_{tag}", f"cl_report_{tag}"
+    publish_table(sensor_counts_view(spark, sf_dir), f"{raw_db}.{jobs.SENSOR_COUNTS}", root)
+    publish_table(sensor_reference_view(spark, sf_dir), f"{raw_db}.{jobs.SENSOR_REFERENCE}", root)
+    jobs.build_reports(
+        spark, root, raw_db, report_db, n=10,
+        decline_periods=(BASE, CURRENT), growth_periods=(CURRENT, LAST),
+    )
+    return raw_db, report_db
+
+
 # ---------------------------------------------------------------- reports
 
 
@@ -369,6 +406,24 @@ def q_violations_non_negative(spark, sf_dir):
     return ck.violations(table(spark, sf_dir, "customer"), ck.non_negative("c_acctbal"))
 
 
+# ------------------------------------------------------ stored-table jobs
+
+
+def q_stored_top_n_by_month(spark, sf_dir):
+    _, report_db = build_test_mart(spark, sf_dir)
+    return spark.table(f"{report_db}.{jobs.TOP_BY_MONTH}")
+
+
+def q_stored_growth_report(spark, sf_dir):
+    _, report_db = build_test_mart(spark, sf_dir)
+    return spark.table(f"{report_db}.{jobs.GROWTH}")
+
+
+def q_stored_data_tests(spark, sf_dir):
+    raw_db, report_db = build_test_mart(spark, sf_dir)
+    return jobs.data_tests(spark, raw_db, report_db)
+
+
 QUERIES = {
     "top_n_by_day": q_top_n_by_day,
     "top_n_by_month": q_top_n_by_month,
@@ -400,4 +455,7 @@ QUERIES = {
     "sensor_counts_data_tests": q_sensor_counts_data_tests,
     "violations_unique": q_violations_unique,
     "violations_non_negative": q_violations_non_negative,
+    "stored_top_n_by_month": q_stored_top_n_by_month,
+    "stored_growth_report": q_stored_growth_report,
+    "stored_data_tests": q_stored_data_tests,
 }

@@ -148,6 +148,31 @@ def _union(*parts):
     return "\nUNION ALL\n".join(parts)
 
 
+_TEXT_MONTH_TOP = f"""
+WITH t AS ({_TEXT_TOP}),
+m AS (
+  SELECT substr("date", 1, 7) AS year_month, sensor_id, SUM(daily_count) AS q
+  FROM t GROUP BY 1, 2),
+r AS (
+  SELECT year_month, sensor_id, q, ROW_NUMBER() OVER (
+    PARTITION BY year_month ORDER BY q DESC NULLS LAST, sensor_id ASC NULLS FIRST) AS rk
+  FROM m)
+SELECT year_month, CAST(rk AS INTEGER) AS "rank", sensor_id, s_name AS location_name,
+       CAST(q AS BIGINT) AS monthly_count
+FROM r LEFT JOIN supplier ON sensor_id = s_suppkey
+WHERE rk <= 10
+"""
+
+_REFERENCE_VIEW = """
+SELECT CAST(s_suppkey AS INTEGER) AS location_id, s_name AS sensor_description,
+       CAST(NULL AS VARCHAR) AS installation_date, 'Outdoor' AS location_type, 'A' AS status,
+       CAST(NULL AS VARCHAR) AS direction_1, CAST(NULL AS VARCHAR) AS direction_2,
+       s_acctbal AS latitude, CAST(s_nationkey AS DOUBLE) AS longitude
+FROM supplier
+"""
+
+_ACCEPTED_DIRECTIONS = "('North', 'South', 'East', 'West', 'In', 'Out')"
+
 ORACLE_SQL: dict[str, str] = {
     "top_n_by_day": _DAY_TOP.format(n=10),
     "top_n_by_month": _MONTH_TOP,
@@ -249,4 +274,51 @@ SELECT l_orderkey, COUNT(*) AS n_records FROM lineitem
 WHERE l_orderkey IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 1
 """,
     "violations_non_negative": "SELECT * FROM customer WHERE c_acctbal < 0",
+    "stored_top_n_by_month": _TEXT_MONTH_TOP,
+    "stored_growth_report": _change(
+        _CURRENT, _LAST, _GROWTH_NAMES, "growth",
+        key="CAST(l_suppkey AS INTEGER)", value="CAST(l_quantity AS INTEGER)",
+    ),
+    "stored_data_tests": f"WITH c AS ({_COUNTS_VIEW}), d AS ({_REFERENCE_VIEW}), r AS ({_TEXT_TOP})\n"
+    + _union(
+        _unique_row("sensor_counts", "id", "c"),
+        _row("sensor_counts", "id", "not_null", "id IS NULL", "c"),
+        _row("sensor_counts", "date_time", "not_null", "date_time IS NULL", "c"),
+        _row("sensor_counts", "date_time", "is_iso_format",
+             f"date_time IS NOT NULL AND NOT regexp_matches(date_time, '{_ISO_OPT_RE}')", "c"),
+        _row("sensor_counts", "sensor_id", "not_null", "sensor_id IS NULL", "c"),
+        _row("sensor_counts", "sensor_name", "not_null", "sensor_name IS NULL", "c"),
+        _row("sensor_counts", "hourly_count", "not_null", "hourly_count IS NULL", "c"),
+        _row("sensor_counts", "hourly_count", "non_negative", "hourly_count < 0", "c"),
+        _row("sensor_counts", "sensor_id", "in_range", "sensor_id < 0 OR sensor_id >= 1000", "c"),
+        _row("sensor_reference_data", "location_id", "not_null", "location_id IS NULL", "d"),
+        _unique_row("sensor_reference_data", "location_id", "d"),
+        _row("sensor_reference_data", "sensor_description", "not_null",
+             "sensor_description IS NULL", "d"),
+        _row("sensor_reference_data", "installation_date", "is_date_format",
+             f"installation_date IS NOT NULL AND NOT regexp_matches(installation_date, '{_DATE_RE}')",
+             "d"),
+        _row("sensor_reference_data", "location_type", "not_null", "location_type IS NULL", "d"),
+        _row("sensor_reference_data", "location_type", "accepted_values",
+             "location_type IS NOT NULL AND location_type NOT IN "
+             "('Indoor', 'Outdoor', 'Indoor Blix', 'Outdoor Blix')", "d"),
+        _row("sensor_reference_data", "status", "not_null", "status IS NULL", "d"),
+        _row("sensor_reference_data", "status", "accepted_values",
+             "status IS NOT NULL AND status NOT IN ('A')", "d"),
+        _row("sensor_reference_data", "direction_1", "accepted_values",
+             f"direction_1 IS NOT NULL AND direction_1 NOT IN {_ACCEPTED_DIRECTIONS}", "d"),
+        _row("sensor_reference_data", "direction_2", "accepted_values",
+             f"direction_2 IS NOT NULL AND direction_2 NOT IN {_ACCEPTED_DIRECTIONS}", "d"),
+        _row("sensor_reference_data", "latitude", "not_null", "latitude IS NULL", "d"),
+        _row("sensor_reference_data", "longitude", "not_null", "longitude IS NULL", "d"),
+        _row("report_top_10_locations_by_day", "date", "not_null", '"date" IS NULL', "r"),
+        _row("report_top_10_locations_by_day", "date", "is_date_format",
+             f"\"date\" IS NOT NULL AND NOT regexp_matches(\"date\", '{_DATE_RE}')", "r"),
+        _row("report_top_10_locations_by_day", "rank", "not_null", '"rank" IS NULL', "r"),
+        _row("report_top_10_locations_by_day", "rank", "rank_range",
+             '"rank" IS NOT NULL AND "rank" NOT IN (1, 2, 3, 4, 5, 6, 7, 8, 9, 10)', "r"),
+        _row("report_top_10_locations_by_day", "sensor_id", "not_null", "sensor_id IS NULL", "r"),
+        _row("report_top_10_locations_by_day", "daily_count", "not_null",
+             "daily_count IS NULL", "r"),
+    ),
 }

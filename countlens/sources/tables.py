@@ -15,10 +15,12 @@ def _quote(name: str) -> str:
     return ".".join(f"`{part}`" for part in name.split("."))
 
 
-def _ensure_database(spark: SparkSession, table: str) -> None:
+def _ensure_database(spark: SparkSession, table: str, root: str | None = None) -> None:
+    """Create the table's database if needed (under ``root`` when given)."""
     if "." in table:
         db = table.rsplit(".", 1)[0]
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quote(db)}")
+        where = f" LOCATION '{root.rstrip('/')}/{db}.db'" if root else ""
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quote(db)}{where}")
 
 
 def register_table(
@@ -65,7 +67,7 @@ def publish_table(
     spark = df.sparkSession
     location = f"{root.rstrip('/')}/{name.replace('.', '/')}/version={uuid.uuid4().hex}"
     overwrite_path(df, location, partition_by)
-    _ensure_database(spark, name)
+    _ensure_database(spark, name, root)
     if spark.catalog.tableExists(name):
         spark.sql(f"ALTER TABLE {_quote(name)} SET LOCATION '{location}'")
         spark.sql(f"REFRESH TABLE {_quote(name)}")
