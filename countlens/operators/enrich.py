@@ -35,13 +35,12 @@ def _row_bytes(df: DataFrame):
 def within_bounds(df: DataFrame, max_rows: int, max_bytes: int | None = None) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (and ``max_bytes`` bytes).
 
-    Proves the bound with one small job that reads at most ``max_rows + 1``
-    rows: the limit is applied per partition before anything is gathered,
-    so a large input is never read in full just to learn that it is large.
+    Proves the bound with one distributed aggregate over the (already
+    projected) input: every task counts its rows and bytes and only one
+    partial row per task reaches the final sum, so nothing is gathered into
+    a single task and only two numbers reach the driver.
     """
-    probe = df.limit(max_rows + 1).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")
-    ).first()
+    probe = df.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
     if probe.n > max_rows:
         return False
     return max_bytes is None or (probe.b or 0) <= max_bytes

@@ -50,3 +50,16 @@ def test_checks_plan_pushes_nothing_to_driver(spark):
     plan = plan_text(tb.q_sensor_counts_data_tests(spark, SF))
     assert "partial_count" in plan
     assert "CollectLimit" not in plan
+
+
+def test_size_bound_rows_and_bytes(spark):
+    from pyspark.sql import functions as F
+
+    from countlens.operators.enrich import within_bounds
+
+    df = spark.range(100).select(F.col("id"), F.repeat(F.lit("x"), 100).alias("label"))
+    assert within_bounds(df, 100, None)
+    assert not within_bounds(df, 99, None)
+    # 100 rows * (8 + 100 + 8) bytes
+    assert within_bounds(df, 1000, 11_600)
+    assert not within_bounds(df, 1000, 11_599)
