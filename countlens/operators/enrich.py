@@ -40,7 +40,7 @@ def within_bounds(df: DataFrame, max_rows: int, max_bytes: int | None = None) ->
     partial row per task reaches the final sum, so nothing is gathered into
     a single task and only two numbers reach the driver.
     """
-    probe = df.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
+    probe = df.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).collect()[0]
     if probe.n > max_rows:
         return False
     return max_bytes is None or (probe.b or 0) <= max_bytes

@@ -54,8 +54,23 @@ LINEITEM_COUNTS = dict(ts_col="l_shipdate", id_col="l_suppkey", value_col="l_qua
 SUPPLIER_DIM = dict(dim_key="s_suppkey", label_col="s_name")
 
 
+_SCHEMAS: dict[str, object] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """A test table with its schema resolved once per process.
+
+    Acts like a catalog entry: the first read infers the Parquet schema (a
+    footer-reading job); later reads pass it explicitly and skip that job.
+    The test tables are read-only, so the cached schema cannot go stale.
+    """
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
 
 
 def _lineitem(spark, sf_dir):
