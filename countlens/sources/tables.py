@@ -48,14 +48,17 @@ def overwrite_path(df: DataFrame, path: str, partition_by: list[str] | None = No
 def overwrite_table(df: DataFrame, name: str) -> None:
     """Full refresh of a registered table through the catalog (``INSERT OVERWRITE``).
 
-    ``df`` must not read the table it overwrites.
+    Columns are matched to the table *by name* (``insertInto`` itself is
+    positional). ``df`` must not read the table it overwrites.
     """
-    df.write.insertInto(name, overwrite=True)
+    target = df.sparkSession.table(name).columns
+    missing = [c for c in target if c not in df.columns]
+    if missing:
+        raise ValueError(f"columns {missing} of table {name!r} are missing from the data")
+    df.select(*target).write.insertInto(name, overwrite=True)
 
 
-def publish_table(
-    df: DataFrame, name: str, root: str, partition_by: list[str] | None = None
-) -> str:
+def publish_table(df: DataFrame, name: str, root: str) -> str:
     """Write ``df`` as a new version folder, then point table ``name`` at it.
 
     Readers see the old version until the new one is complete: the data is
@@ -66,20 +69,14 @@ def publish_table(
     """
     spark = df.sparkSession
     location = f"{root.rstrip('/')}/{name.replace('.', '/')}/version={uuid.uuid4().hex}"
-    overwrite_path(df, location, partition_by)
+    overwrite_path(df, location)
     _ensure_database(spark, name, root)
     if spark.catalog.tableExists(name):
         spark.sql(f"ALTER TABLE {_quote(name)} SET LOCATION '{location}'")
         spark.sql(f"REFRESH TABLE {_quote(name)}")
     else:
         schema = spark.read.parquet(location).schema
-        parts = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
-        spark.sql(
-            f"CREATE TABLE {_quote(name)} ({ddl(schema)}) USING parquet{parts} "
-            f"LOCATION '{location}'"
-        )
-        if partition_by:
-            spark.sql(f"MSCK REPAIR TABLE {_quote(name)}")
+        spark.sql(f"CREATE TABLE {_quote(name)} ({ddl(schema)}) USING parquet LOCATION '{location}'")
     return location
 
 

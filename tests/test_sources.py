@@ -144,3 +144,19 @@ def test_bad_on_bad_value(spark, csv_dir):
     with pytest.raises(ValueError):
         read_counts_csv(spark, csv_dir, on_bad="drop")
     assert PySparkException  # imported for clarity of the failure type family
+
+
+def test_overwrite_table_matches_columns_by_name(spark):
+    loc = scratch_path(spark, "byname")
+    register_table(spark, "t_byname", schemas.SENSOR_COUNTS, loc)
+    df = spark.createDataFrame(
+        [(5, "A", 2, "2020-01-01T00:00:00", 7)],
+        "hourly_count int, sensor_name string, sensor_id int, date_time string, id int",
+    )
+    overwrite_table(df, "t_byname")
+    r = spark.table("t_byname").first()
+    assert (r.id, r.date_time, r.sensor_id, r.sensor_name, r.hourly_count) == (
+        7, "2020-01-01T00:00:00", 2, "A", 5,
+    )
+    with pytest.raises(ValueError):
+        overwrite_table(df.drop("id"), "t_byname")
