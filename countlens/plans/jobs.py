@@ -18,8 +18,8 @@ from countlens.operators.checks import (
 )
 from countlens.plans.reports import (
     LAST_YEAR,
-    LOCKDOWN_BASE,
-    LOCKDOWN_CURRENT,
+    DECLINE_BASE_YEAR,
+    DECLINE_CURRENT_YEAR,
     PREVIOUS_YEAR,
     decline_report,
     growth_report,
@@ -72,7 +72,7 @@ def build_reports(
     raw_db: str = "raw",
     report_db: str = "report",
     n: int = 10,
-    decline_periods: tuple = (LOCKDOWN_BASE, LOCKDOWN_CURRENT),
+    decline_periods: tuple = (DECLINE_BASE_YEAR, DECLINE_CURRENT_YEAR),
     growth_periods: tuple = (PREVIOUS_YEAR, LAST_YEAR),
 ) -> dict[str, str]:
     """Write the four reports from the stored raw tables; returns locations."""

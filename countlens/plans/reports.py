@@ -17,8 +17,8 @@ from countlens.operators.ranking import top_n_by_period
 
 # The comparison years of the two change reports
 # (each year runs 1 November to 1 November, end exclusive).
-LOCKDOWN_BASE = ("2018-11-01", "2019-11-01")
-LOCKDOWN_CURRENT = ("2021-11-01", "2022-11-01")
+DECLINE_BASE_YEAR = ("2018-11-01", "2019-11-01")
+DECLINE_CURRENT_YEAR = ("2021-11-01", "2022-11-01")
 PREVIOUS_YEAR = ("2020-11-01", "2021-11-01")
 LAST_YEAR = ("2021-11-01", "2022-11-01")
 
@@ -144,8 +144,8 @@ def _change_report(
 def decline_report(
     counts: DataFrame,
     dim: DataFrame,
-    base: tuple[str, str] = LOCKDOWN_BASE,
-    current: tuple[str, str] = LOCKDOWN_CURRENT,
+    base: tuple[str, str] = DECLINE_BASE_YEAR,
+    current: tuple[str, str] = DECLINE_CURRENT_YEAR,
     ts_col: str = "date_time",
     id_col: str = "sensor_id",
     value_col: str = "hourly_count",
