@@ -11,6 +11,7 @@ from countlens.functions.datetime import (
     format_iso,
     in_period,
     month_of_day_text,
+    months_touching,
     parse_local_time,
     period_bound,
 )
@@ -26,6 +27,7 @@ __all__ = [
     "format_iso",
     "in_period",
     "month_of_day_text",
+    "months_touching",
     "parse_local_time",
     "percent_of",
     "period_bound",

@@ -70,7 +70,7 @@ def day_of(df: DataFrame, name: str) -> Column:
 
 
 def month_of_day_text(c: Column | str) -> Column:
-    """``yyyy-MM`` from a ``yyyy-MM-dd`` day string (first seven characters)."""
+    """``yyyy-MM`` from ISO day or date-time text (its first seven characters)."""
     c = F.col(c) if isinstance(c, str) else c
     return c.substr(1, 7)
 
@@ -96,3 +96,15 @@ def in_period(df: DataFrame, name: str, start: str, end: str) -> Column:
     """Half-open period test ``start <= name < end`` (NULL is outside)."""
     c = F.col(name)
     return (c >= period_bound(df, name, start)) & (c < period_bound(df, name, end))
+
+
+def months_touching(month_col: str, start: str, end: str) -> Column:
+    """``yyyy-MM`` keys that can hold rows of the period ``[start, end)``.
+
+    A redundant predicate for tables partitioned by a month key derived from
+    the time column: it implies nothing new about the rows but lets Spark
+    prune whole partition folders before any file is opened. (The month of
+    an exclusive ``end`` is kept; the exact time filter drops its rows.)
+    """
+    c = F.col(month_col)
+    return (c >= F.lit(start[:7])) & (c <= F.lit(end[:7]))

@@ -22,6 +22,7 @@ def period_change(
     change_out: str,
     percent_out: str,
     count_type: str = "bigint",
+    month_col: str | None = None,
 ) -> DataFrame:
     """Totals of two periods per key, their difference and percent change.
 
@@ -29,10 +30,11 @@ def period_change(
     ``direction="growth"``: ``change = current - base``. The percent is the
     change over the *base* (earlier) total times 100 in both cases; a zero
     base gives NULL. Keys missing from either period are dropped (inner
-    join semantics), computed in one scan (see ``paired_period_totals``).
+    join semantics), computed in one scan (see ``paired_period_totals``);
+    ``month_col`` enables month-partition pruning.
     """
     totals = paired_period_totals(
-        df, ts_col, base, current, id_col, value_col, "__base", "__current"
+        df, ts_col, base, current, id_col, value_col, "__base", "__current", month_col
     )
     b = F.col("__base").cast(count_type)
     c = F.col("__current").cast(count_type)

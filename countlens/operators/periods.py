@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from countlens.functions.datetime import in_period
+from countlens.functions.datetime import in_period, months_touching
 
 
 def period_total(
@@ -16,15 +16,21 @@ def period_total(
     id_col: str,
     value_col: str,
     out: str,
+    month_col: str | None = None,
 ) -> DataFrame:
     """``sum(value_col)`` per ``id_col`` for rows with ``start <= ts_col < end``.
 
     The range filter reaches the Parquet scan as pushed predicates; the sum
     runs as a partial (map-side) plus final hash aggregate, so a hot key is
-    collapsed to one row per task before it is shuffled.
+    collapsed to one row per task before it is shuffled. ``month_col`` names
+    a ``yyyy-MM`` partition column derived from ``ts_col``; when given, the
+    months outside the period are pruned before any file is read.
     """
+    cond = in_period(df, ts_col, start, end)
+    if month_col:
+        cond = months_touching(month_col, start, end) & cond
     return (
-        df.filter(in_period(df, ts_col, start, end))
+        df.filter(cond)
         .groupBy(id_col)
         .agg(F.sum(value_col).alias(out))
     )
@@ -39,6 +45,7 @@ def paired_period_totals(
     value_col: str,
     base_out: str,
     current_out: str,
+    month_col: str | None = None,
 ) -> DataFrame:
     """Totals of two periods per key, keeping keys present in *both* periods.
 
@@ -49,13 +56,17 @@ def paired_period_totals(
     decided by row counts, not sums, so a key whose values are all NULL in a
     period is kept with a NULL total exactly as the join keeps it. NULL keys
     never match in the join and are dropped here too. Overlapping periods
-    count a row in both.
+    count a row in both. ``month_col`` (a ``yyyy-MM`` partition column
+    derived from ``ts_col``) adds partition pruning for the two periods.
     """
     in_base = in_period(df, ts_col, *base)
     in_current = in_period(df, ts_col, *current)
     value = F.col(value_col)
+    cond = (in_base | in_current) & F.col(id_col).isNotNull()
+    if month_col:
+        cond = (months_touching(month_col, *base) | months_touching(month_col, *current)) & cond
     return (
-        df.filter((in_base | in_current) & F.col(id_col).isNotNull())
+        df.filter(cond)
         .groupBy(id_col)
         .agg(
             F.sum(F.when(in_base, value)).alias(base_out),

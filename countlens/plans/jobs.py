@@ -9,6 +9,7 @@ monthly report reads the daily report as written, as the original does.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StringType, StructField, StructType
 
 from countlens.operators.checks import (
     run_checks,
@@ -26,8 +27,10 @@ from countlens.plans.reports import (
     top_n_by_day,
     top_n_by_month,
 )
+from countlens.functions.datetime import month_of_day_text
+from countlens.schemas import SENSOR_COUNTS as SENSOR_COUNTS_SCHEMA
 from countlens.sources.files import read_counts_csv, read_reference_json
-from countlens.sources.tables import publish_table
+from countlens.sources.tables import overwrite_partitions, publish_table, register_table
 
 # Table names of the data mart.
 SENSOR_COUNTS = "sensor_counts"
@@ -58,6 +61,33 @@ def ingest_counts(
     return publish_table(counts, f"{raw_db}.{SENSOR_COUNTS}", root)
 
 
+MONTH_COL = "year_month"
+
+
+def ingest_counts_by_month(
+    spark: SparkSession,
+    csv_path: str,
+    location: str,
+    raw_db: str = "raw",
+    on_bad: str = "fail",
+) -> str:
+    """Raw count CSV -> ``raw_db.sensor_counts`` partitioned by ``year_month``.
+
+    The layout for large, growing count data: each run rewrites only the
+    months present in the landed files (dynamic partition overwrite), and
+    the change reports given ``month_col="year_month"`` read only the months
+    of their two periods. ``year_month`` is the first seven characters of
+    ``date_time``; rows with a NULL time land in the NULL partition.
+    """
+    name = f"{raw_db}.{SENSOR_COUNTS}"
+    counts = read_counts_csv(spark, csv_path, on_bad)
+    counts = counts.withColumn(MONTH_COL, month_of_day_text("date_time"))
+    schema = StructType([*SENSOR_COUNTS_SCHEMA.fields, StructField(MONTH_COL, StringType(), True)])
+    register_table(spark, name, schema, location, partition_by=[MONTH_COL])
+    overwrite_partitions(counts.sortWithinPartitions(MONTH_COL, "date_time"), name)
+    return name
+
+
 def ingest_reference(
     spark: SparkSession, json_path: str, root: str, raw_db: str = "raw", multi_line: bool = True
 ) -> str:
@@ -74,8 +104,12 @@ def build_reports(
     n: int = 10,
     decline_periods: tuple = (DECLINE_BASE_YEAR, DECLINE_CURRENT_YEAR),
     growth_periods: tuple = (PREVIOUS_YEAR, LAST_YEAR),
+    month_col: str | None = None,
 ) -> dict[str, str]:
-    """Write the four reports from the stored raw tables; returns locations."""
+    """Write the four reports from the stored raw tables; returns locations.
+
+    Pass ``month_col="year_month"`` when the counts were landed with
+    ``ingest_counts_by_month`` so the change reports prune partitions."""
     counts = spark.table(f"{raw_db}.{SENSOR_COUNTS}")
     dim = spark.table(f"{raw_db}.{SENSOR_REFERENCE}")
     out = {}
@@ -87,10 +121,14 @@ def build_reports(
         top_n_by_month(daily, dim, n=n), f"{report_db}.{TOP_BY_MONTH}", root
     )
     out[DECLINES] = publish_table(
-        decline_report(counts, dim, *decline_periods), f"{report_db}.{DECLINES}", root
+        decline_report(counts, dim, *decline_periods, month_col=month_col),
+        f"{report_db}.{DECLINES}",
+        root,
     )
     out[GROWTH] = publish_table(
-        growth_report(counts, dim, *growth_periods), f"{report_db}.{GROWTH}", root
+        growth_report(counts, dim, *growth_periods, month_col=month_col),
+        f"{report_db}.{GROWTH}",
+        root,
     )
     return out
 

@@ -123,14 +123,16 @@ def _change_report(
     count_type: str,
     ordered: bool,
     broadcast_max_rows: int | None,
+    month_col: str | None = None,
 ) -> DataFrame:
     base_out, current_out, change_out, percent_out = names
+    keep = [F.col(month_col)] if month_col else []
     src = counts.select(
-        F.col(ts_col), F.col(id_col).alias("sensor_id"), F.col(value_col).alias("__v")
+        F.col(ts_col), F.col(id_col).alias("sensor_id"), F.col(value_col).alias("__v"), *keep
     )
     change = period_change(
         src, ts_col, "sensor_id", "__v", base, current, direction,
-        base_out, current_out, change_out, percent_out, count_type,
+        base_out, current_out, change_out, percent_out, count_type, month_col,
     )
     labelled = with_label(
         change, dim, "sensor_id", dim_key, label_col, "location_name", broadcast_max_rows
@@ -155,12 +157,16 @@ def decline_report(
     ordered: bool = True,
     names: tuple[str, str, str, str] = ("count_2019", "count_2022", "decline", "decline_percent"),
     broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
+    month_col: str | None = None,
 ) -> DataFrame:
     """Per sensor: base-year and current-year totals, ``decline = base - current``
-    and ``decline_percent = decline / base * 100``, largest percent first."""
+    and ``decline_percent = decline / base * 100``, largest percent first.
+
+    ``month_col``: a ``yyyy-MM`` partition column of ``counts`` derived from
+    ``ts_col``; only the months of the two years are then read."""
     return _change_report(
         counts, dim, "decline", base, current, names, ts_col, id_col, value_col,
-        dim_key, label_col, count_type, ordered, broadcast_max_rows,
+        dim_key, label_col, count_type, ordered, broadcast_max_rows, month_col,
     )
 
 
@@ -180,10 +186,13 @@ def growth_report(
         "count_previous_year", "count_last_year", "growth", "growth_percent",
     ),
     broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
+    month_col: str | None = None,
 ) -> DataFrame:
     """Per sensor: previous-year and last-year totals, ``growth = last - previous``
-    and ``growth_percent = growth / previous * 100``, largest percent first."""
+    and ``growth_percent = growth / previous * 100``, largest percent first.
+
+    ``month_col``: as in ``decline_report``."""
     return _change_report(
         counts, dim, "growth", previous, last, names, ts_col, id_col, value_col,
-        dim_key, label_col, count_type, ordered, broadcast_max_rows,
+        dim_key, label_col, count_type, ordered, broadcast_max_rows, month_col,
     )

@@ -424,6 +424,36 @@ def q_violations_non_negative(spark, sf_dir):
 # ------------------------------------------------------ stored-table jobs
 
 
+def _land_counts_by_month(spark, sf_dir):
+    """Land lineitem as a count file, ingest it into a month-partitioned
+    table, then land and ingest one month again (it must replace, not add)."""
+    tag = os.path.basename(scratch_path(spark, "m")).replace("-", "_")
+    raw_db = f"cl_rawm_{tag}"
+    rows = raw_count_file_rows(spark, sf_dir)
+    landing = scratch_path(spark, "counts-by-month")
+    rows.write.option("header", True).csv(landing)
+    location = scratch_path(spark, "counts-by-month-table")
+    name = jobs.ingest_counts_by_month(spark, landing, location, raw_db)
+    relanding = scratch_path(spark, "counts-relanding")
+    rows.filter(F.col("Date_Time").startswith("March")).filter(
+        F.col("Date_Time").contains(", 1996 ")
+    ).write.option("header", True).csv(relanding)
+    jobs.ingest_counts_by_month(spark, relanding, location, raw_db)
+    return name
+
+
+def q_ingest_counts_by_month(spark, sf_dir):
+    return spark.table(_land_counts_by_month(spark, sf_dir))
+
+
+def q_decline_report_month_pruned(spark, sf_dir):
+    counts = spark.table(_land_counts_by_month(spark, sf_dir))
+    return decline_report(
+        counts, _supplier(spark, sf_dir), base=BASE, current=CURRENT,
+        month_col=jobs.MONTH_COL, **SUPPLIER_DIM,
+    )
+
+
 def q_stored_top_n_by_month(spark, sf_dir):
     _, report_db = build_test_mart(spark, sf_dir)
     return spark.table(f"{report_db}.{jobs.TOP_BY_MONTH}")
@@ -473,4 +503,6 @@ QUERIES = {
     "stored_top_n_by_month": q_stored_top_n_by_month,
     "stored_growth_report": q_stored_growth_report,
     "stored_data_tests": q_stored_data_tests,
+    "ingest_counts_by_month": q_ingest_counts_by_month,
+    "decline_report_month_pruned": q_decline_report_month_pruned,
 }

@@ -275,6 +275,13 @@ WHERE l_orderkey IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 1
 """,
     "violations_non_negative": "SELECT * FROM customer WHERE c_acctbal < 0",
     "stored_top_n_by_month": _TEXT_MONTH_TOP,
+    "ingest_counts_by_month": f"""
+SELECT *, substr(date_time, 1, 7) AS year_month FROM ({_COUNTS_VIEW})
+""",
+    "decline_report_month_pruned": _change(
+        _BASE, _CURRENT, _DECLINE_NAMES, "decline",
+        key="CAST(l_suppkey AS INTEGER)", value="CAST(l_quantity AS INTEGER)",
+    ),
     "stored_growth_report": _change(
         _CURRENT, _LAST, _GROWTH_NAMES, "growth",
         key="CAST(l_suppkey AS INTEGER)", value="CAST(l_quantity AS INTEGER)",

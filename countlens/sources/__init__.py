@@ -9,6 +9,7 @@ from countlens.sources.files import (
     read_table,
 )
 from countlens.sources.tables import (
+    overwrite_partitions,
     overwrite_path,
     overwrite_table,
     passthrough_view,
@@ -21,6 +22,7 @@ from countlens.sources.tables import (
 __all__ = [
     "RAW_COUNT_COLUMNS",
     "counts_from_raw",
+    "overwrite_partitions",
     "overwrite_path",
     "overwrite_table",
     "passthrough_view",

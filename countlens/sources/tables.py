@@ -24,16 +24,23 @@ def _ensure_database(spark: SparkSession, table: str, root: str | None = None) -
 
 
 def register_table(
-    spark: SparkSession, name: str, schema: StructType, location: str
+    spark: SparkSession,
+    name: str,
+    schema: StructType,
+    location: str,
+    partition_by: list[str] | None = None,
 ) -> None:
     """Create an external Parquet table at ``location`` unless it exists.
 
     Idempotent: an existing table (and its data) is left as it is.
+    ``partition_by`` names columns of ``schema`` that become directory
+    partitions (readers then prune them from filters on those columns).
     """
     _ensure_database(spark, name)
+    parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {_quote(name)} ({ddl(schema)}) "
-        f"USING parquet LOCATION '{location}'"
+        f"USING parquet{parts} LOCATION '{location}'"
     )
 
 
@@ -58,6 +65,40 @@ def overwrite_table(df: DataFrame, name: str) -> None:
     df.select(*target).write.insertInto(name, overwrite=True)
 
 
+def overwrite_partitions(df: DataFrame, name: str) -> None:
+    """Replace only the partitions of table ``name`` that ``df`` holds rows for.
+
+    Dynamic partition overwrite: partitions absent from ``df`` are kept, so
+    re-landing one month of counts rewrites that month and nothing else.
+    Each partition is written to a staging folder and moved in at commit.
+    Rows are sorted within each task by the partition columns so a task
+    keeps one file open at a time, with no shuffle (a hot partition is
+    written by every task that holds part of it, never by one task).
+    """
+    spark = df.sparkSession
+    part_cols = [
+        c.name for c in spark.catalog.listColumns(name) if getattr(c, "isPartition", False)
+    ]
+    target = spark.table(name).columns
+    missing = [c for c in target if c not in df.columns]
+    if missing:
+        raise ValueError(f"columns {missing} of table {name!r} are missing from the data")
+    out = df.select(*target)
+    if part_cols:
+        out = out.sortWithinPartitions(*part_cols)
+    # insertInto takes the mode from the session setting, not a write option
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "dynamic")
+    try:
+        out.write.insertInto(name, overwrite=True)
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def publish_table(df: DataFrame, name: str, root: str) -> str:
     """Write ``df`` as a new version folder, then point table ``name`` at it.
 

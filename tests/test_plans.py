@@ -63,3 +63,31 @@ def test_size_bound_rows_and_bytes(spark):
     # 100 rows * (8 + 100 + 8) bytes
     assert within_bounds(df, 1000, 11_600)
     assert not within_bounds(df, 1000, 11_599)
+
+
+def test_month_partition_pruning(spark):
+    from pyspark.sql import functions as F
+
+    from countlens.session import scratch_path
+    from countlens.sources import overwrite_partitions, register_table
+
+    rows = [(f"2019-{m:02d}-15T10:00:00", 1, m) for m in range(1, 13)] + [
+        (f"2021-{m:02d}-15T10:00:00", 1, 2 * m) for m in range(1, 13)
+    ]
+    df = spark.createDataFrame(rows, "date_time string, sensor_id int, hourly_count int")
+    df = df.withColumn("year_month", F.substring("date_time", 1, 7))
+    loc = scratch_path(spark, "pruned")
+    register_table(spark, "t_pruned", df.schema, loc, partition_by=["year_month"])
+    overwrite_partitions(df, "t_pruned")
+    dim = spark.createDataFrame([(1, "A")], "location_id int, sensor_description string")
+    counts = spark.table("t_pruned")
+    rep = decline_report(
+        counts, dim, ("2019-03-01", "2019-05-01"), ("2021-03-01", "2021-05-01"), month_col="year_month"
+    )
+    plan = plan_text(rep)
+    assert "PartitionFilters: [(((year_month" in plan
+    assert "2019-03" in plan and "2021-05" in plan
+    r = rep.first()
+    assert (r.count_2019, r.count_2022) == (3 + 4, 6 + 8)
+    same = decline_report(counts, dim, ("2019-03-01", "2019-05-01"), ("2021-03-01", "2021-05-01"))
+    assert same.first().asDict() == r.asDict()

@@ -160,3 +160,22 @@ def test_overwrite_table_matches_columns_by_name(spark):
     )
     with pytest.raises(ValueError):
         overwrite_table(df.drop("id"), "t_byname")
+
+
+def test_overwrite_partitions_replaces_only_present_months(spark):
+    from countlens.sources import overwrite_partitions
+
+    loc = scratch_path(spark, "bymonth")
+    schema = "k int, v int, year_month string"
+    register_table(
+        spark, "t_bymonth", spark.createDataFrame([], schema).schema, loc, partition_by=["year_month"]
+    )
+    overwrite_partitions(
+        spark.createDataFrame([(1, 10, "2020-01"), (2, 20, "2020-02")], schema), "t_bymonth"
+    )
+    overwrite_partitions(
+        spark.createDataFrame([(3, 30, "2020-02"), (4, 40, "2020-03")], schema), "t_bymonth"
+    )
+    got = sorted((r.k, r.v, r.year_month) for r in spark.table("t_bymonth").collect())
+    assert got == [(1, 10, "2020-01"), (3, 30, "2020-02"), (4, 40, "2020-03")]
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == "STATIC"
