@@ -50,7 +50,7 @@ def main():
         f"local[{cpus}]",
         app_name="countlens-bench",
         shuffle_partitions=cpus,
-        extra_conf={"spark.driver.memory": "8g"},
+        extra_conf={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g")},
     )
     for name in HEADLINE:  # warm-up pass (JIT, codegen caches)
         run_once(spark, name, sf_dir)

@@ -32,18 +32,40 @@ def _row_bytes(df: DataFrame):
     return total
 
 
-def within_bounds(df: DataFrame, max_rows: int, max_bytes: int | None = None) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (and ``max_bytes`` bytes).
+# Proven sizes of file-backed inputs, keyed by (plan hash, exact input files).
+# Spark-written files carry unique names and published tables get a new
+# version folder, so new data always means a new key; inputs without files
+# (local data, streams) are never cached.
+_SIZES: dict[tuple, tuple[int, int]] = {}
+
+
+def _content_key(df: DataFrame) -> tuple | None:
+    files = tuple(sorted(df.inputFiles()))
+    return (df.semanticHash(), files) if files else None
+
 
-    Proves the bound with one distributed aggregate over the (already
-    projected) input: every task counts its rows and bytes and only one
-    partial row per task reaches the final sum, so nothing is gathered into
-    a single task and only two numbers reach the driver.
+def measured_size(df: DataFrame) -> tuple[int, int]:
+    """``(rows, bytes)`` of ``df``, measured by one distributed aggregate.
+
+    Every task counts its rows and bytes and only one partial row per task
+    reaches the final sum, so nothing is gathered into a single task and
+    only two numbers reach the driver. File-backed inputs are measured once
+    per content version (see ``_SIZES``).
     """
+    key = _content_key(df)
+    if key is not None and key in _SIZES:
+        return _SIZES[key]
     probe = df.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).collect()[0]
-    if probe.n > max_rows:
-        return False
-    return max_bytes is None or (probe.b or 0) <= max_bytes
+    size = (int(probe.n), int(probe.b or 0))
+    if key is not None:
+        _SIZES[key] = size
+    return size
+
+
+def within_bounds(df: DataFrame, max_rows: int, max_bytes: int | None = None) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (and ``max_bytes`` bytes)."""
+    rows, size = measured_size(df)
+    return rows <= max_rows and (max_bytes is None or size <= max_bytes)
 
 
 def bounded_broadcast(

@@ -67,7 +67,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder; a cluster master raises, because a machine-local folder is not
     visible to other executors.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no driver-side context, only conf
+        sc = None
+    if sc is None:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if configured:
+            return configured
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
+        return tempfile.mkdtemp(prefix="countlens-ckpt-")
     current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
     if current:
         return current

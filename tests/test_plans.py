@@ -91,3 +91,18 @@ def test_month_partition_pruning(spark):
     assert (r.count_2019, r.count_2022) == (3 + 4, 6 + 8)
     same = decline_report(counts, dim, ("2019-03-01", "2019-05-01"), ("2021-03-01", "2021-05-01"))
     assert same.first().asDict() == r.asDict()
+
+
+def test_size_memo_follows_file_content(spark):
+    from countlens.operators import enrich
+    from countlens.session import scratch_path
+    from countlens.sources import overwrite_path
+
+    p = scratch_path(spark, "dimver")
+    overwrite_path(spark.range(10), p)
+    assert enrich.measured_size(spark.read.parquet(p)) == (10, 80)
+    assert enrich.measured_size(spark.read.parquet(p)) == (10, 80)  # memoised
+    overwrite_path(spark.range(20), p)  # new content, new file names
+    assert enrich.measured_size(spark.read.parquet(p)) == (20, 160)
+    local = spark.range(5)
+    assert enrich._content_key(local) is None
