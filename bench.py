@@ -2,7 +2,7 @@
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS
 (default 8), BENCH_RUNS (timed runs per query after one warm-up pass over all
-queries, interleaved, default 3).
+queries, interleaved, default 5).
 Each run executes the full plan into Spark's ``noop`` sink, so every row is
 computed but nothing is collected to the driver. The reported time of a
 query is the median of its timed runs; ``value`` is their sum.
@@ -45,7 +45,7 @@ def run_once(spark, name, sf_dir):
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     spark = build_session(
         f"local[{cpus}]",
         app_name="countlens-bench",
