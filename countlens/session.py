@@ -28,6 +28,26 @@ BASE_CONF = {
 }
 
 
+def scale_conf(total_cores: int) -> dict[str, str]:
+    """Suggested settings for a large cluster (pass as ``extra_conf``).
+
+    Shuffles start at 3x the cores and AQE merges them to ~256 MiB each, so
+    partitions fit executor memory whatever the input size; scans split at
+    256 MiB; a shuffle partition 5x the median (and > 512 MiB) counts as
+    skewed and is split; a join side is broadcast at runtime only when its
+    *measured* shuffle output is below 64 MiB.
+    """
+    return {
+        "spark.sql.shuffle.partitions": str(3 * total_cores),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    }
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "countlens",
