@@ -60,8 +60,8 @@ def read_counts_csv(
     """Read header CSV file(s) of hourly counts into the ``sensor_counts`` shape.
 
     Columns are read as text (no schema inference pass over the data) and
-    cast explicitly. Plain or gzip/bzip2 CSV splits across tasks; a ``.zip``
-    archive must be landed unzipped first.
+    cast explicitly. Plain and bzip2 CSV split across tasks, gzip is one task
+    per file (land many files); a ``.zip`` archive must be landed unzipped.
     """
     raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
     return counts_from_raw(raw, on_bad, time_format)
