@@ -99,8 +99,24 @@ def with_label(
     ``broadcast_max_rows=None`` to skip the size check and leave the join
     strategy entirely to Catalyst/AQE.
     """
+    return label_join(
+        facts, dim, fact_key, dim_key, label_col, out_col, broadcast_max_rows, broadcast_max_bytes
+    ).drop("__dim_key")
+
+
+def label_join(
+    facts: DataFrame,
+    dim: DataFrame,
+    fact_key: str,
+    dim_key: str,
+    label_col: str,
+    out_col: str,
+    broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
+    broadcast_max_bytes: int | None = DEFAULT_BROADCAST_MAX_BYTES,
+) -> DataFrame:
+    """``with_label`` that keeps the dimension key as ``__dim_key``
+    (for callers that project their output anyway)."""
     side = dim.select(F.col(dim_key).alias("__dim_key"), F.col(label_col).alias(out_col))
     if broadcast_max_rows is not None:
         side = bounded_broadcast(side, broadcast_max_rows, broadcast_max_bytes)
-    joined = facts.join(side, F.col(fact_key) == F.col("__dim_key"), "left")
-    return joined.drop("__dim_key")
+    return facts.join(side, F.col(fact_key) == F.col("__dim_key"), "left")

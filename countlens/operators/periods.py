@@ -59,6 +59,24 @@ def paired_period_totals(
     count a row in both. ``month_col`` (a ``yyyy-MM`` partition column
     derived from ``ts_col``) adds partition pruning for the two periods.
     """
+    return present_in_both(
+        df, ts_col, base, current, id_col, value_col, base_out, current_out, month_col
+    ).drop("__n_base", "__n_current")
+
+
+def present_in_both(
+    df: DataFrame,
+    ts_col: str,
+    base: tuple[str, str],
+    current: tuple[str, str],
+    id_col: str,
+    value_col: str,
+    base_out: str,
+    current_out: str,
+    month_col: str | None = None,
+) -> DataFrame:
+    """``paired_period_totals`` that keeps its row-count columns
+    ``__n_base`` / ``__n_current`` (for callers that project anyway)."""
     in_base = in_period(df, ts_col, *base)
     in_current = in_period(df, ts_col, *current)
     value = F.col(value_col)
@@ -75,5 +93,4 @@ def paired_period_totals(
             F.count(F.when(in_current, F.lit(1))).alias("__n_current"),
         )
         .filter((F.col("__n_base") > 0) & (F.col("__n_current") > 0))
-        .drop("__n_base", "__n_current")
     )
