@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from countlens.functions.datetime import in_period, months_touching
+from countlens.functions.datetime import day_of, in_period, months_touching
 
 
 def period_total(
@@ -36,6 +36,21 @@ def period_total(
     )
 
 
+def day_totals(
+    df: DataFrame, ts_col: str, id_col: str, value_col: str, day_col: str = "day"
+) -> DataFrame:
+    """``sum(value_col)`` and the row count per (calendar day, ``id_col``).
+
+    The shared first step of the daily ranking and of any change report whose
+    periods start and end at midnight: those period totals are sums of day
+    totals, so one scan of the raw counts serves all of them. ``n_rows`` keeps
+    presence exact (a day whose values are all NULL still counts as present).
+    """
+    return df.groupBy(day_of(df, ts_col).alias(day_col), F.col(id_col)).agg(
+        F.sum(value_col).alias("total"), F.count(F.lit(1)).alias("n_rows")
+    )
+
+
 def paired_period_totals(
     df: DataFrame,
     ts_col: str,
@@ -74,12 +89,23 @@ def present_in_both(
     base_out: str,
     current_out: str,
     month_col: str | None = None,
+    rows_col: str | None = None,
 ) -> DataFrame:
     """``paired_period_totals`` that keeps its row-count columns
-    ``__n_base`` / ``__n_current`` (for callers that project anyway)."""
+    ``__n_base`` / ``__n_current`` (for callers that project anyway).
+
+    ``rows_col``: the input is already aggregated (e.g. ``day_totals``) and
+    this column holds how many raw rows each input row stands for."""
     in_base = in_period(df, ts_col, *base)
     in_current = in_period(df, ts_col, *current)
     value = F.col(value_col)
+    if rows_col:
+        weight = F.col(rows_col)
+        n_base = F.coalesce(F.sum(F.when(in_base, weight)), F.lit(0))
+        n_current = F.coalesce(F.sum(F.when(in_current, weight)), F.lit(0))
+    else:
+        n_base = F.count(F.when(in_base, F.lit(1)))
+        n_current = F.count(F.when(in_current, F.lit(1)))
     cond = (in_base | in_current) & F.col(id_col).isNotNull()
     if month_col:
         cond = (months_touching(month_col, *base) | months_touching(month_col, *current)) & cond
@@ -89,8 +115,8 @@ def present_in_both(
         .agg(
             F.sum(F.when(in_base, value)).alias(base_out),
             F.sum(F.when(in_current, value)).alias(current_out),
-            F.count(F.when(in_base, F.lit(1))).alias("__n_base"),
-            F.count(F.when(in_current, F.lit(1))).alias("__n_current"),
+            n_base.alias("__n_base"),
+            n_current.alias("__n_current"),
         )
         .filter((F.col("__n_base") > 0) & (F.col("__n_current") > 0))
     )

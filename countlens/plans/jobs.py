@@ -8,6 +8,8 @@ monthly report reads the daily report as written, as the original does.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -26,7 +28,9 @@ from countlens.plans.reports import (
     growth_report,
     top_n_by_day,
     top_n_by_month,
+    top_n_from_day_totals,
 )
+from countlens.operators.periods import day_totals
 from countlens.functions.datetime import month_of_day_text
 from countlens.schemas import SENSOR_COUNTS as SENSOR_COUNTS_SCHEMA
 from countlens.sources.files import read_counts_csv, read_reference_json
@@ -39,6 +43,13 @@ TOP_BY_DAY = "report_top_10_locations_by_day"
 TOP_BY_MONTH = "report_top_10_locations_by_month"
 DECLINES = "report_location_declines_due_to_lockdown"
 GROWTH = "report_most_growth_last_year"
+DAY_TOTALS = "sensor_day_totals"
+
+_WHOLE_DAY = re.compile(r"^\d{4}-\d{2}-\d{2}(T00:00:00)?$")
+
+
+def _whole_days(*periods) -> bool:
+    return all(_WHOLE_DAY.match(bound) for period in periods for bound in period)
 
 
 def ingest_counts(
@@ -105,28 +116,50 @@ def build_reports(
     decline_periods: tuple = (DECLINE_BASE_YEAR, DECLINE_CURRENT_YEAR),
     growth_periods: tuple = (PREVIOUS_YEAR, LAST_YEAR),
     month_col: str | None = None,
+    one_scan: bool = True,
 ) -> dict[str, str]:
     """Write the four reports from the stored raw tables; returns locations.
 
-    Pass ``month_col="year_month"`` when the counts were landed with
-    ``ingest_counts_by_month`` so the change reports prune partitions."""
+    ``one_scan`` (default): when every period bound is a whole day, the raw
+    counts are read once into stored day totals (``sensor_day_totals``:
+    day, sensor, total, raw row count), and the daily ranking and both
+    change reports are computed from that much smaller table. A change
+    period total is then the sum of its day totals, with presence taken
+    from the raw row counts, so results equal the per-report scans (a
+    stored time whose date part parses but whose rest does not is the one
+    difference: the day scan puts it in no period, a text comparison would).
+    Otherwise each report scans the raw counts; pass
+    ``month_col="year_month"`` when they were landed with
+    ``ingest_counts_by_month`` so those scans prune partitions."""
     counts = spark.table(f"{raw_db}.{SENSOR_COUNTS}")
     dim = spark.table(f"{raw_db}.{SENSOR_REFERENCE}")
     out = {}
-    out[TOP_BY_DAY] = publish_table(
-        top_n_by_day(counts, dim, n=n), f"{report_db}.{TOP_BY_DAY}", root
-    )
+    if one_scan and _whole_days(*decline_periods, *growth_periods):
+        # One scan of the raw counts: day totals are stored (a lineage cut)
+        # and serve the daily ranking and both change reports.
+        out[DAY_TOTALS] = publish_table(
+            day_totals(counts, "date_time", "sensor_id", "hourly_count"),
+            f"{report_db}.{DAY_TOTALS}",
+            root,
+        )
+        days = spark.table(f"{report_db}.{DAY_TOTALS}")
+        daily_plan = top_n_from_day_totals(days, dim, n=n)
+        change_src = dict(counts=days, ts_col="day", value_col="total", rows_col="n_rows")
+    else:
+        daily_plan = top_n_by_day(counts, dim, n=n)
+        change_src = dict(counts=counts, month_col=month_col)
+    out[TOP_BY_DAY] = publish_table(daily_plan, f"{report_db}.{TOP_BY_DAY}", root)
     daily = spark.table(f"{report_db}.{TOP_BY_DAY}")
     out[TOP_BY_MONTH] = publish_table(
         top_n_by_month(daily, dim, n=n), f"{report_db}.{TOP_BY_MONTH}", root
     )
     out[DECLINES] = publish_table(
-        decline_report(counts, dim, *decline_periods, month_col=month_col),
+        decline_report(dim=dim, base=decline_periods[0], current=decline_periods[1], **change_src),
         f"{report_db}.{DECLINES}",
         root,
     )
     out[GROWTH] = publish_table(
-        growth_report(counts, dim, *growth_periods, month_col=month_col),
+        growth_report(dim=dim, previous=growth_periods[0], last=growth_periods[1], **change_src),
         f"{report_db}.{GROWTH}",
         root,
     )

@@ -14,7 +14,7 @@ from countlens.functions.change import difference, percent_of
 from countlens.functions.datetime import day_of, month_of_day_text
 from countlens.operators.enrich import DEFAULT_BROADCAST_MAX_ROWS, label_join
 from countlens.operators.periods import present_in_both
-from countlens.operators.ranking import top_n_by_period
+from countlens.operators.ranking import rank_within, top_n_by_period
 
 # The comparison years of the two change reports
 # (each year runs 1 November to 1 November, end exclusive).
@@ -60,6 +60,40 @@ def top_n_by_day(
         F.col(value_col).alias("__v"),
     )
     ranked = top_n_by_period(src, "__day", "sensor_id", "__v", n, "__total")
+    return _daily_report(
+        ranked, dim, dim_key, label_col, count_type, id_type, ordered, broadcast_max_rows
+    )
+
+
+def top_n_from_day_totals(
+    totals: DataFrame,
+    dim: DataFrame,
+    n: int = 10,
+    day_col: str = "day",
+    id_col: str = "sensor_id",
+    total_col: str = "total",
+    dim_key: str = "location_id",
+    label_col: str = "sensor_description",
+    count_type: str = "bigint",
+    id_type: str | None = None,
+    ordered: bool = False,
+    broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
+) -> DataFrame:
+    """``top_n_by_day`` from stored day totals (one row per day and sensor,
+    e.g. ``operators.periods.day_totals``): no re-aggregation, only the
+    ranking. Same columns as ``top_n_by_day``."""
+    src = totals.select(
+        F.col(day_col).alias("__day"),
+        F.col(id_col).alias("sensor_id"),
+        F.col(total_col).alias("__total"),
+    )
+    ranked = rank_within(src, "__day", "sensor_id", "__total", n)
+    return _daily_report(
+        ranked, dim, dim_key, label_col, count_type, id_type, ordered, broadcast_max_rows
+    )
+
+
+def _daily_report(ranked, dim, dim_key, label_col, count_type, id_type, ordered, broadcast_max_rows):
     labelled = label_join(
         ranked, dim, "sensor_id", dim_key, label_col, "location_name", broadcast_max_rows
     )
@@ -125,13 +159,15 @@ def _change_report(
     ordered: bool,
     broadcast_max_rows: int | None,
     month_col: str | None = None,
+    rows_col: str | None = None,
 ) -> DataFrame:
     """Same result as ``period_change`` + ``with_label`` + projection, built
     with fewer DataFrame steps: totals keep their helper columns and the one
     final projection computes, names and drops everything."""
     base_out, current_out, change_out, percent_out = names
     totals = present_in_both(
-        counts, ts_col, base, current, id_col, value_col, "__base", "__current", month_col
+        counts, ts_col, base, current, id_col, value_col, "__base", "__current", month_col,
+        rows_col,
     )
     labelled = label_join(
         totals, dim, id_col, dim_key, label_col, "location_name", broadcast_max_rows
@@ -165,15 +201,18 @@ def decline_report(
     names: tuple[str, str, str, str] = ("count_2019", "count_2022", "decline", "decline_percent"),
     broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
     month_col: str | None = None,
+    rows_col: str | None = None,
 ) -> DataFrame:
     """Per sensor: base-year and current-year totals, ``decline = base - current``
     and ``decline_percent = decline / base * 100``, largest percent first.
 
     ``month_col``: a ``yyyy-MM`` partition column of ``counts`` derived from
-    ``ts_col``; only the months of the two years are then read."""
+    ``ts_col``; only the months of the two years are then read.
+    ``rows_col``: ``counts`` is pre-aggregated (e.g. day totals) and this
+    column holds the raw row count behind each row."""
     return _change_report(
         counts, dim, "decline", base, current, names, ts_col, id_col, value_col,
-        dim_key, label_col, count_type, ordered, broadcast_max_rows, month_col,
+        dim_key, label_col, count_type, ordered, broadcast_max_rows, month_col, rows_col,
     )
 
 
@@ -194,12 +233,13 @@ def growth_report(
     ),
     broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
     month_col: str | None = None,
+    rows_col: str | None = None,
 ) -> DataFrame:
     """Per sensor: previous-year and last-year totals, ``growth = last - previous``
     and ``growth_percent = growth / previous * 100``, largest percent first.
 
-    ``month_col``: as in ``decline_report``."""
+    ``month_col``, ``rows_col``: as in ``decline_report``."""
     return _change_report(
         counts, dim, "growth", previous, last, names, ts_col, id_col, value_col,
-        dim_key, label_col, count_type, ordered, broadcast_max_rows, month_col,
+        dim_key, label_col, count_type, ordered, broadcast_max_rows, month_col, rows_col,
     )
