@@ -454,11 +454,26 @@ def q_decline_report_month_pruned(spark, sf_dir):
     )
 
 
+def q_stored_day_totals(spark, sf_dir):
+    _, report_db = build_test_mart(spark, sf_dir)
+    return spark.table(f"{report_db}.{jobs.DAY_TOTALS}")
+
+
+def q_stored_top_n_by_day(spark, sf_dir):
+    _, report_db = build_test_mart(spark, sf_dir)
+    return spark.table(f"{report_db}.{jobs.TOP_BY_DAY}")
+
+
 def q_stored_top_n_by_month(spark, sf_dir):
     _, report_db = build_test_mart(spark, sf_dir)
     return spark.table(f"{report_db}.{jobs.TOP_BY_MONTH}")
 
 
+def q_stored_decline_report(spark, sf_dir):
+    _, report_db = build_test_mart(spark, sf_dir)
+    return spark.table(f"{report_db}.{jobs.DECLINES}")
+
+
 def q_stored_growth_report(spark, sf_dir):
     _, report_db = build_test_mart(spark, sf_dir)
     return spark.table(f"{report_db}.{jobs.GROWTH}")
@@ -500,7 +515,10 @@ QUERIES = {
     "sensor_counts_data_tests": q_sensor_counts_data_tests,
     "violations_unique": q_violations_unique,
     "violations_non_negative": q_violations_non_negative,
+    "stored_day_totals": q_stored_day_totals,
+    "stored_top_n_by_day": q_stored_top_n_by_day,
     "stored_top_n_by_month": q_stored_top_n_by_month,
+    "stored_decline_report": q_stored_decline_report,
     "stored_growth_report": q_stored_growth_report,
     "stored_data_tests": q_stored_data_tests,
     "ingest_counts_by_month": q_ingest_counts_by_month,

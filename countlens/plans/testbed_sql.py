@@ -274,7 +274,18 @@ SELECT l_orderkey, COUNT(*) AS n_records FROM lineitem
 WHERE l_orderkey IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 1
 """,
     "violations_non_negative": "SELECT * FROM customer WHERE c_acctbal < 0",
+    "stored_day_totals": """
+SELECT CAST(l_shipdate AS DATE) AS "day", CAST(l_suppkey AS INTEGER) AS sensor_id,
+       CAST(SUM(CAST(l_quantity AS INTEGER)) AS BIGINT) AS total,
+       CAST(COUNT(*) AS BIGINT) AS n_rows
+FROM lineitem GROUP BY 1, 2
+""",
+    "stored_top_n_by_day": _TEXT_TOP,
     "stored_top_n_by_month": _TEXT_MONTH_TOP,
+    "stored_decline_report": _change(
+        _BASE, _CURRENT, _DECLINE_NAMES, "decline",
+        key="CAST(l_suppkey AS INTEGER)", value="CAST(l_quantity AS INTEGER)",
+    ),
     "ingest_counts_by_month": f"""
 SELECT *, substr(date_time, 1, 7) AS year_month FROM ({_COUNTS_VIEW})
 """,

@@ -67,3 +67,50 @@ def test_jobs_end_to_end(spark):
     assert res[("sensor_reference_data", "installation_date", "is_date_format")] == 0
     assert res[("report_top_10_locations_by_day", "rank", "rank_range")] == 0
     assert len(res) == 9 + 12 + 6
+
+
+def test_day_totals_path_equals_per_report_scans(spark):
+    """The default job path (one scan into stored day totals) writes the same
+    four reports as one scan of the raw counts per report, also for NULL
+    values, NULL keys, unparseable times and period boundaries."""
+    from countlens.schemas import SENSOR_COUNTS as SCHEMA
+    from countlens.sources.tables import publish_table
+
+    rows = [
+        (1, "2018-11-01T00:00:00", 1, "A", 100),  # first instant of the base year
+        (2, "2019-10-31T23:59:59", 1, "A", 100),  # last second of the base year
+        (3, "2019-11-01T00:00:00", 1, "A", 7),  # first instant after it
+        (4, "2021-11-05T09:00:00", 1, "A", 50),
+        (5, "2022-10-31T23:00:00", 2, "B", 30),
+        (6, "2019-03-01T10:00:00", 2, "B", 20),
+        (7, "2019-03-01T11:00:00", 4, "D", None),  # all-NULL values in both years
+        (8, "2022-03-01T11:00:00", 4, "D", None),
+        (9, "2019-03-01T11:00:00", None, "N", 5),  # NULL key
+        (10, "2022-03-01T11:00:00", None, "N", 5),
+        (11, "junk", 1, "A", 9),  # unparseable: no period, one NULL day
+        (12, None, 2, "B", 3),
+        (13, "2020-12-24T08:00:00", 3, "C", 0),  # previous year only
+        (14, "2021-01-02T08:00:00", 2, "B", 11),
+        (15, "2022-11-01T00:00:00", 2, "B", 999),  # end bound is exclusive
+    ]
+    dim = spark.createDataFrame(
+        [(1, "Town Hall"), (2, "Bridge"), (3, "Station")],
+        "location_id int, sensor_description string",
+    )
+    root = scratch_path(spark, "mart-eq")
+    publish_table(spark.createDataFrame(rows, SCHEMA), f"eq_raw.{jobs.SENSOR_COUNTS}", root)
+    publish_table(dim, f"eq_raw.{jobs.SENSOR_REFERENCE}", root)
+    jobs.build_reports(spark, root, raw_db="eq_raw", report_db="eq_days", n=2)
+    jobs.build_reports(spark, root, raw_db="eq_raw", report_db="eq_scans", n=2, one_scan=False)
+    assert spark.catalog.tableExists(f"eq_days.{jobs.DAY_TOTALS}")
+    assert not spark.catalog.tableExists(f"eq_scans.{jobs.DAY_TOTALS}")
+    for name in (jobs.TOP_BY_DAY, jobs.TOP_BY_MONTH, jobs.DECLINES, jobs.GROWTH):
+        a = spark.table(f"eq_days.{name}")
+        b = spark.table(f"eq_scans.{name}")
+        assert a.dtypes == b.dtypes, name
+        got, want = (sorted(map(tuple, t.collect()), key=str) for t in (a, b))
+        assert got == want, name
+    decline = {r.sensor_id: r for r in spark.table(f"eq_days.{jobs.DECLINES}").collect()}
+    assert set(decline) == {1, 2, 4}
+    assert (decline[1].count_2019, decline[1].count_2022) == (200, 50)
+    assert decline[4].count_2019 is None and decline[4].decline_percent is None
