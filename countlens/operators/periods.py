@@ -37,7 +37,12 @@ def period_total(
 
 
 def day_totals(
-    df: DataFrame, ts_col: str, id_col: str, value_col: str, day_col: str = "day"
+    df: DataFrame,
+    ts_col: str,
+    id_col: str,
+    value_col: str,
+    day_col: str = "day",
+    keys: tuple[str, ...] = (),
 ) -> DataFrame:
     """``sum(value_col)`` and the row count per (calendar day, ``id_col``).
 
@@ -45,8 +50,11 @@ def day_totals(
     periods start and end at midnight: those period totals are sums of day
     totals, so one scan of the raw counts serves all of them. ``n_rows`` keeps
     presence exact (a day whose values are all NULL still counts as present).
+    ``keys``: extra columns that the day determines (e.g. a ``yyyy-MM``
+    partition column), carried through so the result can be partitioned
+    like its source.
     """
-    return df.groupBy(day_of(df, ts_col).alias(day_col), F.col(id_col)).agg(
+    return df.groupBy(day_of(df, ts_col).alias(day_col), F.col(id_col), *keys).agg(
         F.sum(value_col).alias("total"), F.count(F.lit(1)).alias("n_rows")
     )
 

@@ -33,8 +33,14 @@ from countlens.plans.reports import (
 from countlens.operators.periods import day_totals
 from countlens.functions.datetime import month_of_day_text
 from countlens.schemas import SENSOR_COUNTS as SENSOR_COUNTS_SCHEMA
+from countlens.schemas import SENSOR_DAY_TOTALS as DAY_TOTALS_SCHEMA
 from countlens.sources.files import read_counts_csv, read_reference_json
-from countlens.sources.tables import overwrite_partitions, publish_table, register_table
+from countlens.sources.tables import (
+    overwrite_partitions,
+    overwrite_table,
+    publish_table,
+    register_table,
+)
 
 # Table names of the data mart.
 SENSOR_COUNTS = "sensor_counts"
@@ -91,14 +97,51 @@ def ingest_counts_by_month(
     ``date_time``; rows with a NULL time land in the NULL partition.
     """
     name = f"{raw_db}.{SENSOR_COUNTS}"
-    counts = read_counts_csv(spark, csv_path, on_bad)
-    counts = counts.withColumn(MONTH_COL, month_of_day_text("date_time"))
+    counts = read_landed_counts(spark, csv_path, on_bad)
     schema = StructType([*SENSOR_COUNTS_SCHEMA.fields, StructField(MONTH_COL, StringType(), True)])
     register_table(spark, name, schema, location, partition_by=[MONTH_COL])
     overwrite_partitions(counts.sortWithinPartitions(MONTH_COL, "date_time"), name)
     return name
 
 
+def refresh_day_totals(
+    spark: SparkSession,
+    counts: DataFrame,
+    location: str,
+    report_db: str = "report",
+    full: bool = False,
+) -> str:
+    """Maintain ``report_db.sensor_day_totals`` partitioned by ``year_month``.
+
+    ``counts`` holds typed counts with a ``year_month`` column. Incremental
+    (default): pass the batch just landed with ``ingest_counts_by_month``
+    (``read_landed_counts``). That step replaced each month present in the
+    batch with the batch's rows, so the day totals of those months are the
+    totals of the batch alone: only those partitions are rewritten (dynamic
+    partition overwrite), and no stored count is read. Re-running after a
+    failure rewrites the same months from the same files. ``full=True``:
+    pass the whole stored counts table; every partition is replaced.
+
+    The reports then read the day totals (a 24th of hourly rows) instead of
+    the raw counts; see ``build_reports(day_totals_table=...)``.
+    """
+    name = f"{report_db}.{DAY_TOTALS}"
+    totals = day_totals(counts, "date_time", "sensor_id", "hourly_count", keys=(MONTH_COL,))
+    register_table(spark, name, DAY_TOTALS_SCHEMA, location, partition_by=[MONTH_COL])
+    if full:
+        overwrite_table(totals, name)
+    else:
+        overwrite_partitions(totals, name)
+    return name
+
+
+def read_landed_counts(spark: SparkSession, csv_path: str, on_bad: str = "fail") -> DataFrame:
+    """A landed count batch, typed, with the ``year_month`` partition column."""
+    return read_counts_csv(spark, csv_path, on_bad).withColumn(
+        MONTH_COL, month_of_day_text("date_time")
+    )
+
+
 def ingest_reference(
     spark: SparkSession, json_path: str, root: str, raw_db: str = "raw", multi_line: bool = True
 ) -> str:
@@ -117,9 +160,16 @@ def build_reports(
     growth_periods: tuple = (PREVIOUS_YEAR, LAST_YEAR),
     month_col: str | None = None,
     one_scan: bool = True,
+    day_totals_table: str | None = None,
 ) -> dict[str, str]:
     """Write the four reports from the stored raw tables; returns locations.
 
+    ``day_totals_table``: a day totals table kept up to date with
+    ``refresh_day_totals`` (the layout for large, growing counts). Every
+    report is then computed from it and no raw count is read; the change
+    reports read only the month partitions of their periods. Needs
+    whole-day period bounds.
+
     ``one_scan`` (default): when every period bound is a whole day, the raw
     counts are read once into stored day totals (``sensor_day_totals``:
     day, sensor, total, raw row count), and the daily ranking and both
@@ -134,7 +184,16 @@ def build_reports(
     counts = spark.table(f"{raw_db}.{SENSOR_COUNTS}")
     dim = spark.table(f"{raw_db}.{SENSOR_REFERENCE}")
     out = {}
-    if one_scan and _whole_days(*decline_periods, *growth_periods):
+    if day_totals_table:
+        if not _whole_days(*decline_periods, *growth_periods):
+            raise ValueError("reports from day totals need whole-day period bounds")
+        days = spark.table(day_totals_table)
+        daily_plan = top_n_from_day_totals(days, dim, n=n)
+        change_src = dict(
+            counts=days, ts_col="day", value_col="total", rows_col="n_rows",
+            month_col=MONTH_COL if MONTH_COL in days.columns else None,
+        )
+    elif one_scan and _whole_days(*decline_periods, *growth_periods):
         # One scan of the raw counts: day totals are stored (a lineage cut)
         # and serve the daily ranking and both change reports.
         out[DAY_TOTALS] = publish_table(

@@ -454,6 +454,59 @@ def q_decline_report_month_pruned(spark, sf_dir):
     )
 
 
+def build_incremental_mart(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """The month-partitioned layout end to end: land lineitem as a count
+    file whose March 1996 counts are doubled, ingest it by month and keep
+    the day totals by month; then re-land March 1996 with the right counts
+    (both tables must replace that month only); build the four reports
+    from the day totals alone."""
+    tag = os.path.basename(scratch_path(spark, "i")).replace("-", "_")
+    raw_db, report_db = f"cl_rawi_{tag}", f"cl_reporti_{tag}"
+    root = scratch_path(spark, "inc-mart")
+    rows = raw_count_file_rows(spark, sf_dir)
+    march_1996 = F.col("Date_Time").startswith("March") & F.col("Date_Time").contains(", 1996 ")
+    first = scratch_path(spark, "inc-landing")
+    rows.withColumn(
+        "Hourly_Counts",
+        F.when(march_1996, (F.col("Hourly_Counts").cast("int") * 2).cast("string")).otherwise(
+            F.col("Hourly_Counts")
+        ),
+    ).write.option("header", True).csv(first)
+    again = scratch_path(spark, "inc-relanding")
+    rows.filter(march_1996).write.option("header", True).csv(again)
+    publish_table(sensor_reference_view(spark, sf_dir), f"{raw_db}.{jobs.SENSOR_REFERENCE}", root)
+    counts_at, totals_at = scratch_path(spark, "inc-counts"), scratch_path(spark, "inc-day-totals")
+    for landing in (first, again):
+        jobs.ingest_counts_by_month(spark, landing, counts_at, raw_db)
+        jobs.refresh_day_totals(spark, jobs.read_landed_counts(spark, landing), totals_at, report_db)
+    jobs.build_reports(
+        spark, root, raw_db, report_db, n=10,
+        decline_periods=(BASE, CURRENT), growth_periods=(CURRENT, LAST),
+        day_totals_table=f"{report_db}.{jobs.DAY_TOTALS}",
+    )
+    return raw_db, report_db
+
+
+def q_incremental_day_totals(spark, sf_dir):
+    _, report_db = build_incremental_mart(spark, sf_dir)
+    return spark.table(f"{report_db}.{jobs.DAY_TOTALS}")
+
+
+def q_incremental_top_n_by_day(spark, sf_dir):
+    _, report_db = build_incremental_mart(spark, sf_dir)
+    return spark.table(f"{report_db}.{jobs.TOP_BY_DAY}")
+
+
+def q_incremental_top_n_by_month(spark, sf_dir):
+    _, report_db = build_incremental_mart(spark, sf_dir)
+    return spark.table(f"{report_db}.{jobs.TOP_BY_MONTH}")
+
+
+def q_incremental_growth_report(spark, sf_dir):
+    _, report_db = build_incremental_mart(spark, sf_dir)
+    return spark.table(f"{report_db}.{jobs.GROWTH}")
+
+
 def q_stored_day_totals(spark, sf_dir):
     _, report_db = build_test_mart(spark, sf_dir)
     return spark.table(f"{report_db}.{jobs.DAY_TOTALS}")
@@ -523,4 +576,8 @@ QUERIES = {
     "stored_data_tests": q_stored_data_tests,
     "ingest_counts_by_month": q_ingest_counts_by_month,
     "decline_report_month_pruned": q_decline_report_month_pruned,
+    "incremental_day_totals": q_incremental_day_totals,
+    "incremental_top_n_by_day": q_incremental_top_n_by_day,
+    "incremental_top_n_by_month": q_incremental_top_n_by_month,
+    "incremental_growth_report": q_incremental_growth_report,
 }

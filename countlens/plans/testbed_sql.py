@@ -173,6 +173,13 @@ FROM supplier
 
 _ACCEPTED_DIRECTIONS = "('North', 'South', 'East', 'West', 'In', 'Out')"
 
+_DAY_TOTALS = """
+SELECT CAST(l_shipdate AS DATE) AS "day", CAST(l_suppkey AS INTEGER) AS sensor_id,
+       CAST(SUM(CAST(l_quantity AS INTEGER)) AS BIGINT) AS total,
+       CAST(COUNT(*) AS BIGINT) AS n_rows
+FROM lineitem GROUP BY 1, 2
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "top_n_by_day": _DAY_TOP.format(n=10),
     "top_n_by_month": _MONTH_TOP,
@@ -274,12 +281,7 @@ SELECT l_orderkey, COUNT(*) AS n_records FROM lineitem
 WHERE l_orderkey IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 1
 """,
     "violations_non_negative": "SELECT * FROM customer WHERE c_acctbal < 0",
-    "stored_day_totals": """
-SELECT CAST(l_shipdate AS DATE) AS "day", CAST(l_suppkey AS INTEGER) AS sensor_id,
-       CAST(SUM(CAST(l_quantity AS INTEGER)) AS BIGINT) AS total,
-       CAST(COUNT(*) AS BIGINT) AS n_rows
-FROM lineitem GROUP BY 1, 2
-""",
+    "stored_day_totals": _DAY_TOTALS,
     "stored_top_n_by_day": _TEXT_TOP,
     "stored_top_n_by_month": _TEXT_MONTH_TOP,
     "stored_decline_report": _change(
@@ -297,6 +299,15 @@ SELECT *, substr(date_time, 1, 7) AS year_month FROM ({_COUNTS_VIEW})
         _CURRENT, _LAST, _GROWTH_NAMES, "growth",
         key="CAST(l_suppkey AS INTEGER)", value="CAST(l_quantity AS INTEGER)",
     ),
+    "incremental_day_totals": f"""
+SELECT *, strftime("day", '%Y-%m') AS year_month FROM ({_DAY_TOTALS})
+""",
+    "incremental_top_n_by_day": _TEXT_TOP,
+    "incremental_top_n_by_month": _TEXT_MONTH_TOP,
+    "incremental_growth_report": _change(
+        _CURRENT, _LAST, _GROWTH_NAMES, "growth",
+        key="CAST(l_suppkey AS INTEGER)", value="CAST(l_quantity AS INTEGER)",
+    ),
     "stored_data_tests": f"WITH c AS ({_COUNTS_VIEW}), d AS ({_REFERENCE_VIEW}), r AS ({_TEXT_TOP})\n"
     + _union(
         _unique_row("sensor_counts", "id", "c"),

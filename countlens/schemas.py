@@ -8,6 +8,7 @@ asks for the narrow declared type.
 from __future__ import annotations
 
 from pyspark.sql.types import (
+    DateType,
     DoubleType,
     IntegerType,
     LongType,
@@ -98,6 +99,18 @@ MOST_GROWTH = StructType(
     ]
 )
 
+# Stored day totals of the counts, partitioned like the month-partitioned
+# counts: one row per (day, sensor) with the sum and the raw row count.
+SENSOR_DAY_TOTALS = StructType(
+    [
+        StructField("day", DateType(), True),
+        StructField("sensor_id", IntegerType(), True),
+        StructField("total", LongType(), True),
+        StructField("n_rows", LongType(), True),
+        StructField("year_month", StringType(), True),
+    ]
+)
+
 # Raw CSV header names of the count file (fixed values of the source format).
 CSV_ID = "ID"
 CSV_DATE_TIME = "Date_Time"

@@ -114,3 +114,73 @@ def test_day_totals_path_equals_per_report_scans(spark):
     assert set(decline) == {1, 2, 4}
     assert (decline[1].count_2019, decline[1].count_2022) == (200, 50)
     assert decline[4].count_2019 is None and decline[4].decline_percent is None
+
+
+def _land(spark, rows, name):
+    land = local(scratch_path(spark, name))
+    os.makedirs(land)
+    with open(os.path.join(land, "counts.csv"), "w") as f:
+        f.write("ID,Date_Time,Sensor_ID,Sensor_Name,Hourly_Counts\n")
+        for r in rows:
+            f.write(",".join(f'"{v}"' for v in r) + "\n")
+    return land
+
+
+def test_incremental_day_totals_equal_full_rebuild(spark):
+    """Landing batches by month and refreshing only their months of the day
+    totals gives the table a full rebuild from the stored counts gives, and
+    reports built from it read no raw count and prune months."""
+    from tests.helpers import plan_text
+
+    first = [
+        ("1", "November 01, 2018 12:00:00 AM", "1", "A", "100"),
+        ("2", "November 02, 2018 01:00:00 AM", "1", "A", "5"),
+        ("3", "March 03, 2019 10:00:00 AM", "2", "B", "20"),
+        ("4", "November 05, 2021 09:00:00 AM", "1", "A", "50"),
+        ("5", "November 05, 2021 10:00:00 AM", "2", "B", "30"),
+    ]
+    # November 2018 again with other counts, plus a new month; March 2019 and
+    # November 2021 are not in the batch and must stay as they are
+    second = [
+        ("1", "November 01, 2018 12:00:00 AM", "1", "A", "70"),
+        ("6", "November 01, 2018 03:00:00 AM", "3", "C", "9"),
+        ("7", "January 10, 2022 08:00:00 AM", "3", "C", "4"),
+    ]
+    raw_db, report_db, full_db = "inc_raw", "inc_report", "inc_full"
+    counts_at = scratch_path(spark, "inc-counts")
+    totals_at = scratch_path(spark, "inc-totals")
+    for batch in (_land(spark, first, "b1"), _land(spark, second, "b2")):
+        jobs.ingest_counts_by_month(spark, batch, counts_at, raw_db)
+        jobs.refresh_day_totals(spark, jobs.read_landed_counts(spark, batch), totals_at, report_db)
+    counts = spark.table(f"{raw_db}.{jobs.SENSOR_COUNTS}")
+    jobs.refresh_day_totals(spark, counts, scratch_path(spark, "full-totals"), full_db, full=True)
+    inc = sorted(map(tuple, spark.table(f"{report_db}.{jobs.DAY_TOTALS}").collect()), key=str)
+    full = sorted(map(tuple, spark.table(f"{full_db}.{jobs.DAY_TOTALS}").collect()), key=str)
+    assert inc == full
+    by_day = {(str(r[0]), r[1]): (r[2], r[3]) for r in inc}
+    assert by_day[("2018-11-01", 1)] == (70, 1)  # replaced, not added
+    assert ("2018-11-02", 1) not in by_day  # the month was replaced as a whole
+    assert by_day[("2019-03-03", 2)] == (20, 1)  # untouched month kept
+
+    dim = spark.createDataFrame([(1, "Town Hall"), (2, "Bridge"), (3, "Station")],
+                                "location_id int, sensor_description string")
+    from countlens.sources.tables import publish_table
+    root = scratch_path(spark, "inc-mart")
+    publish_table(dim, f"{raw_db}.{jobs.SENSOR_REFERENCE}", root)
+    periods = (("2018-11-01", "2019-11-01"), ("2021-11-01", "2022-11-01"))
+    jobs.build_reports(spark, root, raw_db, report_db, n=2, decline_periods=periods,
+                       growth_periods=periods, day_totals_table=f"{report_db}.{jobs.DAY_TOTALS}")
+    jobs.build_reports(spark, root, raw_db, "inc_scans", n=2, decline_periods=periods,
+                       growth_periods=periods, one_scan=False)
+    for name in (jobs.TOP_BY_DAY, jobs.TOP_BY_MONTH, jobs.DECLINES, jobs.GROWTH):
+        a = sorted(map(tuple, spark.table(f"{report_db}.{name}").collect()), key=str)
+        b = sorted(map(tuple, spark.table(f"inc_scans.{name}").collect()), key=str)
+        assert a == b, name
+
+    from countlens.plans.reports import growth_report
+    days = spark.table(f"{report_db}.{jobs.DAY_TOTALS}")
+    plan = plan_text(growth_report(days, dim, *periods, ts_col="day", value_col="total",
+                                   rows_col="n_rows", month_col=jobs.MONTH_COL))
+    assert "PartitionFilters: [" in plan and "year_month" in plan
+    assert os.path.basename(counts_at) not in plan  # the raw counts are never read
+    assert os.path.basename(totals_at) in plan
