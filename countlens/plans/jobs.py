@@ -126,7 +126,12 @@ def refresh_day_totals(
     the raw counts; see ``build_reports(day_totals_table=...)``.
     """
     name = f"{report_db}.{DAY_TOTALS}"
-    totals = day_totals(counts, "date_time", "sensor_id", "hourly_count", keys=(MONTH_COL,))
+    # The aggregate leaves every month in every shuffle partition; the
+    # rebalance regroups its (small) output by month so each month is
+    # written as few files, and AQE splits a hot month to the advisory size.
+    totals = day_totals(
+        counts, "date_time", "sensor_id", "hourly_count", keys=(MONTH_COL,)
+    ).hint("rebalance", MONTH_COL)
     register_table(spark, name, DAY_TOTALS_SCHEMA, location, partition_by=[MONTH_COL])
     if full:
         overwrite_table(totals, name)
