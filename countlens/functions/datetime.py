@@ -38,9 +38,18 @@ def parse_local_time(c: Column | str, fmt: str, on_bad: str = "fail") -> Column:
 
 
 def format_iso(c: Column | str) -> Column:
-    """Format a timestamp as ISO local ``yyyy-MM-ddTHH:mm:ss`` text."""
+    """Format a date-time as ISO local ``yyyy-MM-ddTHH:mm:ss`` text.
+
+    Independent of the session time zone: a ``timestamp_ntz`` is rendered
+    from its own wall-clock fields (its text cast), where ``date_format``
+    would pass it through the session zone and shift a time that falls in
+    a daylight-saving gap there (e.g. midnight on a day that starts at
+    01:00). A zoned ``timestamp`` is first taken to the session's wall
+    clock, as ``date_format`` would show it.
+    """
     c = F.col(c) if isinstance(c, str) else c
-    return F.date_format(c, ISO_LOCAL_FORMAT)
+    text = c.cast("timestamp_ntz").cast("string")  # yyyy-MM-dd HH:mm:ss[.ffffff]
+    return F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8))
 
 
 def as_local_time(df: DataFrame, name: str) -> Column:

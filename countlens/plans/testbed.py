@@ -24,7 +24,6 @@ from countlens.functions.datetime import (
     DATE_FORMAT,
     ISO_LOCAL_FORMAT,
     RAW_COUNT_TIME_FORMAT,
-    RAW_COUNT_TIME_FORMAT_PADDED,
     format_iso,
     parse_local_time,
 )
@@ -99,6 +98,25 @@ def sensor_counts_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_count_time_text(ts: str) -> F.Column:
+    """``timestamp_ntz`` as count-file text (``MMMM dd, yyyy hh:mm:ss a``),
+    built from its date and clock fields so that no session time zone can
+    shift it (``date_format`` on a timestamp goes through the zone)."""
+    c = F.col(ts)
+    hour = F.hour(c)
+    two = lambda x: F.lpad(x.cast("string"), 2, "0")
+    return F.concat(
+        F.date_format(F.to_date(c), "MMMM dd, yyyy"),
+        F.lit(" "),
+        two((hour + 11) % 12 + 1),
+        F.lit(":"),
+        two(F.minute(c)),
+        F.lit(":"),
+        two(F.second(c)),
+        F.when(hour < 12, F.lit(" AM")).otherwise(F.lit(" PM")),
+    )
+
+
 def raw_count_file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem as raw count-file rows (text columns, source time format,
     plus an extra ``Year`` column the reader must ignore)."""
@@ -106,7 +124,7 @@ def raw_count_file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = with_label(li, _supplier(spark, sf_dir), "l_suppkey", "s_suppkey", "s_name", "sensor_name")
     return labelled.select(
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("string").alias("ID"),
-        F.date_format("l_shipdate", RAW_COUNT_TIME_FORMAT_PADDED).alias("Date_Time"),
+        raw_count_time_text("l_shipdate").alias("Date_Time"),
         F.year("l_shipdate").cast("string").alias("Year"),
         F.col("l_suppkey").cast("string").alias("Sensor_ID"),
         F.col("sensor_name").alias("Sensor_Name"),
@@ -236,7 +254,7 @@ def q_reformat_datetime(spark, sf_dir):
     raw = li.select(
         "l_orderkey",
         "l_linenumber",
-        F.date_format("l_shipdate", RAW_COUNT_TIME_FORMAT_PADDED).alias("raw_text"),
+        raw_count_time_text("l_shipdate").alias("raw_text"),
     )
     return raw.select(
         "l_orderkey",
