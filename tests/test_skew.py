@@ -58,3 +58,49 @@ def test_unique_under_skew(skewed, spark):
         counts[k] += 1
     assert res.failures == sum(1 for c in counts.values() if c > 1)
     assert "partial_count" in plan_text(ck.run_checks(df, [ck.unique("sensor_id")]))
+
+
+def test_hot_month_of_day_totals_is_split_on_write(spark):
+    """Day totals of a batch whose one month holds most rows: the totals
+    equal a brute force, and the hot month is written by several tasks (the
+    rebalance lets AQE split it) rather than by one."""
+    import os
+
+    from countlens.plans import jobs
+    from countlens.session import scratch_path
+
+    rnd = random.Random(11)
+    rows = []
+    for i in range(6000):
+        if i % 3:  # two thirds of the rows in June 2019
+            ts = f"2019-06-{rnd.randint(1, 30):02d}T{rnd.randint(0, 23):02d}:00:00"
+        else:
+            ts = f"20{rnd.randint(10, 22)}-0{rnd.randint(1, 5)}-1{rnd.randint(0, 9)}T05:00:00"
+        rows.append((i, ts, rnd.randint(1, 200), "s", rnd.randint(0, 50), ts[:7]))
+    batch = spark.createDataFrame(
+        rows, "id int, date_time string, sensor_id int, sensor_name string, "
+        "hourly_count int, year_month string",
+    ).repartition(8)
+    # A tiny target size so the test data counts as large, and no coalescing
+    # of the aggregate stage: on real input it has many tasks, and AQE splits
+    # a hot rebalance partition along those tasks' outputs.
+    keys = ("spark.sql.adaptive.advisoryPartitionSizeInBytes",
+            "spark.sql.adaptive.coalescePartitions.enabled")
+    before = [spark.conf.get(k) for k in keys]
+    spark.conf.set(keys[0], "4k")
+    spark.conf.set(keys[1], "false")
+    try:
+        location = scratch_path(spark, "hot-month")
+        name = jobs.refresh_day_totals(spark, batch, location, "skew_db")
+    finally:
+        for k, v in zip(keys, before):
+            spark.conf.set(k, v)
+    want = defaultdict(lambda: [0, 0])
+    for _, ts, k, _, v, _ in rows:
+        want[(ts[:10], k)][0] += v
+        want[(ts[:10], k)][1] += 1
+    got = {(str(r.day), r.sensor_id): [r.total, r.n_rows] for r in spark.table(name).collect()}
+    assert got == dict(want)
+    folder = location[len("file:"):] if location.startswith("file:") else location
+    hot = [f for f in os.listdir(os.path.join(folder, "year_month=2019-06")) if f.endswith(".parquet")]
+    assert len(hot) > 1
