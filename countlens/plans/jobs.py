@@ -30,8 +30,8 @@ from countlens.plans.reports import (
     top_n_by_month,
     top_n_from_day_totals,
 )
-from countlens.operators.periods import day_totals
 from countlens.functions.datetime import month_of_day_text
+from countlens.operators.periods import day_totals
 from countlens.schemas import SENSOR_COUNTS as SENSOR_COUNTS_SCHEMA
 from countlens.schemas import SENSOR_DAY_TOTALS as DAY_TOTALS_SCHEMA
 from countlens.sources.files import read_counts_csv, read_reference_json
@@ -155,6 +155,17 @@ def ingest_reference(
     return publish_table(df, f"{raw_db}.{SENSOR_REFERENCE}", root)
 
 
+def _refuse_to_replace_maintained_totals(spark: SparkSession, name: str) -> None:
+    """The one-scan path publishes ``name`` as a new version; a month-partitioned
+    table kept by ``refresh_day_totals`` must not be repointed by it."""
+    if spark.catalog.tableExists(name) and any(
+        getattr(c, "isPartition", False) for c in spark.catalog.listColumns(name)
+    ):
+        raise ValueError(
+            f"{name} is maintained by refresh_day_totals; pass day_totals_table={name!r}"
+        )
+
+
 def build_reports(
     spark: SparkSession,
     root: str,
@@ -199,6 +210,7 @@ def build_reports(
             month_col=MONTH_COL if MONTH_COL in days.columns else None,
         )
     elif one_scan and _whole_days(*decline_periods, *growth_periods):
+        _refuse_to_replace_maintained_totals(spark, f"{report_db}.{DAY_TOTALS}")
         # One scan of the raw counts: day totals are stored (a lineage cut)
         # and serve the daily ranking and both change reports.
         out[DAY_TOTALS] = publish_table(

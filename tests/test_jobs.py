@@ -172,6 +172,10 @@ def test_incremental_day_totals_equal_full_rebuild(spark):
                        growth_periods=periods, day_totals_table=f"{report_db}.{jobs.DAY_TOTALS}")
     jobs.build_reports(spark, root, raw_db, "inc_scans", n=2, decline_periods=periods,
                        growth_periods=periods, one_scan=False)
+    import pytest
+    with pytest.raises(ValueError, match="refresh_day_totals"):
+        jobs.build_reports(spark, root, raw_db, report_db, n=2, decline_periods=periods,
+                           growth_periods=periods)  # would repoint the maintained table
     for name in (jobs.TOP_BY_DAY, jobs.TOP_BY_MONTH, jobs.DECLINES, jobs.GROWTH):
         a = sorted(map(tuple, spark.table(f"{report_db}.{name}").collect()), key=str)
         b = sorted(map(tuple, spark.table(f"inc_scans.{name}").collect()), key=str)
