@@ -107,20 +107,30 @@ def publish_table(df: DataFrame, name: str, root: str) -> str:
     catalog update switch the table's location. A failed write leaves the
     published table untouched (unlike purge-then-write). Old versions are
     kept for retention tooling to expire. Returns the new location.
+    When the columns or their types change, the catalog entry is re-created
+    instead (drop, then create at the new location), so the table's schema
+    is always that of its data.
     """
     spark = df.sparkSession
     location = f"{root.rstrip('/')}/{name.replace('.', '/')}/version={uuid.uuid4().hex}"
     overwrite_path(df, location)
     _ensure_database(spark, name, root)
-    if spark.catalog.tableExists(name):
+    schema = spark.read.parquet(location).schema
+    if spark.catalog.tableExists(name) and _same_columns(spark.table(name).schema, schema):
         spark.sql(f"ALTER TABLE {_quote(name)} SET LOCATION '{location}'")
         spark.sql(f"REFRESH TABLE {_quote(name)}")
     else:
-        schema = spark.read.parquet(location).schema
+        # New table, or new columns / types: the catalog entry is re-created
+        # (the table is external, so dropping the entry deletes no data).
+        spark.sql(f"DROP TABLE IF EXISTS {_quote(name)}")
         spark.sql(f"CREATE TABLE {_quote(name)} ({ddl(schema)}) USING parquet LOCATION '{location}'")
     return location
 
 
+def _same_columns(a: StructType, b: StructType) -> bool:
+    return [(f.name, f.dataType) for f in a.fields] == [(f.name, f.dataType) for f in b.fields]
+
+
 def passthrough_view(spark: SparkSession, view: str, source: str, temporary: bool = True) -> DataFrame:
     """``CREATE OR REPLACE [TEMP] VIEW view AS SELECT * FROM source``."""
     kind = "TEMPORARY VIEW" if temporary else "VIEW"

@@ -101,6 +101,15 @@ def test_publish_switches_versions(spark):
     assert spark.read.parquet(v1).count() == 1
 
 
+def test_publish_with_new_columns_updates_the_table_schema(spark):
+    root = scratch_path(spark, "pub-schema")
+    publish_table(spark.createDataFrame([(1, 10)], "a int, b bigint"), "db_pub.s", root)
+    publish_table(spark.createDataFrame([(2, 20, "x")], "a int, b int, c string"), "db_pub.s", root)
+    t = spark.table("db_pub.s")
+    assert t.dtypes == [("a", "int"), ("b", "int"), ("c", "string")]
+    assert [tuple(r) for r in t.collect()] == [(2, 20, "x")]
+
+
 def test_overwrite_path_and_read_table(spark):
     p = scratch_path(spark, "path")
     overwrite_path(spark.range(3), p)
