@@ -156,19 +156,27 @@ def _unique_failures(df: DataFrame, check: Check, table_name: str) -> DataFrame:
     )
 
 
-def run_checks(df: DataFrame, checks: Sequence[Check], table_name: str = "") -> DataFrame:
+def run_checks(
+    df: DataFrame, checks: Sequence[Check], table_name: str = "", by: Sequence[str] = ()
+) -> DataFrame:
     """One row per check: ``table_name, column_name, check_name, failures``.
 
     All row-level checks share one scan and one global aggregate (the
     partial counts are summed from one row per task); every ``unique``
     check adds one grouped count. Nothing is collected.
+
+    ``by``: columns to count failures per group of (e.g. a month partition
+    column), giving one row per group and check with the ``by`` columns
+    first. Row-check failures add up over groups, so per-group counts can
+    be kept and summed later; ``unique`` does not add up and is refused.
     """
     row_checks = [ch for ch in checks if ch.kind == "row"]
+    if by and len(row_checks) < len(checks):
+        raise ValueError("unique checks cannot be counted per group")
     parts: list[DataFrame] = []
     if row_checks:
-        counts = df.agg(
-            *[F.count_if(ch.failure()).alias(f"__c{i}") for i, ch in enumerate(row_checks)]
-        )
+        aggs = [F.count_if(ch.failure()).alias(f"__c{i}") for i, ch in enumerate(row_checks)]
+        counts = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
         rows = F.array(
             *[
                 F.struct(
@@ -180,7 +188,7 @@ def run_checks(df: DataFrame, checks: Sequence[Check], table_name: str = "") ->
                 for i, ch in enumerate(row_checks)
             ]
         )
-        parts.append(counts.select(F.inline(rows)))
+        parts.append(counts.select(*by, F.inline(rows)))
     for ch in checks:
         if ch.kind == "unique":
             parts.append(_unique_failures(df, ch, table_name))

@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from countlens.operators.checks import (
@@ -32,6 +33,7 @@ from countlens.plans.reports import (
 )
 from countlens.functions.datetime import month_of_day_text
 from countlens.operators.periods import day_totals
+from countlens.schemas import CHECK_FAILURES_BY_MONTH
 from countlens.schemas import SENSOR_COUNTS as SENSOR_COUNTS_SCHEMA
 from countlens.schemas import SENSOR_DAY_TOTALS as DAY_TOTALS_SCHEMA
 from countlens.sources.files import read_counts_csv, read_reference_json
@@ -50,6 +52,7 @@ TOP_BY_MONTH = "report_top_10_locations_by_month"
 DECLINES = "report_location_declines_due_to_lockdown"
 GROWTH = "report_most_growth_last_year"
 DAY_TOTALS = "sensor_day_totals"
+CHECK_FAILURES = "sensor_counts_check_failures"
 
 _WHOLE_DAY = re.compile(r"^\d{4}-\d{2}-\d{2}(T00:00:00)?$")
 
@@ -140,6 +143,34 @@ def refresh_day_totals(
     return name
 
 
+def refresh_check_failures(
+    spark: SparkSession,
+    counts: DataFrame,
+    location: str,
+    report_db: str = "report",
+    full: bool = False,
+) -> str:
+    """Maintain ``report_db.sensor_counts_check_failures``: the failures of
+    every row-level check of ``sensor_counts`` per ``year_month``.
+
+    Same contract as ``refresh_day_totals``: pass the batch just landed with
+    ``ingest_counts_by_month`` and only its months are recounted (one
+    grouped aggregate over the batch, dynamic partition overwrite), or the
+    whole stored table with ``full=True``. Row-check failures add up over
+    months, so ``data_tests(check_failures_table=...)`` gets the table's
+    counts by summing, without reading the stored counts for them.
+    """
+    name = f"{report_db}.{CHECK_FAILURES}"
+    row_checks = [ch for ch in sensor_counts_checks() if ch.kind == "row"]
+    failures = run_checks(counts, row_checks, SENSOR_COUNTS, by=(MONTH_COL,))
+    register_table(spark, name, CHECK_FAILURES_BY_MONTH, location, partition_by=[MONTH_COL])
+    if full:
+        overwrite_table(failures, name)
+    else:
+        overwrite_partitions(failures, name)
+    return name
+
+
 def read_landed_counts(spark: SparkSession, csv_path: str, on_bad: str = "fail") -> DataFrame:
     """A landed count batch, typed, with the ``year_month`` partition column."""
     return read_counts_csv(spark, csv_path, on_bad).withColumn(
@@ -243,11 +274,26 @@ def build_reports(
 
 
 def data_tests(
-    spark: SparkSession, raw_db: str = "raw", report_db: str = "report", n: int = 10
+    spark: SparkSession,
+    raw_db: str = "raw",
+    report_db: str = "report",
+    n: int = 10,
+    check_failures_table: str | None = None,
 ) -> DataFrame:
-    """All checks of the three tested tables as one result DataFrame."""
+    """All checks of the three tested tables as one result DataFrame.
+
+    ``check_failures_table``: per-month failures kept by
+    ``refresh_check_failures``; the row checks of the counts are then sums
+    over it, and only ``unique(id)``, which does not add up over months,
+    reads the stored counts (their ``id`` column alone).
+    """
+    counts = spark.table(f"{raw_db}.{SENSOR_COUNTS}")
+    if check_failures_table:
+        counts_part = _checks_from_failures(spark, counts, check_failures_table)
+    else:
+        counts_part = run_checks(counts, sensor_counts_checks(), SENSOR_COUNTS)
     parts = [
-        run_checks(spark.table(f"{raw_db}.{SENSOR_COUNTS}"), sensor_counts_checks(), SENSOR_COUNTS),
+        counts_part,
         run_checks(
             spark.table(f"{raw_db}.{SENSOR_REFERENCE}"), sensor_reference_checks(), SENSOR_REFERENCE
         ),
@@ -257,3 +303,20 @@ def data_tests(
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def _checks_from_failures(spark: SparkSession, counts: DataFrame, table: str) -> DataFrame:
+    checks = sensor_counts_checks()
+    # The check list (a few rows of metadata) keeps a row per check even
+    # when no month has been counted yet.
+    listed = spark.createDataFrame(
+        [(SENSOR_COUNTS, ch.column, ch.name) for ch in checks if ch.kind == "row"],
+        "table_name string, column_name string, check_name string",
+    )
+    keys = ["table_name", "column_name", "check_name"]
+    summed = spark.table(table).groupBy(*keys).agg(F.sum("failures").alias("failures"))
+    rows = listed.join(summed, keys, "left").select(
+        *keys, F.coalesce(F.col("failures"), F.lit(0)).cast("bigint").alias("failures")
+    )
+    unique_checks = [ch for ch in checks if ch.kind == "unique"]
+    return run_checks(counts, unique_checks, SENSOR_COUNTS).unionByName(rows)

@@ -475,9 +475,9 @@ def q_decline_report_month_pruned(spark, sf_dir):
 def build_incremental_mart(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """The month-partitioned layout end to end: land lineitem as a count
     file whose March 1996 counts are doubled, ingest it by month and keep
-    the day totals by month; then re-land March 1996 with the right counts
-    (both tables must replace that month only); build the four reports
-    from the day totals alone."""
+    the day totals and check failures by month; then re-land March 1996
+    with the right counts (every table must replace that month only); build
+    the four reports from the day totals alone."""
     tag = os.path.basename(scratch_path(spark, "i")).replace("-", "_")
     raw_db, report_db = f"cl_rawi_{tag}", f"cl_reporti_{tag}"
     root = scratch_path(spark, "inc-mart")
@@ -494,9 +494,12 @@ def build_incremental_mart(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     rows.filter(march_1996).write.option("header", True).csv(again)
     publish_table(sensor_reference_view(spark, sf_dir), f"{raw_db}.{jobs.SENSOR_REFERENCE}", root)
     counts_at, totals_at = scratch_path(spark, "inc-counts"), scratch_path(spark, "inc-day-totals")
+    failures_at = scratch_path(spark, "inc-check-failures")
     for landing in (first, again):
         jobs.ingest_counts_by_month(spark, landing, counts_at, raw_db)
-        jobs.refresh_day_totals(spark, jobs.read_landed_counts(spark, landing), totals_at, report_db)
+        batch = jobs.read_landed_counts(spark, landing)
+        jobs.refresh_day_totals(spark, batch, totals_at, report_db)
+        jobs.refresh_check_failures(spark, batch, failures_at, report_db)
     jobs.build_reports(
         spark, root, raw_db, report_db, n=10,
         decline_periods=(BASE, CURRENT), growth_periods=(CURRENT, LAST),
@@ -525,6 +528,13 @@ def q_incremental_growth_report(spark, sf_dir):
     return spark.table(f"{report_db}.{jobs.GROWTH}")
 
 
+def q_incremental_data_tests(spark, sf_dir):
+    raw_db, report_db = build_incremental_mart(spark, sf_dir)
+    return jobs.data_tests(
+        spark, raw_db, report_db, check_failures_table=f"{report_db}.{jobs.CHECK_FAILURES}"
+    )
+
+
 def q_stored_day_totals(spark, sf_dir):
     _, report_db = build_test_mart(spark, sf_dir)
     return spark.table(f"{report_db}.{jobs.DAY_TOTALS}")
@@ -598,4 +608,5 @@ QUERIES = {
     "incremental_top_n_by_day": q_incremental_top_n_by_day,
     "incremental_top_n_by_month": q_incremental_top_n_by_month,
     "incremental_growth_report": q_incremental_growth_report,
+    "incremental_data_tests": q_incremental_data_tests,
 }

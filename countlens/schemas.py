@@ -111,6 +111,18 @@ SENSOR_DAY_TOTALS = StructType(
     ]
 )
 
+# Failures of the row-level checks of ``sensor_counts`` per month partition
+# (they add up over months; see ``plans.jobs.refresh_check_failures``).
+CHECK_FAILURES_BY_MONTH = StructType(
+    [
+        StructField("table_name", StringType(), True),
+        StructField("column_name", StringType(), True),
+        StructField("check_name", StringType(), True),
+        StructField("failures", LongType(), True),
+        StructField("year_month", StringType(), True),
+    ]
+)
+
 # Raw CSV header names of the count file (fixed values of the source format).
 CSV_ID = "ID"
 CSV_DATE_TIME = "Date_Time"

@@ -112,3 +112,18 @@ def test_row_checks_share_one_scan(counts):
     df = ck.run_checks(counts, [ck.not_null("id"), ck.non_negative("hourly_count")])
     plan = plan_text(df, "simple")
     assert plan.count("Scan ExistingRDD") + plan.count("Scan parquet") <= 1
+
+
+def test_row_check_failures_per_group_add_up(spark):
+    df = spark.createDataFrame(
+        [("2022-01", 1, -1), ("2022-01", None, 2), ("2022-02", 3, -4), ("2022-02", 4, None)],
+        "m string, k int, v int",
+    )
+    checks = [ck.not_null("k"), ck.non_negative("v")]
+    per = {(r.m, r.check_name): r.failures for r in ck.run_checks(df, checks, "t", by=["m"]).collect()}
+    assert per == {("2022-01", "not_null"): 1, ("2022-01", "non_negative"): 1,
+                   ("2022-02", "not_null"): 0, ("2022-02", "non_negative"): 1}
+    whole = {r.check_name: r.failures for r in ck.run_checks(df, checks, "t").collect()}
+    assert whole == {"not_null": 1, "non_negative": 2}
+    with pytest.raises(ValueError):
+        ck.run_checks(df, [ck.unique("k")], "t", by=["m"])

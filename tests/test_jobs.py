@@ -138,6 +138,8 @@ def test_incremental_day_totals_equal_full_rebuild(spark):
         ("3", "March 03, 2019 10:00:00 AM", "2", "B", "20"),
         ("4", "November 05, 2021 09:00:00 AM", "1", "A", "50"),
         ("5", "November 05, 2021 10:00:00 AM", "2", "B", "30"),
+        ("8", "November 03, 2018 01:00:00 AM", "1", "A", "-5"),  # fails non_negative
+        ("9", "March 04, 2019 02:00:00 AM", "1500", "Q", "3"),  # fails in_range, kept
     ]
     # November 2018 again with other counts, plus a new month; March 2019 and
     # November 2021 are not in the batch and must stay as they are
@@ -149,9 +151,12 @@ def test_incremental_day_totals_equal_full_rebuild(spark):
     raw_db, report_db, full_db = "inc_raw", "inc_report", "inc_full"
     counts_at = scratch_path(spark, "inc-counts")
     totals_at = scratch_path(spark, "inc-totals")
+    failures_at = scratch_path(spark, "inc-failures")
     for batch in (_land(spark, first, "b1"), _land(spark, second, "b2")):
         jobs.ingest_counts_by_month(spark, batch, counts_at, raw_db)
-        jobs.refresh_day_totals(spark, jobs.read_landed_counts(spark, batch), totals_at, report_db)
+        landed = jobs.read_landed_counts(spark, batch)
+        jobs.refresh_day_totals(spark, landed, totals_at, report_db)
+        jobs.refresh_check_failures(spark, landed, failures_at, report_db)
     counts = spark.table(f"{raw_db}.{jobs.SENSOR_COUNTS}")
     jobs.refresh_day_totals(spark, counts, scratch_path(spark, "full-totals"), full_db, full=True)
     inc = sorted(map(tuple, spark.table(f"{report_db}.{jobs.DAY_TOTALS}").collect()), key=str)
@@ -162,9 +167,14 @@ def test_incremental_day_totals_equal_full_rebuild(spark):
     assert ("2018-11-02", 1) not in by_day  # the month was replaced as a whole
     assert by_day[("2019-03-03", 2)] == (20, 1)  # untouched month kept
 
-    dim = spark.createDataFrame([(1, "Town Hall"), (2, "Bridge"), (3, "Station")],
-                                "location_id int, sensor_description string")
+    from countlens.schemas import SENSOR_REFERENCE
     from countlens.sources.tables import publish_table
+
+    dim = spark.createDataFrame(
+        [(k, name, f"S{k}", None, None, "Outdoor", "A", None, None, -37.8, 144.9, None)
+         for k, name in ((1, "Town Hall"), (2, "Bridge"), (3, "Station"))],
+        SENSOR_REFERENCE,
+    )
     root = scratch_path(spark, "inc-mart")
     publish_table(dim, f"{raw_db}.{jobs.SENSOR_REFERENCE}", root)
     periods = (("2018-11-01", "2019-11-01"), ("2021-11-01", "2022-11-01"))
@@ -181,6 +191,17 @@ def test_incremental_day_totals_equal_full_rebuild(spark):
         b = sorted(map(tuple, spark.table(f"inc_scans.{name}").collect()), key=str)
         assert a == b, name
 
+    def checks(**kw):
+        return {
+            (r.table_name, r.column_name, r.check_name): r.failures
+            for r in jobs.data_tests(spark, raw_db, report_db, n=2, **kw).collect()
+        }
+
+    kept = checks(check_failures_table=f"{report_db}.{jobs.CHECK_FAILURES}")
+    assert kept == checks()
+    assert kept[("sensor_counts", "hourly_count", "non_negative")] == 0  # re-landed away
+    assert kept[("sensor_counts", "sensor_id", "in_range")] == 1  # untouched month
+
     from countlens.plans.reports import growth_report
     days = spark.table(f"{report_db}.{jobs.DAY_TOTALS}")
     plan = plan_text(growth_report(days, dim, *periods, ts_col="day", value_col="total",
