@@ -49,6 +49,10 @@ def day_totals_plans(spark, sf_dir):
          "of the two periods are read (PartitionFilters)",
          growth_report(days, dim, tb.CURRENT, tb.LAST, ts_col="day", value_col="total",
                        rows_col="n_rows", month_col=jobs.MONTH_COL)),
+        ("data_tests from check failures", "row checks of the counts summed from the "
+         "per-month failures; only unique(id) scans the counts (id column)",
+         jobs.data_tests(spark, raw_db, report_db,
+                         check_failures_table=f"{report_db}.{jobs.CHECK_FAILURES}")),
     ]
 
 
