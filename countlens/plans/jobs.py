@@ -307,16 +307,31 @@ def data_tests(
 
 def _checks_from_failures(spark: SparkSession, counts: DataFrame, table: str) -> DataFrame:
     checks = sensor_counts_checks()
-    # The check list (a few rows of metadata) keeps a row per check even
-    # when no month has been counted yet.
-    listed = spark.createDataFrame(
-        [(SENSOR_COUNTS, ch.column, ch.name) for ch in checks if ch.kind == "row"],
-        "table_name string, column_name string, check_name string",
-    )
     keys = ["table_name", "column_name", "check_name"]
-    summed = spark.table(table).groupBy(*keys).agg(F.sum("failures").alias("failures"))
-    rows = listed.join(summed, keys, "left").select(
-        *keys, F.coalesce(F.col("failures"), F.lit(0)).cast("bigint").alias("failures")
+    # A zero row per check (a literal list, no data) keeps every check in
+    # the result even before any month has been counted.
+    listed = spark.range(1).select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(SENSOR_COUNTS).alias("table_name"),
+                        F.lit(ch.column).alias("column_name"),
+                        F.lit(ch.name).alias("check_name"),
+                        F.lit(0).cast("bigint").alias("failures"),
+                    )
+                    for ch in checks
+                    if ch.kind == "row"
+                ]
+            )
+        )
+    )
+    rows = (
+        spark.table(table)
+        .select(*keys, "failures")
+        .unionByName(listed)
+        .groupBy(*keys)
+        .agg(F.sum("failures").cast("bigint").alias("failures"))
     )
     unique_checks = [ch for ch in checks if ch.kind == "unique"]
     return run_checks(counts, unique_checks, SENSOR_COUNTS).unionByName(rows)
