@@ -97,7 +97,10 @@ def ingest_counts_by_month(
     months present in the landed files (dynamic partition overwrite), and
     the change reports given ``month_col="year_month"`` read only the months
     of their two periods. ``year_month`` is the first seven characters of
-    ``date_time``; rows with a NULL time land in the NULL partition.
+    ``date_time``; rows with a NULL time (only with ``on_bad="null"``) land in
+    the NULL partition, which, like any month, the next batch holding such
+    rows replaces: keep ``on_bad="fail"`` (the default) where unparseable
+    rows must be kept across batches.
     """
     name = f"{raw_db}.{SENSOR_COUNTS}"
     counts = read_landed_counts(spark, csv_path, on_bad)
