@@ -62,7 +62,9 @@ def overwrite_table(df: DataFrame, name: str) -> None:
     missing = [c for c in target if c not in df.columns]
     if missing:
         raise ValueError(f"columns {missing} of table {name!r} are missing from the data")
-    df.select(*target).write.insertInto(name, overwrite=True)
+    # static: every partition of a partitioned table is replaced, whatever
+    # the session's partition overwrite mode is
+    _insert_overwrite(df.select(*target), name, "static")
 
 
 def overwrite_partitions(df: DataFrame, name: str) -> None:
@@ -86,12 +88,18 @@ def overwrite_partitions(df: DataFrame, name: str) -> None:
     out = df.select(*target)
     if part_cols:
         out = out.sortWithinPartitions(*part_cols)
+    _insert_overwrite(out, name, "dynamic")
+
+
+def _insert_overwrite(df: DataFrame, name: str, mode: str) -> None:
+    """``INSERT OVERWRITE`` with the given partition overwrite mode."""
+    spark = df.sparkSession
     # insertInto takes the mode from the session setting, not a write option
     key = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(key, None)
-    spark.conf.set(key, "dynamic")
+    spark.conf.set(key, mode)
     try:
-        out.write.insertInto(name, overwrite=True)
+        df.write.insertInto(name, overwrite=True)
     finally:
         if before is None:
             spark.conf.unset(key)

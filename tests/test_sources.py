@@ -5,6 +5,7 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from countlens import schemas
 from countlens.session import scratch_path
@@ -185,3 +186,20 @@ def test_overwrite_partitions_replaces_only_present_months(spark):
     got = sorted((r.k, r.v, r.year_month) for r in spark.table("t_bymonth").collect())
     assert got == [(1, 10, "2020-01"), (3, 30, "2020-02"), (4, 40, "2020-03")]
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == "STATIC"
+
+
+def test_overwrite_table_replaces_all_partitions_even_in_dynamic_session(spark):
+    from countlens.sources.tables import overwrite_partitions, overwrite_table, register_table
+
+    loc = scratch_path(spark, "ow-static")
+    register_table(spark, "db_ow.p", StructType.fromDDL("v int, m string"), loc, partition_by=["m"])
+    overwrite_partitions(spark.createDataFrame([(1, "a"), (2, "b")], "v int, m string"), "db_ow.p")
+    overwrite_partitions(spark.createDataFrame([(3, "b")], "v int, m string"), "db_ow.p")
+    assert sorted(tuple(r) for r in spark.table("db_ow.p").collect()) == [(1, "a"), (3, "b")]
+    key = "spark.sql.sources.partitionOverwriteMode"
+    spark.conf.set(key, "dynamic")
+    try:
+        overwrite_table(spark.createDataFrame([(4, "c")], "v int, m string"), "db_ow.p")
+    finally:
+        spark.conf.unset(key)
+    assert [tuple(r) for r in spark.table("db_ow.p").collect()] == [(4, "c")]
