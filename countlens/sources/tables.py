@@ -45,8 +45,10 @@ def register_table(
 
 
 def overwrite_path(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Full refresh of a Parquet folder (the folder is replaced by the new data)."""
-    writer = df.write.mode("overwrite")
+    """Full refresh of a Parquet folder (the folder is replaced by the new data,
+    also when partitioned: the write option overrides a session set to
+    dynamic partition overwrite)."""
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

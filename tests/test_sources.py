@@ -203,3 +203,15 @@ def test_overwrite_table_replaces_all_partitions_even_in_dynamic_session(spark):
     finally:
         spark.conf.unset(key)
     assert [tuple(r) for r in spark.table("db_ow.p").collect()] == [(4, "c")]
+
+
+def test_overwrite_path_replaces_all_partitions_even_in_dynamic_session(spark):
+    p = scratch_path(spark, "ow-path")
+    overwrite_path(spark.createDataFrame([(1, "a"), (2, "b")], "v int, m string"), p, ["m"])
+    key = "spark.sql.sources.partitionOverwriteMode"
+    spark.conf.set(key, "dynamic")
+    try:
+        overwrite_path(spark.createDataFrame([(3, "b")], "v int, m string"), p, ["m"])
+    finally:
+        spark.conf.unset(key)
+    assert [tuple(r) for r in spark.read.parquet(p).collect()] == [(3, "b")]
