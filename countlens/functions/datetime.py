@@ -29,7 +29,9 @@ def parse_local_time(c: Column | str, fmt: str, on_bad: str = "fail") -> Column:
     c = F.col(c) if isinstance(c, str) else c
     strict = F.to_timestamp_ntz(c, F.lit(fmt))
     if on_bad == "fail":
-        return strict
+        # explicit, so it also fails in a session with ANSI mode off (where
+        # the parse alone would give NULL)
+        return fail_if(c.isNotNull() & strict.isNull(), strict, "unparseable time", c)
     if on_bad == "null":
         # try_to_timestamp decides validity; the strict NTZ parse only runs
         # on rows that are known to parse, so the result is zone-free.
@@ -37,6 +39,13 @@ def parse_local_time(c: Column | str, fmt: str, on_bad: str = "fail") -> Column:
     raise ValueError(f"on_bad must be 'fail' or 'null', not {on_bad!r}")
 
 
+def fail_if(bad: Column, value: Column, what: str, source: Column) -> Column:
+    """``value``, or a task error naming ``what`` and the ``source`` text
+    on the first row where ``bad`` holds."""
+    message = F.concat(F.lit(f"{what}: "), F.coalesce(source.cast("string"), F.lit("NULL")))
+    return F.when(bad, F.raise_error(message)).otherwise(value)
+
+
 def format_iso(c: Column | str) -> Column:
     """Format a date-time as ISO local ``yyyy-MM-ddTHH:mm:ss`` text.
 

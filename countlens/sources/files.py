@@ -11,7 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from countlens import schemas
-from countlens.functions.datetime import RAW_COUNT_TIME_FORMAT, format_iso, parse_local_time
+from countlens.functions.datetime import (
+    RAW_COUNT_TIME_FORMAT,
+    fail_if,
+    format_iso,
+    parse_local_time,
+)
 
 RAW_COUNT_COLUMNS = (
     schemas.CSV_ID,
@@ -23,7 +28,11 @@ RAW_COUNT_COLUMNS = (
 
 
 def _to_int(c, on_bad: str):
-    return c.try_cast("int") if on_bad == "null" else c.cast("int")
+    value = c.try_cast("int")
+    if on_bad == "null":
+        return value
+    # explicit, so a bad number fails also with ANSI mode off
+    return fail_if(c.isNotNull() & value.isNull(), value, "not an int", c)
 
 
 def counts_from_raw(

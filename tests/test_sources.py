@@ -215,3 +215,22 @@ def test_overwrite_path_replaces_all_partitions_even_in_dynamic_session(spark):
     finally:
         spark.conf.unset(key)
     assert [tuple(r) for r in spark.read.parquet(p).collect()] == [(3, "b")]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_fail_on_bad_whatever_the_ansi_mode(spark, ansi):
+    from countlens.sources.files import counts_from_raw
+
+    schema = "ID string, Date_Time string, Sensor_ID string, Sensor_Name string, Hourly_Counts string"
+    good = ("1", "November 01, 2019 05:00:00 PM", "3", "A", "7")
+    key = "spark.sql.ansi.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, ansi)
+    try:
+        ok = counts_from_raw(spark.createDataFrame([good, ("2", None, None, "B", None)], schema))
+        assert [r.hourly_count for r in ok.orderBy("id").collect()] == [7, None]  # NULL is no error
+        for bad in (("x", *good[1:]), (good[0], "junk", *good[2:]), (*good[:4], "7.5")):
+            with pytest.raises(Exception):
+                counts_from_raw(spark.createDataFrame([good, bad], schema)).collect()
+    finally:
+        spark.conf.set(key, before)
