@@ -33,7 +33,7 @@ from countlens.plans.reports import (
 )
 from countlens.functions.datetime import month_of_day_text
 from countlens.operators.periods import day_totals
-from countlens.schemas import CHECK_FAILURES_BY_MONTH
+from countlens.schemas import CHECK_FAILURES_BY_MONTH, MONTH_COL
 from countlens.schemas import SENSOR_COUNTS as SENSOR_COUNTS_SCHEMA
 from countlens.schemas import SENSOR_DAY_TOTALS as DAY_TOTALS_SCHEMA
 from countlens.sources.files import read_counts_csv, read_reference_json
@@ -81,9 +81,6 @@ def ingest_counts(
     return publish_table(counts, f"{raw_db}.{SENSOR_COUNTS}", root)
 
 
-MONTH_COL = "year_month"
-
-
 def ingest_counts_by_month(
     spark: SparkSession,
     csv_path: str,

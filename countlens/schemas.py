@@ -99,6 +99,10 @@ MOST_GROWTH = StructType(
     ]
 )
 
+# Month partition column of the stored counts and the tables kept by month:
+# the first seven characters (``yyyy-MM``) of ``date_time``.
+MONTH_COL = "year_month"
+
 # Stored day totals of the counts, partitioned like the month-partitioned
 # counts: one row per (day, sensor) with the sum and the raw row count.
 SENSOR_DAY_TOTALS = StructType(

@@ -13,7 +13,8 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from countlens.functions.datetime import RAW_COUNT_TIME_FORMAT
+from countlens.functions.datetime import RAW_COUNT_TIME_FORMAT, month_of_day_text
+from countlens.schemas import MONTH_COL
 from countlens.sources.files import RAW_COUNT_COLUMNS, counts_from_raw, raw_counts_schema
 
 
@@ -27,6 +28,7 @@ def stream_counts_csv(
     time_format: str = RAW_COUNT_TIME_FORMAT,
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
+    by_month: bool = False,
 ) -> StreamingQuery:
     """Start a stream from header CSV files in ``landing_dir`` to Parquet.
 
@@ -34,7 +36,10 @@ def stream_counts_csv(
     schema up front). ``available_now=True`` processes everything present
     and stops (a scheduled incremental batch); otherwise it keeps running.
     ``on_bad`` defaults to ``"null"`` so one malformed row cannot stop the
-    stream; the not_null check on ``date_time`` reports it.
+    stream; the not_null check on ``date_time`` reports it. ``by_month``
+    adds the ``year_month`` column and writes the output partitioned by it
+    (the month layout of ``plans.jobs``), so readers prune months; a stream
+    only appends, so each month folder gains files as counts arrive.
     """
     reader = (
         spark.readStream.schema(raw_counts_schema(raw_columns))
@@ -44,12 +49,16 @@ def stream_counts_csv(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     typed = counts_from_raw(reader.csv(landing_dir), on_bad, time_format)
+    if by_month:
+        typed = typed.withColumn(MONTH_COL, month_of_day_text("date_time"))
     writer = (
         typed.writeStream.format("parquet")
         .option("path", out_path)
         .option("checkpointLocation", checkpoint_path)
         .outputMode("append")
     )
+    if by_month:
+        writer = writer.partitionBy(MONTH_COL)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime="1 minute"
     )

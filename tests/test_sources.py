@@ -234,3 +234,20 @@ def test_fail_on_bad_whatever_the_ansi_mode(spark, ansi):
                 counts_from_raw(spark.createDataFrame([good, bad], schema)).collect()
     finally:
         spark.conf.set(key, before)
+
+
+def test_streaming_ingest_by_month(spark):
+    landing = local(scratch_path(spark, "landing-m"))
+    out = scratch_path(spark, "out-m")
+    ckpt = scratch_path(spark, "ckpt-m")
+    os.makedirs(landing)
+    header = ("ID", "Date_Time", "Year", "Sensor_ID", "Sensor_Name", "Hourly_Counts")
+    with open(os.path.join(landing, "a.csv"), "w") as f:
+        f.write(CSV)
+    q = stream_counts_csv(spark, landing, out, ckpt, raw_columns=header, by_month=True)
+    q.awaitTermination()
+    df = spark.read.parquet(out)
+    assert sorted(os.listdir(local(out))) == ["_spark_metadata", "year_month=2019-11",
+                                              "year_month=__HIVE_DEFAULT_PARTITION__"]
+    assert [(r.id, r.year_month) for r in df.orderBy("id").collect()] == [(1, "2019-11"), (2, None)]
+    assert "PartitionFilters: [isnotnull(year_month" in plan_text(df.filter("year_month = '2019-11'"))
