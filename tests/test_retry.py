@@ -1,0 +1,64 @@
+"""Writes survive failed task attempts: every task of the job fails on its
+first attempt (as when an executor is lost) and is retried; the written
+tables then hold each row exactly once. Runs in its own process because
+local mode retries a task only with a ``local[n, maxFailures]`` master."""
+
+import json
+import os
+import subprocess
+import sys
+
+SCRIPT = r'''
+import json, sys
+sys.path.insert(0, sys.argv[1])
+from pyspark import TaskContext
+from pyspark.sql import functions as F
+from countlens.plans import jobs
+from countlens.session import build_session, scratch_path
+from countlens.sources.tables import publish_table
+
+spark = build_session("local[2,3]", shuffle_partitions=2,
+                      extra_conf={"spark.checkpoint.dir": sys.argv[2]})
+
+MARK = sys.argv[3]
+
+
+@F.udf("int")
+def flaky(v):  # test-only fault injection: the first attempt of every task fails
+    if TaskContext.get().attemptNumber() == 0:
+        with open(MARK, "a") as f:  # record that a failure was injected
+            f.write("x")
+        raise RuntimeError("injected task failure")
+    return v
+
+rows = [(i, f"2020-0{1 + i % 3}-0{1 + i % 5}T0{i % 10}:00:00", i % 7, "s", i % 11) for i in range(300)]
+counts = spark.createDataFrame(
+    rows, "id int, date_time string, sensor_id int, sensor_name string, hourly_count int"
+).repartition(4).withColumn("hourly_count", flaky("hourly_count"))
+counts = counts.withColumn("year_month", F.substring("date_time", 1, 7))
+root = scratch_path(spark, "retry")
+publish_table(counts, "retry_db.counts", root)
+jobs.refresh_day_totals(spark, counts, scratch_path(spark, "retry-totals"), "retry_db")
+t = spark.table("retry_db.counts")
+d = spark.table(f"retry_db.{jobs.DAY_TOTALS}")
+print(json.dumps({
+    "rows": t.count(), "ids": t.select("id").distinct().count(),
+    "sum": t.agg(F.sum("hourly_count")).first()[0],
+    "day_rows": d.agg(F.sum("n_rows")).first()[0], "day_sum": d.agg(F.sum("total")).first()[0],
+    "want_sum": sum(r[4] for r in rows),
+}))
+'''
+
+
+def test_writes_survive_failed_task_attempts(tmp_path):
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run(
+        [sys.executable, "-c", SCRIPT, repo, str(tmp_path / "ckpt"), str(tmp_path / "failures")],
+        capture_output=True, text=True, timeout=600,
+    )
+    assert out.returncode == 0, out.stderr[-3000:]
+    res = json.loads(out.stdout.strip().splitlines()[-1])
+    assert res["rows"] == res["ids"] == 300
+    assert res["sum"] == res["day_sum"] == res["want_sum"]
+    assert res["day_rows"] == 300
+    assert len((tmp_path / "failures").read_text()) >= 2  # tasks of both writes failed once
