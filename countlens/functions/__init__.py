@@ -8,6 +8,7 @@ from countlens.functions.datetime import (
     RAW_COUNT_TIME_FORMAT_PADDED,
     as_local_time,
     day_of,
+    fail_if,
     format_iso,
     in_period,
     month_of_day_text,
@@ -24,6 +25,7 @@ __all__ = [
     "as_local_time",
     "day_of",
     "difference",
+    "fail_if",
     "format_iso",
     "in_period",
     "month_of_day_text",
