@@ -36,7 +36,12 @@ from countlens.operators.periods import day_totals
 from countlens.schemas import CHECK_FAILURES_BY_MONTH, MONTH_COL
 from countlens.schemas import SENSOR_COUNTS as SENSOR_COUNTS_SCHEMA
 from countlens.schemas import SENSOR_DAY_TOTALS as DAY_TOTALS_SCHEMA
-from countlens.sources.files import read_counts_csv, read_reference_json
+from countlens.sources.files import (
+    counts_from_raw,
+    read_counts_csv,
+    read_raw_counts_csv,
+    read_reference_json,
+)
 from countlens.sources.tables import (
     overwrite_partitions,
     overwrite_table,
@@ -53,6 +58,8 @@ DECLINES = "report_location_declines_due_to_lockdown"
 GROWTH = "report_most_growth_last_year"
 DAY_TOTALS = "sensor_day_totals"
 CHECK_FAILURES = "sensor_counts_check_failures"
+# Month key prefix of rows whose time did not parse (see read_landed_counts).
+UNPARSED_PREFIX = "unparsed-"
 
 _WHOLE_DAY = re.compile(r"^\d{4}-\d{2}-\d{2}(T00:00:00)?$")
 
@@ -94,10 +101,8 @@ def ingest_counts_by_month(
     months present in the landed files (dynamic partition overwrite), and
     the change reports given ``month_col="year_month"`` read only the months
     of their two periods. ``year_month`` is the first seven characters of
-    ``date_time``; rows with a NULL time (only with ``on_bad="null"``) land in
-    the NULL partition, which, like any month, the next batch holding such
-    rows replaces: keep ``on_bad="fail"`` (the default) where unparseable
-    rows must be kept across batches.
+    ``date_time``; rows whose time does not parse (only with
+    ``on_bad="null"``) are keyed by their source file (``read_landed_counts``).
     """
     name = f"{raw_db}.{SENSOR_COUNTS}"
     counts = read_landed_counts(spark, csv_path, on_bad)
@@ -172,10 +177,21 @@ def refresh_check_failures(
 
 
 def read_landed_counts(spark: SparkSession, csv_path: str, on_bad: str = "fail") -> DataFrame:
-    """A landed count batch, typed, with the ``year_month`` partition column."""
-    return read_counts_csv(spark, csv_path, on_bad).withColumn(
-        MONTH_COL, month_of_day_text("date_time")
+    """A landed count batch, typed, with the ``year_month`` partition column.
+
+    A row whose time does not parse (kept as NULL with ``on_bad="null"``)
+    has no month; it is keyed by its source file instead
+    (``unparsed-<hash of the file path>``), so re-landing a file replaces
+    that file's unparsed rows and never another batch's.
+    """
+    counts = counts_from_raw(
+        read_raw_counts_csv(spark, csv_path), on_bad,
+        extra=(F.col("_metadata.file_path").alias("__file"),),
     )
+    unparsed = F.concat(F.lit(UNPARSED_PREFIX), F.substring(F.sha2(F.col("__file"), 256), 1, 16))
+    return counts.withColumn(
+        MONTH_COL, F.coalesce(month_of_day_text("date_time"), unparsed)
+    ).drop("__file")
 
 
 def ingest_reference(
@@ -186,6 +202,22 @@ def ingest_reference(
     return publish_table(df, f"{raw_db}.{SENSOR_REFERENCE}", root)
 
 
+def _one_row_per_day(days: DataFrame) -> DataFrame:
+    """Day totals with one row per (day, sensor): rows with a NULL day can sit
+    in several ``unparsed-*`` partitions (one per source file), so only those
+    are summed again; the dated rows pass as they are. The NULL-day branch
+    filters on ``day IS NULL``, which Parquet null counts answer per row
+    group, so it reads next to nothing."""
+    cols = ["day", "sensor_id", "total", "n_rows"]
+    dated = days.filter(F.col("day").isNotNull()).select(*cols)
+    undated = (
+        days.filter(F.col("day").isNull())
+        .groupBy("day", "sensor_id")
+        .agg(F.sum("total").alias("total"), F.sum("n_rows").alias("n_rows"))
+    )
+    return dated.unionByName(undated)
+
+
 def _refuse_to_replace_maintained_totals(spark: SparkSession, name: str) -> None:
     """The one-scan path publishes ``name`` as a new version; a month-partitioned
     table kept by ``refresh_day_totals`` must not be repointed by it."""
@@ -235,7 +267,7 @@ def build_reports(
         if not _whole_days(*decline_periods, *growth_periods):
             raise ValueError("reports from day totals need whole-day period bounds")
         days = spark.table(day_totals_table)
-        daily_plan = top_n_from_day_totals(days, dim, n=n)
+        daily_plan = top_n_from_day_totals(_one_row_per_day(days), dim, n=n)
         change_src = dict(
             counts=days, ts_col="day", value_col="total", rows_col="n_rows",
             month_col=MONTH_COL if MONTH_COL in days.columns else None,

@@ -36,7 +36,10 @@ def _to_int(c, on_bad: str):
 
 
 def counts_from_raw(
-    raw: DataFrame, on_bad: str = "fail", time_format: str = RAW_COUNT_TIME_FORMAT
+    raw: DataFrame,
+    on_bad: str = "fail",
+    time_format: str = RAW_COUNT_TIME_FORMAT,
+    extra: tuple = (),
 ) -> DataFrame:
     """Type and rename raw count columns (selected *by header name*).
 
@@ -44,7 +47,8 @@ def counts_from_raw(
     ``id int, date_time string (ISO local), sensor_id int, sensor_name
     string, hourly_count int``; other columns are ignored and never read
     past the scan. ``on_bad="fail"`` raises on a malformed time or number,
-    ``on_bad="null"`` keeps the row with a NULL there.
+    ``on_bad="null"`` keeps the row with a NULL there. ``extra``: further
+    columns of ``raw`` (or expressions over it) to keep after the typed ones.
     """
     if on_bad not in ("fail", "null"):
         raise ValueError(f"on_bad must be 'fail' or 'null', not {on_bad!r}")
@@ -57,6 +61,7 @@ def counts_from_raw(
         _to_int(c(schemas.CSV_SENSOR_ID), on_bad).alias("sensor_id"),
         c(schemas.CSV_SENSOR_NAME).cast("string").alias("sensor_name"),
         _to_int(c(schemas.CSV_HOURLY_COUNTS), on_bad).alias("hourly_count"),
+        *extra,
     )
 
 
@@ -72,8 +77,12 @@ def read_counts_csv(
     cast explicitly. Plain and bzip2 CSV split across tasks, gzip is one task
     per file (land many files); a ``.zip`` archive must be landed unzipped.
     """
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
-    return counts_from_raw(raw, on_bad, time_format)
+    return counts_from_raw(read_raw_counts_csv(spark, path), on_bad, time_format)
+
+
+def read_raw_counts_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Header CSV file(s) of counts as text columns (no inference pass)."""
+    return spark.read.option("header", True).option("inferSchema", False).csv(path)
 
 
 def raw_counts_schema(columns=RAW_COUNT_COLUMNS) -> StructType:

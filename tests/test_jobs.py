@@ -209,3 +209,46 @@ def test_incremental_day_totals_equal_full_rebuild(spark):
     assert "PartitionFilters: [" in plan and "year_month" in plan
     assert os.path.basename(counts_at) not in plan  # the raw counts are never read
     assert os.path.basename(totals_at) in plan
+
+
+def test_unparsed_rows_are_kept_per_source_file(spark):
+    """With on_bad="null", rows whose time does not parse are keyed by their
+    file: a second file keeps the first file's such rows, re-landing a file
+    replaces only its own, and reports from the day totals still equal the
+    per-report scans (the NULL day of one sensor sums over files)."""
+    from countlens.schemas import SENSOR_REFERENCE
+    from countlens.sources.tables import publish_table
+
+    a = _land(spark, [("1", "junk", "1", "A", "5"),
+                      ("2", "November 05, 2021 09:00:00 AM", "1", "A", "50")], "ua")
+    b = _land(spark, [("3", "also junk", "1", "A", "7"),
+                      ("4", "December 05, 2021 09:00:00 AM", "2", "B", "30")], "ub")
+    raw_db, report_db = "unp_raw", "unp_report"
+    counts_at, totals_at = scratch_path(spark, "unp-counts"), scratch_path(spark, "unp-totals")
+    for batch in (a, b, a):  # the first file lands twice
+        jobs.ingest_counts_by_month(spark, batch, counts_at, raw_db, on_bad="null")
+        jobs.refresh_day_totals(spark, jobs.read_landed_counts(spark, batch, on_bad="null"),
+                                totals_at, report_db)
+    counts = spark.table(f"{raw_db}.{jobs.SENSOR_COUNTS}")
+    assert sorted(r.id for r in counts.collect()) == [1, 2, 3, 4]
+    months = {r.year_month for r in counts.collect()}
+    assert len([m for m in months if m.startswith(jobs.UNPARSED_PREFIX)]) == 2
+
+    dim = spark.createDataFrame(
+        [(k, name, f"S{k}", None, None, "Outdoor", "A", None, None, -37.8, 144.9, None)
+         for k, name in ((1, "Town Hall"), (2, "Bridge"))],
+        SENSOR_REFERENCE,
+    )
+    root = scratch_path(spark, "unp-mart")
+    publish_table(dim, f"{raw_db}.{jobs.SENSOR_REFERENCE}", root)
+    periods = (("2020-11-01", "2021-11-01"), ("2021-11-01", "2022-11-01"))
+    kw = dict(n=2, decline_periods=periods, growth_periods=periods)
+    jobs.build_reports(spark, root, raw_db, report_db,
+                       day_totals_table=f"{report_db}.{jobs.DAY_TOTALS}", **kw)
+    jobs.build_reports(spark, root, raw_db, "unp_scans", one_scan=False, **kw)
+    for name in (jobs.TOP_BY_DAY, jobs.TOP_BY_MONTH, jobs.DECLINES, jobs.GROWTH):
+        got = sorted(map(tuple, spark.table(f"{report_db}.{name}").collect()), key=str)
+        want = sorted(map(tuple, spark.table(f"unp_scans.{name}").collect()), key=str)
+        assert got == want, name
+    undated = [r for r in spark.table(f"{report_db}.{jobs.TOP_BY_DAY}").collect() if r.date is None]
+    assert [(r.rank, r.sensor_id, r.daily_count) for r in undated] == [(1, 1, 12)]

@@ -43,8 +43,9 @@ def day_totals_plans(spark, sf_dir):
     return [
         ("refresh_day_totals", "day totals of a landed batch, regrouped by month for the "
          "partitioned write", totals),
-        ("top_n_by_day from day totals", "R1 from the stored day totals: ranking only, "
-         "no aggregation", top_n_from_day_totals(days, dim)),
+        ("top_n_by_day from day totals", "R1 from the stored day totals: ranking only; "
+         "the small aggregate sums the NULL day of unparsed rows over source files",
+         top_n_from_day_totals(jobs._one_row_per_day(days), dim)),
         ("growth_report from day totals", "R4 from the stored day totals: only the months "
          "of the two periods are read (PartitionFilters)",
          growth_report(days, dim, tb.CURRENT, tb.LAST, ts_col="day", value_col="total",
