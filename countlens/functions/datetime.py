@@ -8,7 +8,7 @@ both one- and two-digit days and hours parse.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, TimestampNTZType, TimestampType
 
@@ -29,8 +29,9 @@ def parse_local_time(c: Column | str, fmt: str, on_bad: str = "fail") -> Column:
     c = F.col(c) if isinstance(c, str) else c
     strict = F.to_timestamp_ntz(c, F.lit(fmt))
     if on_bad == "fail":
-        # explicit, so it also fails in a session with ANSI mode off (where
-        # the parse alone would give NULL)
+        if ansi_mode():
+            return strict  # the parse itself raises on a bad value
+        # ANSI off: the parse would give NULL, so fail explicitly
         return fail_if(c.isNotNull() & strict.isNull(), strict, "unparseable time", c)
     if on_bad == "null":
         # try_to_timestamp decides validity; the strict NTZ parse only runs
@@ -39,6 +40,20 @@ def parse_local_time(c: Column | str, fmt: str, on_bad: str = "fail") -> Column:
     raise ValueError(f"on_bad must be 'fail' or 'null', not {on_bad!r}")
 
 
+def ansi_mode() -> bool:
+    """Whether the active session runs in ANSI mode (Spark 4's default).
+
+    Casts and parses take their error behaviour from this setting when the
+    expression is built, so deciding here, at the same moment, matches what
+    Spark does: under ANSI a bad value already raises, otherwise it becomes
+    NULL and only an explicit check (``fail_if``) can fail the job.
+    """
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        return True
+    return str(spark.conf.get("spark.sql.ansi.enabled", "true")).lower() == "true"
+
+
 def fail_if(bad: Column, value: Column, what: str, source: Column) -> Column:
     """``value``, or a task error naming ``what`` and the ``source`` text
     on the first row where ``bad`` holds."""

@@ -13,6 +13,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from countlens import schemas
 from countlens.functions.datetime import (
     RAW_COUNT_TIME_FORMAT,
+    ansi_mode,
     fail_if,
     format_iso,
     parse_local_time,
@@ -28,10 +29,12 @@ RAW_COUNT_COLUMNS = (
 
 
 def _to_int(c, on_bad: str):
-    value = c.try_cast("int")
     if on_bad == "null":
-        return value
-    # explicit, so a bad number fails also with ANSI mode off
+        return c.try_cast("int")
+    if ansi_mode():
+        return c.cast("int")  # raises on a bad value
+    # ANSI off: the cast would give NULL, so fail explicitly
+    value = c.try_cast("int")
     return fail_if(c.isNotNull() & value.isNull(), value, "not an int", c)
 
 
