@@ -8,6 +8,8 @@ both one- and two-digit days and hours parse.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, TimestampNTZType, TimestampType
@@ -61,17 +63,38 @@ def fail_if(bad: Column, value: Column, what: str, source: Column) -> Column:
     return F.when(bad, F.raise_error(message)).otherwise(value)
 
 
+_FIXED_OFFSET_ZONE = re.compile(
+    r"^(Etc/)?(UTC|GMT|UCT|Universal|Zulu|Z)([+-]\d{1,2}(:\d{2})?)?$|^[+-]\d{1,2}(:\d{2})?$"
+)
+
+
+def session_zone_is_fixed() -> bool:
+    """Whether the active session's time zone is a fixed offset (e.g. UTC).
+
+    Such a zone has no daylight-saving gaps, so ``date_format`` shows a
+    ``timestamp_ntz`` exactly as its wall clock. Spark resolves the zone of
+    a date-time expression when the expression is built, which is when
+    this is asked.
+    """
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        return False
+    return bool(_FIXED_OFFSET_ZONE.match(str(spark.conf.get("spark.sql.session.timeZone", ""))))
+
+
 def format_iso(c: Column | str) -> Column:
     """Format a date-time as ISO local ``yyyy-MM-ddTHH:mm:ss`` text.
 
-    Independent of the session time zone: a ``timestamp_ntz`` is rendered
-    from its own wall-clock fields (its text cast), where ``date_format``
-    would pass it through the session zone and shift a time that falls in
-    a daylight-saving gap there (e.g. midnight on a day that starts at
-    01:00). A zoned ``timestamp`` is first taken to the session's wall
-    clock, as ``date_format`` would show it.
+    Independent of the session time zone: a ``timestamp_ntz`` keeps its
+    wall clock even where ``date_format`` would pass it through a session
+    zone with a daylight-saving gap (e.g. midnight on a day that starts at
+    01:00). In a fixed-offset zone such as UTC ``date_format`` is exact and
+    used; otherwise the text is taken from the timestamp's own text cast.
+    A zoned ``timestamp`` shows the session's wall clock either way.
     """
     c = F.col(c) if isinstance(c, str) else c
+    if session_zone_is_fixed():
+        return F.date_format(c, ISO_LOCAL_FORMAT)
     text = c.cast("timestamp_ntz").cast("string")  # yyyy-MM-dd HH:mm:ss[.ffffff]
     return F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8))
 

@@ -24,8 +24,10 @@ from countlens.functions.datetime import (
     DATE_FORMAT,
     ISO_LOCAL_FORMAT,
     RAW_COUNT_TIME_FORMAT,
+    RAW_COUNT_TIME_FORMAT_PADDED,
     format_iso,
     parse_local_time,
+    session_zone_is_fixed,
 )
 from countlens.operators import checks as ck
 from countlens.operators.enrich import with_label
@@ -101,7 +103,10 @@ def sensor_counts_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_count_time_text(ts: str) -> F.Column:
     """``timestamp_ntz`` as count-file text (``MMMM dd, yyyy hh:mm:ss a``),
     built from its date and clock fields so that no session time zone can
-    shift it (``date_format`` on a timestamp goes through the zone)."""
+    shift it (``date_format`` on a timestamp goes through the zone); in a
+    fixed-offset session zone ``date_format`` is exact and used."""
+    if session_zone_is_fixed():
+        return F.date_format(ts, RAW_COUNT_TIME_FORMAT_PADDED)
     c = F.col(ts)
     hour = F.hour(c)
     two = lambda x: F.lpad(x.cast("string"), 2, "0")

@@ -55,3 +55,36 @@ def test_format_iso_null_and_date(spark):
     )
     r = df.select(format_iso("d").alias("a"), format_iso("d2").alias("b")).first()
     assert r.a is None and r.b == "2021-03-04T00:00:00"
+
+
+def test_fixed_offset_zones(spark):
+    from countlens.functions.datetime import session_zone_is_fixed
+
+    key = "spark.sql.session.timeZone"
+    before = spark.conf.get(key)
+    try:
+        for zone, fixed in (("UTC", True), ("Etc/UTC", True), ("GMT", True), ("+05:30", True),
+                            ("America/Sao_Paulo", False), ("Europe/Berlin", False)):
+            spark.conf.set(key, zone)
+            assert session_zone_is_fixed() is fixed, zone
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_fast_and_field_formatting_agree(spark):
+    """date_format (used in fixed-offset zones) and the field-based text
+    (used elsewhere) give the same text for the same wall clock."""
+    df = spark.createDataFrame(
+        [("1996-10-06 00:00:00",), ("2019-01-31 13:05:09",), ("2021-07-04 00:30:00.999",)], "t string"
+    ).selectExpr("cast(t as timestamp_ntz) as ts")
+    key = "spark.sql.session.timeZone"
+    before = spark.conf.get(key)
+    out = {}
+    try:
+        for zone in ("UTC", "America/Sao_Paulo"):
+            spark.conf.set(key, zone)
+            out[zone] = [tuple(r) for r in df.select(format_iso("ts"), raw_count_time_text("ts")).collect()]
+    finally:
+        spark.conf.set(key, before)
+    assert out["UTC"] == out["America/Sao_Paulo"]
+    assert out["UTC"][0] == ("1996-10-06T00:00:00", "October 06, 1996 12:00:00 AM")
