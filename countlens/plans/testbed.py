@@ -528,6 +528,11 @@ def q_incremental_top_n_by_month(spark, sf_dir):
     return spark.table(f"{report_db}.{jobs.TOP_BY_MONTH}")
 
 
+def q_incremental_decline_report(spark, sf_dir):
+    _, report_db = build_incremental_mart(spark, sf_dir)
+    return spark.table(f"{report_db}.{jobs.DECLINES}")
+
+
 def q_incremental_growth_report(spark, sf_dir):
     _, report_db = build_incremental_mart(spark, sf_dir)
     return spark.table(f"{report_db}.{jobs.GROWTH}")
@@ -612,6 +617,7 @@ QUERIES = {
     "incremental_day_totals": q_incremental_day_totals,
     "incremental_top_n_by_day": q_incremental_top_n_by_day,
     "incremental_top_n_by_month": q_incremental_top_n_by_month,
+    "incremental_decline_report": q_incremental_decline_report,
     "incremental_growth_report": q_incremental_growth_report,
     "incremental_data_tests": q_incremental_data_tests,
 }

@@ -349,6 +349,10 @@ SELECT *, strftime("day", '%Y-%m') AS year_month FROM ({_DAY_TOTALS})
 """,
     "incremental_top_n_by_day": _TEXT_TOP,
     "incremental_top_n_by_month": _TEXT_MONTH_TOP,
+    "incremental_decline_report": _change(
+        _BASE, _CURRENT, _DECLINE_NAMES, "decline",
+        key="CAST(l_suppkey AS INTEGER)", value="CAST(l_quantity AS INTEGER)",
+    ),
     "incremental_growth_report": _change(
         _CURRENT, _LAST, _GROWTH_NAMES, "growth",
         key="CAST(l_suppkey AS INTEGER)", value="CAST(l_quantity AS INTEGER)",
