@@ -292,6 +292,19 @@ def q_ingest_counts_stream(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+def q_ingest_counts_stream_by_month(spark, sf_dir):
+    landing = scratch_path(spark, "counts-landing-m")
+    out = scratch_path(spark, "counts-stream-by-month")
+    ckpt = scratch_path(spark, "counts-stream-by-month-ckpt")
+    raw_count_file_rows(spark, sf_dir).write.option("header", True).csv(landing)
+    header = ("ID", "Date_Time", "Year", "Sensor_ID", "Sensor_Name", "Hourly_Counts")
+    q = stream_counts_csv(spark, landing, out, ckpt, raw_columns=header, on_bad="fail", by_month=True)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(out)
+
+
 def q_ingest_reference_json(spark, sf_dir):
     sup = _supplier(spark, sf_dir)
     records = sup.select(
@@ -589,6 +602,7 @@ QUERIES = {
     "reformat_datetime": q_reformat_datetime,
     "ingest_counts_csv": q_ingest_counts_csv,
     "ingest_counts_stream": q_ingest_counts_stream,
+    "ingest_counts_stream_by_month": q_ingest_counts_stream_by_month,
     "ingest_reference_json": q_ingest_reference_json,
     "overwrite_roundtrip": q_overwrite_roundtrip,
     "publish_roundtrip": q_publish_roundtrip,

@@ -333,6 +333,9 @@ WHERE l_orderkey IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 1
         _BASE, _CURRENT, _DECLINE_NAMES, "decline",
         key="CAST(l_suppkey AS INTEGER)", value="CAST(l_quantity AS INTEGER)",
     ),
+    "ingest_counts_stream_by_month": f"""
+SELECT *, substr(date_time, 1, 7) AS year_month FROM ({_COUNTS_VIEW})
+""",
     "ingest_counts_by_month": f"""
 SELECT *, substr(date_time, 1, 7) AS year_month FROM ({_COUNTS_VIEW})
 """,
