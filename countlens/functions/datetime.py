@@ -21,7 +21,9 @@ ISO_LOCAL_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
 DATE_FORMAT = "yyyy-MM-dd"
 
 
-def parse_local_time(c: Column | str, fmt: str, on_bad: str = "fail") -> Column:
+def parse_local_time(
+    c: Column | str, fmt: str, on_bad: str = "fail", spark: SparkSession | None = None
+) -> Column:
     """Parse a string to ``timestamp_ntz`` with a Spark datetime pattern.
 
     ``on_bad="fail"`` raises on the first unparseable value (ANSI
@@ -31,7 +33,7 @@ def parse_local_time(c: Column | str, fmt: str, on_bad: str = "fail") -> Column:
     c = F.col(c) if isinstance(c, str) else c
     strict = F.to_timestamp_ntz(c, F.lit(fmt))
     if on_bad == "fail":
-        if ansi_mode():
+        if ansi_mode(spark):
             return strict  # the parse itself raises on a bad value
         # ANSI off: the parse would give NULL, so fail explicitly
         return fail_if(c.isNotNull() & strict.isNull(), strict, "unparseable time", c)
@@ -42,17 +44,25 @@ def parse_local_time(c: Column | str, fmt: str, on_bad: str = "fail") -> Column:
     raise ValueError(f"on_bad must be 'fail' or 'null', not {on_bad!r}")
 
 
-def ansi_mode() -> bool:
-    """Whether the active session runs in ANSI mode (Spark 4's default).
+def _session(spark: SparkSession | None) -> SparkSession | None:
+    # the given session, else this thread's active one (None in a thread
+    # that did not create or activate a session)
+    return spark if spark is not None else SparkSession.getActiveSession()
+
+
+def ansi_mode(spark: SparkSession | None = None) -> bool:
+    """Whether the session (given, else active) runs in ANSI mode.
 
     Casts and parses take their error behaviour from this setting when the
     expression is built, so deciding here, at the same moment, matches what
     Spark does: under ANSI a bad value already raises, otherwise it becomes
-    NULL and only an explicit check (``fail_if``) can fail the job.
+    NULL and only an explicit check (``fail_if``) can fail the job. With no
+    session known the answer is False, whose explicit checks are right in
+    either mode.
     """
-    spark = SparkSession.getActiveSession()
+    spark = _session(spark)
     if spark is None:
-        return True
+        return False
     return str(spark.conf.get("spark.sql.ansi.enabled", "true")).lower() == "true"
 
 
@@ -68,21 +78,23 @@ _FIXED_OFFSET_ZONE = re.compile(
 )
 
 
-def session_zone_is_fixed() -> bool:
-    """Whether the active session's time zone is a fixed offset (e.g. UTC).
+def session_zone_is_fixed(spark: SparkSession | None = None) -> bool:
+    """Whether the session's (given, else active) time zone is a fixed
+    offset (e.g. UTC).
 
     Such a zone has no daylight-saving gaps, so ``date_format`` shows a
     ``timestamp_ntz`` exactly as its wall clock. Spark resolves the zone of
     a date-time expression when the expression is built, which is when
-    this is asked.
+    this is asked. With no session known the answer is False, whose
+    field-based formatting is right in any zone.
     """
-    spark = SparkSession.getActiveSession()
+    spark = _session(spark)
     if spark is None:
         return False
     return bool(_FIXED_OFFSET_ZONE.match(str(spark.conf.get("spark.sql.session.timeZone", ""))))
 
 
-def format_iso(c: Column | str) -> Column:
+def format_iso(c: Column | str, spark: SparkSession | None = None) -> Column:
     """Format a date-time as ISO local ``yyyy-MM-ddTHH:mm:ss`` text.
 
     Independent of the session time zone: a ``timestamp_ntz`` keeps its
@@ -93,7 +105,7 @@ def format_iso(c: Column | str) -> Column:
     A zoned ``timestamp`` shows the session's wall clock either way.
     """
     c = F.col(c) if isinstance(c, str) else c
-    if session_zone_is_fixed():
+    if session_zone_is_fixed(spark):
         return F.date_format(c, ISO_LOCAL_FORMAT)
     text = c.cast("timestamp_ntz").cast("string")  # yyyy-MM-dd HH:mm:ss[.ffffff]
     return F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8))

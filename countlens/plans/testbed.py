@@ -93,19 +93,19 @@ def sensor_counts_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = with_label(li, _supplier(spark, sf_dir), "l_suppkey", "s_suppkey", "s_name", "sensor_name")
     return labelled.select(
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("int").alias("id"),
-        format_iso("l_shipdate").alias("date_time"),
+        format_iso("l_shipdate", spark).alias("date_time"),
         F.col("l_suppkey").cast("int").alias("sensor_id"),
         F.col("sensor_name"),
         F.col("l_quantity").cast("int").alias("hourly_count"),
     )
 
 
-def raw_count_time_text(ts: str) -> F.Column:
+def raw_count_time_text(ts: str, spark: SparkSession | None = None) -> F.Column:
     """``timestamp_ntz`` as count-file text (``MMMM dd, yyyy hh:mm:ss a``),
     built from its date and clock fields so that no session time zone can
     shift it (``date_format`` on a timestamp goes through the zone); in a
     fixed-offset session zone ``date_format`` is exact and used."""
-    if session_zone_is_fixed():
+    if session_zone_is_fixed(spark):
         return F.date_format(ts, RAW_COUNT_TIME_FORMAT_PADDED)
     c = F.col(ts)
     hour = F.hour(c)
@@ -129,7 +129,7 @@ def raw_count_file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = with_label(li, _supplier(spark, sf_dir), "l_suppkey", "s_suppkey", "s_name", "sensor_name")
     return labelled.select(
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("string").alias("ID"),
-        raw_count_time_text("l_shipdate").alias("Date_Time"),
+        raw_count_time_text("l_shipdate", spark).alias("Date_Time"),
         F.year("l_shipdate").cast("string").alias("Year"),
         F.col("l_suppkey").cast("string").alias("Sensor_ID"),
         F.col("sensor_name").alias("Sensor_Name"),
@@ -259,14 +259,16 @@ def q_reformat_datetime(spark, sf_dir):
     raw = li.select(
         "l_orderkey",
         "l_linenumber",
-        raw_count_time_text("l_shipdate").alias("raw_text"),
+        raw_count_time_text("l_shipdate", spark).alias("raw_text"),
     )
     return raw.select(
         "l_orderkey",
         "l_linenumber",
         "raw_text",
-        format_iso(parse_local_time("raw_text", RAW_COUNT_TIME_FORMAT)).alias("date_time"),
-        parse_local_time("raw_text", RAW_COUNT_TIME_FORMAT).cast("date").alias("day"),
+        format_iso(parse_local_time("raw_text", RAW_COUNT_TIME_FORMAT, spark=spark), spark).alias(
+            "date_time"
+        ),
+        parse_local_time("raw_text", RAW_COUNT_TIME_FORMAT, spark=spark).cast("date").alias("day"),
     )
 
 

@@ -28,10 +28,10 @@ RAW_COUNT_COLUMNS = (
 )
 
 
-def _to_int(c, on_bad: str):
+def _to_int(c, on_bad: str, spark=None):
     if on_bad == "null":
         return c.try_cast("int")
-    if ansi_mode():
+    if ansi_mode(spark):
         return c.cast("int")  # raises on a bad value
     # ANSI off: the cast would give NULL, so fail explicitly
     value = c.try_cast("int")
@@ -56,14 +56,14 @@ def counts_from_raw(
     if on_bad not in ("fail", "null"):
         raise ValueError(f"on_bad must be 'fail' or 'null', not {on_bad!r}")
     c = F.col
+    spark = raw.sparkSession  # its settings decide how errors and times are handled
+    parsed = parse_local_time(c(schemas.CSV_DATE_TIME), time_format, on_bad, spark)
     return raw.select(
-        _to_int(c(schemas.CSV_ID), on_bad).alias("id"),
-        format_iso(parse_local_time(c(schemas.CSV_DATE_TIME), time_format, on_bad)).alias(
-            "date_time"
-        ),
-        _to_int(c(schemas.CSV_SENSOR_ID), on_bad).alias("sensor_id"),
+        _to_int(c(schemas.CSV_ID), on_bad, spark).alias("id"),
+        format_iso(parsed, spark).alias("date_time"),
+        _to_int(c(schemas.CSV_SENSOR_ID), on_bad, spark).alias("sensor_id"),
         c(schemas.CSV_SENSOR_NAME).cast("string").alias("sensor_name"),
-        _to_int(c(schemas.CSV_HOURLY_COUNTS), on_bad).alias("hourly_count"),
+        _to_int(c(schemas.CSV_HOURLY_COUNTS), on_bad, spark).alias("hourly_count"),
         *extra,
     )
 

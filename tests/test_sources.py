@@ -251,3 +251,37 @@ def test_streaming_ingest_by_month(spark):
                                               "year_month=__HIVE_DEFAULT_PARTITION__"]
     assert [(r.id, r.year_month) for r in df.orderBy("id").collect()] == [(1, "2019-11"), (2, None)]
     assert "PartitionFilters: [isnotnull(year_month" in plan_text(df.filter("year_month = '2019-11'"))
+
+
+def test_fail_on_bad_from_a_thread_without_active_session(spark):
+    """The DataFrame's own session decides the error handling, also where
+    the building thread has no active session."""
+    import threading
+
+    from pyspark.sql import SparkSession
+
+    from countlens.sources.files import counts_from_raw
+
+    schema = "ID string, Date_Time string, Sensor_ID string, Sensor_Name string, Hourly_Counts string"
+    raw = spark.createDataFrame([("1", "junk", "3", "A", "x")], schema)
+    key = "spark.sql.ansi.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    out = {}
+
+    def build_and_run():
+        out["active"] = SparkSession.getActiveSession()
+        try:
+            counts_from_raw(raw, on_bad="fail").collect()
+            out["error"] = None
+        except Exception as e:  # noqa: BLE001 - any Spark error is the expected outcome
+            out["error"] = e
+
+    try:
+        t = threading.Thread(target=build_and_run)
+        t.start()
+        t.join()
+    finally:
+        spark.conf.set(key, before)
+    assert out["active"] is None
+    assert out["error"] is not None
