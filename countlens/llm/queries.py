@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countlens.llm import contamination, langid, mixing, quality
+from countlens.llm import contamination, jaccard, langid, lines, mixing, quality, secrets, warc
 from countlens.llm.common import table
 
 
@@ -15,6 +15,23 @@ def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, langid.learn(train))
 
 
+def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.classes(table(spark, sf_dir, "documents"))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    id_type = pages.schema["page_id"].dataType
+    got = warc.read_records(warc.write_archives(pages), payload=False)
+    return got.select(
+        F.col("page_id").cast(id_type).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast(id_type).alias("refers_to"),
+    )
+
+
 def op5_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = contamination.build_index(table(spark, sf_dir, "documents"))
     return contaminated(contamination.search(index, table(spark, sf_dir, "benchmark")))
@@ -33,6 +50,10 @@ def contaminated(found: DataFrame) -> DataFrame:
     )
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     weights = quality.learn(quality.training_rows(docs, table(spark, sf_dir, "labels")))
@@ -40,6 +61,17 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", F.when(F.col("score") >= 0.3, 1).otherwise(0))
 
 
+def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that go, per document that has any: their number, and the line numbers."""
+    gone = lines.duplicate_lines(table(spark, sf_dir, "documents"))
+    numbers = F.array_sort(F.collect_list("line"))
+    return gone.groupBy("doc_id").agg(
+        F.count("*").alias("n_removed"),
+        F.count(F.when(F.col("kind") == "near", 1)).alias("n_near"),
+        numbers.alias("removed"),
+    )
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -47,8 +79,12 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_langid": op2_langid,
+    "op3_jaccard": op3_jaccard,
+    "op4_warc": op4_warc,
     "op5_contamination": op5_contamination,
+    "op6_secrets": op6_secrets,
     "op7_quality": op7_quality,
+    "op8_lines": op8_lines,
     "op9_mixing": op9_mixing,
 }
 

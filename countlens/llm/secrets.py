@@ -1,0 +1,169 @@
+"""Secret scans (operator 6): patterns, and password guess cost by dynamic programming.
+
+Base spans come from three patterns. The method adds spans: a value that stands
+in a credential context is cut into words, dates, repeats, keyboard walks and
+spans of brute force so that the bits to guess it are fewest; a value that still
+costs ``min_bits`` or more is a ``guess`` span. Each text is scanned whole, by
+itself.
+
+Defined results: null is an empty text, with no spans; repeated rows are
+scanned one by one; other columns are ignored.
+"""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import re
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from countlens.llm import text as tx
+
+# The contract's patterns.
+_ASSIGN = re.compile(
+    r"""(?a:(?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+)
+_ACCESS = re.compile(r"AKIA[A-Z0-9]+")
+_HEX = re.compile(r"[0-9a-f]{32,}")
+_CONTEXT = re.compile(
+    r"""(?ai)(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credential|api[_-]?key|(?:access|private|auth)[_-]?key)s?["']?"""
+    r"""[\x20\t]*(?:[:=]>?|\x20is\x20)[\x20\t]*["']?([^\s"'`,;<>]{6,})"""
+)
+_HINTS = ("pass", "pwd", "secret", "token", "credential", "key")
+KINDS = ("assign", "access", "hex", "guess")
+
+# Frequent parts of chosen passwords, most frequent first.
+WORDS = (
+    "password pass admin root user test guest login welcome master secret token letmein love monkey dragon "
+    "football baseball shadow sunshine princess superman iloveyou hello freedom whatever trust summer winter spring "
+    "autumn monday friday january march april june july august october december michael jordan hunter ranger "
+    "changeme default example sample demo temp temporary null none true false your enter here insert replace "
+    "placeholder dummy fake public private access service server client system manager office company backup "
+    "database mysql oracle postgres redis docker local host internet network secure security key code orange "
+    "apple banana cookie coffee cheese flower silver golden purple yellow green black white blue red"
+).split()
+_ROWS = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./")
+_SHAPES = str.maketrans("4310$57@", "aeiossta")
+_DATE = re.compile(
+    r"(?:19|20)\d\d[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:0[1-9]|[12]\d|3[01])"
+    r"|(?:0[1-9]|[12]\d|3[01])[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:19|20)\d\d"
+)
+_YEAR = re.compile(r"(?:19|20)\d\d")
+_BITS_JOIN = 1.0
+
+
+def _beside() -> set[tuple[str, str]]:
+    pairs = set()
+    for row in _ROWS:
+        pairs |= set(zip(row, row[1:], strict=False))
+    for upper, lower in zip(_ROWS, _ROWS[1:], strict=False):
+        pairs |= set(zip(upper, lower, strict=False)) | set(zip(upper[1:], lower, strict=False))
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    pairs |= set(zip(letters, letters[1:], strict=False))
+    return pairs | {(b, a) for a, b in pairs}
+
+
+_BESIDE = _beside()
+
+
+def _char_bits(c: str) -> float:
+    if c.isdigit():
+        return math.log2(10)
+    if c.isascii() and c.isalpha():
+        return math.log2(26)
+    return math.log2(33) if c.isascii() else 12.0
+
+
+def guess_bits(value: str, words: dict[str, int]) -> float:
+    """Bits of the cheapest way to guess ``value`` part by part; ``words`` gives ranks from 1."""
+    n, low = len(value), value.lower()
+    plain = low.translate(_SHAPES)
+    longest = max(map(len, words), default=0)
+    best = [0.0] + [math.inf] * n  # of the first i characters
+    walk = [0] * n  # characters of the keyboard walk that ends here
+    for i in range(n):
+        walk[i] = walk[i - 1] + 1 if i and (low[i - 1], low[i]) in _BESIDE else 1
+    for i in range(n):
+        here = best[i]
+        best[i + 1] = min(best[i + 1], here + _char_bits(value[i]))
+        here += _BITS_JOIN
+        for j in range(i + 3, min(n, i + longest) + 1):
+            rank = words.get(low[i:j]) or words.get(plain[i:j])
+            if rank:
+                part = value[i:j]
+                odd = 0.0 if part == low[i:j] else 1.0 if part.istitle() or part.isupper() else 0.5 * (j - i)
+                odd += 0.0 if low[i:j] in words else 2.0
+                best[j] = min(best[j], here + math.log2(rank + 1) + odd)
+        if value[i].isdigit():
+            for pattern, bits in ((_YEAR, math.log2(200)), (_DATE, math.log2(200 * 366))):
+                if m := pattern.match(value, i):
+                    best[m.end()] = min(best[m.end()], here + bits)
+        for unit in (1, 2, 3, 4):
+            j = i + unit
+            while j + unit <= n and value[j : j + unit] == value[i : i + unit]:
+                j += unit
+                times = (j - i) // unit
+                if j - i >= 3:
+                    cost = sum(map(_char_bits, value[i : i + unit])) + math.log2(times)
+                    best[j] = min(best[j], here + cost)
+                if times > 64:
+                    # A longer run pays only as a whole, from where it begins.
+                    if value[max(0, i - unit) : i] != value[i : i + unit]:
+                        j = _run_end(value, i, unit)
+                        cost = sum(map(_char_bits, value[i : i + unit])) + math.log2((j - i) // unit)
+                        best[j] = min(best[j], here + cost)
+                    break
+        j = i + 1
+        while j < n and j - i < 64 and walk[j] > j - i:
+            j += 1
+            if j - i >= 3:
+                best[j] = min(best[j], here + math.log2(47) + 1.5 * math.log2(j - i) + 1)
+    return best[n]
+
+
+def _run_end(value: str, i: int, unit: int) -> int:
+    m = re.compile(f"(?:{re.escape(value[i : i + unit])})+", re.S).match(value, i)
+    return m.end() if m else i + unit
+
+
+def find_spans(text: str, words: dict[str, int], min_bits: float) -> list[tuple[int, int, int]]:
+    """(start, kind number, end) of all spans, in order."""
+    found = [(m.start(), 2, m.end()) for m in _HEX.finditer(text)]
+    if "AKIA" in text:
+        found += [(m.start(), 1, m.end()) for m in _ACCESS.finditer(text) if m.end() - m.start() >= 16]
+    low = text.lower()
+    if any(h in low for h in _HINTS):
+        found += [(m.start(), 0, m.end()) for m in _ASSIGN.finditer(text) if m.end(1) - m.start(1) >= 8]
+        for m in _CONTEXT.finditer(text):
+            if guess_bits(m[1], words) >= min_bits:
+                found.append((m.start(1), 3, m.end(1)))
+    return sorted(found)
+
+
+def scan(docs: DataFrame, *, id_col="doc_id", text_col="text", min_bits: float = 36.0, words=WORDS) -> DataFrame:
+    """Per document: id, counts per base kind, ``base_sha256`` and ``spans`` (kind:start:end, comma-joined)."""
+    id_type = docs.schema[id_col].dataType.simpleString()
+    ranks = {w: i + 1 for i, w in reversed(list(enumerate(words)))}
+
+    def run(batches):
+        for batch in batches:
+            for part in tx.slices(batch, "text"):
+                out = []
+                for text in part.column(1).to_pylist():
+                    spans = find_spans(text or "", ranks, min_bits)
+                    base = ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans if k < 3)
+                    counts = [sum(1 for x in spans if x[1] == k) for k in range(3)]
+                    every = ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
+                    out.append((*counts, hashlib.sha256(base.encode()).hexdigest(), every))
+                kinds = [pa.int64()] * 3 + [pa.string()] * 2
+                columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)]
+                names = [id_col, "n_assign", "n_access", "n_hex", "base_sha256", "spans"]
+                yield pa.RecordBatch.from_arrays([part.column(0), *columns], names)
+
+    rows = docs.select(F.col(id_col), F.col(text_col).alias("text"))
+    return rows.mapInArrow(
+        run, f"`{id_col}` {id_type}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
+    )
