@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countlens.llm import contamination, jaccard, langid, lines, mixing, quality, secrets, warc
+from countlens.llm import contamination, jaccard, langid, lines, mixing, quality, repeats, secrets, warc
 from countlens.llm.common import table
 
 
@@ -77,6 +77,18 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.removed(table(spark, sf_dir, "documents"))
+    n_removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        n_removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
     "op2_langid": op2_langid,
     "op3_jaccard": op3_jaccard,
@@ -86,6 +98,7 @@ QUERIES = {
     "op7_quality": op7_quality,
     "op8_lines": op8_lines,
     "op9_mixing": op9_mixing,
+    "op10_repeats": op10_repeats,
 }
 
 ORACLE_SQL = {"op9_mixing": mixing.MIX_SQL}
