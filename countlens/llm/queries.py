@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countlens.llm import contamination, jaccard, langid, lines, mixing, quality, repeats, secrets, warc
+from countlens.llm import contamination, embeddings, jaccard, langid, lines, mixing, quality, repeats, secrets, warc
 from countlens.llm.common import table
 
 
+def op1_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     train = docs.filter(F.col("doc_id").isNotNull() & ~langid.held_out())
@@ -90,6 +94,7 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_embeddings": op1_embeddings,
     "op2_langid": op2_langid,
     "op3_jaccard": op3_jaccard,
     "op4_warc": op4_warc,
