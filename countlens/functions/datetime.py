@@ -137,12 +137,28 @@ def day_of(df: DataFrame, name: str) -> Column:
     return as_local_time(df, name).cast("date")
 
 
+def day_text_of(df: DataFrame, name: str) -> Column:
+    """The first ten characters of a text time as stored, or the day of a typed one as text.
+
+    Compared with day bounds, it puts a row in the same periods as the whole
+    text does, also when the text is no valid time.
+    """
+    if isinstance(df.schema[name].dataType, StringType):
+        return F.col(name).substr(1, 10)
+    return day_of(df, name).cast("string")
+
+
 def month_of_day_text(c: Column | str) -> Column:
     """``yyyy-MM`` from ISO day or date-time text (its first seven characters)."""
     c = F.col(c) if isinstance(c, str) else c
     return c.substr(1, 7)
 
 
+def is_day(bound: str) -> bool:
+    """Whether a period bound is a day alone (``yyyy-MM-dd``)."""
+    return bool(re.fullmatch(r"\d{4}-\d{2}-\d{2}", bound))
+
+
 def period_bound(df: DataFrame, name: str, value: str) -> Column:
     """A literal bound typed like column ``name`` so the comparison pushes down.
 
@@ -161,8 +177,15 @@ def period_bound(df: DataFrame, name: str, value: str) -> Column:
 
 
 def in_period(df: DataFrame, name: str, start: str, end: str) -> Column:
-    """Half-open period test ``start <= name < end`` (NULL is outside)."""
+    """Half-open period test ``start <= name < end`` (NULL is outside).
+
+    A ``date`` column stands for its midnight: against a bound with a time
+    of day it is compared as ``timestamp_ntz``, so no bound is cut to a day.
+    """
     c = F.col(name)
+    if isinstance(df.schema[name].dataType, DateType) and not (is_day(start) and is_day(end)):
+        midnight = c.cast("timestamp_ntz")
+        return (midnight >= F.lit(start).cast("timestamp_ntz")) & (midnight < F.lit(end).cast("timestamp_ntz"))
     return (c >= period_bound(df, name, start)) & (c < period_bound(df, name, end))
 
 

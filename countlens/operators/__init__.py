@@ -1,16 +1,14 @@
 """Relational building blocks: period totals, ranking, change, labels, checks."""
 
-from countlens.operators.change import period_change
 from countlens.operators.enrich import bounded_broadcast, with_label, within_bounds
-from countlens.operators.periods import day_totals, paired_period_totals, period_total
+from countlens.operators.periods import day_totals, period_total, present_in_both
 from countlens.operators.ranking import rank_within, top_n_by_period
 
 __all__ = [
     "bounded_broadcast",
     "day_totals",
-    "paired_period_totals",
-    "period_change",
     "period_total",
+    "present_in_both",
     "rank_within",
     "top_n_by_period",
     "with_label",

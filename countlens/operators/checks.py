@@ -21,13 +21,13 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Patterns of the two format checks.
-DATE_PATTERN = r"^\d{4}-\d{2}-\d{2}$"
+# Patterns of the two format checks (``\\z``: a line break at the end fails).
+DATE_PATTERN = r"^\d{4}-\d{2}-\d{2}\z"
 ISO_PATTERN_OFFSET_REQUIRED = (
-    r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,6})?([+-]\d{2}:\d{2}|Z)$"
+    r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,6})?([+-]\d{2}:\d{2}|Z)\z"
 )
 ISO_PATTERN_OFFSET_OPTIONAL = (
-    r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,6})?([+-]\d{2}:\d{2}|Z)?$"
+    r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,6})?([+-]\d{2}:\d{2}|Z)?\z"
 )
 
 # Accepted values of the sensor dimension.
@@ -221,3 +221,22 @@ def violations(df: DataFrame, check: Check) -> DataFrame:
 def all_pass(results: DataFrame) -> Column:
     """Aggregate expression over ``run_checks`` output: true when nothing failed."""
     return F.coalesce(F.max(F.col("failures")), F.lit(0)) == 0
+
+
+class ChecksFailed(Exception):
+    """Raised by ``gate``; ``failed`` lists (table, column, check, failures)."""
+
+    def __init__(self, failed: list[tuple[str, str, str, int]]):
+        self.failed = failed
+        listed = "; ".join(f"{t}.{c} {name}: {n}" for t, c, name, n in failed)
+        super().__init__(f"{len(failed)} checks failed: {listed}")
+
+
+def gate(results: DataFrame) -> None:
+    """Run the checks of ``run_checks`` output and raise ``ChecksFailed`` if any fails.
+
+    Only the failed checks' rows (one per check) reach the driver.
+    """
+    failed = results.filter(F.col("failures") > 0).orderBy("table_name", "column_name", "check_name").collect()
+    if failed:
+        raise ChecksFailed([tuple(r) for r in failed])

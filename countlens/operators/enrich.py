@@ -11,9 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
 
-# Default bounds for broadcasting the (key, label) projection of a dimension.
-# Half a million narrow rows / 64 MiB stay well under the broadcast limits
-# of a default executor; above either bound the join is shuffled instead.
+# Default bounds of ``bounded_broadcast``: half a million narrow rows / 64 MiB
+# stay well under the broadcast limits of a default executor.
 DEFAULT_BROADCAST_MAX_ROWS = 500_000
 DEFAULT_BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
@@ -32,34 +31,14 @@ def _row_bytes(df: DataFrame):
     return total
 
 
-# Proven sizes of file-backed inputs, keyed by (plan hash, exact input files).
-# Spark-written files carry unique names and published tables get a new
-# version folder, so new data always means a new key; inputs without files
-# (local data, streams) are never cached.
-_SIZES: dict[tuple, tuple[int, int]] = {}
-
-
-def _content_key(df: DataFrame) -> tuple | None:
-    files = tuple(sorted(df.inputFiles()))
-    return (df.semanticHash(), files) if files else None
-
-
 def measured_size(df: DataFrame) -> tuple[int, int]:
-    """``(rows, bytes)`` of ``df``, measured by one distributed aggregate.
+    """``(rows, bytes)`` of ``df`` now, measured by one distributed aggregate.
 
     Every task counts its rows and bytes and only one partial row per task
-    reaches the final sum, so nothing is gathered into a single task and
-    only two numbers reach the driver. File-backed inputs are measured once
-    per content version (see ``_SIZES``).
+    reaches the final sum; two numbers reach the driver.
     """
-    key = _content_key(df)
-    if key is not None and key in _SIZES:
-        return _SIZES[key]
     probe = df.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).collect()[0]
-    size = (int(probe.n), int(probe.b or 0))
-    if key is not None:
-        _SIZES[key] = size
-    return size
+    return int(probe.n), int(probe.b or 0)
 
 
 def within_bounds(df: DataFrame, max_rows: int, max_bytes: int | None = None) -> bool:
@@ -73,50 +52,32 @@ def bounded_broadcast(
     max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
     max_bytes: int | None = DEFAULT_BROADCAST_MAX_BYTES,
 ) -> DataFrame:
-    """``broadcast(df)`` when its size is proven small, else ``df`` unchanged.
+    """``broadcast(df)`` when its size, measured now, is within the bounds, else ``df``.
 
-    Without the hint Spark plans a shuffle (sort-merge) join, and AQE can
-    still switch it to a broadcast at runtime from the *measured* shuffle
-    size, so the fallback is never worse than the default.
+    This runs a job at once; call it where a plan must have a broadcast that
+    Spark would not choose by itself. The reports do not need it.
     """
     return F.broadcast(df) if within_bounds(df, max_rows, max_bytes) else df
 
 
 def with_label(
-    facts: DataFrame,
-    dim: DataFrame,
-    fact_key: str,
-    dim_key: str,
-    label_col: str,
-    out_col: str,
-    broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
-    broadcast_max_bytes: int | None = DEFAULT_BROADCAST_MAX_BYTES,
+    facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, label_col: str, out_col: str
 ) -> DataFrame:
     """Left-join ``dim[label_col]`` onto ``facts`` as ``out_col``.
 
     Only the key and label columns of the dimension are read (the projection
-    is applied before the join so it reaches the dimension scan). Pass
-    ``broadcast_max_rows=None`` to skip the size check and leave the join
-    strategy entirely to Catalyst/AQE.
+    is applied before the join so it reaches the dimension scan). Building
+    the join runs nothing: whether the dimension is broadcast follows from
+    Spark's own thresholds, by file sizes when planning and by measured
+    shuffle sizes when running, so a dimension that outgrew them is shuffled.
     """
-    return label_join(
-        facts, dim, fact_key, dim_key, label_col, out_col, broadcast_max_rows, broadcast_max_bytes
-    ).drop("__dim_key")
+    return label_join(facts, dim, fact_key, dim_key, label_col, out_col).drop("__dim_key")
 
 
 def label_join(
-    facts: DataFrame,
-    dim: DataFrame,
-    fact_key: str,
-    dim_key: str,
-    label_col: str,
-    out_col: str,
-    broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
-    broadcast_max_bytes: int | None = DEFAULT_BROADCAST_MAX_BYTES,
+    facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, label_col: str, out_col: str
 ) -> DataFrame:
     """``with_label`` that keeps the dimension key as ``__dim_key``
     (for callers that project their output anyway)."""
     side = dim.select(F.col(dim_key).alias("__dim_key"), F.col(label_col).alias(out_col))
-    if broadcast_max_rows is not None:
-        side = bounded_broadcast(side, broadcast_max_rows, broadcast_max_bytes)
     return facts.join(side, F.col(fact_key) == F.col("__dim_key"), "left")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from countlens.functions.datetime import day_of, in_period, months_touching
+from countlens.functions.datetime import day_of, day_text_of, in_period, months_touching
 
 
 def period_total(
@@ -44,22 +44,25 @@ def day_totals(
     day_col: str = "day",
     keys: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``sum(value_col)`` and the row count per (calendar day, ``id_col``).
+    """``sum(value_col)`` and the row count per (calendar day, day text, ``id_col``).
 
     The shared first step of the daily ranking and of any change report whose
-    periods start and end at midnight: those period totals are sums of day
-    totals, so one scan of the raw counts serves all of them. ``n_rows`` keeps
-    presence exact (a day whose values are all NULL still counts as present).
-    ``keys``: extra columns that the day determines (e.g. a ``yyyy-MM``
-    partition column), carried through so the result can be partitioned
-    like its source.
+    period bounds are days: those period totals are sums of day totals, so one
+    scan of the raw counts serves all of them. A period takes rows by
+    ``day_text`` (the stored time's first ten characters), which orders a
+    malformed time as its whole text does; the ranking goes by the parsed day,
+    and sums again over a day's texts. ``n_rows`` keeps presence exact (a day
+    whose values are all NULL still counts as present). ``keys``: extra columns
+    that the time determines (e.g. a ``yyyy-MM`` partition column), carried
+    through so the result can be partitioned like its source.
     """
-    return df.groupBy(day_of(df, ts_col).alias(day_col), F.col(id_col), *keys).agg(
+    day, text = day_of(df, ts_col).alias(day_col), day_text_of(df, ts_col).alias("day_text")
+    return df.groupBy(day, text, F.col(id_col), *keys).agg(
         F.sum(value_col).alias("total"), F.count(F.lit(1)).alias("n_rows")
     )
 
 
-def paired_period_totals(
+def present_in_both(
     df: DataFrame,
     ts_col: str,
     base: tuple[str, str],
@@ -69,8 +72,10 @@ def paired_period_totals(
     base_out: str,
     current_out: str,
     month_col: str | None = None,
+    rows_col: str | None = None,
 ) -> DataFrame:
-    """Totals of two periods per key, keeping keys present in *both* periods.
+    """Totals of two periods per key, keeping keys present in *both* periods,
+    with their row counts ``__n_base`` / ``__n_current``.
 
     Same rows as ``period_total(base) JOIN period_total(current) USING (id)``
     (inner join), computed with a single scan and a single aggregation:
@@ -81,26 +86,6 @@ def paired_period_totals(
     never match in the join and are dropped here too. Overlapping periods
     count a row in both. ``month_col`` (a ``yyyy-MM`` partition column
     derived from ``ts_col``) adds partition pruning for the two periods.
-    """
-    return present_in_both(
-        df, ts_col, base, current, id_col, value_col, base_out, current_out, month_col
-    ).drop("__n_base", "__n_current")
-
-
-def present_in_both(
-    df: DataFrame,
-    ts_col: str,
-    base: tuple[str, str],
-    current: tuple[str, str],
-    id_col: str,
-    value_col: str,
-    base_out: str,
-    current_out: str,
-    month_col: str | None = None,
-    rows_col: str | None = None,
-) -> DataFrame:
-    """``paired_period_totals`` that keeps its row-count columns
-    ``__n_base`` / ``__n_current`` (for callers that project anyway).
 
     ``rows_col``: the input is already aggregated (e.g. ``day_totals``) and
     this column holds how many raw rows each input row stands for."""

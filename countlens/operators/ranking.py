@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Parts of a period that are ranked apart when n is beyond the partial limit.
+BUCKETS = 64
+
+
 def rank_within(
     totals: DataFrame,
     period_col: str,
@@ -20,13 +24,21 @@ def rank_within(
     deterministic. The ``row_number() <= n`` filter lets Catalyst insert a
     partial ``WindowGroupLimit`` before the shuffle on ``period_col``: every
     task forwards at most ``n`` rows per period, so a period holding a large
-    share of the data never lands whole in one task.
+    share of the data never lands whole in one task. Catalyst does so only up
+    to ``spark.sql.optimizer.windowGroupLimitThreshold``; beyond it, the rows
+    of a period are first ranked within ``BUCKETS`` hash buckets, of which
+    each forwards its ``n`` largest.
     """
     if n < 1:
         raise ValueError("n must be at least 1")
-    w = Window.partitionBy(period_col).orderBy(
-        F.col(value_col).desc_nulls_last(), F.col(id_col).asc_nulls_first()
-    )
+    order = (F.col(value_col).desc_nulls_last(), F.col(id_col).asc_nulls_first())
+    limit = int(totals.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if n > limit:
+        bucket = Window.partitionBy(period_col, "__bucket").orderBy(*order)
+        totals = totals.withColumn("__bucket", F.pmod(F.hash(id_col), F.lit(BUCKETS)))
+        totals = totals.withColumn("__place", F.row_number().over(bucket)).filter(F.col("__place") <= n)
+        totals = totals.drop("__bucket", "__place")
+    w = Window.partitionBy(period_col).orderBy(*order)
     return totals.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= n)
 
 

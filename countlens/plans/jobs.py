@@ -8,13 +8,12 @@ monthly report reads the daily report as written, as the original does.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from countlens.operators.checks import (
+    gate,
     run_checks,
     sensor_counts_checks,
     sensor_reference_checks,
@@ -31,19 +30,24 @@ from countlens.plans.reports import (
     top_n_by_month,
     top_n_from_day_totals,
 )
-from countlens.functions.datetime import month_of_day_text
+from countlens.functions.datetime import is_day, month_of_day_text
 from countlens.operators.periods import day_totals
 from countlens.schemas import CHECK_FAILURES_BY_MONTH, MONTH_COL
+from countlens.schemas import DUPLICATE_IDS_BY_MONTH as DUPLICATE_IDS_SCHEMA
 from countlens.schemas import SENSOR_COUNTS as SENSOR_COUNTS_SCHEMA
 from countlens.schemas import SENSOR_DAY_TOTALS as DAY_TOTALS_SCHEMA
+from countlens.session import scratch_path
 from countlens.sources.files import (
     counts_from_raw,
     read_counts_csv,
+    UNPARSED_PREFIX,
     read_raw_counts_csv,
     read_reference_json,
+    with_month,
 )
 from countlens.sources.tables import (
     overwrite_partitions,
+    overwrite_path,
     overwrite_table,
     publish_table,
     register_table,
@@ -58,14 +62,10 @@ DECLINES = "report_location_declines_due_to_lockdown"
 GROWTH = "report_most_growth_last_year"
 DAY_TOTALS = "sensor_day_totals"
 CHECK_FAILURES = "sensor_counts_check_failures"
-# Month key prefix of rows whose time did not parse (see read_landed_counts).
-UNPARSED_PREFIX = "unparsed-"
-
-_WHOLE_DAY = re.compile(r"^\d{4}-\d{2}-\d{2}(T00:00:00)?$")
-
+DUPLICATE_IDS = "sensor_counts_duplicate_ids"
 
 def _whole_days(*periods) -> bool:
-    return all(_WHOLE_DAY.match(bound) for period in periods for bound in period)
+    return all(is_day(bound) for period in periods for bound in period)
 
 
 def ingest_counts(
@@ -75,6 +75,8 @@ def ingest_counts(
     raw_db: str = "raw",
     on_bad: str = "fail",
     sort_by_time: bool = True,
+    mixed_headers: bool = False,
+    id_type: str = "bigint",
 ) -> str:
     """Raw count CSV -> typed ``raw_db.sensor_counts``.
 
@@ -82,7 +84,7 @@ def ingest_counts(
     per-task sort, no shuffle), so Parquet row-group min/max statistics let
     the period filters of the change reports skip most of the table.
     """
-    counts = read_counts_csv(spark, csv_path, on_bad)
+    counts = read_counts_csv(spark, csv_path, on_bad, mixed_headers=mixed_headers, id_type=id_type)
     if sort_by_time:
         counts = counts.sortWithinPartitions("date_time")
     return publish_table(counts, f"{raw_db}.{SENSOR_COUNTS}", root)
@@ -94,22 +96,55 @@ def ingest_counts_by_month(
     location: str,
     raw_db: str = "raw",
     on_bad: str = "fail",
+    mixed_headers: bool = False,
 ) -> str:
     """Raw count CSV -> ``raw_db.sensor_counts`` partitioned by ``year_month``.
 
     The layout for large, growing count data: each run rewrites only the
-    months present in the landed files (dynamic partition overwrite), and
-    the change reports given ``month_col="year_month"`` read only the months
-    of their two periods. ``year_month`` is the first seven characters of
-    ``date_time``; rows whose time does not parse (only with
-    ``on_bad="null"``) are keyed by their source file (``read_landed_counts``).
+    months present in the landed files, and the change reports given
+    ``month_col="year_month"`` read only the months of their two periods.
+    Landing and merging are separate steps for jobs that derive more tables
+    from the same batch: ``land_counts`` and ``merge_counts``.
+    """
+    merge_counts(spark, land_counts(spark, csv_path, on_bad, mixed_headers), location, raw_db)
+    return f"{raw_db}.{SENSOR_COUNTS}"
+
+
+def land_counts(spark: SparkSession, csv_path: str, on_bad: str = "fail", mixed_headers: bool = False) -> DataFrame:
+    """A landed count batch, parsed once and stored (``read_landed_counts``)."""
+    path = scratch_path(spark, "landed-counts")
+    overwrite_path(read_landed_counts(spark, csv_path, on_bad, mixed_headers), path)
+    return spark.read.parquet(path)
+
+
+def merge_counts(spark: SparkSession, batch: DataFrame, location: str, raw_db: str = "raw") -> DataFrame:
+    """Merge a landed batch into ``raw_db.sensor_counts``; returns the stored rows of its months.
+
+    A row of the batch replaces the stored rows of its month that have its
+    ``id``; all other stored rows stay, so a late or partial batch removes
+    nothing that it does not replace. Rows without an id are replaced by equal
+    rows. Rows whose time does not parse are kept by source file, and landing a
+    file again replaces that file's. A row whose corrected time lies in another
+    month does not remove the old one: ``unique(id)`` reports it.
     """
     name = f"{raw_db}.{SENSOR_COUNTS}"
-    counts = read_landed_counts(spark, csv_path, on_bad)
     schema = StructType([*SENSOR_COUNTS_SCHEMA.fields, StructField(MONTH_COL, StringType(), True)])
+    known = spark.catalog.tableExists(name)
     register_table(spark, name, schema, location, partition_by=[MONTH_COL])
-    overwrite_partitions(counts.sortWithinPartitions(MONTH_COL, "date_time"), name)
-    return name
+    rows = batch.select(*schema.names)
+    if known:
+        row_key = F.coalesce(F.col("id").cast("string"), F.concat(F.lit("row "), F.xxhash64(*schema.names)))
+        replaced = rows.select(MONTH_COL, row_key.alias("__key")).distinct()
+        stored = stored_months(spark, name, batch).filter(~F.col(MONTH_COL).startswith(UNPARSED_PREFIX))
+        stored = stored.withColumn("__key", row_key).join(replaced, [MONTH_COL, "__key"], "left_anti")
+        rows = rows.unionByName(stored.select(*schema.names))
+    overwrite_partitions(rows, name, sort_by=("date_time",))
+    return stored_months(spark, name, batch)
+
+
+def stored_months(spark: SparkSession, name: str, batch: DataFrame) -> DataFrame:
+    """The stored rows of the months of a batch; other partitions are not opened."""
+    return spark.table(name).join(batch.select(MONTH_COL).distinct(), MONTH_COL, "left_semi")
 
 
 def refresh_day_totals(
@@ -121,25 +156,17 @@ def refresh_day_totals(
 ) -> str:
     """Maintain ``report_db.sensor_day_totals`` partitioned by ``year_month``.
 
-    ``counts`` holds typed counts with a ``year_month`` column. Incremental
-    (default): pass the batch just landed with ``ingest_counts_by_month``
-    (``read_landed_counts``). That step replaced each month present in the
-    batch with the batch's rows, so the day totals of those months are the
-    totals of the batch alone: only those partitions are rewritten (dynamic
-    partition overwrite), and no stored count is read. Re-running after a
-    failure rewrites the same months from the same files. ``full=True``:
-    pass the whole stored counts table; every partition is replaced.
+    ``counts`` holds stored counts with a ``year_month`` column. Incremental
+    (default): pass what ``merge_counts`` returns, all stored rows of the
+    months just merged; only those partitions are rewritten. Re-running after
+    a failure rewrites the same months. ``full=True``: pass the whole stored
+    counts table; every partition is replaced.
 
     The reports then read the day totals (a 24th of hourly rows) instead of
     the raw counts; see ``build_reports(day_totals_table=...)``.
     """
     name = f"{report_db}.{DAY_TOTALS}"
-    # The aggregate leaves every month in every shuffle partition; the
-    # rebalance regroups its (small) output by month so each month is
-    # written as few files, and AQE splits a hot month to the advisory size.
-    totals = day_totals(
-        counts, "date_time", "sensor_id", "hourly_count", keys=(MONTH_COL,)
-    ).hint("rebalance", MONTH_COL)
+    totals = day_totals(counts, "date_time", "sensor_id", "hourly_count", keys=(MONTH_COL,))
     register_table(spark, name, DAY_TOTALS_SCHEMA, location, partition_by=[MONTH_COL])
     if full:
         overwrite_table(totals, name)
@@ -158,10 +185,9 @@ def refresh_check_failures(
     """Maintain ``report_db.sensor_counts_check_failures``: the failures of
     every row-level check of ``sensor_counts`` per ``year_month``.
 
-    Same contract as ``refresh_day_totals``: pass the batch just landed with
-    ``ingest_counts_by_month`` and only its months are recounted (one
-    grouped aggregate over the batch, dynamic partition overwrite), or the
-    whole stored table with ``full=True``. Row-check failures add up over
+    Same contract as ``refresh_day_totals``: pass the stored rows of the months
+    just merged and only those months are recounted (one grouped aggregate,
+    dynamic partition overwrite), or the whole stored table with ``full=True``. Row-check failures add up over
     months, so ``data_tests(check_failures_table=...)`` gets the table's
     counts by summing, without reading the stored counts for them.
     """
@@ -176,46 +202,53 @@ def refresh_check_failures(
     return name
 
 
-def read_landed_counts(spark: SparkSession, csv_path: str, on_bad: str = "fail") -> DataFrame:
-    """A landed count batch, typed, with the ``year_month`` partition column.
+def refresh_duplicate_ids(
+    spark: SparkSession, counts: DataFrame, location: str, raw_db: str = "raw", report_db: str = "report"
+) -> str:
+    """Maintain ``report_db.sensor_counts_duplicate_ids``: per month, the ids of its rows that
+    stand more than once in the stored counts.
 
-    A row whose time does not parse (kept as NULL with ``on_bad="null"``)
-    has no month; it is keyed by its source file instead
-    (``unparsed-<hash of the file path>``), so re-landing a file replaces
-    that file's unparsed rows and never another batch's.
+    Pass the stored rows of the months just merged. Their ids are looked up
+    among the stored ids of their range only (ids grow over time, so file
+    statistics leave out most of the table). A NULL row marks each month as
+    looked at, so a month whose duplicates went away is written anew.
     """
-    counts = counts_from_raw(
-        read_raw_counts_csv(spark, csv_path), on_bad,
-        extra=(F.col("_metadata.file_path").alias("__file"),),
-    )
-    unparsed = F.concat(F.lit(UNPARSED_PREFIX), F.substring(F.sha2(F.col("__file"), 256), 1, 16))
-    return counts.withColumn(
-        MONTH_COL, F.coalesce(month_of_day_text("date_time"), unparsed)
-    ).drop("__file")
+    name, stored = f"{report_db}.{DUPLICATE_IDS}", spark.table(f"{raw_db}.{SENSOR_COUNTS}")
+    register_table(spark, name, DUPLICATE_IDS_SCHEMA, location, partition_by=[MONTH_COL])
+    ids = counts.filter("id is not null").select("id", MONTH_COL).distinct()
+    low, high = ids.agg(F.min("id"), F.max("id")).first()
+    again = stored.filter(F.col("id").between(low, high)).groupBy("id").agg(F.count(F.lit(1)).alias("__n"))
+    again = ids.join(again.filter("__n > 1").select("id"), "id", "left_semi")
+    marks = counts.select(F.lit(None).cast("bigint").alias("id"), MONTH_COL).distinct()
+    overwrite_partitions(again.unionByName(marks), name, sort_by=("id",))
+    return name
+
+
+def read_landed_counts(
+    spark: SparkSession, csv_path: str, on_bad: str = "fail", mixed_headers: bool = False
+) -> DataFrame:
+    """A landed count batch, typed, with the ``year_month`` partition column."""
+    raw = read_raw_counts_csv(spark, csv_path, mixed_headers)
+    return with_month(counts_from_raw(raw, on_bad, extra=(F.col("_metadata.file_path").alias("__file"),)))
 
 
 def ingest_reference(
-    spark: SparkSession, json_path: str, root: str, raw_db: str = "raw", multi_line: bool = True
+    spark: SparkSession,
+    json_path: str,
+    root: str,
+    raw_db: str = "raw",
+    multi_line: bool = False,
+    on_bad: str = "fail",
 ) -> str:
-    """Sensor JSON -> ``raw_db.sensor_reference_data`` with the declared schema."""
-    df = read_reference_json(spark, json_path, multi_line=multi_line)
+    """Sensor JSON (Lines, or an array with ``multi_line``) -> ``raw_db.sensor_reference_data``
+    with the declared schema."""
+    df = read_reference_json(spark, json_path, multi_line=multi_line, on_bad=on_bad)
     return publish_table(df, f"{raw_db}.{SENSOR_REFERENCE}", root)
 
 
 def _one_row_per_day(days: DataFrame) -> DataFrame:
-    """Day totals with one row per (day, sensor): rows with a NULL day can sit
-    in several ``unparsed-*`` partitions (one per source file), so only those
-    are summed again; the dated rows pass as they are. The NULL-day branch
-    filters on ``day IS NULL``, which Parquet null counts answer per row
-    group, so it reads next to nothing."""
-    cols = ["day", "sensor_id", "total", "n_rows"]
-    dated = days.filter(F.col("day").isNotNull()).select(*cols)
-    undated = (
-        days.filter(F.col("day").isNull())
-        .groupBy("day", "sensor_id")
-        .agg(F.sum("total").alias("total"), F.sum("n_rows").alias("n_rows"))
-    )
-    return dated.unionByName(undated)
+    """Day totals with one row per (day, sensor), summed over the texts that stand for a day."""
+    return days.groupBy("day", "sensor_id").agg(F.sum("total").alias("total"), F.sum("n_rows").alias("n_rows"))
 
 
 def _refuse_to_replace_maintained_totals(spark: SparkSession, name: str) -> None:
@@ -240,6 +273,8 @@ def build_reports(
     month_col: str | None = None,
     one_scan: bool = True,
     day_totals_table: str | None = None,
+    ordered: bool = False,
+    count_type: str = "bigint",
 ) -> dict[str, str]:
     """Write the four reports from the stored raw tables; returns locations.
 
@@ -253,23 +288,27 @@ def build_reports(
     counts are read once into stored day totals (``sensor_day_totals``:
     day, sensor, total, raw row count), and the daily ranking and both
     change reports are computed from that much smaller table. A change
-    period total is then the sum of its day totals, with presence taken
-    from the raw row counts, so results equal the per-report scans (a
-    stored time whose date part parses but whose rest does not is the one
-    difference: the day scan puts it in no period, a text comparison would).
+    period total is then the sum of its day totals, by the text of the
+    stored time, with presence taken from the raw row counts, so results
+    equal the per-report scans, malformed times included.
     Otherwise each report scans the raw counts; pass
     ``month_col="year_month"`` when they were landed with
-    ``ingest_counts_by_month`` so those scans prune partitions."""
+    ``ingest_counts_by_month`` so those scans prune partitions.
+
+    ``ordered``: the rankings come sorted, period descending and rank
+    ascending, and the change reports by percent (as always) and sensor.
+    ``count_type="int"``: the counts are written in the narrow type."""
     counts = spark.table(f"{raw_db}.{SENSOR_COUNTS}")
     dim = spark.table(f"{raw_db}.{SENSOR_REFERENCE}")
+    form = dict(n=n, ordered=ordered, count_type=count_type)
     out = {}
     if day_totals_table:
         if not _whole_days(*decline_periods, *growth_periods):
             raise ValueError("reports from day totals need whole-day period bounds")
         days = spark.table(day_totals_table)
-        daily_plan = top_n_from_day_totals(_one_row_per_day(days), dim, n=n)
+        daily_plan = top_n_from_day_totals(_one_row_per_day(days), dim, **form)
         change_src = dict(
-            counts=days, ts_col="day", value_col="total", rows_col="n_rows",
+            counts=days, ts_col="day_text", value_col="total", rows_col="n_rows",
             month_col=MONTH_COL if MONTH_COL in days.columns else None,
         )
     elif one_scan and _whole_days(*decline_periods, *growth_periods):
@@ -282,23 +321,23 @@ def build_reports(
             root,
         )
         days = spark.table(f"{report_db}.{DAY_TOTALS}")
-        daily_plan = top_n_from_day_totals(days, dim, n=n)
-        change_src = dict(counts=days, ts_col="day", value_col="total", rows_col="n_rows")
+        daily_plan = top_n_from_day_totals(_one_row_per_day(days), dim, **form)
+        change_src = dict(counts=days, ts_col="day_text", value_col="total", rows_col="n_rows")
     else:
-        daily_plan = top_n_by_day(counts, dim, n=n)
+        daily_plan = top_n_by_day(counts, dim, **form)
         change_src = dict(counts=counts, month_col=month_col)
     out[TOP_BY_DAY] = publish_table(daily_plan, f"{report_db}.{TOP_BY_DAY}", root)
     daily = spark.table(f"{report_db}.{TOP_BY_DAY}")
     out[TOP_BY_MONTH] = publish_table(
-        top_n_by_month(daily, dim, n=n), f"{report_db}.{TOP_BY_MONTH}", root
+        top_n_by_month(daily, dim, **form), f"{report_db}.{TOP_BY_MONTH}", root
     )
     out[DECLINES] = publish_table(
-        decline_report(dim=dim, base=decline_periods[0], current=decline_periods[1], **change_src),
+        decline_report(dim=dim, base=decline_periods[0], current=decline_periods[1], count_type=count_type, **change_src),
         f"{report_db}.{DECLINES}",
         root,
     )
     out[GROWTH] = publish_table(
-        growth_report(dim=dim, previous=growth_periods[0], last=growth_periods[1], **change_src),
+        growth_report(dim=dim, previous=growth_periods[0], last=growth_periods[1], count_type=count_type, **change_src),
         f"{report_db}.{GROWTH}",
         root,
     )
@@ -311,17 +350,19 @@ def data_tests(
     report_db: str = "report",
     n: int = 10,
     check_failures_table: str | None = None,
+    duplicate_ids_table: str | None = None,
 ) -> DataFrame:
     """All checks of the three tested tables as one result DataFrame.
 
     ``check_failures_table``: per-month failures kept by
     ``refresh_check_failures``; the row checks of the counts are then sums
     over it, and only ``unique(id)``, which does not add up over months,
-    reads the stored counts (their ``id`` column alone).
+    reads the stored counts (their ``id`` column alone), or, with
+    ``duplicate_ids_table`` (``refresh_duplicate_ids``), no stored count at all.
     """
     counts = spark.table(f"{raw_db}.{SENSOR_COUNTS}")
     if check_failures_table:
-        counts_part = _checks_from_failures(spark, counts, check_failures_table)
+        counts_part = _checks_from_failures(spark, counts, check_failures_table, duplicate_ids_table)
     else:
         counts_part = run_checks(counts, sensor_counts_checks(), SENSOR_COUNTS)
     parts = [
@@ -337,7 +378,14 @@ def data_tests(
     return out
 
 
-def _checks_from_failures(spark: SparkSession, counts: DataFrame, table: str) -> DataFrame:
+def require_data_tests(results: DataFrame) -> None:
+    """Stop a pipeline on failed data tests: raises ``ChecksFailed`` with their names."""
+    gate(results)
+
+
+def _checks_from_failures(
+    spark: SparkSession, counts: DataFrame, table: str, duplicates: str | None = None
+) -> DataFrame:
     checks = sensor_counts_checks()
     keys = ["table_name", "column_name", "check_name"]
     # A zero row per check (a literal list, no data) keeps every check in
@@ -366,4 +414,13 @@ def _checks_from_failures(spark: SparkSession, counts: DataFrame, table: str) ->
         .agg(F.sum("failures").cast("bigint").alias("failures"))
     )
     unique_checks = [ch for ch in checks if ch.kind == "unique"]
+    if duplicates:
+        twice = spark.table(duplicates).filter("id is not null").select("id").distinct()
+        found = twice.agg(F.count(F.lit(1)).alias("failures")).select(
+            F.lit(SENSOR_COUNTS).alias("table_name"),
+            F.lit("id").alias("column_name"),
+            F.lit("unique").alias("check_name"),
+            "failures",
+        )
+        return found.unionByName(rows)
     return run_checks(counts, unique_checks, SENSOR_COUNTS).unionByName(rows)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from countlens.functions.change import difference, percent_of
 from countlens.functions.datetime import day_of, month_of_day_text
-from countlens.operators.enrich import DEFAULT_BROADCAST_MAX_ROWS, label_join
+from countlens.operators.enrich import label_join
 from countlens.operators.periods import present_in_both
 from countlens.operators.ranking import rank_within, top_n_by_period
 
@@ -40,14 +40,13 @@ def top_n_by_day(
     count_type: str = "bigint",
     id_type: str | None = None,
     ordered: bool = False,
-    broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Top ``n`` sensors per calendar day by summed count, labelled.
 
     Columns: ``date`` (``yyyy-MM-dd`` text), ``rank`` int, ``sensor_id``,
     ``location_name``, ``daily_count``. Plan: pruned scan -> partial/final
     sum per (day, sensor) -> partial WindowGroupLimit -> shuffle by day ->
-    row_number <= n -> left join to the (size-checked) dimension.
+    row_number <= n -> left join to the dimension.
 
     ``ordered=True`` adds a global sort (day descending, rank ascending),
     which costs a sampling pass and a range shuffle; by default rows come
@@ -61,7 +60,7 @@ def top_n_by_day(
     )
     ranked = top_n_by_period(src, "__day", "sensor_id", "__v", n, "__total")
     return _daily_report(
-        ranked, dim, dim_key, label_col, count_type, id_type, ordered, broadcast_max_rows
+        ranked, dim, dim_key, label_col, count_type, id_type, ordered
     )
 
 
@@ -77,7 +76,6 @@ def top_n_from_day_totals(
     count_type: str = "bigint",
     id_type: str | None = None,
     ordered: bool = False,
-    broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """``top_n_by_day`` from stored day totals (one row per day and sensor,
     e.g. ``operators.periods.day_totals``): no re-aggregation, only the
@@ -89,13 +87,13 @@ def top_n_from_day_totals(
     )
     ranked = rank_within(src, "__day", "sensor_id", "__total", n)
     return _daily_report(
-        ranked, dim, dim_key, label_col, count_type, id_type, ordered, broadcast_max_rows
+        ranked, dim, dim_key, label_col, count_type, id_type, ordered
     )
 
 
-def _daily_report(ranked, dim, dim_key, label_col, count_type, id_type, ordered, broadcast_max_rows):
+def _daily_report(ranked, dim, dim_key, label_col, count_type, id_type, ordered):
     labelled = label_join(
-        ranked, dim, "sensor_id", dim_key, label_col, "location_name", broadcast_max_rows
+        ranked, dim, "sensor_id", dim_key, label_col, "location_name"
     )
     out = labelled.select(
         F.col("__day").cast("string").alias("date"),
@@ -115,7 +113,6 @@ def top_n_by_month(
     label_col: str = "sensor_description",
     count_type: str = "bigint",
     ordered: bool = False,
-    broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Top ``n`` sensors per month, rolled up from the *daily top-n report*.
 
@@ -131,7 +128,7 @@ def top_n_by_month(
     )
     ranked = top_n_by_period(src, "year_month", "sensor_id", "daily_count", n, "__total")
     labelled = label_join(
-        ranked, dim, "sensor_id", dim_key, label_col, "location_name", broadcast_max_rows
+        ranked, dim, "sensor_id", dim_key, label_col, "location_name"
     )
     out = labelled.select(
         F.col("year_month").cast("string").alias("year_month"),
@@ -157,20 +154,19 @@ def _change_report(
     label_col: str,
     count_type: str,
     ordered: bool,
-    broadcast_max_rows: int | None,
     month_col: str | None = None,
     rows_col: str | None = None,
 ) -> DataFrame:
-    """Same result as ``period_change`` + ``with_label`` + projection, built
-    with fewer DataFrame steps: totals keep their helper columns and the one
-    final projection computes, names and drops everything."""
+    """Totals of two periods per key, their difference and percent of the *base*
+    (earlier) total; a zero base gives NULL, keys missing from either period are
+    dropped. Largest percent first when ordered, equal percents by sensor."""
     base_out, current_out, change_out, percent_out = names
     totals = present_in_both(
         counts, ts_col, base, current, id_col, value_col, "__base", "__current", month_col,
         rows_col,
     )
     labelled = label_join(
-        totals, dim, id_col, dim_key, label_col, "location_name", broadcast_max_rows
+        totals, dim, id_col, dim_key, label_col, "location_name"
     )
     b = F.col("__base").cast(count_type)
     c = F.col("__current").cast(count_type)
@@ -183,7 +179,7 @@ def _change_report(
         change.alias(change_out),
         percent_of(change, b).alias(percent_out),
     )
-    return out.orderBy(F.col(percent_out).desc_nulls_last()) if ordered else out
+    return out.orderBy(F.col(percent_out).desc_nulls_last(), F.col("sensor_id")) if ordered else out
 
 
 def decline_report(
@@ -199,7 +195,6 @@ def decline_report(
     count_type: str = "bigint",
     ordered: bool = True,
     names: tuple[str, str, str, str] = ("count_2019", "count_2022", "decline", "decline_percent"),
-    broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
     month_col: str | None = None,
     rows_col: str | None = None,
 ) -> DataFrame:
@@ -212,7 +207,7 @@ def decline_report(
     column holds the raw row count behind each row."""
     return _change_report(
         counts, dim, "decline", base, current, names, ts_col, id_col, value_col,
-        dim_key, label_col, count_type, ordered, broadcast_max_rows, month_col, rows_col,
+        dim_key, label_col, count_type, ordered, month_col, rows_col,
     )
 
 
@@ -231,7 +226,6 @@ def growth_report(
     names: tuple[str, str, str, str] = (
         "count_previous_year", "count_last_year", "growth", "growth_percent",
     ),
-    broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
     month_col: str | None = None,
     rows_col: str | None = None,
 ) -> DataFrame:
@@ -241,5 +235,5 @@ def growth_report(
     ``month_col``, ``rows_col``: as in ``decline_report``."""
     return _change_report(
         counts, dim, "growth", previous, last, names, ts_col, id_col, value_col,
-        dim_key, label_col, count_type, ordered, broadcast_max_rows, month_col, rows_col,
+        dim_key, label_col, count_type, ordered, month_col, rows_col,
     )

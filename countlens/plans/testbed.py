@@ -32,6 +32,7 @@ from countlens.functions.datetime import (
 from countlens.operators import checks as ck
 from countlens.operators.enrich import with_label
 from countlens.operators.periods import period_total
+from countlens.operators.ranking import top_n_by_period
 from countlens.plans import jobs
 from countlens.plans.reports import decline_report, growth_report, top_n_by_day, top_n_by_month
 from countlens.session import scratch_path
@@ -55,23 +56,8 @@ LINEITEM_COUNTS = dict(ts_col="l_shipdate", id_col="l_suppkey", value_col="l_qua
 SUPPLIER_DIM = dict(dim_key="s_suppkey", label_col="s_name")
 
 
-_SCHEMAS: dict[str, object] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table with its schema resolved once per process.
-
-    Acts like a catalog entry: the first read infers the Parquet schema (a
-    footer-reading job); later reads pass it explicitly and skip that job.
-    The test tables are read-only, so the cached schema cannot go stale.
-    """
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    schema = _SCHEMAS.get(path)
-    if schema is None:
-        df = spark.read.parquet(path)
-        _SCHEMAS[path] = df.schema
-        return df
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def _lineitem(spark, sf_dir):
@@ -86,13 +72,12 @@ def sensor_counts_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem in the stored ``sensor_counts`` shape (ISO text ``date_time``).
 
     ``id = l_orderkey * 8 + l_linenumber`` is unique because line numbers
-    are 1..7. The supplier join that supplies ``sensor_name`` is a
-    size-checked broadcast.
+    are 1..7.
     """
     li = _lineitem(spark, sf_dir)
     labelled = with_label(li, _supplier(spark, sf_dir), "l_suppkey", "s_suppkey", "s_name", "sensor_name")
     return labelled.select(
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("int").alias("id"),
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"),
         format_iso("l_shipdate", spark).alias("date_time"),
         F.col("l_suppkey").cast("int").alias("sensor_id"),
         F.col("sensor_name"),
@@ -158,6 +143,18 @@ def sensor_reference_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Marts already built, by application, kind and folder: the test tables don't change,
+# so the queries that read one report each share a mart.
+_MARTS: dict[tuple[str, str, str], tuple[str, str]] = {}
+
+
+def _mart(spark: SparkSession, sf_dir: str, kind: str, build) -> tuple[str, str]:
+    key = (spark.sparkContext.applicationId, kind, sf_dir)
+    if key not in _MARTS:
+        _MARTS[key] = build(spark, sf_dir)
+    return _MARTS[key]
+
+
 def build_test_mart(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """Land both raw tables from the test tables and build the four reports
     as stored tables, exactly as the jobs run (fresh databases per call)."""
@@ -494,10 +491,11 @@ def q_decline_report_month_pruned(spark, sf_dir):
 
 def build_incremental_mart(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """The month-partitioned layout end to end: land lineitem as a count
-    file whose March 1996 counts are doubled, ingest it by month and keep
-    the day totals and check failures by month; then re-land March 1996
-    with the right counts (every table must replace that month only); build
-    the four reports from the day totals alone."""
+    file whose March 1996 counts are doubled, merge it by month and keep the
+    day totals, check failures and duplicate ids by month; then re-land March
+    1996 with the right counts (every table must replace that month only);
+    build the four reports from the day totals alone. A batch is parsed once,
+    and the kept tables come from the stored months it touched."""
     tag = os.path.basename(scratch_path(spark, "i")).replace("-", "_")
     raw_db, report_db = f"cl_rawi_{tag}", f"cl_reporti_{tag}"
     root = scratch_path(spark, "inc-mart")
@@ -515,11 +513,12 @@ def build_incremental_mart(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     publish_table(sensor_reference_view(spark, sf_dir), f"{raw_db}.{jobs.SENSOR_REFERENCE}", root)
     counts_at, totals_at = scratch_path(spark, "inc-counts"), scratch_path(spark, "inc-day-totals")
     failures_at = scratch_path(spark, "inc-check-failures")
+    twice_at = scratch_path(spark, "inc-duplicate-ids")
     for landing in (first, again):
-        jobs.ingest_counts_by_month(spark, landing, counts_at, raw_db)
-        batch = jobs.read_landed_counts(spark, landing)
-        jobs.refresh_day_totals(spark, batch, totals_at, report_db)
-        jobs.refresh_check_failures(spark, batch, failures_at, report_db)
+        months = jobs.merge_counts(spark, jobs.land_counts(spark, landing), counts_at, raw_db)
+        jobs.refresh_day_totals(spark, months, totals_at, report_db)
+        jobs.refresh_check_failures(spark, months, failures_at, report_db)
+        jobs.refresh_duplicate_ids(spark, months, twice_at, raw_db, report_db)
     jobs.build_reports(
         spark, root, raw_db, report_db, n=10,
         decline_periods=(BASE, CURRENT), growth_periods=(CURRENT, LAST),
@@ -529,67 +528,266 @@ def build_incremental_mart(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
 
 
 def q_incremental_day_totals(spark, sf_dir):
-    _, report_db = build_incremental_mart(spark, sf_dir)
-    return spark.table(f"{report_db}.{jobs.DAY_TOTALS}")
+    _, report_db = _mart(spark, sf_dir, "incremental", build_incremental_mart)
+    return spark.table(f"{report_db}.{jobs.DAY_TOTALS}").drop("day_text")
 
 
 def q_incremental_top_n_by_day(spark, sf_dir):
-    _, report_db = build_incremental_mart(spark, sf_dir)
+    _, report_db = _mart(spark, sf_dir, "incremental", build_incremental_mart)
     return spark.table(f"{report_db}.{jobs.TOP_BY_DAY}")
 
 
 def q_incremental_top_n_by_month(spark, sf_dir):
-    _, report_db = build_incremental_mart(spark, sf_dir)
+    _, report_db = _mart(spark, sf_dir, "incremental", build_incremental_mart)
     return spark.table(f"{report_db}.{jobs.TOP_BY_MONTH}")
 
 
 def q_incremental_decline_report(spark, sf_dir):
-    _, report_db = build_incremental_mart(spark, sf_dir)
+    _, report_db = _mart(spark, sf_dir, "incremental", build_incremental_mart)
     return spark.table(f"{report_db}.{jobs.DECLINES}")
 
 
 def q_incremental_growth_report(spark, sf_dir):
-    _, report_db = build_incremental_mart(spark, sf_dir)
+    _, report_db = _mart(spark, sf_dir, "incremental", build_incremental_mart)
     return spark.table(f"{report_db}.{jobs.GROWTH}")
 
 
 def q_incremental_data_tests(spark, sf_dir):
-    raw_db, report_db = build_incremental_mart(spark, sf_dir)
+    raw_db, report_db = _mart(spark, sf_dir, "incremental", build_incremental_mart)
     return jobs.data_tests(
-        spark, raw_db, report_db, check_failures_table=f"{report_db}.{jobs.CHECK_FAILURES}"
+        spark, raw_db, report_db,
+        check_failures_table=f"{report_db}.{jobs.CHECK_FAILURES}",
+        duplicate_ids_table=f"{report_db}.{jobs.DUPLICATE_IDS}",
     )
 
 
 def q_stored_day_totals(spark, sf_dir):
-    _, report_db = build_test_mart(spark, sf_dir)
-    return spark.table(f"{report_db}.{jobs.DAY_TOTALS}")
+    _, report_db = _mart(spark, sf_dir, "stored", build_test_mart)
+    return spark.table(f"{report_db}.{jobs.DAY_TOTALS}").drop("day_text")
 
 
 def q_stored_top_n_by_day(spark, sf_dir):
-    _, report_db = build_test_mart(spark, sf_dir)
+    _, report_db = _mart(spark, sf_dir, "stored", build_test_mart)
     return spark.table(f"{report_db}.{jobs.TOP_BY_DAY}")
 
 
 def q_stored_top_n_by_month(spark, sf_dir):
-    _, report_db = build_test_mart(spark, sf_dir)
+    _, report_db = _mart(spark, sf_dir, "stored", build_test_mart)
     return spark.table(f"{report_db}.{jobs.TOP_BY_MONTH}")
 
 
 def q_stored_decline_report(spark, sf_dir):
-    _, report_db = build_test_mart(spark, sf_dir)
+    _, report_db = _mart(spark, sf_dir, "stored", build_test_mart)
     return spark.table(f"{report_db}.{jobs.DECLINES}")
 
 
 def q_stored_growth_report(spark, sf_dir):
-    _, report_db = build_test_mart(spark, sf_dir)
+    _, report_db = _mart(spark, sf_dir, "stored", build_test_mart)
     return spark.table(f"{report_db}.{jobs.GROWTH}")
 
 
 def q_stored_data_tests(spark, sf_dir):
-    raw_db, report_db = build_test_mart(spark, sf_dir)
+    raw_db, report_db = _mart(spark, sf_dir, "stored", build_test_mart)
     return jobs.data_tests(spark, raw_db, report_db)
 
 
+# ------------------------------------- odd files, late rows, malformed times
+
+
+def q_ingest_counts_mixed_headers(spark, sf_dir):
+    """Files whose headers have another order and other extra columns."""
+    rows = raw_count_file_rows(spark, sf_dir)
+    odd = F.col("ID").cast("long") % 2 == 1
+    landing = scratch_path(spark, "counts-mixed")
+    rows.filter(~odd).write.option("header", True).csv(landing)
+    other = rows.filter(odd).select("Hourly_Counts", "Sensor_Name", "ID", "Sensor_ID", "Date_Time")
+    other.write.mode("append").option("header", True).csv(landing)
+    return read_counts_csv(spark, landing, mixed_headers=True)
+
+
+def q_ingest_counts_wide_ids(spark, sf_dir):
+    """Ids beyond the range of an int."""
+    rows = raw_count_file_rows(spark, sf_dir)
+    landing = scratch_path(spark, "counts-wide")
+    wide = (F.col("ID").cast("long") + 3_000_000_000).cast("string")
+    rows.withColumn("ID", wide).write.option("header", True).csv(landing)
+    return read_counts_csv(spark, landing)
+
+
+def q_ingest_counts_bad_lines(spark, sf_dir):
+    """Short and long lines and empty fields are kept, with what is wrong, for quarantine."""
+    li = _lineitem(spark, sf_dir)
+    fields = [
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("string"),
+        raw_count_time_text("l_shipdate", spark),
+        F.col("l_suppkey").cast("string"),
+        F.lit("name"),
+        F.col("l_quantity").cast("int").cast("string"),
+    ]
+    full = F.concat_ws(",", *(F.concat(F.lit('"'), x, F.lit('"')) for x in fields))
+    line = (
+        F.when(F.col("l_linenumber") == 2, F.concat_ws(",", fields[0], F.lit("short")))
+        .when(F.col("l_linenumber") == 3, F.concat(full, F.lit(",extra")))
+        .when(F.col("l_linenumber") == 4, F.concat(fields[0], F.lit(",,,,")))
+        .otherwise(full)
+    )
+    landing = scratch_path(spark, "counts-bad-lines")
+    li.select(line.alias("ID,Date_Time,Sensor_ID,Sensor_Name,Hourly_Counts")).write.option("header", True).option(
+        "quote", "\u0000"
+    ).option("sep", "\u0001").option("escapeQuotes", False).csv(landing)
+    got = read_counts_csv(spark, landing, on_bad="null", bad_line_col="bad_line")
+    return got.select("id", "date_time", "hourly_count", F.col("bad_line").isNotNull().alias("is_bad_line"))
+
+
+def q_incremental_late_rows(spark, sf_dir):
+    """A late batch with some days of a stored month: the month's other days stay."""
+    raw_db = "cl_rawl_" + os.path.basename(scratch_path(spark, "l")).replace("-", "_")
+    location = scratch_path(spark, "late-table")
+    rows = raw_count_file_rows(spark, sf_dir)
+    march_1996 = F.col("Date_Time").startswith("March") & F.col("Date_Time").contains(", 1996 ")
+    late = march_1996 & (F.substring("Date_Time", 7, 2) >= "15")
+    for part in (~late, late):
+        landing = scratch_path(spark, "late-landing")
+        rows.filter(part).write.option("header", True).csv(landing)
+        name = jobs.ingest_counts_by_month(spark, landing, location, raw_db)
+    return spark.table(name)
+
+
+def _bad_time_counts(spark, sf_dir):
+    """Counts of which some have a clock that is no time of day."""
+    counts = sensor_counts_view(spark, sf_dir)
+    bad = F.concat(F.substring("date_time", 1, 10), F.lit("T99:00:00"))
+    return counts.withColumn("date_time", F.when(F.col("id") % 8 == 2, bad).otherwise(F.col("date_time")))
+
+
+def q_decline_report_bad_times(spark, sf_dir):
+    counts = _bad_time_counts(spark, sf_dir)
+    return decline_report(counts, _supplier(spark, sf_dir), base=BASE, current=CURRENT, **SUPPLIER_DIM)
+
+
+def _bad_time_mart(spark, sf_dir, by_month: bool):
+    tag = os.path.basename(scratch_path(spark, "b")).replace("-", "_")
+    root, raw_db, report_db = scratch_path(spark, "bad-time-mart"), f"cl_rawb_{tag}", f"cl_reportb_{tag}"
+    counts, totals = _bad_time_counts(spark, sf_dir), None
+    publish_table(sensor_reference_view(spark, sf_dir), f"{raw_db}.{jobs.SENSOR_REFERENCE}", root)
+    if by_month:
+        batch = counts.withColumn(jobs.MONTH_COL, F.substring("date_time", 1, 7))
+        months = jobs.merge_counts(spark, batch, scratch_path(spark, "bad-time-counts"), raw_db)
+        totals = jobs.refresh_day_totals(spark, months, scratch_path(spark, "bad-time-totals"), report_db)
+    else:
+        publish_table(counts, f"{raw_db}.{jobs.SENSOR_COUNTS}", root)
+    jobs.build_reports(
+        spark, root, raw_db, report_db, decline_periods=(BASE, CURRENT), growth_periods=(CURRENT, LAST),
+        day_totals_table=totals,
+    )
+    return spark.table(f"{report_db}.{jobs.DECLINES}")
+
+
+def q_stored_decline_report_bad_times(spark, sf_dir):
+    return _bad_time_mart(spark, sf_dir, by_month=False)
+
+
+def q_incremental_decline_report_bad_times(spark, sf_dir):
+    return _bad_time_mart(spark, sf_dir, by_month=True)
+
+
+def q_ingest_reference_json_array(spark, sf_dir):
+    """Files that hold one JSON array each, of at most 16 records."""
+    sup = _supplier(spark, sf_dir)
+    record = F.struct(
+        F.col("s_suppkey").cast("int").alias("location_id"),
+        F.col("s_name").alias("sensor_description"),
+        F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("sensor_name"),
+        F.col("s_acctbal").alias("latitude"),
+        F.col("s_nationkey").cast("double").alias("longitude"),
+        F.struct(F.col("s_nationkey").cast("double").alias("lon"), F.col("s_acctbal").alias("lat")).alias("location"),
+    )
+    part = F.floor(F.col("s_suppkey") / 16).alias("part")
+    arrays = sup.groupBy(part).agg(F.to_json(F.collect_list(record)).alias("value"))
+    landing = scratch_path(spark, "reference-json-array")
+    arrays.write.partitionBy("part").text(landing)
+    root, raw_db = scratch_path(spark, "reference-array"), "cl_refa_" + os.path.basename(scratch_path(spark, "r")).replace("-", "_")
+    jobs.ingest_reference(spark, os.path.join(landing, "part=*"), root, raw_db, multi_line=True)
+    dim = spark.table(f"{raw_db}.{jobs.SENSOR_REFERENCE}")
+    return dim.select(
+        "location_id", "sensor_description", "sensor_name", "installation_date", "latitude", "longitude",
+        F.col("location.lon").alias("location_lon"), F.col("location.lat").alias("location_lat"),
+    )
+
+
+# ------------------------------------------------ order, types, any n, checks
+
+
+def q_top_n_by_day_ordered(spark, sf_dir):
+    return top_n_by_day(
+        _lineitem(spark, sf_dir), _supplier(spark, sf_dir), n=10, ordered=True, **LINEITEM_COUNTS, **SUPPLIER_DIM
+    )
+
+
+def q_stored_top_n_by_day_int(spark, sf_dir):
+    """The stored daily ranking, sorted and in the narrow count type."""
+    tag = os.path.basename(scratch_path(spark, "n")).replace("-", "_")
+    root, raw_db, report_db = scratch_path(spark, "int-mart"), f"cl_rawn_{tag}", f"cl_reportn_{tag}"
+    publish_table(sensor_counts_view(spark, sf_dir), f"{raw_db}.{jobs.SENSOR_COUNTS}", root)
+    publish_table(sensor_reference_view(spark, sf_dir), f"{raw_db}.{jobs.SENSOR_REFERENCE}", root)
+    jobs.build_reports(
+        spark, root, raw_db, report_db, decline_periods=(BASE, CURRENT), growth_periods=(CURRENT, LAST),
+        ordered=True, count_type="int",
+    )
+    return spark.table(f"{report_db}.{jobs.TOP_BY_DAY}")
+
+
+def q_top_1500_by_year(spark, sf_dir):
+    """A ranking beyond the length to which Spark limits windows before their shuffle."""
+    li = _lineitem(spark, sf_dir).withColumn("year", F.year("l_shipdate"))
+    return top_n_by_period(li, "year", "l_orderkey", "l_quantity", 1500, "total")
+
+
+def q_period_total_midday_of_dates(spark, sf_dir):
+    li = _lineitem(spark, sf_dir).withColumn("day", F.to_date("l_shipdate"))
+    total = period_total(li, "day", "1996-03-01T12:00:00", "1996-03-31T12:00:00", "l_suppkey", "l_quantity", "total")
+    return total.select(F.col("l_suppkey").alias("sensor_id"), F.col("total").cast("bigint").alias("total"))
+
+
+def q_check_formats_with_line_breaks(spark, sf_dir):
+    """Values that end in a line break fail the format checks."""
+    d = F.col("l_shipdate")
+    end = F.when(F.col("l_linenumber") == 1, F.lit("\n")).otherwise(F.lit(""))
+    rows = _lineitem(spark, sf_dir).select(
+        F.concat(F.date_format(d, DATE_FORMAT), end).alias("day_text"),
+        F.concat(F.date_format(d, ISO_LOCAL_FORMAT), end).alias("time_text"),
+    )
+    return ck.run_checks(rows, [ck.is_date_format("day_text"), ck.is_iso_format("time_text")], "lineitem")
+
+
+def q_violations_not_null(spark, sf_dir):
+    return ck.violations(_label_miss_rows(spark, sf_dir), ck.not_null("location_name"))
+
+
+def q_violations_accepted_values(spark, sf_dir):
+    check = ck.accepted_values("c_mktsegment", ["BUILDING", "AUTOMOBILE", "MACHINERY"])
+    return ck.violations(table(spark, sf_dir, "customer"), check)
+
+
+def q_violations_date_format(spark, sf_dir):
+    return ck.violations(_formatted_days(spark, sf_dir), ck.is_date_format("day_text"))
+
+
+def q_violations_iso_format(spark, sf_dir):
+    return ck.violations(_formatted_days(spark, sf_dir), ck.is_iso_format("time_text"))
+
+
+def q_violations_id_range(spark, sf_dir):
+    return ck.violations(_supplier(spark, sf_dir), ck.in_range("s_suppkey", 0, 50))
+
+
+def q_violations_rank_range(spark, sf_dir):
+    report = top_n_by_day(
+        _lineitem(spark, sf_dir), _supplier(spark, sf_dir), n=12, **LINEITEM_COUNTS, **SUPPLIER_DIM
+    )
+    return ck.violations(report, ck.accepted_values("rank", range(1, 11), name="rank_range"))
+
+
 QUERIES = {
     "top_n_by_day": q_top_n_by_day,
     "top_n_by_month": q_top_n_by_month,
@@ -636,4 +834,23 @@ QUERIES = {
     "incremental_decline_report": q_incremental_decline_report,
     "incremental_growth_report": q_incremental_growth_report,
     "incremental_data_tests": q_incremental_data_tests,
+    "ingest_counts_mixed_headers": q_ingest_counts_mixed_headers,
+    "ingest_counts_wide_ids": q_ingest_counts_wide_ids,
+    "ingest_counts_bad_lines": q_ingest_counts_bad_lines,
+    "incremental_late_rows": q_incremental_late_rows,
+    "decline_report_bad_times": q_decline_report_bad_times,
+    "stored_decline_report_bad_times": q_stored_decline_report_bad_times,
+    "incremental_decline_report_bad_times": q_incremental_decline_report_bad_times,
+    "ingest_reference_json_array": q_ingest_reference_json_array,
+    "top_n_by_day_ordered": q_top_n_by_day_ordered,
+    "stored_top_n_by_day_int": q_stored_top_n_by_day_int,
+    "top_1500_by_year": q_top_1500_by_year,
+    "period_total_midday_of_dates": q_period_total_midday_of_dates,
+    "check_formats_with_line_breaks": q_check_formats_with_line_breaks,
+    "violations_not_null": q_violations_not_null,
+    "violations_accepted_values": q_violations_accepted_values,
+    "violations_date_format": q_violations_date_format,
+    "violations_iso_format": q_violations_iso_format,
+    "violations_id_range": q_violations_id_range,
+    "violations_rank_range": q_violations_rank_range,
 }

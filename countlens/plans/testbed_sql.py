@@ -103,7 +103,7 @@ FROM t LEFT JOIN s ON l_suppkey = s_suppkey
 """
 
 _COUNTS_VIEW = """
-SELECT CAST(l_orderkey * 8 + l_linenumber AS INTEGER) AS id,
+SELECT CAST(l_orderkey * 8 + l_linenumber AS BIGINT) AS id,
        strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S') AS date_time,
        CAST(l_suppkey AS INTEGER) AS sensor_id,
        s_name AS sensor_name,
@@ -225,6 +225,20 @@ _DATA_TESTS = (
     )
 )
 
+_TEXT_DECLINE = _change(
+    _BASE, _CURRENT, _DECLINE_NAMES, "decline",
+    key="CAST(l_suppkey AS INTEGER)", value="CAST(l_quantity AS INTEGER)",
+)
+
+_REFERENCE_JSON = """
+SELECT CAST(s_suppkey AS INTEGER) AS location_id, s_name AS sensor_description,
+       'S' || CAST(s_suppkey AS VARCHAR) AS sensor_name,
+       CAST(NULL AS VARCHAR) AS installation_date,
+       s_acctbal AS latitude, CAST(s_nationkey AS DOUBLE) AS longitude,
+       CAST(s_nationkey AS DOUBLE) AS location_lon, s_acctbal AS location_lat
+FROM supplier
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "top_n_by_day": _DAY_TOP.format(n=10),
     "top_n_by_month": _MONTH_TOP,
@@ -255,14 +269,7 @@ FROM lineitem
 """,
     "ingest_counts_csv": _COUNTS_VIEW,
     "ingest_counts_stream": _COUNTS_VIEW,
-    "ingest_reference_json": """
-SELECT CAST(s_suppkey AS INTEGER) AS location_id, s_name AS sensor_description,
-       'S' || CAST(s_suppkey AS VARCHAR) AS sensor_name,
-       CAST(NULL AS VARCHAR) AS installation_date,
-       s_acctbal AS latitude, CAST(s_nationkey AS DOUBLE) AS longitude,
-       CAST(s_nationkey AS DOUBLE) AS location_lon, s_acctbal AS location_lat
-FROM supplier
-""",
+    "ingest_reference_json": _REFERENCE_JSON,
     "overwrite_roundtrip": "SELECT * FROM supplier",
     "publish_roundtrip": "SELECT * FROM supplier",
     "passthrough_view": "SELECT * FROM nation",
@@ -362,4 +369,53 @@ SELECT *, strftime("day", '%Y-%m') AS year_month FROM ({_DAY_TOTALS})
     ),
     "stored_data_tests": _DATA_TESTS,
     "incremental_data_tests": _DATA_TESTS,
+    "ingest_counts_mixed_headers": _COUNTS_VIEW,
+    "ingest_counts_wide_ids": f"SELECT * REPLACE (id + 3000000000 AS id) FROM ({_COUNTS_VIEW})",
+    "ingest_counts_bad_lines": """
+SELECT CAST(l_orderkey * 8 + l_linenumber AS BIGINT) AS id,
+       CASE WHEN l_linenumber NOT IN (2, 4) THEN strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S') END AS date_time,
+       CASE WHEN l_linenumber NOT IN (2, 4) THEN CAST(l_quantity AS INTEGER) END AS hourly_count,
+       l_linenumber IN (2, 3) AS is_bad_line
+FROM lineitem
+""",
+    # A late row replaces an earlier one of its month that has its id.
+    "incremental_late_rows": f"""
+WITH c AS (SELECT *, substr(date_time, 1, 7) AS year_month FROM ({_COUNTS_VIEW}))
+SELECT * FROM c WHERE NOT (
+  year_month = '1996-03' AND substr(date_time, 9, 2) < '15'
+  AND id IN (SELECT id FROM c WHERE year_month = '1996-03' AND substr(date_time, 9, 2) >= '15'))
+""",
+    "decline_report_bad_times": _TEXT_DECLINE,
+    "stored_decline_report_bad_times": _TEXT_DECLINE,
+    "incremental_decline_report_bad_times": _TEXT_DECLINE,
+    "ingest_reference_json_array": _REFERENCE_JSON,
+    "top_n_by_day_ordered": _DAY_TOP.format(n=10),
+    "stored_top_n_by_day_int": f'SELECT * REPLACE (CAST(daily_count AS INTEGER) AS daily_count) FROM ({_TEXT_TOP})',
+    "top_1500_by_year": """
+WITH t AS (
+  SELECT CAST(year(l_shipdate) AS INTEGER) AS "year", l_orderkey, SUM(l_quantity) AS total FROM lineitem GROUP BY 1, 2),
+r AS (
+  SELECT *, CAST(ROW_NUMBER() OVER (
+    PARTITION BY "year" ORDER BY total DESC NULLS LAST, l_orderkey ASC NULLS FIRST) AS INTEGER) AS "rank" FROM t)
+SELECT * FROM r WHERE "rank" <= 1500
+""",
+    "period_total_midday_of_dates": """
+SELECT l_suppkey AS sensor_id, CAST(SUM(l_quantity) AS BIGINT) AS total FROM lineitem
+WHERE CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) >= TIMESTAMP '1996-03-01 12:00:00'
+  AND CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) < TIMESTAMP '1996-03-31 12:00:00'
+GROUP BY 1
+""",
+    "check_formats_with_line_breaks": """
+SELECT 'lineitem' AS table_name, 'day_text' AS column_name, 'is_date_format' AS check_name,
+       CAST(COUNT(*) FILTER (WHERE l_linenumber = 1) AS BIGINT) AS failures FROM lineitem
+UNION ALL
+SELECT 'lineitem', 'time_text', 'is_iso_format', CAST(COUNT(*) FILTER (WHERE l_linenumber = 1) AS BIGINT) FROM lineitem
+""",
+    "violations_not_null": f"SELECT * FROM ({_LABEL_MISS}) WHERE location_name IS NULL",
+    "violations_accepted_values":
+        "SELECT * FROM customer WHERE c_mktsegment NOT IN ('BUILDING', 'AUTOMOBILE', 'MACHINERY')",
+    "violations_date_format": f"SELECT * FROM ({_FORMATTED}) WHERE NOT regexp_matches(day_text, '{_DATE_RE}')",
+    "violations_iso_format": f"SELECT * FROM ({_FORMATTED}) WHERE NOT regexp_matches(time_text, '{_ISO_OPT_RE}')",
+    "violations_id_range": "SELECT * FROM supplier WHERE s_suppkey < 0 OR s_suppkey >= 50",
+    "violations_rank_range": f'SELECT * FROM ({_DAY_TOP.format(n=12)}) WHERE "rank" NOT BETWEEN 1 AND 10',
 }

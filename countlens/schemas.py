@@ -1,7 +1,7 @@
 """Table schemas of the count data mart.
 
 Every field is nullable, as in the stored tables. Counts are declared ``int``
-in storage; sums of them widen to ``bigint`` in the reports unless a caller
+in storage (``narrow_id`` gives ``id`` that type too); sums of them widen to ``bigint`` in the reports unless a caller
 asks for the narrow declared type.
 """
 
@@ -18,10 +18,12 @@ from pyspark.sql.types import (
 )
 
 # Raw hourly counts, one row per sensor per hour. ``date_time`` is an ISO
-# local date-time string ``yyyy-MM-ddTHH:mm:ss``.
+# local date-time string ``yyyy-MM-ddTHH:mm:ss``. ``id`` is unique per row, so
+# it is wide: there can be more rows than an int can number.
+# Names and order of the stored columns.
 SENSOR_COUNTS = StructType(
     [
-        StructField("id", IntegerType(), True),
+        StructField("id", LongType(), True),
         StructField("date_time", StringType(), True),
         StructField("sensor_id", IntegerType(), True),
         StructField("sensor_name", StringType(), True),
@@ -29,6 +31,7 @@ SENSOR_COUNTS = StructType(
     ]
 )
 
+# Names, types and order of the stored columns.
 # Sensor dimension; ``location_id`` is the key the counts' ``sensor_id`` points at.
 SENSOR_REFERENCE = StructType(
     [
@@ -56,58 +59,18 @@ SENSOR_REFERENCE = StructType(
     ]
 )
 
-# Report tables as written (the columns the jobs actually produce).
-TOP_N_BY_DAY = StructType(
-    [
-        StructField("date", StringType(), True),
-        StructField("rank", IntegerType(), True),
-        StructField("sensor_id", IntegerType(), True),
-        StructField("location_name", StringType(), True),
-        StructField("daily_count", LongType(), True),
-    ]
-)
-
-TOP_N_BY_MONTH = StructType(
-    [
-        StructField("year_month", StringType(), True),
-        StructField("rank", IntegerType(), True),
-        StructField("sensor_id", IntegerType(), True),
-        StructField("location_name", StringType(), True),
-        StructField("monthly_count", LongType(), True),
-    ]
-)
-
-LOCATION_DECLINES = StructType(
-    [
-        StructField("sensor_id", IntegerType(), True),
-        StructField("location_name", StringType(), True),
-        StructField("count_2019", LongType(), True),
-        StructField("count_2022", LongType(), True),
-        StructField("decline", LongType(), True),
-        StructField("decline_percent", DoubleType(), True),
-    ]
-)
-
-MOST_GROWTH = StructType(
-    [
-        StructField("sensor_id", IntegerType(), True),
-        StructField("location_name", StringType(), True),
-        StructField("count_previous_year", LongType(), True),
-        StructField("count_last_year", LongType(), True),
-        StructField("growth", LongType(), True),
-        StructField("growth_percent", DoubleType(), True),
-    ]
-)
-
 # Month partition column of the stored counts and the tables kept by month:
 # the first seven characters (``yyyy-MM``) of ``date_time``.
 MONTH_COL = "year_month"
 
 # Stored day totals of the counts, partitioned like the month-partitioned
-# counts: one row per (day, sensor) with the sum and the raw row count.
+# counts: one row per (day, day text, sensor) with the sum and the raw row
+# count. ``day_text`` is the stored time's first ten characters: it decides which
+# period a row is in, also where ``day`` is NULL because the time is malformed.
 SENSOR_DAY_TOTALS = StructType(
     [
         StructField("day", DateType(), True),
+        StructField("day_text", StringType(), True),
         StructField("sensor_id", IntegerType(), True),
         StructField("total", LongType(), True),
         StructField("n_rows", LongType(), True),
@@ -127,6 +90,12 @@ CHECK_FAILURES_BY_MONTH = StructType(
     ]
 )
 
+# Ids that stand more than once in the stored counts, per month of their rows
+# (see ``plans.jobs.refresh_duplicate_ids``).
+DUPLICATE_IDS_BY_MONTH = StructType(
+    [StructField("id", LongType(), True), StructField("year_month", StringType(), True)]
+)
+
 # Raw CSV header names of the count file (fixed values of the source format).
 CSV_ID = "ID"
 CSV_DATE_TIME = "Date_Time"
@@ -135,6 +104,11 @@ CSV_SENSOR_NAME = "Sensor_Name"
 CSV_HOURLY_COUNTS = "Hourly_Counts"
 
 
+def narrow_id(schema: StructType) -> StructType:
+    """``schema`` with an ``int`` column ``id``, for tables that declare it so."""
+    return StructType([StructField("id", IntegerType(), True) if f.name == "id" else f for f in schema.fields])
+
+
 def ddl(schema: StructType) -> str:
     """Column list for ``CREATE TABLE`` from a StructType."""
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)

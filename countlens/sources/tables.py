@@ -15,11 +15,16 @@ def _quote(name: str) -> str:
     return ".".join(f"`{part}`" for part in name.split("."))
 
 
+def _text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _ensure_database(spark: SparkSession, table: str, root: str | None = None) -> None:
     """Create the table's database if needed (under ``root`` when given)."""
     if "." in table:
         db = table.rsplit(".", 1)[0]
-        where = f" LOCATION '{root.rstrip('/')}/{db}.db'" if root else ""
+        where = f" LOCATION {_text(root.rstrip('/') + '/' + db + '.db')}" if root else ""
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quote(db)}{where}")
 
 
@@ -32,7 +37,8 @@ def register_table(
 ) -> None:
     """Create an external Parquet table at ``location`` unless it exists.
 
-    Idempotent: an existing table (and its data) is left as it is.
+    Idempotent: an existing table (and its data) is left as it is; if its
+    columns or their types differ from ``schema``, it is refused.
     ``partition_by`` names columns of ``schema`` that become directory
     partitions (readers then prune them from filters on those columns).
     """
@@ -40,8 +46,11 @@ def register_table(
     parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {_quote(name)} ({ddl(schema)}) "
-        f"USING parquet{parts} LOCATION '{location}'"
+        f"USING parquet{parts} LOCATION {_text(location)}"
     )
+    known = spark.table(name).schema
+    if not _same_columns(known, schema):
+        raise ValueError(f"table {name!r} exists with columns {ddl(known)}, not {ddl(schema)}")
 
 
 def overwrite_path(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -55,58 +64,52 @@ def overwrite_path(df: DataFrame, path: str, partition_by: list[str] | None = No
 
 
 def overwrite_table(df: DataFrame, name: str) -> None:
-    """Full refresh of a registered table through the catalog (``INSERT OVERWRITE``).
+    """Full refresh of a registered table: its folder is replaced, then its partitions listed anew.
 
-    Columns are matched to the table *by name* (``insertInto`` itself is
-    positional). ``df`` must not read the table it overwrites.
+    Columns are matched to the table *by name*. ``df`` must not read the
+    table it overwrites. No session setting is changed.
     """
-    target = df.sparkSession.table(name).columns
-    missing = [c for c in target if c not in df.columns]
-    if missing:
-        raise ValueError(f"columns {missing} of table {name!r} are missing from the data")
-    # static: every partition of a partitioned table is replaced, whatever
-    # the session's partition overwrite mode is
-    _insert_overwrite(df.select(*target), name, "static")
+    out, part_cols, location = _for_table(df, name)
+    overwrite_path(out, location, part_cols)
+    _refresh(df.sparkSession, name, "SYNC" if part_cols else None)
 
 
-def overwrite_partitions(df: DataFrame, name: str) -> None:
+def overwrite_partitions(df: DataFrame, name: str, sort_by: tuple[str, ...] = ()) -> None:
     """Replace only the partitions of table ``name`` that ``df`` holds rows for.
 
     Dynamic partition overwrite: partitions absent from ``df`` are kept, so
-    re-landing one month of counts rewrites that month and nothing else.
-    Each partition is written to a staging folder and moved in at commit.
-    Rows are sorted within each task by the partition columns so a task
-    keeps one file open at a time, with no shuffle (a hot partition is
-    written by every task that holds part of it, never by one task).
+    re-landing one month of counts rewrites that month and nothing else; each
+    partition is written to a staging folder and moved in at commit, so ``df``
+    may read the table. Rows are regrouped by partition (AQE merges small ones
+    and splits a hot one), so the number of files follows the data and not
+    tasks times partitions, and sorted once, by partition and ``sort_by``. The
+    mode is an option of this write; no session setting is changed.
     """
+    out, part_cols, location = _for_table(df, name)
+    if part_cols:
+        out = out.hint("rebalance", *part_cols).sortWithinPartitions(*part_cols, *sort_by)
+    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (writer.partitionBy(*part_cols) if part_cols else writer).parquet(location)
+    _refresh(df.sparkSession, name, "ADD" if part_cols else None)
+
+
+def _for_table(df: DataFrame, name: str) -> tuple[DataFrame, list[str], str]:
+    """``df`` with the table's columns, the table's partition columns, and its location."""
     spark = df.sparkSession
-    part_cols = [
-        c.name for c in spark.catalog.listColumns(name) if getattr(c, "isPartition", False)
-    ]
-    target = spark.table(name).columns
-    missing = [c for c in target if c not in df.columns]
+    part_cols = [c.name for c in spark.catalog.listColumns(name) if getattr(c, "isPartition", False)]
+    target = spark.table(name).schema
+    missing = [c for c in target.names if c not in df.columns]
     if missing:
         raise ValueError(f"columns {missing} of table {name!r} are missing from the data")
-    out = df.select(*target)
-    if part_cols:
-        out = out.sortWithinPartitions(*part_cols)
-    _insert_overwrite(out, name, "dynamic")
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {_quote(name)}").filter("col_name = 'Location'")
+    location = described.first()["data_type"]
+    return df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in target)), part_cols, location
 
 
-def _insert_overwrite(df: DataFrame, name: str, mode: str) -> None:
-    """``INSERT OVERWRITE`` with the given partition overwrite mode."""
-    spark = df.sparkSession
-    # insertInto takes the mode from the session setting, not a write option
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, mode)
-    try:
-        df.write.insertInto(name, overwrite=True)
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+def _refresh(spark: SparkSession, name: str, partitions: str | None) -> None:
+    if partitions:
+        spark.sql(f"MSCK REPAIR TABLE {_quote(name)} {partitions} PARTITIONS")
+    spark.sql(f"REFRESH TABLE {_quote(name)}")
 
 
 def publish_table(df: DataFrame, name: str, root: str) -> str:
@@ -127,13 +130,13 @@ def publish_table(df: DataFrame, name: str, root: str) -> str:
     _ensure_database(spark, name, root)
     schema = spark.read.parquet(location).schema
     if spark.catalog.tableExists(name) and _same_columns(spark.table(name).schema, schema):
-        spark.sql(f"ALTER TABLE {_quote(name)} SET LOCATION '{location}'")
+        spark.sql(f"ALTER TABLE {_quote(name)} SET LOCATION {_text(location)}")
         spark.sql(f"REFRESH TABLE {_quote(name)}")
     else:
         # New table, or new columns / types: the catalog entry is re-created
         # (the table is external, so dropping the entry deletes no data).
         spark.sql(f"DROP TABLE IF EXISTS {_quote(name)}")
-        spark.sql(f"CREATE TABLE {_quote(name)} ({ddl(schema)}) USING parquet LOCATION '{location}'")
+        spark.sql(f"CREATE TABLE {_quote(name)} ({ddl(schema)}) USING parquet LOCATION {_text(location)}")
     return location
 
 

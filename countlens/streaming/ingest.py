@@ -11,11 +11,18 @@ atomically through its metadata log).
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from countlens.functions.datetime import RAW_COUNT_TIME_FORMAT, month_of_day_text
+from countlens.functions.datetime import RAW_COUNT_TIME_FORMAT
 from countlens.schemas import MONTH_COL
-from countlens.sources.files import RAW_COUNT_COLUMNS, counts_from_raw, raw_counts_schema
+from countlens.sources.files import (
+    BAD_LINE,
+    RAW_COUNT_COLUMNS,
+    counts_from_raw,
+    raw_counts_schema,
+    with_month,
+)
 
 
 def stream_counts_csv(
@@ -42,15 +49,18 @@ def stream_counts_csv(
     only appends, so each month folder gains files as counts arrive.
     """
     reader = (
-        spark.readStream.schema(raw_counts_schema(raw_columns))
+        spark.readStream.schema(raw_counts_schema([*raw_columns, BAD_LINE]))
         .option("header", True)
         .option("enforceSchema", False)
+        .option("columnPruning", False)
+        .option("columnNameOfCorruptRecord", BAD_LINE)
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    typed = counts_from_raw(reader.csv(landing_dir), on_bad, time_format)
+    source = (F.col("_metadata.file_path").alias("__file"),) if by_month else ()
+    typed = counts_from_raw(reader.csv(landing_dir), on_bad, time_format, extra=source)
     if by_month:
-        typed = typed.withColumn(MONTH_COL, month_of_day_text("date_time"))
+        typed = with_month(typed)
     writer = (
         typed.writeStream.format("parquet")
         .option("path", out_path)

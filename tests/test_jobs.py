@@ -4,6 +4,8 @@ reports (the monthly one from the stored daily one), run the data tests."""
 import json
 import os
 
+import pytest
+
 from countlens.plans import jobs
 from countlens.session import scratch_path
 from tests.test_reports import RAW
@@ -34,7 +36,7 @@ def test_jobs_end_to_end(spark):
 
     root = scratch_path(spark, "mart")
     jobs.ingest_counts(spark, os.path.join(land, "csv"), root, raw_db="e2e_raw")
-    jobs.ingest_reference(spark, os.path.join(land, "json"), root, raw_db="e2e_raw")
+    jobs.ingest_reference(spark, os.path.join(land, "json"), root, raw_db="e2e_raw", multi_line=True)
     jobs.build_reports(spark, root, raw_db="e2e_raw", report_db="e2e_report", n=2)
 
     daily = spark.table(f"e2e_report.{jobs.TOP_BY_DAY}")
@@ -141,30 +143,32 @@ def test_incremental_day_totals_equal_full_rebuild(spark):
         ("8", "November 03, 2018 01:00:00 AM", "1", "A", "-5"),  # fails non_negative
         ("9", "March 04, 2019 02:00:00 AM", "1500", "Q", "3"),  # fails in_range, kept
     ]
-    # November 2018 again with other counts, plus a new month; March 2019 and
-    # November 2021 are not in the batch and must stay as they are
+    # part of November 2018 again with other counts, plus a new month; the other
+    # rows of that month, March 2019 and November 2021 must stay as they are
     second = [
         ("1", "November 01, 2018 12:00:00 AM", "1", "A", "70"),
         ("6", "November 01, 2018 03:00:00 AM", "3", "C", "9"),
         ("7", "January 10, 2022 08:00:00 AM", "3", "C", "4"),
+        ("8", "November 03, 2018 01:00:00 AM", "1", "A", "5"),
+        ("4", "January 11, 2022 08:00:00 AM", "3", "C", "6"),  # an id of another month
     ]
     raw_db, report_db, full_db = "inc_raw", "inc_report", "inc_full"
     counts_at = scratch_path(spark, "inc-counts")
     totals_at = scratch_path(spark, "inc-totals")
-    failures_at = scratch_path(spark, "inc-failures")
+    failures_at, twice_at = scratch_path(spark, "inc-failures"), scratch_path(spark, "inc-twice")
     for batch in (_land(spark, first, "b1"), _land(spark, second, "b2")):
-        jobs.ingest_counts_by_month(spark, batch, counts_at, raw_db)
-        landed = jobs.read_landed_counts(spark, batch)
-        jobs.refresh_day_totals(spark, landed, totals_at, report_db)
-        jobs.refresh_check_failures(spark, landed, failures_at, report_db)
+        months = jobs.merge_counts(spark, jobs.land_counts(spark, batch), counts_at, raw_db)
+        jobs.refresh_day_totals(spark, months, totals_at, report_db)
+        jobs.refresh_check_failures(spark, months, failures_at, report_db)
+        jobs.refresh_duplicate_ids(spark, months, twice_at, raw_db, report_db)
     counts = spark.table(f"{raw_db}.{jobs.SENSOR_COUNTS}")
     jobs.refresh_day_totals(spark, counts, scratch_path(spark, "full-totals"), full_db, full=True)
     inc = sorted(map(tuple, spark.table(f"{report_db}.{jobs.DAY_TOTALS}").collect()), key=str)
     full = sorted(map(tuple, spark.table(f"{full_db}.{jobs.DAY_TOTALS}").collect()), key=str)
     assert inc == full
-    by_day = {(str(r[0]), r[1]): (r[2], r[3]) for r in inc}
+    by_day = {(str(r[0]), r[2]): (r[3], r[4]) for r in inc}
     assert by_day[("2018-11-01", 1)] == (70, 1)  # replaced, not added
-    assert ("2018-11-02", 1) not in by_day  # the month was replaced as a whole
+    assert by_day[("2018-11-02", 1)] == (5, 1)  # not in the batch: kept
     assert by_day[("2019-03-03", 2)] == (20, 1)  # untouched month kept
 
     from countlens.schemas import SENSOR_REFERENCE
@@ -182,7 +186,6 @@ def test_incremental_day_totals_equal_full_rebuild(spark):
                        growth_periods=periods, day_totals_table=f"{report_db}.{jobs.DAY_TOTALS}")
     jobs.build_reports(spark, root, raw_db, "inc_scans", n=2, decline_periods=periods,
                        growth_periods=periods, one_scan=False)
-    import pytest
     with pytest.raises(ValueError, match="refresh_day_totals"):
         jobs.build_reports(spark, root, raw_db, report_db, n=2, decline_periods=periods,
                            growth_periods=periods)  # would repoint the maintained table
@@ -199,12 +202,22 @@ def test_incremental_day_totals_equal_full_rebuild(spark):
 
     kept = checks(check_failures_table=f"{report_db}.{jobs.CHECK_FAILURES}")
     assert kept == checks()
+    assert kept == checks(
+        check_failures_table=f"{report_db}.{jobs.CHECK_FAILURES}",
+        duplicate_ids_table=f"{report_db}.{jobs.DUPLICATE_IDS}",
+    )
+    assert kept[("sensor_counts", "id", "unique")] == 1  # id 4, in two months
+    from countlens.operators.checks import ChecksFailed
+
+    with pytest.raises(ChecksFailed, match="sensor_counts.id unique: 1") as failed:
+        jobs.require_data_tests(jobs.data_tests(spark, raw_db, report_db, n=2))
+    assert ("sensor_counts", "sensor_id", "in_range", 1) in failed.value.failed
     assert kept[("sensor_counts", "hourly_count", "non_negative")] == 0  # re-landed away
     assert kept[("sensor_counts", "sensor_id", "in_range")] == 1  # untouched month
 
     from countlens.plans.reports import growth_report
     days = spark.table(f"{report_db}.{jobs.DAY_TOTALS}")
-    plan = plan_text(growth_report(days, dim, *periods, ts_col="day", value_col="total",
+    plan = plan_text(growth_report(days, dim, *periods, ts_col="day_text", value_col="total",
                                    rows_col="n_rows", month_col=jobs.MONTH_COL))
     assert "PartitionFilters: [" in plan and "year_month" in plan
     assert os.path.basename(counts_at) not in plan  # the raw counts are never read
@@ -226,9 +239,8 @@ def test_unparsed_rows_are_kept_per_source_file(spark):
     raw_db, report_db = "unp_raw", "unp_report"
     counts_at, totals_at = scratch_path(spark, "unp-counts"), scratch_path(spark, "unp-totals")
     for batch in (a, b, a):  # the first file lands twice
-        jobs.ingest_counts_by_month(spark, batch, counts_at, raw_db, on_bad="null")
-        jobs.refresh_day_totals(spark, jobs.read_landed_counts(spark, batch, on_bad="null"),
-                                totals_at, report_db)
+        months = jobs.merge_counts(spark, jobs.land_counts(spark, batch, on_bad="null"), counts_at, raw_db)
+        jobs.refresh_day_totals(spark, months, totals_at, report_db)
     counts = spark.table(f"{raw_db}.{jobs.SENSOR_COUNTS}")
     assert sorted(r.id for r in counts.collect()) == [1, 2, 3, 4]
     months = {r.year_month for r in counts.collect()}
@@ -252,3 +264,94 @@ def test_unparsed_rows_are_kept_per_source_file(spark):
         assert got == want, name
     undated = [r for r in spark.table(f"{report_db}.{jobs.TOP_BY_DAY}").collect() if r.date is None]
     assert [(r.rank, r.sensor_id, r.daily_count) for r in undated] == [(1, 1, 12)]
+
+
+def test_malformed_times_count_as_their_text_does(spark):
+    """A clock that is no time of day, and a day that is no date: the change reports
+    give one answer whether from raw scans, one scan, or kept day totals."""
+    from countlens.schemas import SENSOR_COUNTS as SCHEMA
+    from countlens.sources.tables import publish_table
+
+    rows = [
+        (1, "2019-05-02T99:00:00", 1, "A", 7), (2, "2019-05-02T10:00:00", 1, "A", 10),
+        (3, "2022-02-31", 1, "A", 4), (4, "2022-02-28T00:00:00", 1, "A", 2), (5, "2019", 2, "B", 1),
+        (6, "2019-05-40T00:00:00", 2, "B", 3), (7, "2022-01-01T00:00:00", 2, "B", 5), (8, "", 2, "B", 9),
+    ]
+    counts = spark.createDataFrame(rows, SCHEMA)
+    dim = spark.createDataFrame([(1, "X"), (2, "Y")], "location_id int, sensor_description string")
+    root = scratch_path(spark, "mal")
+    publish_table(counts, f"mal_raw.{jobs.SENSOR_COUNTS}", root)
+    publish_table(dim, f"mal_raw.{jobs.SENSOR_REFERENCE}", root)
+    publish_table(dim, f"malm_raw.{jobs.SENSOR_REFERENCE}", root)
+    from pyspark.sql import functions as F
+
+    batch = counts.withColumn(jobs.MONTH_COL, F.substring("date_time", 1, 7))
+    months = jobs.merge_counts(spark, batch.filter("date_time <> ''"), scratch_path(spark, "malc"), "malm_raw")
+    totals = jobs.refresh_day_totals(spark, months, scratch_path(spark, "malt"), "malm")
+    jobs.build_reports(spark, root, "mal_raw", "mal_scans", one_scan=False)
+    jobs.build_reports(spark, root, "mal_raw", "mal_days")
+    jobs.build_reports(spark, root, "malm_raw", "malm", day_totals_table=totals)
+    got = [sorted(map(tuple, spark.table(f"{db}.{jobs.DECLINES}").collect())) for db in ("mal_scans", "mal_days", "malm")]
+    assert got[0] == got[1] == got[2] == [(1, "X", 17, 6, 11, 11 / 17 * 100.0), (2, "Y", 4, 5, -1, -25.0)]
+
+
+def test_month_files_are_few_sorted_and_split_when_hot(spark):
+    """Many input tasks and unordered times: files follow the data, each sorted by time."""
+    import glob
+
+    from pyspark.sql import functions as F
+
+    n = 20_000
+    rows = spark.range(0, n, 1, 40).select(
+        F.col("id"),
+        F.concat(
+            F.lit("2020-"),
+            F.lpad(F.when(F.col("id") % 2 == 0, F.lit("3")).otherwise((F.pmod(F.xxhash64("id"), F.lit(12)) + 1).cast("string")), 2, "0"),
+            F.lit("-01T00:"), F.lpad((F.pmod(F.xxhash64("id"), F.lit(60))).cast("string"), 2, "0"), F.lit(":00"),
+        ).alias("date_time"),
+        F.lit(1).alias("sensor_id"), F.lit("A" * 50).alias("sensor_name"), F.lit(1).alias("hourly_count"),
+    )
+    batch = rows.withColumn(jobs.MONTH_COL, F.substring("date_time", 1, 7))
+    location = scratch_path(spark, "files")
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode", None)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20k")
+    try:
+        jobs.merge_counts(spark, batch, location, "files_raw")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode", None) == before
+    files = {m: glob.glob(f"{local(location)}/year_month=2020-{m:02d}/*.parquet") for m in range(1, 13)}
+    counts = {m: len(f) for m, f in files.items()}
+    # 40 tasks hold rows of every month; files follow the bytes instead, and the hot month is split
+    assert sum(counts.values()) < 100 and max(counts.values()) < 20 and counts[3] > 2, counts
+    import pyarrow.parquet as pq
+
+    for listed in files.values():
+        for f in listed:
+            times = pq.ParquetFile(f).read(["date_time"]).column(0).to_pylist()
+            assert times == sorted(times)
+    assert spark.table(f"files_raw.{jobs.SENSOR_COUNTS}").count() == n
+
+
+def test_ordered_reports_and_narrow_types(spark):
+    from countlens.schemas import SENSOR_COUNTS as SCHEMA
+    from countlens.sources.tables import publish_table
+
+    rows = [(i, f"20{18 + i % 5}-11-{1 + i % 3:02d}T01:00:00", i % 4, "A", 10 * (i % 2) + 5) for i in range(80)]
+    root = scratch_path(spark, "ord")
+    publish_table(spark.createDataFrame(rows, SCHEMA), f"ord_raw.{jobs.SENSOR_COUNTS}", root)
+    dim = spark.createDataFrame([(1, "X")], "location_id int, sensor_description string")
+    publish_table(dim, f"ord_raw.{jobs.SENSOR_REFERENCE}", root)
+    jobs.build_reports(spark, root, "ord_raw", "ord", n=3, ordered=True, count_type="int")
+    daily = spark.table(f"ord.{jobs.TOP_BY_DAY}").coalesce(1).collect()
+    key = [(r.date, -r["rank"]) for r in daily]
+    assert key == sorted(key, reverse=True)
+    for name, column in ((jobs.TOP_BY_DAY, "daily_count"), (jobs.TOP_BY_MONTH, "monthly_count"), (jobs.GROWTH, "growth")):
+        assert dict(spark.table(f"ord.{name}").dtypes)[column] == "int"
+    from countlens.plans.reports import decline_report
+
+    counts = spark.createDataFrame(
+        [(t, k, 10 if t < "2020" else 5) for k in (3, 1, 2) for t in ("2019-01-01", "2022-01-01")], "date_time string, sensor_id int, hourly_count int"
+    )
+    got = decline_report(counts, dim).collect()
+    assert [r.sensor_id for r in got] == [1, 2, 3]  # equal percents by sensor

@@ -1,5 +1,5 @@
 """Plan assertions: pushdown, pruning, top-k limit before the shuffle,
-one scan for the change reports, and the size-checked broadcast."""
+one scan for the change reports, and plans that run nothing until asked."""
 
 import pytest
 
@@ -35,17 +35,61 @@ def test_change_report_single_scan_with_pushdown(tables):
     assert "IsNotNull(l_suppkey)" in plan
 
 
-def test_broadcast_falls_back_to_shuffle_join_above_bound(tables, spark):
-    li, su = tables
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def test_a_dimension_above_the_threshold_is_not_broadcast(spark, tables):
+    """Also when its files were replaced by larger ones after it was first read."""
+    from pyspark.sql import functions as F
+
+    from countlens.session import scratch_path
+    from countlens.sources import overwrite_path
+
+    li, _ = tables
+    path = scratch_path(spark, "dim-grows")
+
+    def report(rows):
+        dim = spark.range(rows).select(F.col("id").alias("s_suppkey"), F.sha2(F.col("id").cast("string"), 512).alias("s_name"))
+        overwrite_path(dim, path)
+        df = top_n_by_day(li, spark.read.parquet(path), **KW)
+        df.collect()
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "50k")
     try:
-        plan = plan_text(top_n_by_day(li, su, broadcast_max_rows=5, **KW))
-        assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
-        assert "BroadcastHashJoin" not in plan.split("Final Plan")[0] or "isFinalPlan=false" in plan
+        assert "BroadcastHashJoin" in report(100)
+        assert "BroadcastHashJoin" not in report(5000)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_building_reports_runs_no_job(spark, tables):
+    from countlens.plans.reports import growth_report, top_n_by_month
+
+    li, su = tables
+    tracker, group = spark.sparkContext.statusTracker(), "building"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        daily = top_n_by_day(li, su, ordered=True, **KW)
+        top_n_by_month(daily, su, dim_key="s_suppkey", label_col="s_name")
+        decline_report(li, su, base=tb.BASE, current=tb.CURRENT, **KW)
+        growth_report(li, su, previous=tb.CURRENT, last=tb.LAST, **KW)
+        assert list(tracker.getJobIdsForGroup(group)) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_long_rankings_are_cut_before_a_period_meets(spark):
+    """Beyond Spark's own limit, hash buckets of a period forward n rows each."""
+    from pyspark.sql import functions as F
+
+    from countlens.operators.ranking import rank_within
+
+    rows = spark.range(9000).select(F.lit("p").alias("p"), "id", (F.col("id") % 700).alias("v"))
+    got = rank_within(rows, "p", "id", "v", 1500)
+    want = sorted(((-(i % 700), i) for i in range(9000)))[:1500]
+    assert sorted((r["rank"], r["id"]) for r in got.collect()) == [(k + 1, i) for k, (_, i) in enumerate(want)]
+    plan = plan_text(got)
+    assert plan.count("Window") >= 2 and "__bucket" in plan
+
+
 def test_checks_plan_pushes_nothing_to_driver(spark):
     plan = plan_text(tb.q_sensor_counts_data_tests(spark, SF))
     assert "partial_count" in plan
@@ -93,7 +137,7 @@ def test_month_partition_pruning(spark):
     assert same.first().asDict() == r.asDict()
 
 
-def test_size_memo_follows_file_content(spark):
+def test_size_follows_file_content(spark):
     from countlens.operators import enrich
     from countlens.session import scratch_path
     from countlens.sources import overwrite_path
@@ -101,8 +145,5 @@ def test_size_memo_follows_file_content(spark):
     p = scratch_path(spark, "dimver")
     overwrite_path(spark.range(10), p)
     assert enrich.measured_size(spark.read.parquet(p)) == (10, 80)
-    assert enrich.measured_size(spark.read.parquet(p)) == (10, 80)  # memoised
     overwrite_path(spark.range(20), p)  # new content, new file names
     assert enrich.measured_size(spark.read.parquet(p)) == (20, 160)
-    local = spark.range(5)
-    assert enrich._content_key(local) is None

@@ -3,8 +3,8 @@
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from countlens.operators.change import period_change
 from countlens.operators.ranking import top_n_by_period
+from countlens.plans.reports import growth_report
 
 rows = st.lists(
     st.tuples(
@@ -49,9 +49,13 @@ def test_top_n_matches_bruteforce(spark, data, n):
 def test_change_matches_bruteforce(spark, data):
     df = spark.createDataFrame(data, "p string, k int, v int")
     base, cur = ("2020-01-01", "2020-01-02"), ("2020-01-02", "2020-07-01")
+    labels = spark.createDataFrame([(k, f"L{k}") for k in range(0, 50, 2)], "k int, label string")
     got = {
-        r.k: (r.b, r.c, r.d, r.pct)
-        for r in period_change(df, "p", "k", "v", base, cur, "growth", "b", "c", "d", "pct").collect()
+        r.sensor_id: (r.b, r.c, r.d, r.pct, r.location_name)
+        for r in growth_report(
+            df, labels, base, cur, ts_col="p", id_col="k", value_col="v", dim_key="k", label_col="label",
+            names=("b", "c", "d", "pct"),
+        ).collect()
     }
 
     def total(lo, hi):
@@ -71,6 +75,7 @@ def test_change_matches_bruteforce(spark, data):
     assert got.keys() == want.keys()
     for k in got:
         assert got[k][:3] == want[k][:3]
+        assert got[k][4] == (f"L{k}" if k % 2 == 0 and 0 <= k < 50 else None)
         if want[k][3] is None:
             assert got[k][3] is None
         else:

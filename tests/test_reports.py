@@ -2,7 +2,7 @@
 
 import pytest
 
-from countlens.operators.periods import paired_period_totals, period_total
+from countlens.operators.periods import period_total, present_in_both
 from countlens.plans.reports import decline_report, growth_report, top_n_by_day, top_n_by_month
 from countlens.sources.files import counts_from_raw
 
@@ -42,7 +42,7 @@ def test_ingest_parses_twelve_hour_clock(counts):
     assert got[2] == "2019-10-31T23:00:00"
     assert got[12] == "2021-11-05T12:00:00"
     assert dict(counts.dtypes) == {
-        "id": "int", "date_time": "string", "sensor_id": "int",
+        "id": "bigint", "date_time": "string", "sensor_id": "int",
         "sensor_name": "string", "hourly_count": "int",
     }
 
@@ -114,7 +114,7 @@ def test_one_scan_equals_join_with_nulls_and_overlap(spark):
         "ts string, k int, v int",
     )
     base, cur = ("2020-01-01", "2020-04-01"), ("2020-03-01", "2020-07-01")
-    one = paired_period_totals(df, "ts", base, cur, "k", "v", "b", "c")
+    one = present_in_both(df, "ts", base, cur, "k", "v", "b", "c").select("k", "b", "c")
     a = period_total(df, "ts", *base, "k", "v", "b")
     b = period_total(df, "ts", *cur, "k", "v", "c")
     two = a.join(b, "k", "inner")

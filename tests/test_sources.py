@@ -227,9 +227,10 @@ def test_fail_on_bad_whatever_the_ansi_mode(spark, ansi):
     before = spark.conf.get(key)
     spark.conf.set(key, ansi)
     try:
-        ok = counts_from_raw(spark.createDataFrame([good, ("2", None, None, "B", None)], schema))
-        assert [r.hourly_count for r in ok.orderBy("id").collect()] == [7, None]  # NULL is no error
-        for bad in (("x", *good[1:]), (good[0], "junk", *good[2:]), (*good[:4], "7.5")):
+        empty = ("2", None, None, "B", None)
+        ok = counts_from_raw(spark.createDataFrame([good, empty], schema), on_bad="null")
+        assert [r.hourly_count for r in ok.orderBy("id").collect()] == [7, None]
+        for bad in (("x", *good[1:]), (good[0], "junk", *good[2:]), (*good[:4], "7.5"), empty):
             with pytest.raises(Exception):
                 counts_from_raw(spark.createDataFrame([good, bad], schema)).collect()
     finally:
@@ -247,9 +248,11 @@ def test_streaming_ingest_by_month(spark):
     q = stream_counts_csv(spark, landing, out, ckpt, raw_columns=header, by_month=True)
     q.awaitTermination()
     df = spark.read.parquet(out)
-    assert sorted(os.listdir(local(out))) == ["_spark_metadata", "year_month=2019-11",
-                                              "year_month=__HIVE_DEFAULT_PARTITION__"]
-    assert [(r.id, r.year_month) for r in df.orderBy("id").collect()] == [(1, "2019-11"), (2, None)]
+    folders = sorted(os.listdir(local(out)))
+    assert folders[:2] == ["_spark_metadata", "year_month=2019-11"] and len(folders) == 3
+    assert folders[2].startswith("year_month=unparsed-")  # as the batch ingest has it
+    (first, second) = df.orderBy("id").collect()
+    assert (first.id, first.year_month, second.id) == (1, "2019-11", 2) and second.year_month.startswith("unparsed-")
     assert "PartitionFilters: [isnotnull(year_month" in plan_text(df.filter("year_month = '2019-11'"))
 
 
@@ -285,3 +288,81 @@ def test_fail_on_bad_from_a_thread_without_active_session(spark):
         spark.conf.set(key, before)
     assert out["active"] is None
     assert out["error"] is not None
+
+
+def _count_files(spark, name, **files):
+    import os
+
+    folder = scratch_path(spark, name).removeprefix("file:")
+    os.makedirs(folder)
+    for file, text in files.items():
+        with open(os.path.join(folder, f"{file}.csv"), "w") as f:
+            f.write(text)
+    return folder
+
+
+_HEADER = "ID,Date_Time,Sensor_ID,Sensor_Name,Hourly_Counts\n"
+_TIME = '"November 01, 2019 05:00:00 PM"'
+
+
+def test_headers_are_compared_or_matched_per_file(spark):
+    folder = _count_files(
+        spark, "mixed",
+        a=_HEADER + f"1,{_TIME},7,A,50\n",
+        b=f"Hourly_Counts,Extra,Sensor_ID,ID,Sensor_Name,Date_Time\n777,x,9,2,B,{_TIME}\n",
+    )
+    with pytest.raises(Exception):
+        read_counts_csv(spark, folder).collect()
+    got = sorted(tuple(r) for r in read_counts_csv(spark, folder, mixed_headers=True).collect())
+    assert got == [(1, "2019-11-01T17:00:00", 7, "A", 50), (2, "2019-11-01T17:00:00", 9, "B", 777)]
+    lost = _count_files(spark, "mixed2", a=_HEADER + f"1,{_TIME},7,A,50\n", b="1,2,3\n")
+    with pytest.raises(ValueError, match="without a header"):
+        read_counts_csv(spark, lost, mixed_headers=True)
+
+
+@pytest.mark.parametrize("line", [f"1,{_TIME},7,A", f"1,{_TIME},7,A,5,6", f"1,{_TIME},7,A,", ",,,,", f"x,{_TIME},7,A,5"])
+def test_ragged_lines_and_empty_fields_fail(spark, line):
+    folder = _count_files(spark, "ragged", a=_HEADER + f"9,{_TIME},7,A,50\n{line}\n")
+    for columns in (["*"], ["id"], ["sensor_name"]):
+        if line.startswith("x") and columns == ["sensor_name"]:
+            continue  # a bad number fails where it is read
+        with pytest.raises(Exception):
+            read_counts_csv(spark, folder).select(*columns).collect()
+    kept = read_counts_csv(spark, folder, on_bad="null", bad_line_col="bad_line")
+    assert kept.count() == 2
+    bad = [r for r in kept.collect() if r.id != 9][0]
+    assert (bad.bad_line is not None) == (line.count(",") - 1 != 4 and not line.startswith(",,"))
+    assert None in (bad.id, bad.hourly_count, bad.sensor_id) or bad.bad_line == line
+
+
+def test_ids_beyond_int_and_the_narrow_form(spark):
+    folder = _count_files(spark, "wide", a=_HEADER + f"3000000000,{_TIME},7,A,50\n")
+    assert read_counts_csv(spark, folder).first().id == 3_000_000_000
+    narrow = read_counts_csv(spark, folder, on_bad="null", id_type="int")
+    assert dict(narrow.dtypes)["id"] == "int" and narrow.first().id is None
+
+
+def test_bad_json_values_fail_or_are_kept(spark):
+    import os
+
+    folder = scratch_path(spark, "badjson").removeprefix("file:")
+    os.makedirs(folder)
+    with open(os.path.join(folder, "a.json"), "w") as f:
+        f.write('{"location_id": 1, "sensor_description": "X"}\n{"location_id": "zz", "sensor_description": "Y"}\n')
+    with pytest.raises(Exception):
+        read_reference_json(spark, folder).collect()
+    got = sorted((r.sensor_description, r.location_id) for r in read_reference_json(spark, folder, on_bad="null").collect())
+    assert got == [("X", 1), ("Y", None)]
+
+
+def test_existing_table_with_other_columns_is_refused(spark):
+    from pyspark.sql.types import IntegerType, StructField, StructType
+
+    from countlens.sources.tables import register_table
+
+    one, two = (StructType([StructField(n, IntegerType())]) for n in ("a", "b"))
+    where = scratch_path(spark, "it's here")
+    register_table(spark, "t_refused", one, where)
+    register_table(spark, "t_refused", one, where)
+    with pytest.raises(ValueError, match="exists with columns"):
+        register_table(spark, "t_refused", two, where)
