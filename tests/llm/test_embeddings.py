@@ -1,0 +1,83 @@
+import math
+from collections import Counter
+
+import numpy as np
+
+from countlens.llm import embeddings, queries
+from tests.llm import helpers as hp
+
+
+def usable(v):
+    return v is not None and len(v) and all(x is not None and math.isfinite(x) for x in v) and any(v)
+
+
+def brute(rows, threshold=0.95):
+    ok = [i for i, (_, v) in enumerate(rows) if usable(v)]
+    classes, links = hp.Union(len(rows)), [0] * len(rows)
+    for a in ok:
+        for b in ok:
+            x, y = np.array(rows[a][1], float), np.array(rows[b][1], float)
+            if a != b and len(x) == len(y):
+                x, y = x / np.abs(x).max(), y / np.abs(y).max()
+                if x @ y / math.sqrt(x @ x) / math.sqrt(y @ y) >= threshold:
+                    links[a] += 1
+                    classes.join(a, b)
+    ids = [r[0] for r in rows]
+    least = classes.least(ids)
+    return Counter((i, n, c, i is not None and i == c) for i, n, c in zip(ids, links, least, strict=True))
+
+
+def got(df):
+    return Counter(tuple(r) for r in df.collect())
+
+
+def test_query_matches_brute_force(spark):
+    rows = [(r["vec_id"], r["embedding"]) for r in hp.rows_of(hp.SF, "embeddings")]
+    assert got(queries.op1_embeddings(spark, hp.SF)) == brute(rows)
+
+
+def test_groups_copies_and_odd_vectors(spark, monkeypatch):
+    """A group larger than a block and a window, equal and scaled copies, and vectors that can't link."""
+    monkeypatch.setattr(embeddings, "BLOCK", 16)
+    rng = np.random.default_rng(4)
+    centre = rng.standard_normal(24)
+    rows = [(i, (centre + 0.03 * rng.standard_normal(24)).tolist()) for i in range(50)]
+    rows += [(100 + i, rng.standard_normal(24).tolist()) for i in range(40)]
+    pair = rng.standard_normal(24)
+    rows += [(200, pair.tolist()), (201, pair.tolist()), (202, (2 * pair).tolist()), (203, pair.tolist()), (203, pair.tolist())]
+    rows += [(None, pair.tolist()), (300, None), (301, []), (302, [0.0] * 24), (303, [1.0, None] * 12)]
+    rows += [(304, [float("nan")] * 24), (305, [float("inf")] + [1.0] * 23), (306, pair[:12].tolist()), (307, [1e-300] * 24)]
+    rows += [(308, [1e-300] * 24), (None, None), (None, [0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    from pyspark.sql import functions as F
+
+    for c in hp.CLASHES:
+        df = df.withColumn(c, F.lit(1))
+    out = embeddings.near_duplicates(df, window=8)
+    assert got(out) == brute(rows)
+
+
+def test_no_rows(spark):
+    df = spark.createDataFrame([], "vec_id long, embedding array<float>")
+    assert embeddings.near_duplicates(df).count() == 0
+
+
+def test_pairs_at_the_threshold_are_found(spark):
+    """Recall of bounded windows over many unrelated pairs with cosines just above the bound."""
+    rng = np.random.default_rng(9)
+    rows = []
+    for i in range(300):
+        x = rng.standard_normal(32)
+        x /= np.linalg.norm(x)
+        y = rng.standard_normal(32)
+        y -= (y @ x) * x
+        y /= np.linalg.norm(y)
+        c = 0.951
+        rows += [(2 * i, x.tolist()), (2 * i + 1, (c * x + math.sqrt(1 - c * c) * y).tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = sum(r["n_links"] for r in embeddings.near_duplicates(df, window=16).collect())
+    assert found >= 0.99 * 600
+
+
+def test_more_passes_for_more_vectors():
+    assert embeddings.passes_for(10**9, 0.95, 0.999) > embeddings.passes_for(10**4, 0.95, 0.999)

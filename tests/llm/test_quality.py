@@ -1,0 +1,70 @@
+import numpy as np
+from pyspark.sql import functions as F
+
+from countlens.llm import quality, queries
+from tests.llm import helpers as hp
+
+
+def test_held_out_accuracy(spark):
+    sf = "/root/testdata/sf0.1"
+    out = queries.op7_quality(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").filter("held_out")
+    right = out.groupBy("quality").agg(F.avg((F.col("quality") == F.col("predicted")).cast("int")).alias("right"))
+    right = {r["quality"]: r["right"] for r in right.collect()}
+    assert right[1] > 0.99 and right[0] > 0.85
+
+
+def labelled(spark):
+    rows = [(i, ("buy now !! " if i % 2 else "some plain words here ") * (1 + i % 5), i % 2) for i in range(200)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], 1 - r[2], None) for r in rows] + [(None, 1, 0), (5, None, 1)], "doc_id long, quality int, toxic int")
+    return docs, labels
+
+
+def test_learns_and_repeats_exactly(spark):
+    docs, labels = labelled(spark)
+    a = quality.learn(quality.training_rows(docs, labels), bits=12)
+    b = quality.learn(quality.training_rows(docs.repartition(5), labels), bits=12)
+    assert np.array_equal(a, b)
+    got = {r["doc_id"]: r["score"] for r in quality.score(docs, a).collect()}
+    assert all((s < 0.3) == bool(i % 2) for i, s in got.items())
+
+
+def test_held_out_labels_and_ids_are_not_inputs(spark):
+    docs, labels = labelled(spark)
+    flipped = labels.withColumn("quality", F.when(quality.held_out(), 1 - F.col("quality")).otherwise(F.col("quality")))
+    a, b = (quality.learn(quality.training_rows(docs, x), bits=12) for x in (labels, flipped))
+    assert np.array_equal(a, b)
+    moved = quality.score(docs.withColumn("doc_id", F.col("doc_id") + 1000), a).select("score").collect()
+    assert sorted(r[0] for r in moved) == sorted(r["score"] for r in quality.score(docs, a).collect())
+
+
+def test_odd_rows(spark):
+    docs, labels = labelled(spark)
+    w = quality.learn(quality.training_rows(docs, labels), bits=12)
+    odd = hp.odd_docs(spark)
+    out = quality.score(odd, w, keep=("text", "lang")).collect()
+    assert len(out) == odd.count() and all(0 <= r["score"] <= 1 for r in out)
+    blank = {r["score"] for r in out if not (r["text"] or "").strip()}
+    assert len(blank) == 1
+    assert quality.score(hp.empty_docs(spark), w).count() == 0
+    none = quality.learn(quality.training_rows(docs, labels.filter("false")), bits=12)
+    assert {r["score"] for r in quality.score(docs, none).collect()} == {0.5}
+
+
+def test_score_is_the_sparse_dot_product():
+    import pyarrow as pa
+
+    f, row = quality.features(pa.array(["a b, a", None, "A"]), 12)
+    assert np.bincount(row, minlength=3).tolist() == [7, 0, 1]
+    assert len(set(f[row == 2].tolist()) & set(f[row == 0].tolist())) == 0  # case counts
+
+
+def test_one_step_moves_towards_the_label():
+    state = quality.Leader(np.zeros(5), np.zeros(5))
+    i, x = np.array([1, 3]), np.array([1.0, 2.0])
+    for _ in range(20):
+        state.step(i, x, 1)
+    assert state.weights()[3] > 0 and state.weights()[0] == 0
+    for _ in range(60):
+        state.step(i, x, 0)
+    assert state.weights()[3] < 0
