@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countlens.llm import contamination, embeddings, jaccard, langid, lines, mixing, quality, repeats, secrets, warc
+from countlens.llm import contamination, credentials, embeddings, jaccard, langid, lines, mixing, quality, repeats, warc
 from countlens.llm.common import table
 
 
@@ -55,7 +55,7 @@ def contaminated(found: DataFrame) -> DataFrame:
 
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.scan(table(spark, sf_dir, "documents"))
+    return credentials.scan(table(spark, sf_dir, "documents"))
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
