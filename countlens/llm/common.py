@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from countlens.session import scratch_path
 
@@ -42,3 +44,27 @@ def stored(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
 def parts(rows_or_bytes: float, each: float, least: int = 1) -> int:
     """How many partitions hold ``each`` apiece."""
     return max(least, -(-int(rows_or_bytes) // int(each)))
+
+
+#: Bits of a bitmap: 8 MB, whatever the data.
+BITMAP_BITS = 26
+
+
+def bitmap(df: DataFrame, name: str) -> np.ndarray:
+    """Which values of a long column occur, by their lowest bits.
+
+    A bitmap of a fixed size is broadcast to skip, in a pass over the texts,
+    nearly all rows that a join would drop; the join still decides, so a
+    bitmap that large data fills up costs time and nothing else.
+    """
+    word = F.shiftright(F.col(name).bitwiseAND(F.lit((1 << BITMAP_BITS) - 1)), 6).alias("word")
+    bit = F.expr(f"shiftleft(1L, cast(`{name}` & 63 as int))").alias("bits")
+    found = df.select(word, bit).groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    out = np.zeros(1 << (BITMAP_BITS - 6), np.int64)
+    out[found.column("word").to_numpy()] = found.column("bits").to_numpy()
+    return out.view(np.uint64)
+
+
+def in_bitmap(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
+    k = values.view(np.uint64) & np.uint64((1 << BITMAP_BITS) - 1)
+    return ((bits[(k >> np.uint64(6)).astype(np.int64)] >> (k & np.uint64(63))) & np.uint64(1)).astype(bool)
