@@ -1,43 +1,78 @@
-"""Connected components of an edge table, by alternating star contractions.
-
-Each round links every node's larger neighbours to its smallest neighbour
-(large star), then every node's smaller neighbours to the smallest of them
-(small star); the rounds end when nothing changes, after about log(n) of them.
-Neighbourhoods are never gathered: a round is an aggregate of minima, combined
-before the shuffle, and a join whose skewed keys Spark may split. Each round's
-edges are written to the shared folder, so lineage stays short.
+"""Connected components of an edge table.
+
+Edges are first contracted in blocks of a bounded number: a task unites its
+block's edges and puts out a star for each of its components. If there is more
+than one block, alternating star rounds follow, each over blocks contracted
+again: every node's larger neighbours are linked to its smallest neighbour
+(large star), then its smaller neighbours to the smallest of them (small star),
+until nothing changes, after about log(n) rounds. Neighbourhoods are never
+gathered: a round takes aggregates of minima, combined before the shuffle, and
+joins whose skewed keys Spark may split. Each round's edges are written to the
+shared folder, so lineage stays short.
 """
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from countlens.llm.common import stored
+from countlens.llm.common import parts, stored
+
+BLOCK_EDGES = 100_000
+
+
+def find(parent: dict, x):
+    """The root of x in a union-find of a dict, which gains x."""
+    while parent.setdefault(x, x) != x:
+        parent[x] = parent[parent[x]]
+        x = parent[x]
+    return x
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(``node``, ``component``) of each node with an edge, from edges (``x``, ``y``); the component
     is its smallest node. Self-loops and repeated edges change nothing; null nodes are left out."""
-    edges = edges.filter("x <> y").select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y"))
-    edges, before = stored(edges.distinct(), "edges"), None
-    while True:
-        count = edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("x", "y")).alias("h")).first()
-        if count == before or not count["n"]:
+    edges = stored(edges.filter("x <> y").select("x", "y"), "edges")
+    blocks = parts(edges.count(), BLOCK_EDGES)
+    edges = stored(_contracted(edges, blocks), "edges")
+    while blocks > 1:
+        state = edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("x", "y")).alias("h")).first()
+        edges = _small_star(_large_star(edges))
+        edges = stored(_contracted(edges, parts(state["n"], BLOCK_EDGES)).distinct(), "edges")
+        if edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("x", "y")).alias("h")).first() == state:
             break
-        before = count
-        edges = stored(_small_star(_large_star(edges)), "edges")
-    roots = edges.select(F.col("y").alias("node"), F.col("y").alias("component")).distinct()
+    if blocks > 1:
+        roots = edges.select(F.col("y").alias("node"), F.col("y").alias("component")).distinct()
+    else:  # one block: each root has been put out once, with itself
+        roots, edges = edges.filter("x = y").select(F.col("x").alias("node"), F.col("y").alias("component")), edges.filter("x <> y")
     return edges.select(F.col("x").alias("node"), F.col("y").alias("component")).union(roots)
 
 
+def _contracted(edges: DataFrame, blocks: int) -> DataFrame:
+    """The edges as stars (node, smallest node it is connected with in its block)."""
+
+    def run(batches):
+        parent: dict[int, int] = {}
+        for batch in batches:
+            for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                x, y = find(parent, x), find(parent, y)
+                parent[max(x, y)] = min(x, y)
+        nodes = list(parent)
+        roots = [find(parent, x) for x in nodes]
+        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(roots, pa.int64())], ["x", "y"])
+
+    stars = edges.select("x", "y").coalesce(blocks).mapInArrow(run, "x long, y long")
+    return stars if blocks == 1 else stars.filter("x <> y")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select("y", "x"))
     low = both.groupBy("x").agg(F.min("y").alias("low")).select("x", F.least("x", "low").alias("low"))
-    return both.join(low, "x").filter("y > x").select(F.col("y").alias("x"), F.col("low").alias("y")).distinct()
+    return both.join(low, "x").filter("y > x").select(F.col("y").alias("x"), F.col("low").alias("y"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     low = edges.groupBy("x").agg(F.min("y").alias("low"))
     down = edges.join(low, "x").filter("y <> low").select(F.col("y").alias("x"), F.col("low").alias("y"))
-    return down.union(low.select("x", F.col("low").alias("y"))).distinct()
+    return down.union(low.select("x", F.col("low").alias("y")))

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from countlens.llm.common import parts, stored
-from countlens.llm.components import components
+from countlens.llm.components import components, find
 
 WINDOW = 64
 BLOCK = 2048
@@ -101,13 +101,6 @@ def _keys(nodes: DataFrame, numbers: range) -> DataFrame:
     return nodes.select("node", "vector").mapInArrow(run, "number int, dim int, key long, node long")
 
 
-def _find(parent: dict, x):
-    while parent.setdefault(x, x) != x:
-        parent[x] = parent[parent[x]]
-        x = parent[x]
-    return x
-
-
 def _pass_links(nodes: DataFrame, n: int, numbers: range, threshold: float, window: int) -> DataFrame:
     """Links found by some passes that connect something within their block."""
     order = ["number", "dim", "key", "node"]
@@ -142,7 +135,7 @@ def _pass_links(nodes: DataFrame, n: int, numbers: range, threshold: float, wind
                 near = np.flatnonzero((np.einsum("ij,ij->i", x[:-o], x[o:]) >= threshold) & own[lo : hi - o])
                 for i in near.tolist():
                     a, b = node[lo + i], node[lo + i + o]
-                    ra, rb = _find(parent, a), _find(parent, b)
+                    ra, rb = find(parent, a), find(parent, b)
                     if ra != rb:
                         parent[ra] = rb
                         links.append((min(a, b), max(a, b)))

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from countlens.llm import text as tx
-from countlens.llm.common import parts, stored
+from countlens.llm.common import bitmap, in_bitmap, parts, stored
 from countlens.llm.components import components
 
 _U = np.uint64
@@ -48,7 +48,6 @@ KEYS = 64  # of 2**band parts, so many are keys, the empty ones among them
 SKETCH_BAND = 8  # sets of up to 2**(this + 1) members have sketches of SKETCH_BITS bits
 SKETCH_BITS = 1024
 BLOCK = 4096
-FILTER_BITS = 25
 
 
 def bound(a, b):
@@ -213,42 +212,25 @@ def _near_in_groups(members: DataFrame, nodes: DataFrame, total: int) -> DataFra
 
 
 def _members(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(sig, members) of the wanted (sig, rep), by a second pass over the texts.
-
-    A bitmap of a fixed number of bits tells in the pass which sets may be wanted.
-    """
-    spark = rows.sparkSession
+    """(sig, members) of the wanted (sig, rep), by a second pass over the wanted texts."""
     id_type = rows.schema["doc"].dataType.simpleString()
-    word = F.shiftright(F.col("sig").bitwiseAND(F.lit((1 << FILTER_BITS) - 1)), 6).alias("word")
-    found = (
-        wanted.select(word, F.expr("shiftleft(1L, cast(sig & 63 as int))").alias("bits"))
-        .groupBy("word")
-        .agg(F.bit_or("bits").alias("bits"))
-        .toArrow()
-    )
-    bitmap = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    bitmap[found.column("word").to_numpy()] = found.column("bits").to_numpy()
-    shared = spark.sparkContext.broadcast(bitmap)
+    key = F.xxhash64("doc").alias("key")
+    shared = rows.sparkSession.sparkContext.broadcast(bitmap(wanted.select(F.xxhash64("rep").alias("key")), "key"))
 
     def run(batches):
-        bits = shared.value.view(np.uint64)
-        for part, sets in _sets(batches):
-            use, sigs = [], []
-            for i, s in enumerate(sets):
-                sig = signature(s) if len(s) else None
-                if sig is not None and int(bits[(sig & ((1 << FILTER_BITS) - 1)) >> 6]) >> (sig & 63) & 1:
-                    use.append(i)
-                    sigs.append(sig)
+        bits = shared.value
+        some = (b.filter(pa.array(in_bitmap(bits, b.column(2).to_numpy()))) for b in batches)
+        for part, sets in _sets(some):
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column(0).take(pa.array(use, pa.int64())),
-                    pa.array(sigs, pa.int64()),
-                    pa.array([sets[i].tobytes() for i in use], pa.binary()),
+                    part.column(0),
+                    pa.array([signature(s) if len(s) else None for s in sets], pa.int64()),
+                    pa.array([s.tobytes() for s in sets], pa.binary()),
                 ],
                 ["doc", "sig", "members"],
             )
 
-    got = rows.mapInArrow(run, f"doc {id_type}, sig long, members binary").alias("g")
+    got = rows.select("doc", "text", key).mapInArrow(run, f"doc {id_type}, sig long, members binary").alias("g")
     same = (F.col("g.sig") == F.col("w.sig")) & F.col("g.doc").eqNullSafe(F.col("w.rep"))
     return got.join(wanted.alias("w"), same, "left_semi").select("sig", "members").dropDuplicates(["sig"])
 
