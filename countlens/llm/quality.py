@@ -2,8 +2,8 @@
 follow-the-regularised-leader (proximal, per-coordinate rates).
 
 Tokens are runs of letters and digits or runs of marks, as written; features are
-hashed runs of one and two tokens, each with the share of the text's runs that
-it makes up. Rounds of training run in parallel: a fixed number of shards each
+hashed runs of one and two tokens, and one more for all runs of twice the same
+token, each with the share of the text's runs that it makes up. Rounds of training run in parallel: a fixed number of shards each
 pass once over their labelled texts, then the driver averages the shards'
 states, which have a fixed size. The model learns from at most ``max_rows``
 labelled rows, those of the smallest hash of their id. A text's score is the
@@ -32,6 +32,7 @@ _LETTER = ((_B >= 48) & (_B <= 57)) | ((_B >= 65) & (_B <= 90)) | ((_B >= 97) &
 _KIND = np.where(_LETTER, 1, np.where(tx.SPACED, 2, 0)).astype(np.int8)
 SCALE = 8.0
 SHARDS = 8
+SAME = np.uint64(0xA5A5_5A5A_1234_5678)  # hash of the feature of a token twice in a row
 
 
 def token_runs(column) -> tuple[np.ndarray, np.ndarray]:
@@ -51,10 +52,12 @@ def features(column, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Feature numbers of each row's token runs of one and two, with the row of each."""
     h, at = token_runs(column)
     row = tx.row_of(at)
-    pair = row[1:] == row[:-1] if len(row) else np.zeros(0, bool)
-    two = tx.mix(h[:-1] * np.uint64(3) + h[1:] * np.uint64(0x9E3779B97F4A7C15))[pair] if len(h) else h
-    f = np.concatenate([h, two]) >> np.uint64(64 - bits)
-    return f.astype(np.int64), np.concatenate([row, row[:-1][pair] if len(row) else row])
+    one, next_one = h[:-1], h[1:]
+    pair = row[1:] == row[:-1]
+    two = tx.mix(one * np.uint64(3) + next_one * np.uint64(0x9E3779B97F4A7C15))[pair]
+    same = pair & (one == next_one)
+    f = np.concatenate([h, two, np.full(int(same.sum()), SAME)]) >> np.uint64(64 - bits)
+    return f.astype(np.int64), np.concatenate([row, row[:-1][pair], row[:-1][same]])
 
 
 class Leader:
