@@ -7,7 +7,8 @@ row per source. Documents are then repeated whole ``floor(target / size)``
 times, and the fraction left is met by one more repetition of a seeded part of
 the source: documents in the order of a hash, up to the point where the
 source's words come nearest to the target. That point is found from sums over
-hash slices, so no source is ever gathered or sorted in one task.
+hash slices, so no source is ever gathered or sorted in one task; a large
+source is salted where documents meet their source's target.
 
 Defined results: null text has size 0; null source is a source, the last;
 an empty table gives no rows; repeated rows are separate documents with the
@@ -23,6 +24,7 @@ from countlens.llm.common import stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 SLICE = 3  # hex digits of a level of hash slices
+SALTS = 64  # parts of a source in the join with its plan
 
 
 def water_fill(sources: DataFrame, total_share: float, max_epochs: int) -> DataFrame:
@@ -117,10 +119,12 @@ def mix(
         .select("source", F.coalesce("last", "slice").alias("cut"))
     )
     plan = targets.alias("t").join(cut.alias("c"), same("t", "c"), "left").select("t.*", "c.cut")
+    plan = plan.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = sized.withColumn("salt", F.pmod(F.hash("draw"), F.lit(SALTS)))
     repeats = F.col("p.whole") + F.when(F.col("d.draw") <= F.col("p.cut"), 1).otherwise(0)
     return (
-        sized.alias("d")
-        .join(plan.alias("p"), same("d", "p"))
+        salted.alias("d")
+        .join(plan.alias("p"), same("d", "p") & (F.col("d.salt") == F.col("p.salt")))
         .select(
             F.col("d.id").alias(id_col),
             F.col("d.source").alias(source_col),
