@@ -17,9 +17,9 @@ goes if an earlier line equals it or is near to it.
 4. The earliest partner found is verified on the words themselves.
 
 Defined results: null text has no lines; empty text has one empty line; a null
-id comes last; lines that occur twice at one place (rows that repeat an id) are
-copies, and the first of them by position in no particular order stays, as the
-rows can't be told apart; other columns are ignored.
+id comes last; rows that repeat an id share their places, and lines that are
+equal at one place are one line, so both rows keep it or lose it; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -30,15 +30,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from countlens.llm import text as tx
-from countlens.llm.common import stored
+from countlens.llm.common import bitmap, in_bitmap, stored
 
 _U = np.uint64
 _BASE = _U(0xB5297A4D3F84D5B5)
 _INVERSE = _U(pow(int(_BASE), -1, 1 << 64))
-FILTER_BITS = 25
-
-_PLACE = "struct<late:boolean,doc:{id},line:long>"
-
 
 def _powers(n: int) -> np.ndarray:
     return tx.powers(_BASE, max(1, n))
@@ -140,33 +136,20 @@ def _all_lines(rows: DataFrame, min_words: int, near_words: int) -> DataFrame:
 
 
 def _near_texts(rows: DataFrame, candidates: DataFrame) -> DataFrame:
-    """The candidate lines' texts, by a second pass over the documents.
-
-    A bitmap of a fixed number of bits tells in the pass which lines may be
-    candidates; a join then keeps those that are.
-    """
-    spark = rows.sparkSession
+    """The candidate lines' texts, by a second pass over the documents that hold them."""
     id_type = rows.schema["doc"].dataType.simpleString()
-    bit = F.col("h").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
-    words = (
-        candidates.select(F.shiftright(bit, 6).alias("word"), F.expr(f"shiftleft(1L, cast(h & 63 as int))").alias("bits"))
-        .groupBy("word")
-        .agg(F.bit_or("bits").alias("bits"))
-        .toArrow()
-    )
-    bitmap = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    bitmap[words.column("word").to_numpy()] = words.column("bits").to_numpy()
-    shared = spark.sparkContext.broadcast(bitmap)
+    docs = candidates.select(F.xxhash64("place.doc").alias("key"))
+    shared = rows.sparkSession.sparkContext.broadcast((bitmap(docs, "key"), bitmap(candidates, "h")))
 
     def run(batches):
-        bits = shared.value.view(np.uint64)
+        docs, hashes = shared.value
         for batch in batches:
+            batch = batch.filter(pa.array(in_bitmap(docs, batch.column(2).to_numpy())))
             for part in tx.slices(batch, "text"):
                 data, _ = tx.utf8(part.column(1))
                 h, at, row, number, begins, ends = line_words(part.column(1))
                 whole = Sums(h, at).whole()
-                k = whole & _U((1 << FILTER_BITS) - 1)
-                use = np.flatnonzero((bits[(k >> _U(6)).astype(np.int64)] >> (k & _U(63))) & _U(1))
+                use = np.flatnonzero(in_bitmap(hashes, whole))
                 raw = data.tobytes()
                 texts = [raw[begins[i] : ends[i]].decode("utf-8", "replace") for i in use.tolist()]
                 yield pa.RecordBatch.from_arrays(
@@ -174,6 +157,7 @@ def _near_texts(rows: DataFrame, candidates: DataFrame) -> DataFrame:
                     ["doc", "line", "h", "text"],
                 )
 
+    rows = rows.select("doc", "text", F.xxhash64("doc").alias("key"))
     found = rows.mapInArrow(run, f"doc {id_type}, line long, h long, text string")
     found = found.select("h", _place().alias("place"), "text").join(candidates.select("h", "place"), ["h", "place"])
     return found.dropDuplicates(["h"])
@@ -279,7 +263,11 @@ def duplicate_lines(
 
 
 def drop_lines(docs: DataFrame, gone: DataFrame, *, id_col="doc_id", text_col="text") -> DataFrame:
-    """The documents without the lines listed in ``gone``; a document left with no line at all has text null."""
+    """The documents without the lines listed in ``gone``, other columns kept.
+
+    A document left with no line at all has text null. Rows with a null id, which
+    can't be told apart, are left as they are, and rows that repeat an id lose
+    the same lines."""
     lists = gone.filter(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.collect_set(F.col("line").cast("int")).alias("_gone"))
     kept = F.filter(F.split(F.col(text_col), "\n"), lambda x, i: ~F.array_contains(F.col("_gone"), i))
     text = F.when(F.col("_gone").isNull(), F.col(text_col)).when(F.size(kept) > 0, F.array_join(kept, "\n"))
