@@ -20,7 +20,7 @@ from countlens.plans.testbed import QUERIES  # noqa: E402
 from countlens.session import build_session  # noqa: E402
 
 SHOW = [
-    ("top_n_by_day", "R1: daily top 10, size-checked broadcast label join"),
+    ("top_n_by_day", "R1: daily top 10, label join that Spark may broadcast"),
     ("top_n_by_month", "R2: monthly top 10 rolled up from the daily report"),
     ("decline_report", "R3: one scan for both periods, OR-ed ranges pushed down"),
     ("growth_report", "R4: same shape as R3"),
