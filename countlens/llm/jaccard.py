@@ -137,7 +137,7 @@ def _profiles(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, f"doc {id_type}, n long, sig long, sketch binary, keys array<long>")
 
 
-def _near_by_sketch(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+def _near_by_sketch(pairs: DataFrame, nodes: DataFrame, tasks: int) -> DataFrame:
     """Pairs (x, y) whose sketches are no further apart than linking sets may be."""
     x = nodes.select(F.col("sig").alias("x"), F.col("n").alias("nx"), F.col("sketch").alias("sx"))
     y = nodes.select(F.col("sig").alias("y"), F.col("n").alias("ny"), F.col("sketch").alias("sy"))
@@ -153,7 +153,7 @@ def _near_by_sketch(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
                 ok.append(apart <= bound(nx, ny))
             yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
-    return both.select("x", "y", "nx", "ny", "sx", "sy").mapInArrow(run, "x long, y long")
+    return both.select("x", "y", "nx", "ny", "sx", "sy").coalesce(tasks).mapInArrow(run, "x long, y long")
 
 
 def _near_in_groups(members: DataFrame, nodes: DataFrame, total: int) -> DataFrame:
@@ -235,7 +235,7 @@ def _members(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     return got.join(wanted.alias("w"), same, "left_semi").select("sig", "members").dropDuplicates(["sig"])
 
 
-def _linked(pairs: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFrame:
+def _linked(pairs: DataFrame, rows: DataFrame, nodes: DataFrame, tasks: int) -> DataFrame:
     """The pairs whose sets link, by counting common members."""
     wanted = pairs.select(F.col("x").alias("sig")).union(pairs.select("y")).distinct()
     sets = stored(_members(rows, wanted.join(nodes.select("sig", "rep"), "sig")), "sets")
@@ -254,7 +254,7 @@ def _linked(pairs: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFrame:
                 ok.append(100 * common >= 75 * (len(a) + len(b) - common))
             yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
-    return both.select("x", "y", "a", "b").mapInArrow(run, "x long, y long")
+    return both.select("x", "y", "a", "b").coalesce(tasks).mapInArrow(run, "x long, y long")
 
 
 def classes(docs: DataFrame, *, id_col="doc_id", text_col="text") -> DataFrame:
@@ -275,10 +275,13 @@ def classes(docs: DataFrame, *, id_col="doc_id", text_col="text") -> DataFrame:
     members = members.join(weight, "sig")
     leaders = members.groupBy("key").agg(F.max(F.struct("weight", "sig")).alias("lead")).select("key", F.col("lead.sig").alias("lead"))
     members = stored(members.drop("weight").join(leaders, "key"), "shared-groups")
+    # The leaders' round tests no more pairs than the groups have rows.
+    total = members.count()
+    tasks = parts(total, 20_000)
     pair = [F.least("sig", "lead").alias("x"), F.greatest("sig", "lead").alias("y")]
     first = members.filter("sig <> lead").select(*pair).distinct()
-    first = stored(_near_by_sketch(first, nodes), "pairs")
-    links = stored(_linked(first, rows, nodes), "links")
+    first = stored(_near_by_sketch(first, nodes, tasks), "pairs")
+    links = stored(_linked(first, rows, nodes, tasks), "links")
 
     so_far = components(links).withColumnRenamed("node", "sig")
     members = members.filter("f > 2 and sig <> lead").join(so_far, "sig", "left")
@@ -286,9 +289,9 @@ def classes(docs: DataFrame, *, id_col="doc_id", text_col="text") -> DataFrame:
     members = stored(members, "classed-groups")
     mixed = members.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b").select("key")
     rest = members.join(mixed, "key", "left_semi")
-    second = _near_in_groups(rest, nodes, members.count())
+    second = _near_in_groups(rest, nodes, total)
     second = stored(second.join(first, ["x", "y"], "left_anti"), "pairs")
-    links = links.union(_linked(second, rows, nodes))
+    links = links.union(_linked(second, rows, nodes, tasks))
 
     final = components(links).withColumnRenamed("node", "sig")
     named = nodes.select("sig", "rep").join(final, "sig")
