@@ -36,21 +36,21 @@ def components(edges: DataFrame) -> DataFrame:
     edges = stored(edges.filter("x <> y").select("x", "y"), "edges")
     blocks = parts(edges.count(), BLOCK_EDGES)
     edges = stored(_contracted(edges, blocks), "edges")
-    while blocks > 1:
+    before = None
+    while blocks > 1:  # a contraction in one block unites all there is
         state = edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("x", "y")).alias("h")).first()
-        edges = _small_star(_large_star(edges))
-        edges = stored(_contracted(edges, parts(state["n"], BLOCK_EDGES)).distinct(), "edges")
-        if edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("x", "y")).alias("h")).first() == state:
+        if state == before:
             break
-    if blocks > 1:
-        roots = edges.select(F.col("y").alias("node"), F.col("y").alias("component")).distinct()
-    else:  # one block: each root has been put out once, with itself
-        roots, edges = edges.filter("x = y").select(F.col("x").alias("node"), F.col("y").alias("component")), edges.filter("x <> y")
+        before = state
+        blocks = parts(state["n"], BLOCK_EDGES)
+        edges = stored(_contracted(_small_star(_large_star(edges)), blocks).distinct(), "edges")
+    roots = edges.select(F.col("y").alias("node"), F.col("y").alias("component")).distinct()
     return edges.select(F.col("x").alias("node"), F.col("y").alias("component")).union(roots)
 
 
 def _contracted(edges: DataFrame, blocks: int) -> DataFrame:
-    """The edges as stars (node, smallest node it is connected with in its block)."""
+    """The edges as stars (node, smallest node it is connected with in its block), without the
+    roots' loops, so that states compare whatever the number of blocks."""
 
     def run(batches):
         parent: dict[int, int] = {}
@@ -63,7 +63,7 @@ def _contracted(edges: DataFrame, blocks: int) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(roots, pa.int64())], ["x", "y"])
 
     stars = edges.select("x", "y").coalesce(blocks).mapInArrow(run, "x long, y long")
-    return stars if blocks == 1 else stars.filter("x <> y")
+    return stars.filter("x <> y")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

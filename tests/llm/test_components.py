@@ -30,3 +30,25 @@ def test_random_chain_star_and_loops(spark, monkeypatch, block):
 
 def test_no_edges(spark):
     assert components(spark.createDataFrame([], "x long, y long")).count() == 0
+
+
+@pytest.mark.parametrize("block", [19, 20, 21, 39, 40, 41])
+def test_blocks_about_the_number_of_nodes(spark, monkeypatch, block):
+    """N = 20 nodes that are no roots and R = 20 roots, so that rounds cross from several blocks to one."""
+    monkeypatch.setattr(components_module, "BLOCK_EDGES", block)
+    written = []
+
+    def stored(df, name):
+        written.append(name)
+        assert len(written) < 30, "rounds don't end"
+        return stored_before(df, name)
+
+    stored_before = components_module.stored
+    monkeypatch.setattr(components_module, "stored", stored)
+    check(spark, [(2 * i, 2 * i + 1) for i in range(20)] * 3, 40)
+
+
+def test_rounds_that_end_in_one_block(spark, monkeypatch):
+    """More raw edges than a block holds, and fewer nodes: each root comes once."""
+    monkeypatch.setattr(components_module, "BLOCK_EDGES", 20)
+    check(spark, [(x, y) for x in range(10) for y in range(x)], 10)
