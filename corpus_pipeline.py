@@ -41,9 +41,9 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     """Documents without the lines that equal an earlier line or are near to it; those left
     with no line go."""
     importable(spark)
-    docs = docs.select(*COLUMNS)
-    gone = lines.duplicate_lines(docs)
-    left = lines.drop_lines(docs.withColumn("had", F.col("text").isNotNull()), gone)
+    named = docs.select(*COLUMNS).withColumn("row_id", _row_id())
+    gone = lines.duplicate_lines(named, id_col="row_id")
+    left = lines.drop_lines(named.withColumn("had", F.col("text").isNotNull()), gone, id_col="row_id")
     left = left.filter("text is not null or not had")
     return left.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 

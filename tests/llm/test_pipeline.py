@@ -66,6 +66,15 @@ def test_odd_and_empty_tables(spark, name):
     assert STAGE[name](spark, hp.empty_docs(spark), hp.SF).count() == 0
 
 
+def test_line_stage_tells_repeated_and_null_ids_apart(spark):
+    hot, own, more = "a hot line of seven words here", "one line of its own text", "some more text of this row"
+    data = [(0, hot), (1, f"{own}\n{hot}"), (1, f"{hot}\n{more}"), (1, f"{hot}\n{more}")]
+    data += [(None, f"{hot}\nalone"), (None, f"first\n{hot}"), (None, hot), (None, None), (2, None)]
+    docs = spark.createDataFrame([(i, t, None, None, 0) for i, t in data], hp.DOCS)
+    want = [(0, hot), (1, own), (1, more), (1, more), (None, "alone"), (None, "first"), (None, None), (2, None)]
+    assert rows(STAGE["line_dedup"](spark, docs, hp.SF)) == sorted(want, key=str)
+
+
 def test_near_duplicate_stage_tells_repeated_ids_apart(spark):
     text = " ".join(f"w{i}" for i in range(40))
     data = [(1, text), (1, text), (2, text + " more"), (3, "other"), (3, "else"), (None, text), (None, "alone"), (None, "alone"), (4, None), (5, "")]
