@@ -9,8 +9,14 @@ each with the first nodes of the next block, are compared in tasks. Links from
 all passes are united into components; within a block only links that connect
 something new are put out.
 
-The number of passes follows from the number of nodes, so that a pair at the
-threshold meets with probability ``recall`` at any size.
+Where vectors are dense (a topic's cone), more nodes than a window share the
+leading hashes that a pass counts on. All pairs of such a crowded bucket are
+compared, in blocks: a search from node to node that leaves out what it has
+reached, so near copies cost little, and unlike nodes of one bucket the square
+of their number. So any two nodes that agree in a pass's leading hashes are
+compared in it, however the vectors are spread; the number of passes follows
+from the number of nodes, and a pair at the threshold is compared with
+probability ``recall`` or more, at any size and density.
 
 The windows bound what is compared, not what is counted: all pairs within a
 component are then compared in blocks of bounded size, and each node's links
@@ -41,12 +47,15 @@ BLOCK = 2048
 PASSES_A_JOB = 8
 
 
+def bits_for(n: int, window: int = WINDOW) -> float:
+    """Leading hashes that narrow evenly spread nodes down to a quarter of a window."""
+    return max(1.0, math.log2(max(n, 2) / window) + 2)
+
+
 def passes_for(n: int, threshold: float, recall: float, window: int = WINDOW) -> int:
-    """Passes in which a pair at the threshold agrees, at least once, in as many leading
-    hashes as narrow the order down to a window."""
+    """Passes in which a pair at the threshold agrees, at least once, in the leading hashes."""
     agree = 1 - math.acos(threshold) / math.pi
-    bits = max(1.0, math.log2(max(n, 2) / window) + 2)
-    return max(4, math.ceil(math.log(1 - recall) / math.log(1 - agree**bits)))
+    return max(4, math.ceil(math.log(1 - recall) / math.log(1 - agree ** bits_for(n, window))))
 
 
 def directions(number: int, dim: int) -> np.ndarray:
@@ -116,6 +125,7 @@ def _pass_links(nodes: DataFrame, n: int, numbers: range, threshold: float, wind
     ranked = ordered.join(F.broadcast(sizes), "part").withColumn("rank", F.col("before") + F.col("at"))
     block = F.floor(F.col("rank") / BLOCK)
     also = F.when((F.col("rank") % BLOCK < window) & (block > 0), F.array(block, block - 1)).otherwise(F.array(block))
+    within = _crowded_links(ordered, nodes, int(bits_for(n, window)), threshold, window)
     placed = ranked.select("number", "dim", "node", "rank", F.explode(also).alias("block"))
     placed = placed.join(nodes.select("node", "vector"), "node").select("block", "rank", "number", "dim", "node", "vector")
     placed = placed.repartition(parts(rows, 8 * BLOCK), "block").sortWithinPartitions("block", "rank")
@@ -161,20 +171,70 @@ def _pass_links(nodes: DataFrame, n: int, numbers: range, threshold: float, wind
                 rows.append(row)
         yield from flush()
 
-    return placed.mapInArrow(run, "x long, y long")
+    return placed.mapInArrow(run, "x long, y long").union(within)
+
+
+def _dealt(members: DataFrame, group: list[str], nodes: DataFrame, columns: list[str], tasks: int) -> DataFrame:
+    """Members of groups of size ``f``, in blocks that meet each other: rows of a pair (i, j) of
+    a group's blocks, together in a task."""
+    members = members.withColumn("blocks", F.ceil(F.col("f") / F.lit(BLOCK)).cast("int"))
+    mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    members = members.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    members = members.select(*group, F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "node")
+    members = members.join(nodes.select("node", "n", "vector"), "node").select(*group, "i", "j", *columns)
+    dealt = members.repartition(tasks, *group, "i", "j") if tasks else members.repartition(*group, "i", "j")
+    return dealt.sortWithinPartitions(*group, "i", "j")
+
+
+def forest(x: np.ndarray, threshold: float) -> list[tuple[int, int]]:
+    """Links that connect all rows of ``x`` that links connect, by searches over the rows not yet reached."""
+    links, left = [], np.arange(len(x))
+    while len(left):
+        front, left = left[:1], left[1:]
+        while len(front) and len(left):
+            own, front = front[:64], front[64:]
+            near = x[own] @ x[left].T >= threshold
+            new = near.any(axis=0)
+            links += zip(own[near.argmax(axis=0)[new]].tolist(), left[new].tolist(), strict=True)
+            front, left = np.concatenate([front, left[new]]), left[~new]
+    return links
+
+
+def _crowded_links(ordered: DataFrame, nodes: DataFrame, bits: int, threshold: float, window: int) -> DataFrame:
+    """Links among the nodes that share a pass's leading ``bits`` hashes with more than a window
+    of others; fewer lie within a window in the order."""
+    bucket = ["number", "dim", "bucket"]
+    rows = ordered.select("number", "dim", F.shiftright("key", 64 - min(bits, 64)).alias("bucket"), "node")
+    crowded = rows.groupBy(*bucket).agg(F.count("*").alias("f")).filter(F.col("f") > window + 1)
+    dealt = _dealt(rows.join(crowded, bucket), bucket, nodes, ["node", "vector"], 0)
+
+    def run(batches):
+        held, rows = None, []
+
+        def flush():
+            if rows:
+                node, vector = zip(*rows, strict=True)
+                links = [(node[a], node[b]) for a, b in forest(np.stack(vector), threshold)]
+                x, y = [min(p) for p in links], [max(p) for p in links]
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], ["x", "y"])
+
+        for batch in batches:
+            columns = [batch.column(i).to_pylist() for i in range(6)]
+            for *group, node, vector in zip(*columns, unit(batch.column(6)), strict=True):
+                if group != held:
+                    yield from flush()
+                    held, rows = group, []
+                rows.append((node, vector))
+        yield from flush()
+
+    return dealt.mapInArrow(run, "x long, y long")
 
 
 def _counts(nodes: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
     """(node, links): vectors at other nodes that each node links with, within its component."""
     size = classes.groupBy("component").agg(F.count("*").alias("f"))
-    members = classes.join(size, "component").withColumn("blocks", F.ceil(F.col("f") / F.lit(BLOCK)).cast("int"))
-    mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    members = members.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    members = members.select("component", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "node")
-    members = members.join(nodes.select("node", "n", "vector"), "node")
-    members = members.select("component", "i", "j", "mine", "node", "n", "vector")
-    dealt = members.repartition(parts(classes.count(), 4 * BLOCK), "component", "i", "j")
-    dealt = dealt.sortWithinPartitions("component", "i", "j")
+    columns = ["mine", "node", "n", "vector"]
+    dealt = _dealt(classes.join(size, "component"), ["component"], nodes, columns, parts(classes.count(), 4 * BLOCK))
 
     def run(batches):
         held, rows = None, []

@@ -79,5 +79,46 @@ def test_pairs_at_the_threshold_are_found(spark):
     assert found >= 0.99 * 600
 
 
+def test_pairs_in_a_hot_cone_are_found(spark):
+    """A third of all rows in a cone, alike but below the bound, with pairs just above it that have no other link."""
+    rng = np.random.default_rng(12)
+    unit = lambda x: x / np.linalg.norm(x)
+    centre = unit(rng.standard_normal(64))
+
+    def side(*to):
+        y = rng.standard_normal(64)
+        basis = np.linalg.qr(np.stack(to, axis=1))[0]
+        return unit(y - basis @ (basis.T @ y))
+
+    alone = [rng.standard_normal(64) for _ in range(2400)]
+    cone = [math.sqrt(0.88) * centre + math.sqrt(0.12) * side(centre) for _ in range(1200)]
+    c = 0.951
+    firsts = cone[:100]
+    others = [c * x + math.sqrt(1 - c * c) * unit(side(x) + unit(centre - (centre @ x) * x)) for x in firsts]
+    others = [unit(c * x + math.sqrt(1 - c * c) * unit(y - (y @ x) * x)) for x, y in zip(firsts, others, strict=True)]
+    rows = [(i, x.tolist()) for i, x in enumerate([*alone, *cone, *others])]
+    x = np.stack([v / np.linalg.norm(v) for _, v in rows])
+    near = x @ x.T >= 0.95
+    assert near.sum() - len(x) >= 200
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = sum(r["n_links"] for r in embeddings.near_duplicates(df, window=8).collect())
+    assert found >= 0.99 * (near.sum() - len(x))
+
+
+def test_forest_connects_what_links_connect():
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((300, 3))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    want, got_ = hp.Union(300), hp.Union(300)
+    for a, b in np.argwhere(x @ x.T >= 0.99):
+        want.join(a, b)
+    links = embeddings.forest(x, 0.99)
+    for a, b in links:
+        assert x[a] @ x[b] >= 0.99
+        got_.join(a, b)
+    assert want.least(list(range(300))) == got_.least(list(range(300)))
+    assert len(links) == 300 - len({want.find(i) for i in range(300)})
+
+
 def test_more_passes_for_more_vectors():
     assert embeddings.passes_for(10**9, 0.95, 0.999) > embeddings.passes_for(10**4, 0.95, 0.999)
