@@ -1,7 +1,9 @@
 """Line dedup (operator 8): a deletion-neighbourhood join over the words of lines.
 
 A line is the sequence of its words (white space apart, A-Z lowered). Lines of
-fewer than ``min_words`` words are left alone. Lines of at least ``near_words``
+fewer than ``min_words`` words are left alone, unless ``min_chars`` is given and their words,
+with a blank between two, have that many code points (text without spaces, long
+URLs): of those, equal lines go, near ones don't. Lines of at least ``near_words``
 words are near if one word inserted, deleted or replaced makes them equal. Of
 equal or near lines the earliest, by document id and line number, stays: a line
 goes if an earlier line equals it or is near to it.
@@ -105,19 +107,24 @@ def _place(doc="doc", line="line"):
     return F.struct(F.col(doc).isNull().alias("late"), F.col(doc).alias("doc"), F.col(line).alias("line"))
 
 
-def _all_lines(rows: DataFrame, min_words: int, near_words: int) -> DataFrame:
-    """(doc, line, h, halves) of each line of ``min_words`` words or more."""
+def _all_lines(rows: DataFrame, min_words: int, near_words: int, min_chars: int | None) -> DataFrame:
+    """(doc, line, h, halves) of each line of ``min_words`` words or ``min_chars`` code points or more."""
     id_type = rows.schema["doc"].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
             for part in tx.slices(batch, "text"):
-                h, at, row, number, _, _ = line_words(part.column(1))
+                h, at, row, number, begins, ends = line_words(part.column(1))
                 sums = Sums(h, at)
-                use = np.flatnonzero(sums.n >= min_words)
+                whole = sums.n >= min_words
+                if min_chars is not None:
+                    data, _ = tx.utf8(part.column(1))
+                    chars = np.concatenate([[0], np.cumsum(tx.SPACED[data] & ((data & 0xC0) != 0x80))])
+                    whole |= chars[ends] - chars[begins] + np.maximum(sums.n - 1, 0) >= min_chars
+                use = np.flatnonzero(whole)
                 n = sums.n[use]
                 long = n >= near_words
-                half, shorter = (n - 1) // 2, (n - 2) // 2
+                half, shorter = (n - 1) // 2, np.maximum(n - 2, 0) // 2
                 keys = np.stack([sums.head(use, half), sums.tail(use, half), sums.head(use, shorter), sums.tail(use, shorter)], axis=1)
                 width = np.where(long, np.where(half == shorter, 2, 4), 0)
                 taken = np.arange(4)[None, :] < width[:, None]
@@ -243,11 +250,11 @@ def near_lines(texts: DataFrame) -> DataFrame:
 
 
 def duplicate_lines(
-    docs: DataFrame, *, id_col="doc_id", text_col="text", min_words: int = 5, near_words: int = 9
+    docs: DataFrame, *, id_col="doc_id", text_col="text", min_words: int = 5, near_words: int = 9, min_chars: int | None = None
 ) -> DataFrame:
     """Each line that goes: id, ``line`` (from 0) and ``kind`` (``copy`` or ``near``)."""
     rows = _rows(docs, id_col, text_col)
-    lines = stored(_all_lines(rows, min_words, near_words), "lines")
+    lines = stored(_all_lines(rows, min_words, near_words, min_chars), "lines")
     distinct = lines.groupBy("h").agg(F.min(_place()).alias("place"), F.count("*").alias("n"), F.first("halves").alias("halves"))
     distinct = stored(distinct, "lines-distinct")
     halves = distinct.select("h", "place", F.explode("halves").alias("half"))

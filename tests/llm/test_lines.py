@@ -91,3 +91,13 @@ def test_near_check_on_words():
 def test_place_orders_null_ids_last(spark):
     df = spark.createDataFrame([(None, "a b c d e"), (7, "a b c d e")], "doc_id long, text string")
     assert [r["doc_id"] for r in lines.duplicate_lines(df).filter(F.col("line") == 0).collect()] == [None]
+
+
+def test_copies_of_long_lines_of_few_words(spark, tmp_path):
+    """Text without spaces, a URL and four long words, judged by code points."""
+    words = ["a" * 12, "b" * 12, "c" * 12, "d" * 21]
+    lines_ = ["東京" * 30, "https://example.org/" + "a" * 40, "  ".join(words), "é" * 59, "All rights reserved.", ""]
+    rows = [(1, "\n".join(lines_)), (2, "\n".join(["one", *lines_])), (3, " ".join(words).upper())]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r["doc_id"]: r["removed"] for r in queries.op8_lines(spark, str(tmp_path)).collect()}
+    assert found == {2: [1, 2, 3], 3: [0]}
