@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-
-# Parts of a period that are ranked apart when n is beyond the partial limit.
-BUCKETS = 64
+from countlens.operators.ordering import placed, written
 
 
 def rank_within(
@@ -25,23 +23,44 @@ def rank_within(
     partial ``WindowGroupLimit`` before the shuffle on ``period_col``: every
     task forwards at most ``n`` rows per period, so a period holding a large
     share of the data never lands whole in one task. Catalyst does so only up
-    to ``spark.sql.optimizer.windowGroupLimitThreshold``; beyond it, the rows
-    of a period are first ranked within ``BUCKETS`` hash buckets, of which
-    each forwards its ``n`` largest.
+    to ``spark.sql.optimizer.windowGroupLimitThreshold``; beyond it, rows are
+    ranked by a range sort (``rank_by_range``), which writes as it is called.
     """
     if n < 1:
         raise ValueError("n must be at least 1")
-    order = (F.col(value_col).desc_nulls_last(), F.col(id_col).asc_nulls_first())
     limit = int(totals.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
     if n > limit:
-        bucket = Window.partitionBy(period_col, "__bucket").orderBy(*order)
-        totals = totals.withColumn("__bucket", F.pmod(F.hash(id_col), F.lit(BUCKETS)))
-        totals = totals.withColumn("__place", F.row_number().over(bucket)).filter(F.col("__place") <= n)
-        totals = totals.drop("__bucket", "__place")
+        return rank_by_range(totals, period_col, id_col, value_col, n, rank_col)
+    order = (F.col(value_col).desc_nulls_last(), F.col(id_col).asc_nulls_first())
     w = Window.partitionBy(period_col).orderBy(*order)
     return totals.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= n)
 
 
+def rank_by_range(
+    totals: DataFrame,
+    period_col: str,
+    id_col: str,
+    value_col: str,
+    n: int | None = None,
+    rank_col: str = "rank",
+) -> DataFrame:
+    """``rank_within`` for any ``n`` (None: all rows), with no task that holds a period.
+
+    Totals are written once, sorted by ranges of (period, value, id) and
+    written again; a rank is a row's place in its partition plus the sizes of
+    the period's earlier partitions. A period that holds all rows is spread
+    over all partitions. Null values come last, null ids first, and a null
+    period is a period.
+    """
+    if n is not None and n < 1:
+        raise ValueError("n must be at least 1")
+    order = (F.col(value_col).desc_nulls_last(), F.col(id_col).asc_nulls_first())
+    ranked = placed(written(totals, "totals"), [period_col], order, "__place", "__of")
+    kept = ranked if n is None else ranked.filter(F.col("__place") < n)
+    place = (F.col("__place") + 1).cast("long")
+    return kept.withColumn(rank_col, place if n is None or n >= 1 << 31 else place.cast("int")).drop("__place", "__of")
+
+
 def top_n_by_period(
     df: DataFrame,
     period_col: str,

@@ -32,7 +32,7 @@ from countlens.functions.datetime import (
 from countlens.operators import checks as ck
 from countlens.operators.enrich import with_label
 from countlens.operators.periods import period_total
-from countlens.operators.ranking import top_n_by_period
+from countlens.operators.ranking import rank_by_range, top_n_by_period
 from countlens.plans import jobs
 from countlens.plans.reports import decline_report, growth_report, top_n_by_day, top_n_by_month
 from countlens.session import scratch_path
@@ -743,6 +743,12 @@ def q_top_1500_by_year(spark, sf_dir):
     return top_n_by_period(li, "year", "l_orderkey", "l_quantity", 1500, "total")
 
 
+def q_ranks_of_hot_periods(spark, sf_dir):
+    """A million places of two periods that hold all rows: ranked by ranges, never in one task a period."""
+    totals = _lineitem(spark, sf_dir).groupBy("l_linestatus", "l_orderkey").agg(F.sum("l_quantity").alias("total"))
+    return rank_by_range(totals, "l_linestatus", "l_orderkey", "total", 1_000_000)
+
+
 def q_period_total_midday_of_dates(spark, sf_dir):
     li = _lineitem(spark, sf_dir).withColumn("day", F.to_date("l_shipdate"))
     total = period_total(li, "day", "1996-03-01T12:00:00", "1996-03-31T12:00:00", "l_suppkey", "l_quantity", "total")
@@ -845,6 +851,7 @@ QUERIES = {
     "top_n_by_day_ordered": q_top_n_by_day_ordered,
     "stored_top_n_by_day_int": q_stored_top_n_by_day_int,
     "top_1500_by_year": q_top_1500_by_year,
+    "ranks_of_hot_periods": q_ranks_of_hot_periods,
     "period_total_midday_of_dates": q_period_total_midday_of_dates,
     "check_formats_with_line_breaks": q_check_formats_with_line_breaks,
     "violations_not_null": q_violations_not_null,

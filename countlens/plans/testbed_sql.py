@@ -398,6 +398,13 @@ r AS (
   SELECT *, CAST(ROW_NUMBER() OVER (
     PARTITION BY "year" ORDER BY total DESC NULLS LAST, l_orderkey ASC NULLS FIRST) AS INTEGER) AS "rank" FROM t)
 SELECT * FROM r WHERE "rank" <= 1500
+""",
+    "ranks_of_hot_periods": """
+WITH t AS (SELECT l_linestatus, l_orderkey, SUM(l_quantity) AS total FROM lineitem GROUP BY 1, 2),
+r AS (
+  SELECT *, CAST(ROW_NUMBER() OVER (
+    PARTITION BY l_linestatus ORDER BY total DESC NULLS LAST, l_orderkey ASC NULLS FIRST) AS INTEGER) AS "rank" FROM t)
+SELECT * FROM r WHERE "rank" <= 1000000
 """,
     "period_total_midday_of_dates": """
 SELECT l_suppkey AS sensor_id, CAST(SUM(l_quantity) AS BIGINT) AS total FROM lineitem

@@ -372,6 +372,6 @@ def test_permanent_view_follows_its_table(spark):
     name = "t_viewed_" + os.path.basename(scratch_path(spark, "v")).replace("-", "_")
     publish_table(spark.range(3), name, scratch_path(spark, "viewed"))
     view = passthrough_view(spark, f"views_db.{name}_v", name, temporary=False)
-    assert view.count() == 3 and not any(t.isTemporary for t in spark.catalog.listTables("views_db"))
+    assert view.count() == 3 and not spark.catalog.getTable(f"views_db.{name}_v").isTemporary
     publish_table(spark.range(5), name, scratch_path(spark, "viewed"))
     assert spark.table(f"views_db.{name}_v").count() == 5
