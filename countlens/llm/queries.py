@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countlens.llm import contamination, credentials, embeddings, jaccard, langid, lines, mixing, quality, repeats, warc
+from countlens.llm import contamination, credentials, embeddings, jaccard, langid, lines, merkle, mixing, oracles, quality, repeats, warc
 from countlens.llm.common import table
 
 
@@ -93,6 +93,20 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = merkle.manifest(table(spark, sf_dir, "documents"), carry={"tampered": merkle.tampered_leaf()})
+    found = found.withColumn("folded_root", merkle.folded(F.col("tampered"), F.col("path")))
+    return found.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES = {
     "op1_embeddings": op1_embeddings,
     "op2_langid": op2_langid,
@@ -104,6 +118,7 @@ QUERIES = {
     "op8_lines": op8_lines,
     "op9_mixing": op9_mixing,
     "op10_repeats": op10_repeats,
+    "op13_merkle": op13_merkle,
 }
 
-ORACLE_SQL = {"op9_mixing": mixing.MIX_SQL}
+ORACLE_SQL = {"op9_mixing": mixing.MIX_SQL, "op13_merkle": oracles.MERKLE_SQL}
