@@ -59,3 +59,53 @@ SELECT l.doc_id, l.digest AS leaf, s.digest AS subroot, r.digest AS root, sha256
        p.other AS folded_root, p.other = r.digest AS verified
 FROM leaves l JOIN subroots s ON l.grp = s.below JOIN bp{_LEVELS} p ON l.key = p.key, b{_LEVELS} r
 """
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def licenses_sql(templates, base, rare: int, band: int, min_score: float) -> str:
+    """The licence scan by plain joins of all word positions with all postings."""
+    fold = "regexp_extract_all(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    listed = ", ".join(f"({i}, {_text(label)}, {_text(text)})" for i, (label, text, _) in enumerate(templates))
+    keys = ", ".join(f"({i}, {_text(key)})" for i, (_, _, keys) in enumerate(templates) for key in keys)
+    phrases = ", ".join(f"({_text(label)}, {_text(p)}, {_text(p.split()[0])}, {len(p.split())})" for label, p in base)
+    return f"""
+WITH tok AS (SELECT row_number() OVER () AS r, doc_id, {fold.format("coalesce(text, '')")} AS ws FROM documents),
+pos AS (SELECT r, unnest(ws) AS word, unnest(range(len(ws))) AS i FROM tok),
+tpl AS (SELECT template, label, {fold.format('text')} AS ws FROM (VALUES {listed}) t(template, label, text)),
+posted AS (SELECT template, label, unnest(ws) AS word, unnest(range(len(ws))) AS i FROM tpl),
+docs_with AS (SELECT word, count(DISTINCT r) AS n FROM pos WHERE word IN (SELECT word FROM posted) GROUP BY word),
+weighed AS (
+  SELECT p.*, coalesce(d.n, 0) AS df,
+         round(ln(((SELECT count(*) FROM documents) + 1)::DOUBLE / (coalesce(d.n, 0) + 1)) * 1000)::BIGINT + 1 AS weight
+  FROM posted p LEFT JOIN docs_with d ON p.word = d.word),
+ranked AS (SELECT *, dense_rank() OVER (PARTITION BY template ORDER BY df, word) AS place FROM weighed),
+sized AS (SELECT *, max(place) OVER (PARTITION BY template) AS words FROM ranked),
+kept AS (SELECT * FROM sized WHERE place <= least({rare}, (words + 1) // 2)),
+totals AS (SELECT template, sum(weight) AS total FROM (SELECT DISTINCT template, word, weight FROM kept) GROUP BY template),
+pairs AS (
+  SELECT DISTINCT r, template, label, k.word, weight, s.shift, floor((pos.i - k.i + s.shift) / {band}.0) AS band
+  FROM pos JOIN kept k ON pos.word = k.word, (VALUES (0), ({band // 2})) s(shift)),
+aligned AS (SELECT r, template, label, shift, band, sum(weight) AS weight FROM pairs GROUP BY ALL),
+best AS (
+  SELECT a.r, a.template, a.label, max(a.weight)::DOUBLE / max(t.total) AS score
+  FROM aligned a JOIN totals t ON a.template = t.template GROUP BY ALL),
+matches AS (
+  SELECT b.* FROM best b JOIN tok ON b.r = tok.r WHERE score >= {min_score} AND NOT EXISTS (
+    SELECT 1 FROM (VALUES {keys}) k(template, phrase) WHERE k.template = b.template
+    AND NOT contains(' ' || array_to_string(tok.ws, ' ') || ' ', ' ' || k.phrase || ' '))),
+base AS (
+  SELECT p.r, f.label, p.i FROM pos p JOIN (VALUES {phrases}) f(label, phrase, word, n) ON p.word = f.word
+  JOIN tok ON tok.r = p.r WHERE array_to_string(tok.ws[(p.i + 1)::INTEGER:(p.i + f.n)::INTEGER], ' ') = f.phrase),
+based AS (SELECT r, count(*) AS n, min(i) AS first, max(i) AS last, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM base GROUP BY r),
+labelled AS (
+  SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+  FROM (SELECT r, label FROM base UNION ALL SELECT r, label FROM matches) GROUP BY r),
+scored AS (SELECT r, max(score) AS score FROM matches GROUP BY r)
+SELECT t.doc_id, len(t.ws)::BIGINT AS n_words, coalesce(b.n, 0)::BIGINT AS n_base, b.first::BIGINT AS first_word,
+       b.last::BIGINT AS last_word, coalesce(b.labels, '') AS base_labels, coalesce(l.labels, '') AS labels,
+       CASE WHEN b.n > 0 THEN 1.0::DOUBLE ELSE coalesce(s.score, 0.0)::DOUBLE END AS score
+FROM tok t LEFT JOIN based b ON t.r = b.r LEFT JOIN labelled l ON t.r = l.r LEFT JOIN scored s ON t.r = s.r
+"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countlens.llm import contamination, credentials, embeddings, jaccard, langid, lines, merkle, mixing, oracles, quality, repeats, warc
+from countlens.llm import contamination, credentials, embeddings, jaccard, langid, licenses, lines, merkle, mixing, oracles, quality, repeats, warc
 from countlens.llm.common import table
 
 
@@ -93,6 +93,24 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    starts = F.transform("base", lambda x: x["at"])
+    base = F.array_sort(F.array_distinct(F.transform("base", lambda x: x["label"])))
+    own = F.transform("matches", lambda x: x["label"])
+    best = F.coalesce(F.get(F.transform("matches", lambda x: x["score"]), F.lit(0)), F.lit(0.0))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        F.array_join(base, ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union(base, own)), ",").alias("labels"),
+        F.when(F.size("base") > 0, F.lit(1.0)).otherwise(best).alias("score"),
+    )
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = merkle.manifest(table(spark, sf_dir, "documents"), carry={"tampered": merkle.tampered_leaf()})
     found = found.withColumn("folded_root", merkle.folded(F.col("tampered"), F.col("path")))
@@ -118,7 +136,14 @@ QUERIES = {
     "op8_lines": op8_lines,
     "op9_mixing": op9_mixing,
     "op10_repeats": op10_repeats,
+    "op11_licenses": op11_licenses,
     "op13_merkle": op13_merkle,
 }
 
-ORACLE_SQL = {"op9_mixing": mixing.MIX_SQL, "op13_merkle": oracles.MERKLE_SQL}
+ORACLE_SQL = {
+    "op9_mixing": mixing.MIX_SQL,
+    "op11_licenses": oracles.licenses_sql(
+        licenses.TEMPLATES, licenses.BASE_PHRASES, licenses.RARE, licenses.BAND, licenses.MIN_SCORE
+    ),
+    "op13_merkle": oracles.MERKLE_SQL,
+}
