@@ -109,3 +109,38 @@ SELECT t.doc_id, len(t.ws)::BIGINT AS n_words, coalesce(b.n, 0)::BIGINT AS n_bas
        CASE WHEN b.n > 0 THEN 1.0::DOUBLE ELSE coalesce(s.score, 0.0)::DOUBLE END AS score
 FROM tok t LEFT JOIN based b ON t.r = b.r LEFT JOIN labelled l ON t.r = l.r LEFT JOIN scored s ON t.r = s.r
 """
+
+
+_SAID = "md5(octet_length(encode(role))::VARCHAR || ':' || role || text)"
+
+TURNS_SQL = f"""
+WITH filled AS (
+  SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT c, text, {_SAID} AS tid, row_number() OVER (
+    PARTITION BY c ORDER BY turn NULLS FIRST, substr(role, 1, 16), substr(text, 1, 16), {_SAID}) - 1 AS i FROM filled),
+convs AS (SELECT c, {crc32_sql('c::VARCHAR')} % 6 AS h, c - c % 100 AS b FROM (SELECT DISTINCT c FROM own)),
+joined AS (
+  SELECT v.c, 0 AS part, o.i, o.tid, o.text FROM convs v JOIN own o ON o.c = v.b AND o.i < v.h
+  UNION ALL SELECT v.c, 1, o.i, o.tid, o.text FROM convs v JOIN own o ON o.c = v.c AND o.i >= v.h),
+seqs AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY part, i) AS d, tid, length(text) AS len FROM joined),
+prefixes AS (
+  SELECT c, d, string_agg(tid, '/') OVER (PARTITION BY c ORDER BY d ROWS UNBOUNDED PRECEDING) AS p, len FROM seqs
+  UNION ALL SELECT c, 0, '', 0 FROM convs),
+nodes AS (SELECT d, p, min(c) AS node, count(*) AS n, max(len) AS len FROM prefixes GROUP BY d, p),
+member AS (SELECT x.c, x.d, n.node FROM prefixes x JOIN nodes n ON x.d = n.d AND x.p = n.p),
+linked AS (
+  SELECT n.*, m.node AS up FROM nodes n LEFT JOIN member m ON m.c = n.node AND m.d = n.d - 1),
+kids AS (SELECT d - 1 AS d, up AS node, count(*) AS k FROM linked WHERE d > 0 GROUP BY 1, 2),
+full_nodes AS (SELECT l.*, coalesce(k.k, 0) AS k FROM linked l LEFT JOIN kids k ON k.d = l.d AND k.node = l.node),
+sums AS (
+  SELECT m.d, m.node, sum((f.n - 1) * f.len) AS saved, count(*) FILTER (WHERE f.k = 0) AS leaves
+  FROM full_nodes f JOIN member m ON m.c = f.node AND m.d <= f.d GROUP BY 1, 2),
+lengths AS (SELECT c, max(d) AS d FROM prefixes GROUP BY c),
+ended AS (
+  SELECT m.d, m.node, string_agg(m.c::VARCHAR, ',' ORDER BY m.c) AS ids
+  FROM lengths l JOIN member m ON l.c = m.c AND l.d = m.d GROUP BY 1, 2)
+SELECT f.node AS conv_id, f.d::BIGINT AS depth, f.up AS parent_conv_id, f.n::BIGINT AS n_convs, f.k::BIGINT AS n_children,
+       s.leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM full_nodes f JOIN sums s ON s.d = f.d AND s.node = f.node LEFT JOIN ended e ON e.d = f.d AND e.node = f.node
+"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countlens.llm import contamination, credentials, embeddings, jaccard, langid, licenses, lines, merkle, mixing, oracles, quality, repeats, warc
+from countlens.llm import contamination, credentials, embeddings, jaccard, langid, licenses, lines, merkle, mixing, oracles, quality, repeats, turns, warc
 from countlens.llm.common import table
 
 
@@ -111,6 +111,10 @@ def op11_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.trie(turns.rebuilt(turns.numbered(table(spark, sf_dir, "conversations"))))
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = merkle.manifest(table(spark, sf_dir, "documents"), carry={"tampered": merkle.tampered_leaf()})
     found = found.withColumn("folded_root", merkle.folded(F.col("tampered"), F.col("path")))
@@ -137,6 +141,7 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op10_repeats": op10_repeats,
     "op11_licenses": op11_licenses,
+    "op12_turns": op12_turns,
     "op13_merkle": op13_merkle,
 }
 
@@ -145,5 +150,6 @@ ORACLE_SQL = {
     "op11_licenses": oracles.licenses_sql(
         licenses.TEMPLATES, licenses.BASE_PHRASES, licenses.RARE, licenses.BAND, licenses.MIN_SCORE
     ),
+    "op12_turns": oracles.TURNS_SQL,
     "op13_merkle": oracles.MERKLE_SQL,
 }
