@@ -126,7 +126,7 @@ def trie(turns: DataFrame, segment: int = SEGMENT, box: int = BOX) -> DataFrame:
         ends = ends.unionByName(alive.filter(F.col("total") <= deep * segment).select("conv", "key"))
         if root["longest"] <= deep * segment:
             break
-        on = alive.filter(F.col("total") > deep * segment)
+        on = alive.filter(F.col("total") > deep * segment).select("conv", "key")
         lows = alive.groupBy("key").agg(F.min("conv").alias("up"), F.count(F.when(F.col("total") > deep * segment, 1)).alias("go"))
         heads = stored(on.join(lows, "key").select("conv", F.col("key").alias("head"), "up", "go"), "turns-heads")
         single = heads.filter("go = 1").withColumn("start", F.lit(deep * segment).cast("long"))
@@ -230,7 +230,9 @@ def _grow(rows: DataFrame, box: int) -> tuple[list[DataFrame], DataFrame]:
         following = F.element_at("rest", F.col("shared") + 1)
         child = F.unhex(F.md5(F.concat(F.col("box"), F.lit("/").cast("binary"), F.hex(following).cast("binary"))))
         rows = here.filter(~ended).select(
-            child.alias("box"), (F.col("base") + F.col("shared")).alias("base"), F.col("least").alias("up"),
+            child.alias("box"), (F.col("base") + F.col("shared")).alias("base"),
+            # Without a chain they branch at the head itself, where other conversations may end.
+            F.when(F.col("shared") > 0, F.col("least")).otherwise(F.col("up")).alias("up"),
             F.expr("slice(rest, shared + 1, size(rest))").alias("rest"), F.expr("slice(lens, shared + 1, size(lens))").alias("lens"),
             "n", "low", "key", "below_leaves", "below_saved", "below_children", F.col("box").alias("over"),
         )

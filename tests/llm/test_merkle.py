@@ -1,0 +1,93 @@
+"""The manifest against a tree built in Python."""
+
+import hashlib
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from countlens.llm import merkle
+from countlens.llm.queries import op13_merkle
+from tests.llm.helpers import CLASHES, DOCS, SF, empty_docs, odd_docs, rows_of
+
+LOWER = str.maketrans(merkle.UPPER, merkle.LOWER)
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def leaf(doc, tampered=False):
+    out = ""
+    for c in ("doc_id", "source", "lang", "n_chars", "text"):
+        v = doc[c]
+        if c == "text" and tampered and v is not None and doc["doc_id"] is not None:
+            v = v.translate(LOWER) if zlib.crc32(str(doc["doc_id"]).encode()) % 3 == 0 else v
+        out += "-" if v is None else f"{len(str(v).encode())}:{v}"
+    return sha(out)
+
+
+def tree(nodes, fanout):
+    """(root, per node its list of (left, right))."""
+    level, paths, at = list(nodes), [[] for _ in nodes], list(range(len(nodes)))
+    while len(level) > 1:
+        runs = [level[i : i + fanout] for i in range(0, len(level), fanout)]
+        for k, place in enumerate(at):
+            run, slot = runs[place // fanout], place % fanout
+            paths[k].append(("".join(run[:slot]), "".join(run[slot + 1 :])))
+            at[k] = place // fanout
+        level = [sha("".join(run)) for run in runs]
+    return level[0], paths
+
+
+def brute(docs, fanout=8):
+    groups: dict = {}
+    for d in docs:
+        groups.setdefault(d["lang"], []).append(d)
+    names = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    for g in names:
+        groups[g].sort(key=lambda d: (d["doc_id"] is not None, d["doc_id"] or 0, leaf(d)))
+    below = {g: tree([leaf(d) for d in groups[g]], fanout) for g in names}
+    root, above = tree([below[g][0] for g in names], fanout)
+    out = []
+    for g, up in zip(names, above, strict=True):
+        for d, path in zip(groups[g], below[g][1], strict=True):
+            path = path + up
+            found = leaf(d, tampered=True)
+            for left, right in path:
+                found = sha(left + found + right)
+            proof = sha("".join(left + right for left, right in path))
+            out.append((d["doc_id"], leaf(d), below[g][0], root, proof, found, found == root))
+    return sorted(out, key=str)
+
+
+def test_query_equals_brute_force(spark):
+    got = op13_merkle(spark, SF)
+    assert sorted(map(tuple, got.collect()), key=str) == brute(rows_of(SF, "documents"))
+    assert got.filter("not verified").count() > 0
+
+
+def digests(df, fanout=8):
+    found = merkle.manifest(df, fanout=fanout, carry={"tampered": merkle.tampered_leaf()})
+    folded = merkle.folded(F.col("tampered"), F.col("path"))
+    found = found.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")), folded.alias("f"), folded == F.col("root"))
+    return sorted(map(tuple, found.collect()), key=str)
+
+
+@pytest.mark.parametrize("fanout", [2, 3, 8])
+def test_odd_rows_many_groups_and_levels(spark, fanout):
+    """Null ids, groups and texts, repeated ids and rows, groups of one, clashing names."""
+    rows = [(i % 50 if i % 9 else None, f"Text {i % 70}" if i % 5 else None, f"l{i % 11}" if i % 4 else None, "S", i) for i in range(150)]
+    rows += [(1, "alone", "zz", None, None), (1, "alone", "é", None, None)] + rows[:20]
+    df = spark.createDataFrame(rows, DOCS).repartition(3)
+    for c in CLASHES:
+        df = df.withColumn(c, F.lit("clash"))
+    assert digests(df, fanout) == brute([dict(zip(("doc_id", "text", "lang", "source", "n_chars"), r, strict=True)) for r in rows], fanout)
+
+
+def test_one_row_one_group_and_none(spark):
+    one = spark.createDataFrame([(5, "Hello", "en", "s", 5)], DOCS)
+    (row,) = digests(one)
+    assert row[1] == row[2] == row[3] and row[4] == sha("") and not row[6] == (zlib.crc32(b"5") % 3 == 0)
+    assert digests(empty_docs(spark)) == []
+    assert len(digests(odd_docs(spark))) == odd_docs(spark).count()

@@ -1,0 +1,97 @@
+"""The conversation trie against a trie in Python, with containers and segments small enough to burst and continue."""
+
+import hashlib
+import random
+import zlib
+
+import pytest
+
+from countlens.llm import turns
+from countlens.llm.common import table
+from countlens.llm.queries import op12_turns
+from tests.llm.helpers import CLASHES, SF
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def brute(rows, rebuild=True):
+    convs: dict = {}
+    for c, turn, role, text in rows:
+        if c is not None:
+            role, text = role or "", text or ""
+            tid = hashlib.md5(f"{len(role.encode())}:{role}{text}".encode()).digest()
+            convs.setdefault(c, []).append(((turn is not None, turn or 0), role[:16].encode(), text[:16].encode(), tid, role, text))
+    seqs = {}
+    for c, own in convs.items():
+        own.sort()
+        h = zlib.crc32(str(c).encode()) % 6 if rebuild else 0
+        first = sorted(convs.get(c - c % 100, []))[:h]
+        seqs[c] = [x[4:] for x in first + own[h:]]
+    nodes: dict = {}
+    for c, seq in seqs.items():
+        for d in range(len(seq) + 1):
+            nodes.setdefault(tuple(seq[:d]), []).append(c)
+    out = []
+    for path, members in nodes.items():
+        under = [p for p in nodes if p[: len(path)] == path]
+        saved = sum((len(nodes[p]) - 1) * (len(p[-1][1]) if p else 0) for p in under)
+        leaves = sum(1 for p in under if not any(q[:-1] == p for q in nodes if q))
+        children = sum(1 for q in nodes if q and q[:-1] == path)
+        ends = ",".join(str(c) for c in sorted(members) if len(seqs[c]) == len(path))
+        up = min(nodes[path[:-1]]) if path else None
+        out.append((min(members), len(path), up, len(members), children, leaves, saved, hashlib.sha256(ends.encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def talk(rng, conversations=60, most=12):
+    rows = []
+    for c in range(conversations):
+        c = c * 7 % 450
+        for turn in range(rng.randint(1, most)):
+            rows.append((c, turn, rng.choice(["user", None]), rng.choice(["aa", "b", "", None]) if turn > 2 else "start"))
+    return rows
+
+
+@pytest.mark.parametrize(("segment", "box"), [(256, 1 << 16), (3, 12), (2, 1 << 16), (256, 6)])
+def test_equals_a_trie_in_python(spark, segment, box):
+    rows = talk(random.Random(segment))
+    rows += [(300, t, "user", "a long one") for t in range(17)] + [(301, t, "user", "a long one") for t in range(15)]
+    rows += [(None, 0, "user", "nobody")] * 3 + [(302, None, "user", "early"), (302, 0, "user", "early"), (302, 0, "user", "early")]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    for c in CLASHES:
+        df = df.withColumn(c, df.text)
+    built = turns.rebuilt(turns.numbered(df))
+    assert rows_of(turns.trie(built, segment, box)) == brute(rows)
+
+
+def test_a_hot_first_turn_and_copies(spark):
+    """Most conversations share their first turns, and a third are copies of one."""
+    rng = random.Random(9)
+    rows = []
+    for c in range(300):
+        middle = [("user", "same")] * 9 if c % 3 == 0 else [("user", rng.choice("abc")) for _ in range(rng.randint(1, 9))]
+        rows += [(c, i, *said) for i, said in enumerate([("system", "hot"), ("user", "hot too"), *middle])]
+    df = spark.createDataFrame(rows, SCHEMA)
+    for segment, box in ((4, 20), (256, 40)):
+        assert rows_of(turns.trie(turns.rebuilt(turns.numbered(df)), segment, box)) == brute(rows)
+
+
+def test_conversations_may_lose_all_turns(spark):
+    """Where the base conversation is absent and the own turns are fewer than those taken, none is left."""
+    rows = [(c, 0, "user", "only") for c in (101, 102, 105, 205)]
+    got = rows_of(turns.trie(turns.rebuilt(turns.numbered(spark.createDataFrame(rows, SCHEMA)))))
+    assert got == brute(rows) and any(r[1] == 0 and r[3] == 4 for r in got)
+
+
+def test_empty_table(spark):
+    none = turns.rebuilt(turns.numbered(spark.createDataFrame([], SCHEMA)))
+    assert turns.trie(none).count() == 0
+
+
+def test_query_equals_brute_force(spark):
+    rows = [tuple(r) for r in table(spark, SF, "conversations").select("conv_id", "turn", "role", "text").collect()]
+    assert rows_of(op12_turns(spark, SF)) == brute(rows)
