@@ -161,11 +161,12 @@ def trie(turns: DataFrame, segment: int = SEGMENT, box: int = BOX) -> DataFrame:
     body = nodes[0]
     for part in nodes[1:]:
         body = body.unionByName(part)
-    top = convs.agg(F.min("conv").alias("conv_id"), F.count("*").alias("n_convs")).withColumn("head", nothing).join(sums, "head", "left")
-    top = top.select(
-        nothing.alias("box"), "conv_id", F.lit(0).cast("long").alias("depth"), F.lit(None).cast("long").alias("parent_conv_id"), "n_convs",
-        F.coalesce("n_children", F.lit(0)).alias("n_children"), F.coalesce("n_leaves", F.lit(1)).alias("n_leaves"),
-        F.coalesce("saved", F.lit(0)).alias("saved_tokens"), nothing.alias("key"),
+    kids, leaves, saved = (sums.filter(F.col("head") == nothing).select("n_children", "n_leaves", "saved").first() or (0, 1, 0)) if sums is not None else (0, 1, 0)
+    long = lambda x: F.lit(x).cast("long")
+    top = spark.range(1).select(
+        nothing.alias("box"), long(root["low"]).alias("conv_id"), long(0).alias("depth"), long(None).alias("parent_conv_id"),
+        long(root["n"]).alias("n_convs"), long(kids).alias("n_children"), long(leaves).alias("n_leaves"),
+        long(saved).alias("saved_tokens"), nothing.alias("key"),
     )
     body = body.unionByName(top)
     return body.join(_digests(ends), "key", "left").select(
