@@ -32,7 +32,7 @@ from countlens.plans.reports import (
 )
 from countlens.functions.datetime import is_day, month_of_day_text
 from countlens.operators.periods import day_totals
-from countlens.schemas import CHECK_FAILURES_BY_MONTH, MONTH_COL
+from countlens.schemas import CHECK_FAILURES_BY_MONTH, FILE_KEY, MONTH_COL
 from countlens.schemas import DUPLICATE_IDS_BY_MONTH as DUPLICATE_IDS_SCHEMA
 from countlens.schemas import SENSOR_COUNTS as SENSOR_COUNTS_SCHEMA
 from countlens.schemas import SENSOR_DAY_TOTALS as DAY_TOTALS_SCHEMA
@@ -46,6 +46,7 @@ from countlens.sources.files import (
     with_month,
 )
 from countlens.sources.tables import (
+    empty_partitions,
     overwrite_partitions,
     overwrite_path,
     overwrite_table,
@@ -113,7 +114,7 @@ def ingest_counts_by_month(
 def land_counts(spark: SparkSession, csv_path: str, on_bad: str = "fail", mixed_headers: bool = False) -> DataFrame:
     """A landed count batch, parsed once and stored (``read_landed_counts``)."""
     path = scratch_path(spark, "landed-counts")
-    overwrite_path(read_landed_counts(spark, csv_path, on_bad, mixed_headers), path)
+    overwrite_path(read_landed_counts(spark, csv_path, on_bad, mixed_headers, keep_key=True), path)
     return spark.read.parquet(path)
 
 
@@ -124,8 +125,11 @@ def merge_counts(spark: SparkSession, batch: DataFrame, location: str, raw_db: s
     ``id``; all other stored rows stay, so a late or partial batch removes
     nothing that it does not replace. Rows without an id are replaced by equal
     rows. Rows whose time does not parse are kept by source file, and landing a
-    file again replaces that file's. A row whose corrected time lies in another
-    month does not remove the old one: ``unique(id)`` reports it.
+    file again replaces that file's, also by none (``corrected_files`` names the
+    partitions that so lose all rows, for the tables derived from the counts). A row
+    whose corrected time lies in another month does not remove the old one:
+    ``unique(id)`` reports it. ``plans.batches.CountMart`` keeps an index of ids and
+    files and replaces rows wherever they are.
     """
     name = f"{raw_db}.{SENSOR_COUNTS}"
     schema = StructType([*SENSOR_COUNTS_SCHEMA.fields, StructField(MONTH_COL, StringType(), True)])
@@ -138,10 +142,24 @@ def merge_counts(spark: SparkSession, batch: DataFrame, location: str, raw_db: s
         stored = stored_months(spark, name, batch).filter(~F.col(MONTH_COL).startswith(UNPARSED_PREFIX))
         stored = stored.withColumn("__key", row_key).join(replaced, [MONTH_COL, "__key"], "left_anti")
         rows = rows.unionByName(stored.select(*schema.names))
+    gone = corrected_files(spark, batch, raw_db) if known else []
     overwrite_partitions(rows, name, sort_by=("date_time",))
+    if gone:
+        empty_partitions(spark, name, gone)
     return stored_months(spark, name, batch)
 
 
+def corrected_files(spark: SparkSession, batch: DataFrame, raw_db: str = "raw") -> list[str]:
+    """Partitions of unparsed rows that files of a landed batch had and no longer have."""
+    if FILE_KEY not in batch.columns:
+        return []
+    rows = batch.select(MONTH_COL, F.concat(F.lit(UNPARSED_PREFIX), F.col(FILE_KEY)).alias("key"))
+    own = {r["key"] for r in rows.select("key").distinct().collect()}  # as many as the batch has files
+    filled = {r[0] for r in rows.select(MONTH_COL).distinct().collect()}
+    listed = spark.sql(f"SHOW PARTITIONS {raw_db}.{SENSOR_COUNTS}").collect()
+    return sorted((own - filled) & {r[0].split("=", 1)[1] for r in listed})
+
+
 def stored_months(spark: SparkSession, name: str, batch: DataFrame) -> DataFrame:
     """The stored rows of the months of a batch; other partitions are not opened."""
     return spark.table(name).join(batch.select(MONTH_COL).distinct(), MONTH_COL, "left_semi")
@@ -225,11 +243,12 @@ def refresh_duplicate_ids(
 
 
 def read_landed_counts(
-    spark: SparkSession, csv_path: str, on_bad: str = "fail", mixed_headers: bool = False
+    spark: SparkSession, csv_path: str, on_bad: str = "fail", mixed_headers: bool = False, keep_key: bool = False
 ) -> DataFrame:
-    """A landed count batch, typed, with the ``year_month`` partition column."""
+    """A landed count batch, typed, with the ``year_month`` partition column (and ``file_key``)."""
     raw = read_raw_counts_csv(spark, csv_path, mixed_headers)
-    return with_month(counts_from_raw(raw, on_bad, extra=(F.col("_metadata.file_path").alias("__file"),)))
+    typed = counts_from_raw(raw, on_bad, extra=(F.col("_metadata.file_path").alias("__file"),))
+    return with_month(typed, keep_key=keep_key)
 
 
 def ingest_reference(

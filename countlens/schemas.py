@@ -15,6 +15,7 @@ from pyspark.sql.types import (
     StringType,
     StructField,
     StructType,
+    TimestampType,
 )
 
 # Raw hourly counts, one row per sensor per hour. ``date_time`` is an ISO
@@ -96,6 +97,62 @@ DUPLICATE_IDS_BY_MONTH = StructType(
     [StructField("id", LongType(), True), StructField("year_month", StringType(), True)]
 )
 
+# Tables of ``plans.batches.CountMart``. Counts with the key of the file that landed them.
+FILE_KEY = "file_key"
+LANDED_COUNTS = StructType(
+    [*SENSOR_COUNTS.fields, StructField(FILE_KEY, StringType(), True), StructField(MONTH_COL, StringType(), True)]
+)
+
+# Which partition holds an id or a file: bits of 64 ids to a row, and a row per file.
+PARTITION_INDEX = StructType(
+    [
+        StructField("block", LongType(), True),
+        StructField("bits", LongType(), True),
+        StructField(FILE_KEY, StringType(), True),
+        StructField(MONTH_COL, StringType(), True),
+    ]
+)
+
+# Rows per id, kept by ranges of ids; the duplicates alone have the same columns.
+ID_COUNTS = StructType(
+    [StructField("id", LongType(), True), StructField("n", LongType(), True), StructField("id_range", StringType(), True)]
+)
+
+# Steps of the batches that a mart has taken.
+BATCH_LEDGER = StructType(
+    [
+        StructField("batch_id", StringType(), True),
+        StructField("number", LongType(), True),
+        StructField("step", StringType(), True),
+        StructField("detail", StringType(), True),
+        StructField("at", TimestampType(), True),
+    ]
+)
+
+# Partition column of the rankings kept by month: the month, or UNDATED.
+PART_COL = "part"
+UNDATED = "undated"
+TOP_BY_DAY_BY_MONTH = StructType(
+    [
+        StructField("date", StringType(), True),
+        StructField("rank", IntegerType(), True),
+        StructField("sensor_id", IntegerType(), True),
+        StructField("location_name", StringType(), True),
+        StructField("daily_count", LongType(), True),
+        StructField(PART_COL, StringType(), True),
+    ]
+)
+TOP_BY_MONTH_BY_MONTH = StructType(
+    [
+        StructField("year_month", StringType(), True),
+        StructField("rank", IntegerType(), True),
+        StructField("sensor_id", IntegerType(), True),
+        StructField("location_name", StringType(), True),
+        StructField("monthly_count", LongType(), True),
+        StructField(PART_COL, StringType(), True),
+    ]
+)
+
 # Raw CSV header names of the count file (fixed values of the source format).
 CSV_ID = "ID"
 CSV_DATE_TIME = "Date_Time"

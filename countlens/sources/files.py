@@ -158,16 +158,18 @@ def _with_header(spark: SparkSession, header: list[str], path: str | list[str])
     return reader.option("columnPruning", False).option("columnNameOfCorruptRecord", BAD_LINE).csv(path)
 
 
-def with_month(typed: DataFrame, file_col: str = "__file") -> DataFrame:
+def with_month(typed: DataFrame, file_col: str = "__file", keep_key: bool = False) -> DataFrame:
     """Typed counts with the ``year_month`` partition column in place of their source file.
 
     A row whose time does not parse (kept as NULL with ``on_bad="null"``) has
     no month; it is keyed by its source file (``unparsed-<hash of the path>``),
     so landing a file again replaces that file's unparsed rows and never
-    another's.
+    another's. ``keep_key``: also keep that hash, of every row, as ``file_key``.
     """
-    unparsed = F.concat(F.lit(UNPARSED_PREFIX), F.sha2(F.col(file_col), 256))
-    return typed.withColumn(schemas.MONTH_COL, F.coalesce(month_of_day_text("date_time"), unparsed)).drop(file_col)
+    key = F.sha2(F.col(file_col), 256)
+    unparsed = F.concat(F.lit(UNPARSED_PREFIX), key)
+    out = typed.withColumn(schemas.MONTH_COL, F.coalesce(month_of_day_text("date_time"), unparsed))
+    return (out.withColumn(schemas.FILE_KEY, key) if keep_key else out).drop(file_col)
 
 
 def raw_counts_schema(columns=RAW_COUNT_COLUMNS) -> StructType:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,7 +75,13 @@ def overwrite_table(df: DataFrame, name: str) -> None:
     _refresh(df.sparkSession, name, "SYNC" if part_cols else None)
 
 
-def overwrite_partitions(df: DataFrame, name: str, sort_by: tuple[str, ...] = ()) -> None:
+def overwrite_partitions(
+    df: DataFrame,
+    name: str,
+    sort_by: tuple[str, ...] = (),
+    partitions: Sequence[str] | None = None,
+    empty: Sequence[str] = (),
+) -> None:
     """Replace only the partitions of table ``name`` that ``df`` holds rows for.
 
     Dynamic partition overwrite: partitions absent from ``df`` are kept, so
@@ -84,13 +91,42 @@ def overwrite_partitions(df: DataFrame, name: str, sort_by: tuple[str, ...] = ()
     and splits a hot one), so the number of files follows the data and not
     tasks times partitions, and sorted once, by partition and ``sort_by``. The
     mode is an option of this write; no session setting is changed.
+
+    For a table with one partition column: ``partitions`` names those that
+    ``df`` may hold, which are then added to the catalog by name instead of by a
+    listing of the table's folders; ``empty`` names partitions that lose all their
+    rows, which a dynamic overwrite alone would leave as they are.
     """
     out, part_cols, location = _for_table(df, name)
     if part_cols:
         out = out.hint("rebalance", *part_cols).sortWithinPartitions(*part_cols, *sort_by)
     writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     (writer.partitionBy(*part_cols) if part_cols else writer).parquet(location)
-    _refresh(df.sparkSession, name, "ADD" if part_cols else None)
+    if partitions is None:
+        _refresh(df.sparkSession, name, "ADD" if part_cols else None)
+    else:
+        _add_partitions(df.sparkSession, name, part_cols, [p for p in partitions if p not in set(empty)])
+    if empty:
+        empty_partitions(df.sparkSession, name, empty)
+
+
+def _add_partitions(spark: SparkSession, name: str, part_cols: list[str], values: Sequence[str]) -> None:
+    (column,) = part_cols
+    for lo in range(0, len(values), 500):
+        listed = " ".join(f"PARTITION (`{column}` = {_text(str(v))})" for v in values[lo : lo + 500])
+        spark.sql(f"ALTER TABLE {_quote(name)} ADD IF NOT EXISTS {listed}")
+    spark.sql(f"REFRESH TABLE {_quote(name)}")
+
+
+def empty_partitions(spark: SparkSession, name: str, values: Sequence[str]) -> None:
+    """Take all rows from partitions of a table with one partition column (the partitions stay listed)."""
+    none = spark.table(name).limit(0)
+    _, (column,), location = _for_table(none, name)
+    none = spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in none.schema if f.name != column])
+    for value in values:
+        overwrite_path(none, f"{location.rstrip('/')}/{column}={value}")
+    if values:
+        _add_partitions(spark, name, [column], list(values))
 
 
 def _for_table(df: DataFrame, name: str) -> tuple[DataFrame, list[str], str]:
