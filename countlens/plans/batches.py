@@ -108,14 +108,18 @@ class CountMart:
 
     # ------------------------------------------------------------- batches
 
-    def apply(self, batch_id: str, csv_path: str, on_bad: str = "fail", mixed_headers: bool = False) -> bool:
+    def apply(
+        self, batch_id: str, csv_path: str, on_bad: str = "fail", mixed_headers: bool = False, by_folder: bool = False
+    ) -> bool:
         """Land the count files under ``csv_path`` as batch ``batch_id`` and bring all tables up to
-        date. Returns whether there was anything to do: a batch that is done is not applied again."""
+        date. Returns whether there was anything to do: a batch that is done is not applied again.
+        ``by_folder``: what is landed again is a folder, whatever its files are called."""
 
         def land() -> tuple[DataFrame, list[str]]:
-            rows = jobs.read_landed_counts(self.spark, csv_path, on_bad, mixed_headers, keep_key=True)
+            rows = jobs.read_landed_counts(self.spark, csv_path, on_bad, mixed_headers, True, by_folder)
             # By the listing, so that a file without a row left replaces its rows too.
-            return rows, [file_key(f) for f in self.spark.read.text(csv_path).inputFiles()]
+            listed = self.spark.read.text(csv_path).inputFiles()
+            return rows, sorted({file_key(f.rsplit("/", 1)[0] if by_folder else f) for f in listed})
 
         return self._apply(batch_id, land)
 
@@ -129,10 +133,10 @@ class CountMart:
 
     def resume(self) -> list[str]:
         """Complete the batches that stopped after they had landed; returns their ids."""
-        opened = [b for b, steps in self._batches().items() if "landed" in steps and "done" not in steps]
-        for batch_id in opened:
-            self._complete(batch_id)
-        return opened
+        opened = {b: steps for b, steps in self._batches().items() if "done" not in steps}
+        for batch_id, steps in opened.items():
+            self._complete(batch_id, steps)
+        return list(opened)
 
     def complete(self) -> bool:
         """Whether all tables agree: no batch has begun and is not done."""
@@ -146,12 +150,9 @@ class CountMart:
             out.setdefault(r["batch_id"], {})[r["step"]] = json.loads(r["detail"])
         return out
 
-    def _record(self, batch_id: str, step: str, detail: dict) -> None:
+    def _record(self, batch_id: str, number: int, step: str, detail: dict) -> None:
         if self.on_step:
             self.on_step(step)
-        number = self.spark.table(self.ledger).filter(F.col("batch_id") == batch_id).agg(F.max("number")).first()[0]
-        if number is None:
-            number = (self.spark.table(self.ledger).agg(F.max("number")).first()[0] or 0) + 1
         row = self.spark.range(1).select(
             F.lit(batch_id).alias("batch_id"),
             F.lit(number).cast("long").alias("number"),
@@ -164,21 +165,25 @@ class CountMart:
 
     def _apply(self, batch_id: str, land) -> bool:
         self.resume()
-        if "done" in self._batches().get(batch_id, {}):
+        batches = self._batches()
+        if "done" in batches.get(batch_id, {}):
             return False
         rows, files = land()
         path = f"{self.root}/landed/{uuid.uuid4().hex}"
         overwrite_path(rows.select(*schemas.LANDED_COUNTS.names), path)
-        self._record(batch_id, "landed", {"path": path, "files": files})
-        self._complete(batch_id)
+        number = 1 + max((steps["landed"]["number"] for steps in batches.values()), default=0)
+        landed = {"path": path, "files": files, "number": number}
+        self._record(batch_id, number, "landed", landed)
+        self._complete(batch_id, {"landed": landed})
         return True
 
-    def _complete(self, batch_id: str) -> None:
-        steps = self._batches()[batch_id]
-        batch = self.spark.read.schema(schemas.LANDED_COUNTS).parquet(steps["landed"]["path"])
+    def _complete(self, batch_id: str, steps: dict[str, dict]) -> None:
+        landed = steps["landed"]
+        number = landed["number"]
+        batch = self.spark.read.schema(schemas.LANDED_COUNTS).parquet(landed["path"])
         if "planned" not in steps:
-            steps["planned"] = self._plan(batch, steps["landed"]["files"])
-            self._record(batch_id, "planned", steps["planned"])
+            steps["planned"] = self._plan(batch, landed["files"])
+            self._record(batch_id, number, "planned", steps["planned"])
         plan = steps["planned"]
         work = {
             "counts": lambda: self._write_counts(batch, plan),
@@ -192,18 +197,17 @@ class CountMart:
         for step, run in work.items():
             if step not in steps:
                 run()
-                self._record(batch_id, step, {})
+                self._record(batch_id, number, step, {})
 
     # --------------------------------------------------------------- a plan
 
-    def _holding(self, batch: DataFrame, files: Sequence[str]) -> set[str]:
+    def _holding(self, batch: DataFrame, files: Sequence[str], low: int | None, high: int | None) -> set[str]:
         """Partitions that hold an id of the batch or rows of its files."""
         index = self.spark.table(self.index)
-        bits = id_bits(batch).select("block", F.col("bits").alias("wanted"))
-        low, high = batch.agg(F.min("id"), F.max("id")).first()
         held = index.filter(F.col(FILE_KEY).isin(list(files))).select(MONTH_COL)
         if low is not None:
             # The index is sorted by block, so its files' statistics leave out most of it.
+            bits = id_bits(batch).select("block", F.col("bits").alias("wanted"))
             near = index.filter(F.col("block").between(low >> 6, high >> 6)).join(bits, "block")
             held = held.union(near.filter(F.col("bits").bitwiseAND(F.col("wanted")) != 0).select(MONTH_COL))
         return {r[0] for r in held.distinct().collect()}
@@ -216,10 +220,10 @@ class CountMart:
 
     def _plan(self, batch: DataFrame, files: Sequence[str]) -> dict:
         """What a batch will change, found before it changes anything."""
-        keys = {r[0] for r in batch.select(FILE_KEY).filter(f"{FILE_KEY} is not null").distinct().collect()}
-        files = sorted(keys | set(files))
-        months = {r[0] for r in batch.select(MONTH_COL).distinct().collect()}
-        held = self._holding(batch, files)
+        # As many values as the batch has files and the mart has partitions.
+        keys, months, low, high = batch.agg(F.collect_set(FILE_KEY), F.collect_set(MONTH_COL), F.min("id"), F.max("id")).first()
+        files, months = sorted({*keys, *files}), set(months)
+        held = self._holding(batch, files, low, high)
         partitions = sorted(months | held)
         left = sorted(held - months)  # partitions that rows only leave
         filled = {r[0] for r in self._kept(batch, files, left).select(MONTH_COL).distinct().collect()} if left else set()
@@ -261,12 +265,8 @@ class CountMart:
 
     def _write_index(self, plan: dict) -> None:
         rows = self._touched(plan)
-        files = rows.select(FILE_KEY, MONTH_COL).filter(f"{FILE_KEY} is not null").distinct()
-        index = id_bits(rows, MONTH_COL).unionByName(files, allowMissingColumns=True)
-        # A partition whose rows have neither an id nor a file has nothing to look up.
-        found = {r[0] for r in rows.filter(f"id is not null or {FILE_KEY} is not null").select(MONTH_COL).distinct().collect()}
-        empty = sorted(set(plan["partitions"]) - found)
-        overwrite_partitions(index, self.index, ("block",), plan["partitions"], empty)
+        files = rows.select(FILE_KEY, MONTH_COL).distinct()  # so each partition with rows has one here
+        self._write(id_bits(rows, MONTH_COL).unionByName(files, allowMissingColumns=True), self.index, plan, ("block",))
 
     def _write_ids(self, plan: dict) -> None:
         now = self.spark.read.schema(schemas.ID_COUNTS).parquet(plan["ids"])

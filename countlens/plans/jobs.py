@@ -243,11 +243,19 @@ def refresh_duplicate_ids(
 
 
 def read_landed_counts(
-    spark: SparkSession, csv_path: str, on_bad: str = "fail", mixed_headers: bool = False, keep_key: bool = False
+    spark: SparkSession,
+    csv_path: str,
+    on_bad: str = "fail",
+    mixed_headers: bool = False,
+    keep_key: bool = False,
+    by_folder: bool = False,
 ) -> DataFrame:
-    """A landed count batch, typed, with the ``year_month`` partition column (and ``file_key``)."""
+    """A landed count batch, typed, with the ``year_month`` partition column (and ``file_key``, of
+    each row's file or of its folder)."""
     raw = read_raw_counts_csv(spark, csv_path, mixed_headers)
-    typed = counts_from_raw(raw, on_bad, extra=(F.col("_metadata.file_path").alias("__file"),))
+    file = F.col("_metadata.file_path")
+    file = F.regexp_replace(file, "/[^/]*$", "") if by_folder else file
+    typed = counts_from_raw(raw, on_bad, extra=(file.alias("__file"),))
     return with_month(typed, keep_key=keep_key)
 
 

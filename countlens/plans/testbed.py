@@ -34,6 +34,7 @@ from countlens.operators.enrich import with_label
 from countlens.operators.periods import period_total
 from countlens.operators.ranking import rank_by_range, top_n_by_period
 from countlens.plans import jobs
+from countlens.plans.batches import CountMart
 from countlens.plans.reports import decline_report, growth_report, top_n_by_day, top_n_by_month
 from countlens.session import scratch_path
 from countlens.sources.files import read_counts_csv, read_reference_json
@@ -653,6 +654,93 @@ def q_incremental_late_rows(spark, sf_dir):
     return spark.table(name)
 
 
+def unique_id():
+    """An id that no two lineitems share (the keys alone repeat in the test tables)."""
+    day = F.datediff(F.to_date("l_shipdate"), F.lit("1994-01-01").cast("date"))
+    return ((F.col("l_orderkey") * 32768 + F.col("l_partkey")) * 4096 + day) * 8 + F.col("l_linenumber")
+
+
+def build_batch_mart(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """A mart that takes three landings of folders. The first has bad times, times that are a
+    year late, and rows that stand twice, in two months; the second, of other rows, takes over
+    some ids of the first; the third is the first folder again, corrected, but with other rows
+    standing twice (once with a count of 0). Its writer is lost on the way, and it is resumed."""
+    tag = os.path.basename(scratch_path(spark, "k")).replace("-", "_")
+    raw_db, report_db = f"cl_rawk_{tag}", f"cl_reportk_{tag}"
+    publish_table(sensor_reference_view(spark, sf_dir), f"{raw_db}.{jobs.SENSOR_REFERENCE}", scratch_path(spark, "batch-dim"))
+    li = _lineitem(spark, sf_dir).withColumn("id", unique_id())
+    labelled = with_label(li, _supplier(spark, sf_dir), "l_suppkey", "s_suppkey", "s_name", "sensor_name")
+
+    def rows(of, time=None, count="l_quantity"):
+        right = raw_count_time_text("l_shipdate", spark)
+        return labelled.filter(of).select(
+            F.col("id").cast("string").alias("ID"),
+            (right if time is None else time(right)).alias("Date_Time"),
+            F.col("l_suppkey").cast("string").alias("Sensor_ID"),
+            F.col("sensor_name").alias("Sensor_Name"),
+            (F.lit(count) if count == "0" else F.col(count).cast("int").cast("string")).alias("Hourly_Counts"),
+        )
+
+    late = raw_count_time_text("year_later", spark)
+    labelled = labelled.withColumn("year_later", F.col("l_shipdate") + F.expr("interval 1 year"))
+    first, line = F.col("l_linenumber") <= 4, F.col("id")
+    wrong = rows(first, lambda t: F.when(line % 97 == 5, "no time").when(line % 101 == 7, late).otherwise(t))
+    wrong = wrong.unionByName(rows(first & (line % 89 == 3), lambda t: late))
+    mart = CountMart(spark, scratch_path(spark, "batch-mart"), raw_db, report_db, id_ranges=8)
+    a, b = scratch_path(spark, "batch-folder"), scratch_path(spark, "batch-folder")
+    wrong.write.option("header", True).csv(a)
+    mart.apply("first", a, on_bad="null", by_folder=True)
+    taken_over = rows(first & (line % 103 == 4), lambda t: late)
+    rows(~first).unionByName(taken_over).write.option("header", True).csv(b)
+    mart.apply("second", b, on_bad="null", by_folder=True)
+    right = rows(first).unionByName(rows(first & (line % 211 == 8), count="0"))
+    right.write.option("header", True).mode("overwrite").csv(a)
+
+    class Lost(Exception):
+        pass
+
+    def lose(step):
+        if step == "ids":
+            raise Lost
+
+    mart.on_step = lose
+    try:
+        mart.apply("third", a, on_bad="null", by_folder=True)
+    except Lost:
+        mart.on_step = None
+        mart.resume()
+    return raw_db, report_db
+
+
+def q_incremental_corrected_file(spark, sf_dir):
+    """The stored counts after a folder is landed again, corrected: exactly its rows, in their months."""
+    raw_db, _ = _mart(spark, sf_dir, "batches", build_batch_mart)
+    return spark.table(f"{raw_db}.{jobs.SENSOR_COUNTS}").drop("file_key")
+
+
+def q_incremental_duplicates_taken_back(spark, sf_dir):
+    """Ids that stand more than once after three landings, each of which changes which do."""
+    _, report_db = _mart(spark, sf_dir, "batches", build_batch_mart)
+    return spark.table(f"{report_db}.{jobs.DUPLICATE_IDS}").select("id", "n")
+
+
+def q_incremental_batch_day_totals(spark, sf_dir):
+    _, report_db = _mart(spark, sf_dir, "batches", build_batch_mart)
+    return spark.table(f"{report_db}.{jobs.DAY_TOTALS}")
+
+
+def q_incremental_ranking_by_day(spark, sf_dir):
+    """The daily ranking kept by month."""
+    _, report_db = _mart(spark, sf_dir, "batches", build_batch_mart)
+    return spark.table(f"{report_db}.{jobs.TOP_BY_DAY}").drop("part")
+
+
+def q_incremental_ranking_by_month(spark, sf_dir):
+    """The monthly ranking kept by month, from the touched months of the daily one."""
+    _, report_db = _mart(spark, sf_dir, "batches", build_batch_mart)
+    return spark.table(f"{report_db}.{jobs.TOP_BY_MONTH}").drop("part")
+
+
 def _bad_time_counts(spark, sf_dir):
     """Counts of which some have a clock that is no time of day."""
     counts = sensor_counts_view(spark, sf_dir)
@@ -844,6 +932,11 @@ QUERIES = {
     "ingest_counts_wide_ids": q_ingest_counts_wide_ids,
     "ingest_counts_bad_lines": q_ingest_counts_bad_lines,
     "incremental_late_rows": q_incremental_late_rows,
+    "incremental_corrected_file": q_incremental_corrected_file,
+    "incremental_duplicates_taken_back": q_incremental_duplicates_taken_back,
+    "incremental_batch_day_totals": q_incremental_batch_day_totals,
+    "incremental_ranking_by_day": q_incremental_ranking_by_day,
+    "incremental_ranking_by_month": q_incremental_ranking_by_month,
     "decline_report_bad_times": q_decline_report_bad_times,
     "stored_decline_report_bad_times": q_stored_decline_report_bad_times,
     "incremental_decline_report_bad_times": q_incremental_decline_report_bad_times,

@@ -239,6 +239,18 @@ SELECT CAST(s_suppkey AS INTEGER) AS location_id, s_name AS sensor_description,
 FROM supplier
 """
 
+_UNIQUE_ID = """((l_orderkey * 32768 + l_partkey) * 4096
+  + date_diff('day', DATE '1994-01-01', CAST(l_shipdate AS DATE))) * 8 + l_linenumber"""
+_BATCH_COUNTS = f"""
+WITH u AS (SELECT CAST({_UNIQUE_ID} AS BIGINT) AS id, * FROM lineitem),
+r AS (
+  SELECT id, l_shipdate, l_suppkey, l_quantity AS q FROM u
+  UNION ALL SELECT id, l_shipdate, l_suppkey, 0 FROM u WHERE l_linenumber <= 4 AND id % 211 = 8)
+SELECT id, strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S') AS date_time, CAST(l_suppkey AS INTEGER) AS sensor_id,
+       s_name AS sensor_name, CAST(q AS INTEGER) AS hourly_count, strftime(l_shipdate, '%Y-%m') AS year_month
+FROM r LEFT JOIN supplier ON l_suppkey = s_suppkey
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "top_n_by_day": _DAY_TOP.format(n=10),
     "top_n_by_month": _MONTH_TOP,
@@ -385,6 +397,15 @@ SELECT * FROM c WHERE NOT (
   year_month = '1996-03' AND substr(date_time, 9, 2) < '15'
   AND id IN (SELECT id FROM c WHERE year_month = '1996-03' AND substr(date_time, 9, 2) >= '15'))
 """,
+    "incremental_corrected_file": _BATCH_COUNTS,
+    "incremental_duplicates_taken_back": f"SELECT id, COUNT(*) AS n FROM ({_BATCH_COUNTS}) GROUP BY id HAVING COUNT(*) > 1",
+    "incremental_batch_day_totals": f"""
+SELECT CAST(date_time AS DATE) AS "day", substr(date_time, 1, 10) AS day_text, sensor_id,
+       CAST(SUM(hourly_count) AS BIGINT) AS total, COUNT(*) AS n_rows, year_month
+FROM ({_BATCH_COUNTS}) GROUP BY 1, 2, 3, 6
+""",
+    "incremental_ranking_by_day": _TEXT_TOP,
+    "incremental_ranking_by_month": _TEXT_MONTH_TOP,
     "decline_report_bad_times": _TEXT_DECLINE,
     "stored_decline_report_bad_times": _TEXT_DECLINE,
     "incremental_decline_report_bad_times": _TEXT_DECLINE,
