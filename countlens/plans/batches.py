@@ -12,7 +12,8 @@ mart up to date from the partitions that the batch touches:
 * **id counts** (by ranges of ids): how many rows an id has, changed by the signed
   differences of each batch, and the **duplicates** among them. A duplicate that
   goes away in one month is taken back wherever its other row is.
-* **day totals** and **check failures** (by month), recomputed for touched partitions.
+* **day totals**, **check failures** and the **failing rows** themselves (by month),
+  recomputed for touched partitions.
 * **rankings** (by month): the daily ranking of touched months, and the monthly one
   of the same months from it. Days without a date are one period, kept apart.
 
@@ -280,7 +281,11 @@ class CountMart:
 
     def _write_failures(self, plan: dict) -> None:
         checks = [c for c in sensor_counts_checks() if c.kind == "row"]
-        self._write(run_checks(self._touched(plan), checks, jobs.SENSOR_COUNTS, by=(MONTH_COL,)), self.failures, plan)
+        touched = self._touched(plan)
+        self._write(run_checks(touched, checks, jobs.SENSOR_COUNTS, by=(MONTH_COL,)), self.failures, plan)
+        report_db = self.failures.rsplit(".", 1)[0]
+        at = f"{self.root}/{report_db.replace('.', '/')}/{jobs.FAILING_ROWS}"
+        jobs.refresh_failing_rows(self.spark, touched, at, report_db, partitions=plan["partitions"], empty=plan["empty"])
 
     # ------------------------------------------------------------ rankings
 

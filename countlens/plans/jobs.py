@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from countlens.operators.checks import (
+    failing_rows,
     gate,
     run_checks,
     sensor_counts_checks,
@@ -32,7 +33,7 @@ from countlens.plans.reports import (
 )
 from countlens.functions.datetime import is_day, month_of_day_text
 from countlens.operators.periods import day_totals
-from countlens.schemas import CHECK_FAILURES_BY_MONTH, FILE_KEY, MONTH_COL
+from countlens.schemas import CHECK_FAILURES_BY_MONTH, FAILING_ROWS_BY_MONTH, FILE_KEY, MONTH_COL
 from countlens.schemas import DUPLICATE_IDS_BY_MONTH as DUPLICATE_IDS_SCHEMA
 from countlens.schemas import SENSOR_COUNTS as SENSOR_COUNTS_SCHEMA
 from countlens.schemas import SENSOR_DAY_TOTALS as DAY_TOTALS_SCHEMA
@@ -64,6 +65,7 @@ GROWTH = "report_most_growth_last_year"
 DAY_TOTALS = "sensor_day_totals"
 CHECK_FAILURES = "sensor_counts_check_failures"
 DUPLICATE_IDS = "sensor_counts_duplicate_ids"
+FAILING_ROWS = "sensor_counts_failing_rows"
 
 def _whole_days(*periods) -> bool:
     return all(is_day(bound) for period in periods for bound in period)
@@ -220,6 +222,39 @@ def refresh_check_failures(
     return name
 
 
+def refresh_failing_rows(
+    spark: SparkSession,
+    counts: DataFrame,
+    location: str,
+    report_db: str = "report",
+    full: bool = False,
+    partitions: list[str] | None = None,
+    empty: list[str] = (),
+) -> str:
+    """Maintain ``report_db.sensor_counts_failing_rows``: every stored row that fails a row-level
+    check, once per check, by month.
+
+    Same contract as ``refresh_day_totals``. ``partitions`` names the months that ``counts``
+    holds: those of them without a failing row are emptied, as are those in ``empty``.
+    """
+    name = f"{report_db}.{FAILING_ROWS}"
+    row_checks = [ch for ch in sensor_counts_checks() if ch.kind == "row"]
+    failing = failing_rows(counts, row_checks, [*SENSOR_COUNTS_SCHEMA.names, MONTH_COL])
+    register_table(spark, name, FAILING_ROWS_BY_MONTH, location, partition_by=[MONTH_COL])
+    if full:
+        overwrite_table(failing, name)
+        return name
+    path = scratch_path(spark, "failing-rows")  # few rows; the scan of the counts is not repeated
+    overwrite_path(failing, path)
+    failing = spark.read.parquet(path)
+    if partitions is None:
+        overwrite_partitions(failing, name)
+        return name
+    found = {r[0] for r in failing.select(MONTH_COL).distinct().collect()}
+    overwrite_partitions(failing, name, ("column_name",), partitions, sorted({*partitions, *empty} - found))
+    return name
+
+
 def refresh_duplicate_ids(
     spark: SparkSession, counts: DataFrame, location: str, raw_db: str = "raw", report_db: str = "report"
 ) -> str:

@@ -38,6 +38,7 @@ from countlens.plans.batches import CountMart
 from countlens.plans.reports import decline_report, growth_report, top_n_by_day, top_n_by_month
 from countlens.session import scratch_path
 from countlens.sources.files import read_counts_csv, read_reference_json
+from countlens.sources.quarantine import land_with_quarantine
 from countlens.sources.tables import (
     overwrite_table,
     passthrough_view,
@@ -854,6 +855,33 @@ def q_check_formats_with_line_breaks(spark, sf_dir):
     return ck.run_checks(rows, [ck.is_date_format("day_text"), ck.is_iso_format("time_text")], "lineitem")
 
 
+def _defective_counts(spark, sf_dir):
+    """Counts with short times, missing names and negative counts."""
+    counts = sensor_counts_view(spark, sf_dir)
+    time = F.when(F.col("id") % 8 == 2, F.substring("date_time", 1, 10)).otherwise(F.col("date_time"))
+    counts = counts.withColumn("date_time", time).withColumn("hourly_count", F.col("hourly_count") - 3)
+    return counts.withColumn("sensor_name", F.when(F.col("id") % 5 != 0, F.col("sensor_name")))
+
+
+def q_violations_all_checks(spark, sf_dir):
+    """The failing rows of all row-level checks of the counts, from one scan."""
+    checks = [c for c in ck.sensor_counts_checks() if c.kind == "row"]
+    return ck.failing_rows(_defective_counts(spark, sf_dir), checks, ["id", "date_time", "hourly_count"])
+
+
+def q_ingest_quarantine(spark, sf_dir):
+    """A landing in which some lines are bad: per file, the lines that are good and those set aside, by reason."""
+    number = F.col("ID").cast("long")
+    rows = raw_count_file_rows(spark, sf_dir)
+    rows = rows.withColumn("Date_Time", F.when(number % 97 == 5, "soon").otherwise(F.col("Date_Time")))
+    rows = rows.withColumn("Hourly_Counts", F.when(number % 89 == 3, "many").otherwise(F.col("Hourly_Counts")))
+    rows = rows.withColumn("Sensor_Name", F.when(number % 83 != 2, F.col("Sensor_Name")))
+    landing = scratch_path(spark, "quarantine-landing")
+    rows.write.option("header", True).csv(landing)
+    landed = land_with_quarantine(spark, landing, scratch_path(spark, "quarantine"), max_bad_share=0.5)
+    return landed.counts.groupBy("reason").agg(F.sum("n_lines").alias("n_lines"))
+
+
 def q_violations_not_null(spark, sf_dir):
     return ck.violations(_label_miss_rows(spark, sf_dir), ck.not_null("location_name"))
 
@@ -947,6 +975,8 @@ QUERIES = {
     "ranks_of_hot_periods": q_ranks_of_hot_periods,
     "period_total_midday_of_dates": q_period_total_midday_of_dates,
     "check_formats_with_line_breaks": q_check_formats_with_line_breaks,
+    "violations_all_checks": q_violations_all_checks,
+    "ingest_quarantine": q_ingest_quarantine,
     "violations_not_null": q_violations_not_null,
     "violations_accepted_values": q_violations_accepted_values,
     "violations_date_format": q_violations_date_format,

@@ -396,6 +396,26 @@ WITH c AS (SELECT *, substr(date_time, 1, 7) AS year_month FROM ({_COUNTS_VIEW})
 SELECT * FROM c WHERE NOT (
   year_month = '1996-03' AND substr(date_time, 9, 2) < '15'
   AND id IN (SELECT id FROM c WHERE year_month = '1996-03' AND substr(date_time, 9, 2) >= '15'))
+""",
+    "violations_all_checks": f"""
+WITH c AS (
+  SELECT id, CASE WHEN id % 8 = 2 THEN substr(date_time, 1, 10) ELSE date_time END AS date_time,
+         sensor_id, CASE WHEN id % 5 <> 0 THEN sensor_name END AS sensor_name, hourly_count - 3 AS hourly_count
+  FROM ({_COUNTS_VIEW})),
+f AS (
+  SELECT *, 'date_time' AS column_name, 'is_iso_format' AS check_name FROM c WHERE NOT contains(date_time, 'T')
+  UNION ALL SELECT *, 'sensor_name', 'not_null' FROM c WHERE sensor_name IS NULL
+  UNION ALL SELECT *, 'hourly_count', 'non_negative' FROM c WHERE hourly_count < 0
+  UNION ALL SELECT *, 'sensor_id', 'in_range' FROM c WHERE sensor_id < 0 OR sensor_id >= 1000)
+SELECT id, date_time, hourly_count, column_name, check_name FROM f
+""",
+    "ingest_quarantine": """
+WITH c AS (SELECT l_orderkey * 8 + l_linenumber AS id, s_name FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey),
+r AS (
+  SELECT concat_ws('; ', CASE WHEN id % 83 = 2 OR s_name IS NULL THEN 'empty Sensor_Name' END,
+                   CASE WHEN id % 97 = 5 THEN 'malformed Date_Time' END,
+                   CASE WHEN id % 89 = 3 THEN 'malformed Hourly_Counts' END) AS reason FROM c)
+SELECT CASE WHEN reason <> '' THEN reason END AS reason, CAST(COUNT(*) AS BIGINT) AS n_lines FROM r GROUP BY 1
 """,
     "incremental_corrected_file": _BATCH_COUNTS,
     "incremental_duplicates_taken_back": f"SELECT id, COUNT(*) AS n FROM ({_BATCH_COUNTS}) GROUP BY id HAVING COUNT(*) > 1",

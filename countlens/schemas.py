@@ -97,6 +97,16 @@ DUPLICATE_IDS_BY_MONTH = StructType(
     [StructField("id", LongType(), True), StructField("year_month", StringType(), True)]
 )
 
+# Rows that fail a row-level check of ``sensor_counts``, once per check, by month.
+FAILING_ROWS_BY_MONTH = StructType(
+    [
+        *SENSOR_COUNTS.fields,
+        StructField("column_name", StringType(), True),
+        StructField("check_name", StringType(), True),
+        StructField(MONTH_COL, StringType(), True),
+    ]
+)
+
 # Tables of ``plans.batches.CountMart``. Counts with the key of the file that landed them.
 FILE_KEY = "file_key"
 LANDED_COUNTS = StructType(

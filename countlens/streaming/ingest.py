@@ -10,11 +10,12 @@ atomically through its metadata log).
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from countlens.functions.datetime import RAW_COUNT_TIME_FORMAT
+from countlens.plans.batches import CountMart
 from countlens.schemas import MONTH_COL
 from countlens.sources.files import (
     BAD_LINE,
@@ -45,18 +46,11 @@ def stream_counts_csv(
     ``on_bad`` defaults to ``"null"`` so one malformed row cannot stop the
     stream; the not_null check on ``date_time`` reports it. ``by_month``
     adds the ``year_month`` column and writes the output partitioned by it
-    (the month layout of ``plans.jobs``), so readers prune months; a stream
-    only appends, so each month folder gains files as counts arrive.
+    (the month layout of ``plans.jobs``), so readers prune months; this stream
+    only appends, so each month folder gains files as counts arrive
+    (``stream_counts_into`` merges instead).
     """
-    reader = (
-        spark.readStream.schema(raw_counts_schema([*raw_columns, BAD_LINE]))
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("columnPruning", False)
-        .option("columnNameOfCorruptRecord", BAD_LINE)
-    )
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    reader = _reader(spark, raw_columns, max_files_per_trigger)
     source = (F.col("_metadata.file_path").alias("__file"),) if by_month else ()
     typed = counts_from_raw(reader.csv(landing_dir), on_bad, time_format, extra=source)
     if by_month:
@@ -69,7 +63,51 @@ def stream_counts_csv(
     )
     if by_month:
         writer = writer.partitionBy(MONTH_COL)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
-        processingTime="1 minute"
+    return _started(writer, available_now)
+
+
+def _reader(spark: SparkSession, raw_columns, max_files_per_trigger: int | None):
+    reader = (
+        spark.readStream.schema(raw_counts_schema([*raw_columns, BAD_LINE]))
+        .option("header", True)
+        .option("enforceSchema", False)
+        .option("columnPruning", False)
+        .option("columnNameOfCorruptRecord", BAD_LINE)
     )
-    return writer.start()
+    return reader.option("maxFilesPerTrigger", max_files_per_trigger) if max_files_per_trigger else reader
+
+
+def _started(writer, available_now: bool) -> StreamingQuery:
+    trigger = {"availableNow": True} if available_now else {"processingTime": "1 minute"}
+    return writer.trigger(**trigger).start()
+
+
+def stream_counts_into(
+    mart: CountMart,
+    landing_dir: str,
+    checkpoint_path: str,
+    raw_columns=RAW_COUNT_COLUMNS,
+    on_bad: str = "null",
+    time_format: str = RAW_COUNT_TIME_FORMAT,
+    available_now: bool = True,
+    max_files_per_trigger: int | None = None,
+    name: str = "stream",
+) -> StreamingQuery:
+    """Start a stream that merges landing count files into a ``CountMart``, a batch of the mart a micro-batch.
+
+    The mart's ledger knows each micro-batch by ``name`` and number, so one that is
+    delivered again after a failure is completed or passed over, and changes nothing
+    twice. Rows replace those with their id, so a corrected file lands under a new
+    name (a file stream reads a path once) and its rows take the old ones' place; to
+    replace all rows of a file, also those it no longer has, use ``CountMart.apply``.
+    ``name`` must be the stream's own, and stay with its checkpoint.
+    """
+    reader = _reader(mart.spark, raw_columns, max_files_per_trigger)
+    source = (F.col("_metadata.file_path").alias("__file"),)
+    typed = with_month(counts_from_raw(reader.csv(landing_dir), on_bad, time_format, extra=source), keep_key=True)
+
+    def merge(rows: DataFrame, number: int) -> None:
+        mart.apply_rows(f"{name}-{number}", rows)
+
+    writer = typed.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint_path)
+    return _started(writer, available_now)

@@ -68,19 +68,23 @@ def test_a_corrected_file_leaves_exactly_its_rows(spark):
     mart = _mart(spark, "b_one")
     one = [_row(1), (2, "no time", 1, "A", 3), _row(3, "April"), (None, "March 03, 2019 10:00:00 AM", 2, "B", 9), _row(4, "May")]
     other = [_row(10, "March", 5, 2, 7), _row(11, "April", 6, 2, 1)]
-    mart.apply("first", _file(land, "one.csv", one), on_bad="null")
-    mart.apply("second", _file(land, "other.csv", other), on_bad="null")
+    _file(land, "one.csv", one), _file(land, "other.csv", other)
+    mart.apply("first", land, on_bad="null")
     assert mart.spark.table(mart.counts).filter("year_month like 'unparsed-%'").count() == 1
     one = [_row(1), _row(2, "June"), _row(3, "July"), (None, "March 03, 2019 10:00:00 AM", 2, "B", 10)]
-    corrected = _file(land, "one.csv", one)
-    mart.apply("third", corrected, on_bad="null")
+    mart.apply("second", _file(land, "one.csv", one), on_bad="null")
     stored = mart.spark.table(mart.counts)
     assert stored.filter("id = 2").select("year_month").collect() == [("2019-06",)]
     assert stored.filter("id = 3").select("year_month").collect() == [("2019-07",)]
     assert stored.filter("id = 4 or year_month in ('2019-05') or year_month like 'unparsed-%'").count() == 0
     assert [r.hourly_count for r in stored.filter("id is null").collect()] == [10]
-    assert _state(mart) == _fresh(spark, "b_two", corrected, os.path.join(land, "other.csv"))
-    mart.apply("fourth", _file(land, "one.csv", []), on_bad="null")
+    assert sorted(r.id for r in stored.filter("id is not null").collect()) == [1, 2, 3, 10, 11]
+    assert {(r.day.isoformat(), r.sensor_id, r.total) for r in spark.table(mart.days).collect()} == {
+        ("2019-03-01", 1, 5), ("2019-03-03", 2, 10), ("2019-03-05", 2, 7), ("2019-04-06", 2, 1), ("2019-06-01", 1, 5), ("2019-07-01", 1, 5)
+    }
+    assert spark.table(mart.failures).filter("failures > 0 and check_name = 'not_null' and column_name = 'date_time'").isEmpty()
+    assert {r.id for r in spark.table(f"b_one_report.{jobs.FAILING_ROWS}").collect()} == {None}
+    mart.apply("third", _file(land, "one.csv", []), on_bad="null")
     assert stored.sparkSession.table(mart.counts).count() == 2
     assert {r.date for r in mart.spark.table(mart.top_by_day).collect()} == {"2019-03-05", "2019-04-06"}
 
@@ -168,3 +172,23 @@ def test_merge_counts_drops_the_unparsed_rows_of_a_corrected_file(spark):
     assert gone.startswith("unparsed-")
     jobs.merge_counts(spark, batch, at, "b_plain_raw")
     assert sorted((r.id, r.year_month) for r in spark.table(name).collect()) == [(1, "2019-03"), (2, "2019-03")]
+
+
+def test_a_stream_merges_and_changes_nothing_twice(spark):
+    """Micro-batches go through the ledger: rows replace those of their ids, also an unparsed one, a restart adds
+    nothing, and a micro-batch delivered again is passed over."""
+    from countlens.streaming import stream_counts_into
+
+    land, checkpoint = local(scratch_path(spark, "b-stream")), scratch_path(spark, "b-stream-ckpt")
+    mart = _mart(spark, "b_stream")
+
+    def run():
+        stream_counts_into(mart, land, checkpoint).awaitTermination()
+        return sorted((r.id, r.year_month) for r in spark.table(mart.counts).filter("id is not null").collect())
+
+    _file(land, "a.csv", [_row(1), (2, "bad", 1, "A", 3)])
+    first = run()
+    assert [i for i, _ in first] == [1, 2] and run() == first
+    _file(land, "b.csv", [_row(1, "May"), _row(2), _row(3)])
+    assert run() == [(1, "2019-05"), (2, "2019-03"), (3, "2019-03")]
+    assert not mart.apply_rows("stream-0", spark.table(mart.counts)) and mart.complete()
