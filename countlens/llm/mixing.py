@@ -5,14 +5,18 @@ Each source gets a share of the mix by its weight, but no more than
 others by weight until no target is above its cap. The targets follow from one
 row per source. Documents are then repeated whole ``floor(target / size)``
 times, and the fraction left is met by one more repetition of a seeded part of
-the source: documents in the order of a hash, up to the point where the
-source's words come nearest to the target. That point is found from sums over
-hash slices, so no source is ever gathered or sorted in one task; a large
-source is salted where documents meet their source's target.
+the source: documents in the order of a hash of their id and text, as long as the
+middle of a document's words lies within the fraction. Where that ends is found
+from sums over ever finer hash slices, so no source is ever gathered or sorted in
+one task. Rows equal in id and text share a hash; of those at the end as many are
+taken as fit, by their places among each other. A large source is salted where
+documents meet their source's target.
 
-Defined results: null text has size 0; null source is a source, the last;
-an empty table gives no rows; repeated rows are separate documents with the
-same draw; sizes of 0 take 0. Columns beyond the three named are ignored.
+Defined results: null text has size 0; null source is a source, the last; null and
+repeated ids are told apart by their text; repeated rows are separate documents,
+of which some may be taken once more than others; sizes of 0 take 0; an empty table
+gives no rows. Columns beyond the three named are ignored. The targets are one row
+per source, ordered in one task: made for sources by the thousand, not for hosts.
 """
 
 from __future__ import annotations
@@ -21,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from countlens.llm.common import stored
+from countlens.operators.ordering import placed
 
 WORD = r"[^\x20\x09-\x0D]+"
 SLICE = 3  # hex digits of a level of hash slices
@@ -71,13 +76,14 @@ def mix(
 
     Sources in code-point order, null last, have the weights in turn.
     """
-    draw = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
+    said = [F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (id_col, text_col)]]
+    draw = F.md5(F.concat_ws(":", *said))
     sized = stored(
         docs.select(
             F.col(id_col).alias("id"),
             F.col(source_col).alias("source"),
             F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-            F.substring(draw, 1, 2 * SLICE).alias("draw"),
+            draw.alias("draw"),
         ),
         "mix-sizes",
     )
@@ -93,54 +99,51 @@ def mix(
     ).withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
     targets = stored(targets, "mix-targets")
 
-    ordered = Window.partitionBy("s.source").orderBy("s.slice").rowsBetween(Window.unboundedPreceding, 0)
     same = lambda a, b: F.col(f"{a}.source").eqNullSafe(F.col(f"{b}.source"))
-    crossing = (
-        slices.alias("s")
-        .join(targets.alias("t"), same("s", "t"))
-        .select("s.source", "s.slice", "s.size", "t.rest", F.sum("s.size").over(ordered).alias("upto"))
-        .filter("upto > rest")
-        .groupBy("source")
-        .agg(F.min(F.struct("slice", (F.col("upto") - F.col("size")).alias("before"), "rest")).alias("x"))
-        .select("source", "x.*")
-    )
-    fine = (
-        sized.alias("d")
-        .join(crossing.alias("c"), same("d", "c") & (F.substring("d.draw", 1, SLICE) == F.col("c.slice")))
-        .groupBy("d.source", "c.before", "c.rest", "c.slice", "d.draw")
-        .agg(F.sum("d.size").alias("size"))
-    )
-    running = Window.partitionBy("source").orderBy("draw").rowsBetween(Window.unboundedPreceding, 0)
-    cut = (
-        fine.withColumn("upto", F.col("before") + F.sum("size").over(running))
-        .withColumn("in", F.col("upto") - F.col("size") / 2 <= F.col("rest"))
-        .groupBy("source", "slice")
-        .agg(F.max(F.when(F.col("in"), F.col("draw"))).alias("last"))
-        .select("source", F.coalesce("last", "slice").alias("cut"))
-    )
-    plan = targets.alias("t").join(cut.alias("c"), same("t", "c"), "left").select("t.*", "c.cut")
+    # Per source, the slice in which the words reach beyond ``rest``, and the words before it.
+    cut = targets.select("source", F.lit("").alias("cut"), F.lit(0).cast("long").alias("before"), "rest")
+    for length in (SLICE, 2 * SLICE, 32):
+        if length == SLICE:
+            sums = slices
+        else:
+            inside = same("d", "c") & (F.substring("d.draw", 1, shorter) == F.col("c.cut"))
+            inner = sized.alias("d").join(cut.alias("c"), inside).select("d.source", F.substring("d.draw", 1, length).alias("slice"), "d.size")
+            sums = inner.groupBy("source", "slice").agg(F.sum("size").alias("size"))
+        shorter = length
+        ordered = Window.partitionBy("s.source").orderBy("s.slice").rowsBetween(Window.unboundedPreceding, 0)
+        upto = F.col("c.before") + F.sum("s.size").over(ordered)
+        reached = sums.alias("s").join(cut.alias("c"), same("s", "c"))
+        reached = reached.select("s.source", "s.slice", "s.size", "c.rest", upto.alias("upto")).filter("upto > rest")
+        first = F.min(F.struct("slice", (F.col("upto") - F.col("size")).alias("before"), "rest"))
+        cut = reached.groupBy("source").agg(first.alias("x"))
+        cut = stored(cut.select("source", F.col("x.slice").alias("cut"), "x.before", "x.rest"), "mix-cuts")
+    plan = targets.alias("t").join(cut.alias("c"), same("t", "c"), "left").select("t.*", "c.cut", "c.before")
     plan = plan.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     salted = sized.withColumn("salt", F.pmod(F.hash("draw"), F.lit(SALTS)))
-    repeats = F.col("p.whole") + F.when(F.col("d.draw") <= F.col("p.cut"), 1).otherwise(0)
-    return (
-        salted.alias("d")
-        .join(plan.alias("p"), same("d", "p") & (F.col("d.salt") == F.col("p.salt")))
-        .select(
-            F.col("d.id").alias(id_col),
-            F.col("d.source").alias(source_col),
-            "d.size",
-            "p.source_size",
-            "p.target",
-            repeats.cast("long").alias("repeats"),
-            (F.col("d.size") * repeats).cast("long").alias("taken"),
-        )
+    met = salted.alias("d").join(plan.alias("p"), same("d", "p") & (F.col("d.salt") == F.col("p.salt")))
+    columns = ["d.id", "d.source", "d.size", "d.draw", *[f"p.{c}" for c in ("source_size", "target", "whole", "rest", "cut", "before")]]
+    met = met.select(*columns)
+    at_cut = F.coalesce(F.col("draw") == F.col("cut"), F.lit(False))
+    others = met.filter(~at_cut).withColumn("more", F.coalesce(F.col("draw") < F.col("cut"), F.lit(False)))
+    ties = placed(stored(met.filter(at_cut), "mix-ties"), ["source"], [F.col("id").asc_nulls_first()])
+    middle = F.col("before") + (F.col("place") + 1) * F.col("size") - F.col("size") / 2
+    ties = ties.withColumn("more", middle <= F.col("rest")).select(*others.columns)
+    repeats = F.col("whole") + F.col("more").cast("long")
+    return others.unionByName(ties).select(
+        F.col("id").alias(id_col),
+        F.col("source").alias(source_col),
+        "size",
+        "source_size",
+        "target",
+        repeats.cast("long").alias("repeats"),
+        (F.col("size") * repeats).cast("long").alias("taken"),
     )
 
 
 MIX_SQL = """
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
-         substr(md5('17:' || coalesce(doc_id::VARCHAR, '')), 1, 6) AS draw
+         md5('17:' || coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')) AS draw
   FROM documents),
 sums AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
 weighted AS (
@@ -162,16 +165,12 @@ targets AS (
 goals AS (
   SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS whole FROM targets),
 rests AS (SELECT *, target - whole * source_size AS rest FROM goals),
-upto1 AS (
-  SELECT d.*, r.source_size, r.target, r.whole, r.rest,
-         sum(size) OVER (PARTITION BY d.source ORDER BY substr(draw, 1, 3)) AS coarse,
-         sum(size) OVER (PARTITION BY d.source ORDER BY draw) AS fine,
-         sum(size) OVER (PARTITION BY d.source, draw) AS own
+placed AS (
+  SELECT d.*, r.source_size, r.target, r.whole, r.rest, row_number() OVER (PARTITION BY d.source ORDER BY draw) AS place
   FROM sized d JOIN rests r ON d.source IS NOT DISTINCT FROM r.source),
-crossing AS (SELECT source, min(substr(draw, 1, 3)) AS slice FROM upto1 WHERE coarse > rest GROUP BY source),
 marked AS (
-  SELECT u.*, CASE WHEN substr(draw, 1, 3) < c.slice THEN 1
-                   WHEN substr(draw, 1, 3) = c.slice AND fine - own / 2 <= rest THEN 1 ELSE 0 END AS more
-  FROM upto1 u LEFT JOIN crossing c ON u.source IS NOT DISTINCT FROM c.source)
-SELECT doc_id, size, source_size, target, (size * (whole + more))::BIGINT AS taken FROM marked
+  SELECT *, sum(size) OVER (PARTITION BY source ORDER BY place ROWS UNBOUNDED PRECEDING) - size / 2 AS middle,
+         sum(size) OVER (PARTITION BY source) AS words FROM placed)
+SELECT doc_id, size, source_size, target,
+       (size * (whole + CASE WHEN middle <= rest AND words > rest THEN 1 ELSE 0 END))::BIGINT AS taken FROM marked
 """

@@ -61,3 +61,20 @@ def test_reruns_and_layout_do_not_matter(spark):
     docs = hp.odd_docs(spark)
     assert picked(mixing.mix(docs)) == picked(mixing.mix(docs.repartition(7)))
     assert picked(mixing.mix(docs)) != picked(mixing.mix(docs, seed=18))
+
+
+def test_null_and_repeated_ids_meet_their_target(spark):
+    """Two thirds of a source's words in rows without an id, or in copies of one row: the target is met within half a document."""
+    from countlens.llm.mixing import mix
+
+    def check(rows):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+        total = docs.select(F.sum(F.size(F.split("text", " ")))).first()[0]
+        out = mix(docs, weights=(1,))
+        assert picked(out) == picked(mix(docs.repartition(3), weights=(1,)))
+        taken = out.agg(F.sum("taken"), F.max("size"), F.first("target")).first()
+        assert taken[2] == 1.5 * total and abs(taken[0] - taken[2]) <= taken[1] / 2 + 1
+
+    check([(None if i % 3 else i, f"w{i} " * 9 + "end", "s") for i in range(300)])
+    check([(7 if i % 3 else i, "same text of six words" if i % 3 else f"w{i} b c", "s") for i in range(300)])
+    check([(None, "same text", None) for _ in range(101)])
