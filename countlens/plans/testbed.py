@@ -20,6 +20,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from countlens import schemas
 from countlens.functions.datetime import (
     DATE_FORMAT,
     ISO_LOCAL_FORMAT,
@@ -38,6 +39,7 @@ from countlens.plans.batches import CountMart
 from countlens.plans.reports import decline_report, growth_report, top_n_by_day, top_n_by_month
 from countlens.session import scratch_path
 from countlens.sources.files import read_counts_csv, read_reference_json
+from countlens.sources.json_array import read_json_array
 from countlens.sources.quarantine import land_with_quarantine
 from countlens.sources.tables import (
     overwrite_table,
@@ -73,8 +75,8 @@ def _supplier(spark, sf_dir):
 def sensor_counts_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem in the stored ``sensor_counts`` shape (ISO text ``date_time``).
 
-    ``id = l_orderkey * 8 + l_linenumber`` is unique because line numbers
-    are 1..7.
+    ``id = l_orderkey * 8 + l_linenumber`` repeats: the test tables hold several
+    lineitems of one key (``unique_id`` tells them apart).
     """
     li = _lineitem(spark, sf_dir)
     labelled = with_label(li, _supplier(spark, sf_dir), "l_suppkey", "s_suppkey", "s_name", "sensor_name")
@@ -218,10 +220,16 @@ def q_decline_report_from_text(spark, sf_dir):
 
 
 def q_decline_report_missing_labels(spark, sf_dir):
-    dim = _supplier(spark, sf_dir).filter(F.col("s_nationkey") < 20)
     return decline_report(
-        _lineitem(spark, sf_dir), dim, base=BASE, current=CURRENT, **LINEITEM_COUNTS, **SUPPLIER_DIM
-    )
+        _lineitem(spark, sf_dir), _shifted_suppliers(spark, sf_dir), base=BASE, current=CURRENT,
+        **LINEITEM_COUNTS, **SUPPLIER_DIM,
+    )
+
+
+def _shifted_suppliers(spark, sf_dir):
+    """All suppliers, those of some nations under keys that no count has."""
+    key = F.when(F.col("s_nationkey") < 20, F.col("s_suppkey")).otherwise(-1 - F.col("s_suppkey"))
+    return _supplier(spark, sf_dir).withColumn("s_suppkey", key)
 
 
 def q_growth_report(spark, sf_dir):
@@ -241,8 +249,7 @@ def q_period_total_half_open(spark, sf_dir):
 def _label_miss_rows(spark, sf_dir):
     li = _lineitem(spark, sf_dir)
     totals = li.groupBy("l_suppkey").agg(F.sum("l_quantity").cast("bigint").alias("total"))
-    dim = _supplier(spark, sf_dir).filter(F.col("s_nationkey") < 20)
-    labelled = with_label(totals, dim, "l_suppkey", "s_suppkey", "s_name", "location_name")
+    labelled = with_label(totals, _shifted_suppliers(spark, sf_dir), "l_suppkey", "s_suppkey", "s_name", "location_name")
     return labelled.select(F.col("l_suppkey").alias("sensor_id"), "total", "location_name")
 
 
@@ -359,6 +366,17 @@ def q_passthrough_view(spark, sf_dir):
     return passthrough_view(spark, name, name + "_src")
 
 
+def q_passthrough_view_permanent(spark, sf_dir):
+    """A view in a database, over a stored table that has since been published again."""
+    tag = os.path.basename(scratch_path(spark, "pv")).replace("-", "_")
+    name, root = f"cl_raw{tag}.suppliers", scratch_path(spark, "viewed")
+    suppliers = _supplier(spark, sf_dir)
+    publish_table(suppliers.limit(0), name, root)
+    passthrough_view(spark, f"cl_view{tag}.suppliers", name, temporary=False)
+    publish_table(suppliers, name, root)
+    return spark.table(f"cl_view{tag}.suppliers")
+
+
 def q_preview(spark, sf_dir):
     return preview(
         _supplier(spark, sf_dir), 10, [F.col("s_acctbal").desc(), F.col("s_suppkey").asc()]
@@ -780,10 +798,8 @@ def q_incremental_decline_report_bad_times(spark, sf_dir):
     return _bad_time_mart(spark, sf_dir, by_month=True)
 
 
-def q_ingest_reference_json_array(spark, sf_dir):
-    """Files that hold one JSON array each, of at most 16 records."""
-    sup = _supplier(spark, sf_dir)
-    record = F.struct(
+def _reference_record():
+    return F.struct(
         F.col("s_suppkey").cast("int").alias("location_id"),
         F.col("s_name").alias("sensor_description"),
         F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("sensor_name"),
@@ -791,17 +807,38 @@ def q_ingest_reference_json_array(spark, sf_dir):
         F.col("s_nationkey").cast("double").alias("longitude"),
         F.struct(F.col("s_nationkey").cast("double").alias("lon"), F.col("s_acctbal").alias("lat")).alias("location"),
     )
+
+
+def _reference_columns(dim):
+    return dim.select(
+        "location_id", "sensor_description", "sensor_name", "installation_date", "latitude", "longitude",
+        F.col("location.lon").alias("location_lon"), F.col("location.lat").alias("location_lat"),
+    )
+
+
+def q_ingest_reference_json_split(spark, sf_dir):
+    """One JSON array file of all sensors, read by byte ranges."""
+    sup = _supplier(spark, sf_dir)
+    lines = sup.select(F.col("s_suppkey").alias("k"), F.to_json(_reference_record()).alias("value"))
+    last = sup.agg(F.max("s_suppkey")).first()[0]
+    lines = lines.withColumn("value", F.when(F.col("k") < last, F.concat("value", F.lit(","))).otherwise(F.concat("value", F.lit("]"))))
+    lines = lines.unionByName(spark.range(1).select(F.lit(None).cast("bigint").alias("k"), F.lit("[").alias("value")))
+    landing = scratch_path(spark, "reference-json-split")
+    lines.coalesce(1).sortWithinPartitions(F.col("k").asc_nulls_first()).select("value").write.text(landing)
+    return _reference_columns(read_json_array(spark, landing, schemas.SENSOR_REFERENCE))
+
+
+def q_ingest_reference_json_array(spark, sf_dir):
+    """Files that hold one JSON array each, of at most 16 records."""
+    sup = _supplier(spark, sf_dir)
+    record = _reference_record()
     part = F.floor(F.col("s_suppkey") / 16).alias("part")
     arrays = sup.groupBy(part).agg(F.to_json(F.collect_list(record)).alias("value"))
     landing = scratch_path(spark, "reference-json-array")
     arrays.write.partitionBy("part").text(landing)
     root, raw_db = scratch_path(spark, "reference-array"), "cl_refa_" + os.path.basename(scratch_path(spark, "r")).replace("-", "_")
     jobs.ingest_reference(spark, os.path.join(landing, "part=*"), root, raw_db, multi_line=True)
-    dim = spark.table(f"{raw_db}.{jobs.SENSOR_REFERENCE}")
-    return dim.select(
-        "location_id", "sensor_description", "sensor_name", "installation_date", "latitude", "longitude",
-        F.col("location.lon").alias("location_lon"), F.col("location.lat").alias("location_lat"),
-    )
+    return _reference_columns(spark.table(f"{raw_db}.{jobs.SENSOR_REFERENCE}"))
 
 
 # ------------------------------------------------ order, types, any n, checks
@@ -968,6 +1005,8 @@ QUERIES = {
     "decline_report_bad_times": q_decline_report_bad_times,
     "stored_decline_report_bad_times": q_stored_decline_report_bad_times,
     "incremental_decline_report_bad_times": q_incremental_decline_report_bad_times,
+    "ingest_reference_json_split": q_ingest_reference_json_split,
+    "passthrough_view_permanent": q_passthrough_view_permanent,
     "ingest_reference_json_array": q_ingest_reference_json_array,
     "top_n_by_day_ordered": q_top_n_by_day_ordered,
     "stored_top_n_by_day_int": q_stored_top_n_by_day_int,

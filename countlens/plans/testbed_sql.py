@@ -429,6 +429,8 @@ FROM ({_BATCH_COUNTS}) GROUP BY 1, 2, 3, 6
     "decline_report_bad_times": _TEXT_DECLINE,
     "stored_decline_report_bad_times": _TEXT_DECLINE,
     "incremental_decline_report_bad_times": _TEXT_DECLINE,
+    "ingest_reference_json_split": _REFERENCE_JSON,
+    "passthrough_view_permanent": "SELECT * FROM supplier",
     "ingest_reference_json_array": _REFERENCE_JSON,
     "top_n_by_day_ordered": _DAY_TOP.format(n=10),
     "stored_top_n_by_day_int": f'SELECT * REPLACE (CAST(daily_count AS INTEGER) AS daily_count) FROM ({_TEXT_TOP})',

@@ -8,6 +8,7 @@ local (tests, laptops).
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import uuid
@@ -79,6 +80,12 @@ def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
 
+@functools.cache
+def _connect_scratch() -> str:
+    """One local folder per process, for Spark Connect to a local master."""
+    return tempfile.mkdtemp(prefix="countlens-ckpt-")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if unset.
 
@@ -97,7 +104,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             return configured
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
-        return tempfile.mkdtemp(prefix="countlens-ckpt-")
+        return _connect_scratch()
     current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
     if current:
         return current
