@@ -32,8 +32,10 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import threading
 import uuid
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,6 +86,7 @@ class CountMart:
     ):
         self.spark, self.root, self.n, self.id_ranges = spark, root.rstrip("/"), n, id_ranges
         self.on_step = on_step
+        self._ledger_lock = threading.Lock()
         self.counts = f"{raw_db}.{jobs.SENSOR_COUNTS}"
         self.dim = f"{raw_db}.{jobs.SENSOR_REFERENCE}"
         self.index = f"{raw_db}.{INDEX}"
@@ -154,6 +157,10 @@ class CountMart:
     def _record(self, batch_id: str, number: int, step: str, detail: dict) -> None:
         if self.on_step:
             self.on_step(step)
+        with self._ledger_lock:  # appends to one folder don't mix
+            self._append(batch_id, number, step, detail)
+
+    def _append(self, batch_id: str, number: int, step: str, detail: dict) -> None:
         row = self.spark.range(1).select(
             F.lit(batch_id).alias("batch_id"),
             F.lit(number).cast("long").alias("number"),
@@ -195,10 +202,20 @@ class CountMart:
             "rankings": lambda: self._write_rankings(plan["partitions"]),
             "done": lambda: None,
         }
-        for step, run in work.items():
-            if step not in steps:
-                run()
-                self._record(batch_id, number, step, {})
+
+        def run(chain: Sequence[str]) -> None:
+            for step in chain:
+                if step not in steps:
+                    work[step]()
+                    self._record(batch_id, number, step, {})
+
+        run(["counts"])
+        # The other tables follow from the counts and the plan, each chain by itself; their jobs share the cluster.
+        chains = (["index"], ["ids"], ["failures"], ["day_totals", "rankings"])
+        with ThreadPoolExecutor(len(chains)) as pool:
+            for chain in [pool.submit(run, chain) for chain in chains]:
+                chain.result()
+        run(["done"])
 
     # --------------------------------------------------------------- a plan
 
