@@ -276,6 +276,9 @@ def drop_lines(docs: DataFrame, gone: DataFrame, *, id_col="doc_id", text_col="t
     can't be told apart, are left as they are, and rows that repeat an id lose
     the same lines."""
     lists = gone.filter(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.collect_set(F.col("line").cast("int")).alias("_gone"))
-    kept = F.filter(F.split(F.col(text_col), "\n"), lambda x, i: ~F.array_contains(F.col("_gone"), i))
-    text = F.when(F.col("_gone").isNull(), F.col(text_col)).when(F.size(kept) > 0, F.array_join(kept, "\n"))
-    return docs.join(lists, id_col, "left").withColumn(text_col, text).drop("_gone")
+    # By line numbers as sets, so the work grows with a document's lines and not with their square.
+    split = docs.join(lists, id_col, "left").withColumn("_lines", F.when(F.col("_gone").isNotNull(), F.split(F.col(text_col), "\n")))
+    numbers = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_gone")
+    kept = F.transform(numbers, lambda i: F.get(F.col("_lines"), i))
+    text = F.when(F.col("_lines").isNull(), F.col(text_col)).when(F.size(numbers) > 0, F.array_join(kept, "\n"))
+    return split.withColumn(text_col, text).drop("_gone", "_lines")
