@@ -48,6 +48,7 @@ from countlens.sources.tables import (
     publish_table,
     register_table,
 )
+from countlens.sources.versions import expire_versions
 from countlens.streaming.ingest import stream_counts_csv
 
 # Periods used on the test tables (l_shipdate spans 1995-2001).
@@ -366,6 +367,17 @@ def q_passthrough_view(spark, sf_dir):
     return passthrough_view(spark, name, name + "_src")
 
 
+def q_publish_expired(spark, sf_dir):
+    """A table published three times, whose superseded versions are removed."""
+    root = scratch_path(spark, "expired")
+    name = "cl_exp_" + os.path.basename(root).replace("-", "_") + ".suppliers"
+    suppliers = _supplier(spark, sf_dir)
+    for version in (suppliers.limit(0), suppliers.select("s_suppkey"), suppliers):
+        publish_table(version, name, root)
+    expire_versions(spark, name, root, 0)
+    return spark.table(name)
+
+
 def q_passthrough_view_permanent(spark, sf_dir):
     """A view in a database, over a stored table that has since been published again."""
     tag = os.path.basename(scratch_path(spark, "pv")).replace("-", "_")
@@ -1006,6 +1018,7 @@ QUERIES = {
     "stored_decline_report_bad_times": q_stored_decline_report_bad_times,
     "incremental_decline_report_bad_times": q_incremental_decline_report_bad_times,
     "ingest_reference_json_split": q_ingest_reference_json_split,
+    "publish_expired": q_publish_expired,
     "passthrough_view_permanent": q_passthrough_view_permanent,
     "ingest_reference_json_array": q_ingest_reference_json_array,
     "top_n_by_day_ordered": q_top_n_by_day_ordered,

@@ -430,6 +430,7 @@ FROM ({_BATCH_COUNTS}) GROUP BY 1, 2, 3, 6
     "stored_decline_report_bad_times": _TEXT_DECLINE,
     "incremental_decline_report_bad_times": _TEXT_DECLINE,
     "ingest_reference_json_split": _REFERENCE_JSON,
+    "publish_expired": "SELECT * FROM supplier",
     "passthrough_view_permanent": "SELECT * FROM supplier",
     "ingest_reference_json_array": _REFERENCE_JSON,
     "top_n_by_day_ordered": _DAY_TOP.format(n=10),

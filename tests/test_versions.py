@@ -1,0 +1,44 @@
+"""Expiry of published versions."""
+
+import os
+import time
+
+import pytest
+
+from countlens.session import scratch_path
+from countlens.sources.tables import publish_table
+from countlens.sources.versions import expire_versions, table_versions
+
+
+def test_old_versions_go_and_the_live_one_and_young_ones_stay(spark):
+    root = scratch_path(spark, "versions")
+    name = "v_db_" + os.path.basename(root).replace("-", "_") + ".t"
+    publish_table(spark.range(3), name, root)
+    reader = spark.table(name)  # opened on the first version
+    time.sleep(1.1)
+    publish_table(spark.range(4), name, root)
+    time.sleep(1.1)
+    live = publish_table(spark.range(5), name, root)
+    assert [r.live for r in table_versions(spark, name, root).orderBy("written").collect()] == [False, False, True]
+    assert expire_versions(spark, name, root, 3600) == [] and reader.count() == 3
+    gone = expire_versions(spark, name, root, 0)
+    assert len(gone) == 2 and spark.table(name).count() == 5
+    assert [r.location for r in table_versions(spark, name, root).collect()][0].endswith(live.rsplit("/", 1)[-1])
+    assert expire_versions(spark, name, root, 0) == []
+    with pytest.raises(Exception, match="(?i)not.exist|missing"):
+        reader.collect()
+
+
+def test_the_live_version_stays_when_it_is_not_the_newest(spark):
+    """A publish that failed before the switch leaves a newer folder that nothing points to."""
+    root = scratch_path(spark, "versions")
+    name = "v_db_" + os.path.basename(root).replace("-", "_") + ".t"
+    publish_table(spark.range(3), name, root)
+    time.sleep(1.1)
+    spark.range(9).write.parquet(f"{root}/{name.replace('.', '/')}/version=failed")
+    time.sleep(0.2)
+    assert expire_versions(spark, name, root, 0) == [] and spark.table(name).count() == 3
+    with pytest.raises(ValueError, match="not below"):
+        expire_versions(spark, name, scratch_path(spark, "elsewhere"), 0)
+    with pytest.raises(ValueError, match="negative"):
+        expire_versions(spark, name, root, -1)
