@@ -28,6 +28,8 @@ from countlens.llm.common import stored
 UNKNOWN = "und"
 MAX_LANGS = 2000  # the matrix then has at most 2**16 x 2000 float32, 0.5 GB
 
+CELLS = 1 << 24  # numbers that scoring looks up at once, 64 MB
+
 _BMP = [chr(i) for i in range(0x10000)]
 _LOWER = np.array([ord(c.lower()) if len(c.lower()) == 1 else i for i, c in enumerate(_BMP)], dtype=np.uint32)
 _LETTER = np.array([c.isalpha() for c in _BMP], dtype=bool)
@@ -119,29 +121,32 @@ def learn(train: DataFrame, *, text_col="text", lang_col="lang", sizes=(2, 3), b
     return langs, logs, prior
 
 
-def predict(docs: DataFrame, model, *, id_col="doc_id", text_col="text", sizes=(2, 3), bits=16) -> DataFrame:
-    """Per document: id, ``held_out``, ``lang_pred`` and ``score``, the posterior of the prediction."""
+def predict(docs: DataFrame, model, *, id_col="doc_id", text_col="text", sizes=(2, 3), bits=16, cells: int = CELLS) -> DataFrame:
+    """Per document: id, ``held_out``, ``lang_pred`` and ``score``, the posterior of the prediction.
+
+    ``cells``: numbers of the matrix that are looked up at once, in a task.
+    """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def score(batches):
         langs, logs, prior = shared.value
+        limit = max(1, cells // max(1, len(langs)))  # n-grams at a time, whatever the languages
         for batch in batches:
             for part in tx.slices(batch, "text", 1 << 20):
                 points, at = code_points(part.column(2))
                 total = np.tile(prior, (len(at) - 1, 1))
                 for h, a in ngrams(points, at, sizes, bits):
                     full = np.flatnonzero(np.diff(a))
-                    for lo in range(0, len(full), 4096):
-                        own = full[lo : lo + 4096]
+                    for lo, hi in tx.pieces(np.diff(a)[full], limit):
+                        own = full[lo:hi]
                         s, e = a[own[0]], a[own[-1] + 1]
-                        if e - s <= 1 << 22:
+                        if e - s <= limit:
                             total[own] += np.add.reduceat(logs[h[s:e]], a[own] - s, axis=0, dtype=np.float64)
-                        else:  # very long texts: one by one, in blocks
-                            for r in own:
-                                for b in range(a[r], a[r + 1], 1 << 20):
-                                    total[r] += logs[h[b : min(b + (1 << 20), a[r + 1])]].sum(axis=0, dtype=np.float64)
+                        else:  # one very long text, in blocks
+                            for b in range(s, e, limit):
+                                total[own[0]] += logs[h[b : min(b + limit, e)]].sum(axis=0, dtype=np.float64)
                 known = has_letter(points, at) & bool(langs)
                 best = total.argmax(axis=1)
                 odds = np.exp(total - total.max(axis=1, keepdims=True))

@@ -1,3 +1,7 @@
+import math
+import zlib
+from collections import Counter, defaultdict
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -59,3 +63,61 @@ def test_ngrams_stay_within_rows():
     assert np.diff(at2).tolist() == [1, 0, 0, 2, 1] and np.diff(at3).tolist() == [0, 0, 0, 1, 0]
     alone = [next(langid.ngrams(*langid.code_points(pa.array([t])), (2,), 16))[0].tolist() for t in ("ab", "äbc", "😀é")]
     assert two.tolist() == sum(alone, [])
+
+
+def buckets(text):
+    """Hashed 2- and 3-grams of one text, in plain Python."""
+    low = [ord(c.lower()) if ord(c) < 0x10000 and len(c.lower()) == 1 else ord(c) for c in text or ""]
+    for n in (2, 3):
+        for i in range(len(low) - n + 1):
+            h = n
+            for x in low[i : i + n]:
+                h = (h * 0x9E3779B97F4A7C15 + x) % 2**64
+            yield h * 0xD6E8FEB86659FD93 % 2**64 >> 48
+
+
+def test_query_equals_plain_naive_bayes(spark):
+    """The whole query against multinomial naive Bayes on counters."""
+    docs = hp.rows_of(hp.SF, "documents")
+    held = lambda d: zlib.crc32(str(d["doc_id"]).encode()) % 5 == 0
+    grams, number = defaultdict(Counter), Counter()
+    for d in docs:
+        if not held(d) and d["lang"] is not None:
+            grams[d["lang"]].update(buckets(d["text"]))
+            number[d["lang"]] += 1
+    langs = sorted(grams)
+    logs = {}
+    for lang in langs:
+        all_grams = sum(grams[lang].values()) + 0.5 * 2**16
+        logs[lang] = [float(np.float32(math.log((grams[lang][b] + 0.5) / all_grams))) for b in range(2**16)]
+    got = {r.doc_id: r for r in queries.op2_langid(spark, hp.SF).collect()}
+    assert len(got) == len(docs)
+    for d in docs:
+        own = Counter(buckets(d["text"]))
+        total = {x: math.log(number[x] / sum(number.values())) + sum(n * logs[x][b] for b, n in own.items()) for x in langs}
+        best = max(langs, key=lambda x: total[x])  # the first of equals
+        r = got[d["doc_id"]]
+        assert r.held_out == held(d)
+        if any(c.isalpha() for c in d["text"] or ""):
+            assert r.lang_pred == best
+            assert abs(r.score - 1 / sum(math.exp(total[x] - total[best]) for x in langs)) < 1e-6
+        else:
+            assert r.lang_pred == "und"
+
+
+def test_ties_go_to_the_first_language(spark):
+    docs = spark.createDataFrame([(1, "abab", "zz"), (2, "abab", "aa")], "doc_id long, text string, lang string")
+    got = langid.predict(docs, langid.learn(docs)).collect()
+    assert {r["lang_pred"] for r in got} == {"aa"} and all(abs(r["score"] - 0.5) < 1e-9 for r in got)
+
+
+def test_small_blocks_and_many_languages_change_nothing(spark):
+    """However few n-grams are looked up at once; 400 languages, and texts longer than a block."""
+    rows = [(i, f"word{i} " * (3 + i % 50), f"l{i:03}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.learn(docs)
+    assert len(model[0]) == 400
+    want = sorted(map(tuple, langid.predict(docs, model).select("doc_id", "lang_pred").collect()))
+    assert sum(lang == f"l{i:03}" for i, lang in want) > 300
+    got = sorted(map(tuple, langid.predict(docs, model, cells=400 * 60).select("doc_id", "lang_pred").collect()))
+    assert got == want
