@@ -9,7 +9,7 @@ and a term that stands in every text is spread over all segments.
 A phrase is found from its rarest term: that term's positions, less its offset
 in the phrase, are the candidate starts; the next rarest term's offset-adjusted
 positions are intersected with them, and so on until none are left. Phrases are
-broadcast in blocks of items of at most ``BLOCK_BYTES`` of text.
+broadcast in blocks of items whose windows take about ``BLOCK_BYTES``.
 
 Defined results: null and empty texts have no words and no hits; an item
 without words has no window; items of equal text all count; a null item id is
@@ -32,6 +32,7 @@ from countlens.llm.common import stored
 
 SEGMENT = 1 << 21
 BLOCK_BYTES = 32 << 20
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def build_index(docs: DataFrame, *, id_col="doc_id", text_col="text", segment: int = SEGMENT) -> DataFrame:
@@ -157,13 +158,21 @@ def windows(texts: list[str | None], size: int) -> tuple[np.ndarray, np.ndarray,
     return flat, offsets, [sorted(v) for v in of.values()]
 
 
-def _blocks(items: DataFrame, item_col: str, text_col: str) -> list[DataFrame]:
-    """The items in blocks of bounded size, each of which may be broadcast."""
+def _blocks(items: DataFrame, item_col: str, text_col: str, size: int) -> list[DataFrame]:
+    """The items in blocks whose windows take about ``BLOCK_BYTES`` each, so that each may be broadcast.
+
+    Rows are dealt by item and text, so texts that share an id don't share a block;
+    one text is never split.
+    """
     items = items.filter(F.col(item_col).isNotNull()).select(F.col(item_col).alias("item"), F.col(text_col).alias("text"))
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    items = items.dropDuplicates(["item", "text"])
+    words = F.regexp_count("text", F.lit(WORD))
+    total = items.agg(F.sum(words * size * 8)).first()[0] or 0  # a window a word, a hash of 8 bytes a word of it
     n = -(-total // BLOCK_BYTES) or 1
-    part = F.pmod(F.xxhash64("item"), F.lit(n))
-    return [items.filter(part == i) if n > 1 else items for i in range(n)]
+    if n == 1:
+        return [items]
+    dealt = stored(items.withColumn("part", F.pmod(F.xxhash64("item", "text"), F.lit(n))), "items")
+    return [dealt.filter(F.col("part") == i).drop("part") for i in range(n)]
 
 
 def search(
@@ -181,7 +190,7 @@ def search(
     item_type = items.schema[item_col].dataType.simpleString()
     schema = f"doc_id {id_type}, n_words long, hits array<struct<start:long,`end`:long>>, items array<{item_type}>"
     found = []
-    blocks = _blocks(items, item_col, text_col)
+    blocks = _blocks(items, item_col, text_col, size)
     for block in blocks:
         rows = block.toArrow()
         arrow_item, names = rows.schema.field("item").type, rows.column("item").to_pylist()

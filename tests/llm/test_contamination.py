@@ -61,7 +61,7 @@ def test_odd_rows_small_segments_and_blocks(spark, monkeypatch):
     index = contamination.build_index(docs, segment=1000)
     want = brute(rows, items)
     assert got(queries.contaminated(contamination.search(index, bench))) == want
-    monkeypatch.setattr(contamination, "BLOCK_BYTES", 60)
+    monkeypatch.setattr(contamination, "BLOCK_BYTES", 1300)  # of windows: some eight blocks
     assert got(queries.contaminated(contamination.search(index, bench))) == want
 
 
@@ -89,3 +89,18 @@ def test_proximity(spark):
     assert sorted(r["doc_id"] for r in near.collect()) == [1, 2]
     exact = contamination.search(index, items).filter("size(items) > 0")
     assert exact.count() == 0
+
+
+def test_blocks_bound_the_windows_and_split_texts_of_one_id(spark, monkeypatch):
+    """One id has a thousand texts: its windows, as broadcast, stay near the bound a block."""
+    rows = [(1 if i % 3 else i, " ".join(f"w{i}x{k}" for k in range(40))) for i in range(900)] + [(1, "w1x0 w1x1")] * 50
+    bench = spark.createDataFrame(rows, "item_id long, text string")
+    monkeypatch.setattr(contamination, "BLOCK_BYTES", 1 << 19)
+    blocks = contamination._blocks(bench, "item_id", "text", 13)
+    assert len(blocks) > 5
+    sizes = []
+    for block in blocks:
+        texts = [r["text"] for r in block.collect()]
+        flat, _, of = contamination.windows(texts, 13)
+        sizes.append(flat.nbytes)
+    assert max(sizes) < 1.5 * (1 << 19) and sum(b.count() for b in blocks) == 901
