@@ -55,7 +55,8 @@ def contaminated(found: DataFrame) -> DataFrame:
 
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return credentials.scan(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    return credentials.scan(docs, words=credentials.learn_words(docs))
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,10 @@
+import functools
 import hashlib
+import itertools
+import math
+import random
 import re
+import time
 from collections import Counter
 
 from countlens.llm import credentials, queries
@@ -70,3 +75,95 @@ def test_cheapest_segmentation():
 def test_segmentation_is_optimal_on_brute_force_spans():
     """With no words, digits alone cost the same however they are cut."""
     assert abs(credentials.guess_bits("8361748", {}) - 7 * 3.321928) < 1e-3
+
+
+def all_segments(v, words):
+    """Every part of a value that isn't brute force, with its bits and those of brute force in it: from the definition."""
+    low, plain = v.lower(), v.lower().translate(str.maketrans("4310$57@", "aeiossta"))
+    for i, j in itertools.combinations(range(len(v) + 1), 2):
+        part, size = v[i:j], j - i
+        rank = words.get(low[i:j]) or words.get(plain[i:j])
+        if rank and size >= 3:
+            odd = 0 if part == low[i:j] else 1 if part.istitle() or part.isupper() else size / 2
+            yield i, j, math.log2(rank + 1) + odd + (0 if low[i:j] in words else 2), 0
+        if re.fullmatch(r"(19|20)\d\d", part):
+            yield i, j, math.log2(200), 0
+        if re.fullmatch(r"(19|20)\d\d[-/._]?(0[1-9]|1[0-2])[-/._]?(0[1-9]|[12]\d|3[01])", part):
+            yield i, j, math.log2(200 * 366), 0
+        for times in range(2, size + 1):
+            unit = size // times
+            if size >= 3 and size % times == 0 and part == part[:unit] * times:
+                bits, brute = by_brute_force(part[:unit], words)
+                yield i, j, bits + math.log2(times), brute
+        if size >= 3 and all((a, b) in credentials._BESIDE for a, b in itertools.pairwise(low[i:j])):
+            yield i, j, math.log2(47) + 1.5 * math.log2(size) + 1, 0
+
+
+def by_brute_force(v, words):
+    """The cheapest of all segmentations."""
+    parts = list(all_segments(v, words))
+
+    @functools.cache
+    def rest(i):
+        if i == len(v):
+            return 0.0, 0.0
+        c = math.log2(10) if v[i].isdigit() else math.log2(26) if v[i].isalpha() else math.log2(33)
+        ways = [(rest(i + 1)[0] + c, rest(i + 1)[1] + c)]
+        ways += [(rest(b)[0] + bits + 1, rest(b)[1] + brute) for a, b, bits, brute in parts if a == i]
+        return min(ways)
+
+    return rest(0)
+
+
+def test_cheapest_segmentation_against_all_segmentations():
+    rng = random.Random(11)
+    words = {w: i + 1 for i, w in enumerate(["pass", "word", "password", "cat", "dog", "house", "sword"])}
+    pieces = ["pass", "Word", "c4t", "DOG", "2019-04-12", "1987", "qwer", "asdf", "xk", "#", "aaa", "abab", "xyxyxy", "house", "9f3"]
+    values = ["".join(rng.choices(pieces, k=rng.randint(1, 4))) for _ in range(120)]
+    values += [v * 2 for v in values[:25]] + [v + v[: len(v) // 2] for v in values[25:40]] + ["passwordpasswordpassword", "a", "catdogcatdog1"]
+    for v in values:
+        bits, _ = credentials.cheapest(v, words)
+        assert abs(bits - by_brute_force(v, words)[0]) < 1e-9, v
+
+
+def test_long_values_stop_early_with_the_same_decision():
+    rng = random.Random(3)
+    words = {w: i + 1 for i, w in enumerate(credentials.WORDS)}
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    noise = "".join(rng.choices(letters, k=3000))
+    for value, secret in ((noise, True), ("password" * 400, False), ("a" * 2000 + noise[:40], True), ("winter.summer" * 150, False)):
+        bits, brute = credentials.cheapest(value, words)
+        assert (bits >= 36 and brute >= 20) is secret
+        bits, brute = credentials.cheapest(value, words, (36, 20))
+        assert (bits >= 36 and brute >= 20) is secret
+    begun = time.monotonic()
+    assert credentials.find_spans("token=" + noise * 3000, words, 36, 20)  # 9 million characters
+    assert time.monotonic() - begun < 20
+
+
+def test_words_of_all_documents(spark):
+    """Identifiers of words that documents use are no secrets; values in credential contexts teach nothing."""
+    prose = "The internationalization of get database connection code: a configuration value goes here, correct horse battery staple. Été"
+    secret = "the token: qzvxkjwpqhgt here"
+    texts = [prose] * 4 + [secret] * 5 + [None, ""]
+    texts += ["token=internationalization", "token=getDatabaseConnection", "token=configuration.value.here", "token=correcthorsebatterystaple"]
+    df = hp.odd_docs(spark, texts)
+    words = credentials.learn_words(df)
+    assert words[: len(credentials.WORDS)] == credentials.WORDS and len(set(words)) == len(words)
+    assert {"internationalization", "connection", "été", "staple"} <= set(words) and "qzvxkjwpqhgt" not in words
+    found = {r["doc_id"]: r["spans"] for r in credentials.scan(df, words=words).filter("doc_id is not null").collect()}
+    assert not any("guess" in found[i] for i in (0, 11, 12, 13, 14)) and "guess" in found[4]
+    assert credentials.learn_words(hp.empty_docs(spark)) == credentials.WORDS
+    top = credentials.learn_words(df, max_words=2)
+    assert len(top) <= len(credentials.WORDS) + 2
+
+
+def test_random_values_are_found(spark):
+    """Of random values of 12 letters and digits, with words learned from the table, at least 0.98 are spans."""
+    rng = random.Random(8)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    docs = spark.read.parquet(f"{hp.SF}/documents.parquet")
+    words = {w: i + 1 for i, w in reversed(list(enumerate(credentials.learn_words(docs))))}
+    values = ["".join(rng.choices(letters, k=12)) for _ in range(500)]
+    found = sum(any(k == 3 for _, k, _ in credentials.find_spans(f"my pwd is {v} ok", words, 36, 20)) for v in values)
+    assert found >= 490, found
