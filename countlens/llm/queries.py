@@ -68,7 +68,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines that go, per document that has any: their number, and the line numbers."""
-    gone = lines.duplicate_lines(table(spark, sf_dir, "documents"), min_chars=60)
+    gone = lines.duplicate_lines(table(spark, sf_dir, "documents"), min_chars=60, near_chars=60)
     numbers = F.array_sort(F.collect_list("line"))
     return gone.groupBy("doc_id").agg(
         F.count("*").alias("n_removed"),

@@ -101,3 +101,51 @@ def test_copies_of_long_lines_of_few_words(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     found = {r["doc_id"]: r["removed"] for r in queries.op8_lines(spark, str(tmp_path)).collect()}
     assert found == {2: [1, 2, 3], 3: [0]}
+
+
+def code_points(line):
+    return " ".join(hp.spaced_words(line))
+
+
+def brute_by_sort(rows, min_words=5, near_words=9, chars=60):
+    """As ``brute``, with lines of few words and ``chars`` code points near by one code point."""
+    places = [((i is None, -1 if i is None else i, k), i, k, code_points(x)) for i, t in rows if t is not None for k, x in enumerate(t.split("\n"))]
+    few = [p for p in places if len(p[3].split(" ")) < near_words and len(p[3]) >= chars]
+    near_ones = Counter((i, k) for p, i, k, line in few if any(q < p and near(line, other) for q, _, _, other in few))
+    drop = {(place, line) for place, _, _, line in few}
+    others = [
+        (i, None if t is None else "\n".join("" if ((i is None, -1 if i is None else i, k), code_points(x)) in drop else x for k, x in enumerate(t.split("\n"))))
+        for i, t in rows
+    ]
+    return brute(others, min_words, near_words) + near_ones
+
+
+def test_near_lines_without_spaces(spark):
+    """Text without spaces, URLs, few long words: one code point inserted, deleted or replaced, at every place."""
+    plain = "".join(chr(0x4E00 + 7 * i) for i in range(64))
+    url = "https://example.org/" + "".join("abcdefgh"[i * i % 8] for i in range(50)) + "?page="
+    few = " ".join(c * 12 for c in "Vwxyz")
+    made = [plain]
+    for j in (0, 1, 31, 32, 62, 63):
+        made += [plain[:j] + "é" + plain[j + 1 :], plain[:j] + plain[j + 1 :], plain[:j] + "\U0001f600" + plain[j:]]
+    made += [plain[:10] + "ab" + plain[12:], plain[:40] + plain[42:], plain[::-1], plain[:30] + " " + plain[30:]]
+    made += [url + "1", url + "2", url + "10", url.upper() + "123", few, "\t" + few.replace(" ", "  ") + " ", few + "z", few.replace("w", "q", 1)]
+    made += [few[:30] + few[32:], "x" * 60, "x" * 61, "x" * 62, "x" * 59, "y" * 59, " ".join("y" * 9), " ".join(plain), " ".join(plain)[:-1] + "z"]
+    rows = [(7 * k % 101, line) for k, line in enumerate(made)]
+    rows += [(500, "\n".join([few, "short", "", plain[:60], plain + "a"])), (None, plain + "bc"), (None, "own" * 21), (501, "own" * 21), (502, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got(lines.duplicate_lines(df, min_chars=60, near_chars=60)) == brute_by_sort(rows)
+
+
+def test_long_line_without_spaces(spark):
+    text = "".join(chr(0x3400 + i * i % 20011) for i in range(300_000))
+    rows = [(1, text), (2, text[:150_000] + "x" + text[150_001:]), (3, text[:7] + text[8:]), (4, text[:7] + text[9:])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got(lines.duplicate_lines(df, min_chars=60, near_chars=60)) == {(2, 0): 1, (3, 0): 1, (4, 0): 1}
+
+
+def test_odd_rows_by_code_points(spark):
+    df = hp.odd_docs(spark)
+    rows = [tuple(r) for r in df.select("doc_id", "text").collect()]
+    assert got(lines.duplicate_lines(df, min_chars=60, near_chars=60)) == brute_by_sort(rows)
+    assert lines.duplicate_lines(hp.empty_docs(spark), min_chars=60, near_chars=60).count() == 0
