@@ -42,7 +42,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     with no line go."""
     importable(spark)
     named = docs.select(*COLUMNS).withColumn("row_id", _row_id())
-    gone = lines.duplicate_lines(named, id_col="row_id", min_chars=60)
+    gone = lines.duplicate_lines(named, id_col="row_id", min_chars=60, near_chars=60)
     left = lines.drop_lines(named.withColumn("had", F.col("text").isNotNull()), gone, id_col="row_id")
     left = left.filter("text is not null or not had")
     return left.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
