@@ -17,6 +17,15 @@ a set, are the join keys: about 27 of them agree for sets that just link, and
 the chance that none does is below 1e-11, near that of an error of the hashes.
 In bands below 64 each member is a part of its own and all are keys.
 
+Common keys. A passage that many unlike texts hold makes keys that all of them
+share. So, by how many sets have a key, each set leaves out its commonest ones.
+Of n members that are keys themselves, all but the n // 4 + 1 rarest go: a set that
+links lacks n // 4 of them at most, so the rarest key that two linking sets
+share is always among those of both. Where all of 64 parts are keys, all but the
+n // 3 + 1 rarest go, as no more than n // 3 parts differ. In larger bands the SPARED
+commonest go, and sets that share more keys than that still share one left; of
+about 27, the chance that sets that just link share no more is below 1e-7.
+
 Groups. Sets that share a key are a group. First each member is tested against
 one leader of the group only: the member that shares most. Links found connect
 classes, and then, in groups with members of several classes, the rest of the
@@ -34,7 +43,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from countlens.llm import text as tx
@@ -45,6 +54,7 @@ _U = np.uint64
 SHINGLE = 5
 TOKEN_BAND = 6  # in bands below, each member is a part
 KEYS = 64  # of 2**band parts, so many are keys, the empty ones among them
+SPARED = 4  # keys that a set leaves out of a band of hashed parts, the commonest
 SKETCH_BAND = 8  # sets of up to 2**(this + 1) members have sketches of SKETCH_BITS bits
 SKETCH_BITS = 1024
 BLOCK = 4096
@@ -88,12 +98,15 @@ def part_keys(members: np.ndarray, band: int) -> np.ndarray:
     return keys if limit == 1.0 else keys[tx.mix(keys) < _U(int(limit * float(1 << 64)))]
 
 
-def keys_of(members: np.ndarray) -> np.ndarray:
+def band_keys(members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Join keys of a set in its band, and in the next one if it joins there too."""
     n, band = len(members), band_of(len(members))
-    keys = part_keys(members, band)
-    if 4 * n >= 3 << (band + 1):
-        keys = np.concatenate([keys, part_keys(members, band + 1)])
-    return keys
+    also = 4 * n >= 3 << (band + 1)
+    return part_keys(members, band), part_keys(members, band + 1) if also else members[:0]
+
+
+def keys_of(members: np.ndarray) -> np.ndarray:
+    return np.concatenate(band_keys(members))
 
 
 def signature(members: np.ndarray) -> int:
@@ -118,23 +131,47 @@ def _signed(arrays: list[np.ndarray]) -> pa.Array:
 
 
 def _profiles(rows: DataFrame) -> DataFrame:
-    """(doc, n, sig, sketch, keys) per row."""
+    """(doc, n, sig, sketch, keys, next_keys) per row."""
     id_type = rows.schema["doc"].dataType.simpleString()
 
     def run(batches):
         for part, sets in _sets(batches):
+            keys = [band_keys(s) if len(s) else (s, s) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column(0),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([signature(s) if len(s) else None for s in sets], pa.int64()),
                     pa.array([sketch(s).tobytes() for s in sets], pa.binary()),
-                    _signed([keys_of(s) if len(s) else s for s in sets]),
+                    _signed([k for k, _ in keys]),
+                    _signed([k for _, k in keys]),
                 ],
-                ["doc", "n", "sig", "sketch", "keys"],
+                ["doc", "n", "sig", "sketch", "keys", "next_keys"],
             )
 
-    return rows.mapInArrow(run, f"doc {id_type}, n long, sig long, sketch binary, keys array<long>")
+    return rows.mapInArrow(run, f"doc {id_type}, n long, sig long, sketch binary, keys array<long>, next_keys array<long>")
+
+
+def _shared_keys(nodes: DataFrame) -> DataFrame:
+    """(sig, key, weight) of the keys that several sets have, without each set's commonest ones;
+    ``weight`` sums over a set's keys how many sets have each."""
+
+    def spared(keys: str, *least):  # but for so many keys, by the sizes below which they do
+        rule = F.lit(SPARED)
+        for below, part in reversed(least):
+            rule = F.when(F.col("n") < below, F.size(keys) - F.floor(F.col("n") / part).cast("int") - 1).otherwise(rule)
+        return rule.alias("spared")
+
+    small, parted = 1 << TOKEN_BAND, 2 * KEYS
+    own = nodes.select("sig", F.explode("keys").alias("key"), F.lit(False).alias("next"), spared("keys", (small, 4), (parted, 3)))
+    beyond = nodes.select("sig", F.explode("next_keys").alias("key"), F.lit(True).alias("next"), spared("next_keys", (KEYS, 3)))
+    keys = own.union(beyond)
+    counted = keys.groupBy("key").agg(F.count("*").alias("f")).filter("f > 1")
+    # Keys of one set alone are rarer than all of these, so the commonest are found without them.
+    ranked = keys.join(counted, "key").repartition("sig")
+    commonest = Window.partitionBy("sig", "next").orderBy(F.desc("f"), F.desc("key"))
+    ranked = ranked.withColumn("common", F.row_number().over(commonest)).filter("common > spared")
+    return ranked.select("sig", "key", F.sum("f").over(Window.partitionBy("sig")).alias("weight"))
 
 
 def _near_by_sketch(pairs: DataFrame, nodes: DataFrame, tasks: int) -> DataFrame:
@@ -264,17 +301,15 @@ def classes(docs: DataFrame, *, id_col="doc_id", text_col="text") -> DataFrame:
     some = profiles.filter("sig is not null")
     nodes = stored(
         some.groupBy("sig").agg(
-            F.min("doc").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("keys").alias("keys")
+            F.min("doc").alias("rep"),
+            *(F.first(c).alias(c) for c in ("n", "sketch", "keys", "next_keys")),
         ),
         "shingle-sets",
     )
-    keys = nodes.select("sig", F.explode("keys").alias("key"))
-    shared = keys.groupBy("key").agg(F.count("*").alias("f")).filter("f > 1")
-    members = stored(keys.join(shared, "key"), "shared-keys")
-    weight = members.groupBy("sig").agg(F.sum("f").alias("weight"))
-    members = members.join(weight, "sig")
-    leaders = members.groupBy("key").agg(F.max(F.struct("weight", "sig")).alias("lead")).select("key", F.col("lead.sig").alias("lead"))
-    members = stored(members.drop("weight").join(leaders, "key"), "shared-groups")
+    members = stored(_shared_keys(nodes), "shared-keys")
+    groups = members.groupBy("key").agg(F.max(F.struct("weight", "sig")).alias("lead"), F.count("*").alias("f")).filter("f > 1")
+    members = members.select("sig", "key").join(groups.select("key", "f", F.col("lead.sig").alias("lead")), "key")
+    members = stored(members, "shared-groups")
     # The leaders' round tests no more pairs than the groups have rows.
     total = members.count()
     tasks = parts(total, 20_000)

@@ -106,3 +106,40 @@ def test_one_row_per_row(spark):
     assert out.columns == ["doc_id", "n_shingles", "component_id"]
     assert out.count() == df.count()
     assert out.filter(F.col("n_shingles") == 0).filter("component_id <> doc_id").count() == 0
+
+
+def test_common_passages_make_no_large_groups_of_unlike_texts(spark):
+    """A passage in all of many unlike texts leaves few of them to compare, and loses no link."""
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    passage = [word() for _ in range(16)]  # 12 shingles
+    texts = [" ".join([word() for _ in range(rng.randint(25, 45))] + passage) for _ in range(600)]
+    for t in texts[:40]:  # a near copy each, on the passage's side or the other
+        w = t.split(" ")
+        w[0 if rng.random() < 0.5 else -1] = word()
+        texts.append(" ".join(w))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = brute(range(len(texts)), texts)
+    assert sum(1 for i, _, c in want if i != c) == 40 and got(jaccard.classes(df)) == want
+
+    nodes = jaccard._profiles(df.select(F.col("doc_id").alias("doc"), "text"))
+    every = nodes.select(F.explode("keys").alias("key")).groupBy("key").count().agg(F.max("count")).first()[0]
+    small = nodes.filter("n < 64")
+    kept = jaccard._shared_keys(small).groupBy("key").count().agg(F.max("count")).first()[0]
+    assert every >= 600 and kept <= 60
+
+
+def test_commonest_keys_left_out_keep_one_of_each_linking_pair():
+    """Whatever keys are common: small sets exactly, larger ones while they share more than SPARED."""
+    rng = np.random.default_rng(8)
+    for n in (1, 2, 3, 4, 7, 8, 20, 47, 63):
+        for _ in range(60):
+            pool = rng.permutation(4 * n + 8).astype(np.uint64) + np.uint64(1)
+            m = min(63, n + int(rng.integers(0, n // 3 + 1)))
+            common = -(-3 * (n + m) // 7)
+            if common > n:
+                continue
+            a, b = pool[:n], np.concatenate([pool[:common], pool[n : n + m - common]])
+            order = rng.permutation(len(pool) + 2)  # any order of rarity
+            kept = [set(sorted(s.tolist(), key=lambda k: order[k])[: len(s) // 4 + 1]) for s in (a, b)]
+            assert kept[0] & kept[1]
