@@ -47,7 +47,7 @@ from countlens.plans import jobs
 from countlens.plans.reports import top_n_by_month, top_n_from_day_totals
 from countlens.schemas import FILE_KEY, MONTH_COL, PART_COL, UNDATED
 from countlens.sources.files import UNPARSED_PREFIX
-from countlens.sources.tables import overwrite_partitions, overwrite_path, register_table
+from countlens.sources.tables import listed_partitions, overwrite_partitions, overwrite_path, register_table
 
 INDEX = "sensor_counts_index"
 ID_COUNTS = "sensor_counts_id_counts"
@@ -219,9 +219,11 @@ class CountMart:
 
     # --------------------------------------------------------------- a plan
 
-    def _holding(self, batch: DataFrame, files: Sequence[str], low: int | None, high: int | None) -> set[str]:
-        """Partitions that hold an id of the batch or rows of its files."""
-        index = self.spark.table(self.index)
+    def _holding(
+        self, batch: DataFrame, files: Sequence[str], low: int | None, high: int | None, months: Sequence[str]
+    ) -> set[str]:
+        """Partitions other than ``months``, which are rewritten anyway, that hold an id of the batch or rows of its files."""
+        index = self.spark.table(self.index).filter(~F.col(MONTH_COL).isin(list(months)))
         held = index.filter(F.col(FILE_KEY).isin(list(files))).select(MONTH_COL)
         if low is not None:
             # The index is sorted by block, so its files' statistics leave out most of it.
@@ -230,42 +232,58 @@ class CountMart:
             held = held.union(near.filter(F.col("bits").bitwiseAND(F.col("wanted")) != 0).select(MONTH_COL))
         return {r[0] for r in held.distinct().collect()}
 
-    def _kept(self, batch: DataFrame, files: Sequence[str], partitions: Sequence[str]) -> DataFrame:
-        """Rows of ``partitions`` that the batch does not replace."""
+    def _own(self, files: Sequence[str]) -> Column:
+        return F.coalesce(F.col(FILE_KEY).isin(list(files)), F.lit(False))
+
+    def _kept(self, replaced: DataFrame, files: Sequence[str], partitions: Sequence[str]) -> DataFrame:
+        """Rows of ``partitions`` that the batch does not replace. ``replaced``: see ``_plan``."""
         stored = self.spark.table(self.counts).filter(F.col(MONTH_COL).isin(list(partitions)))
-        own = F.coalesce(F.col(FILE_KEY).isin(list(files)), F.lit(False))
-        return stored.filter(~own).join(batch.select("id").filter("id is not null").distinct(), "id", "left_anti")
+        return stored.filter(~self._own(files)).join(replaced.select("id"), "id", "left_anti")
 
     def _plan(self, batch: DataFrame, files: Sequence[str]) -> dict:
         """What a batch will change, found before it changes anything."""
         # As many values as the batch has files and the mart has partitions.
         keys, months, low, high = batch.agg(F.collect_set(FILE_KEY), F.collect_set(MONTH_COL), F.min("id"), F.max("id")).first()
         files, months = sorted({*keys, *files}), set(months)
-        held = self._holding(batch, files, low, high)
+        held = self._holding(batch, files, low, high, sorted(months))
         partitions = sorted(months | held)
-        left = sorted(held - months)  # partitions that rows only leave
-        filled = {r[0] for r in self._kept(batch, files, left).select(MONTH_COL).distinct().collect()} if left else set()
+        left = sorted(held)  # partitions that rows only leave
 
+        # The stored rows of other files whose id the batch has, by id: few, so that the counts need not be dealt out
+        # anew to find what stays. A batch's rows without a file are known by id alone when a step is done again.
+        changes = f"{self.root}/planned/{uuid.uuid4().hex}"
         stored = self.spark.table(self.counts).filter(F.col(MONTH_COL).isin(partitions))
-        kept = self._kept(batch, files, partitions)
+        other = stored.filter(~self._own(files)).select("id").join(batch.select("id"), "id", "left_semi")
+        unfiled = batch.filter(F.col(FILE_KEY).isNull() & F.col("id").isNotNull()).select("id")
         one = lambda n: F.lit(n).cast("long").alias("n")
-        change = batch.select("id", one(1)).unionByName(kept.select("id", one(1))).unionByName(stored.select("id", one(-1)))
+        replaced = other.select("id", one(1)).unionByName(unfiled.select("id", one(0))).groupBy("id").agg(F.sum("n").alias("n"))
+        overwrite_path(replaced, changes + "/replaced")
+        replaced = self._replaced(changes + "/replaced")
+        filled = {r[0] for r in self._kept(replaced, files, left).select(MONTH_COL).distinct().collect()} if left else set()
+
+        gone = stored.filter(self._own(files)).select("id", one(-1)).unionByName(replaced.select("id", (-F.col("n")).alias("n")))
+        change = batch.select("id", one(1)).unionByName(gone)
         change = change.filter("id is not null").groupBy("id").agg(F.sum("n").alias("n")).filter("n <> 0")
-        changes = f"{self.root}/planned/{uuid.uuid4().hex}"
         overwrite_path(change.withColumn("id_range", self._range()), changes + "/differences")
         change = self.spark.read.parquet(changes + "/differences")
         ranges = sorted(r[0] for r in change.select("id_range").distinct().collect())
         old = self.spark.table(self.ids).filter(F.col("id_range").isin(ranges))
-        now = old.unionByName(change).groupBy("id", "id_range").agg(F.sum("n").alias("n")).filter("n > 0")
+        # Dealt out by (range, id), so that the tables are written from it file by file.
+        both = old.unionByName(change).repartitionByRange("id_range", "id")
+        now = both.groupBy("id_range", "id").agg(F.sum("n").alias("n")).filter("n > 0")
         overwrite_path(now, changes + "/ids")
         return {
             "files": files,
             "partitions": partitions,
-            "empty": sorted(held - months - filled),
+            "empty": sorted(held - filled),
             "ranges": ranges,
             "ids": changes + "/ids",
+            "replaced": changes + "/replaced",
         }
 
+    def _replaced(self, path: str) -> DataFrame:
+        return self.spark.read.schema("id bigint, n bigint").parquet(path)
+
     def _range(self) -> Column:
         return F.pmod(F.floor(F.col("id") / IDS_PER_RANGE), F.lit(self.id_ranges)).cast("string")
 
@@ -278,7 +296,9 @@ class CountMart:
         overwrite_partitions(df, name, sort_by, plan["partitions"], plan["empty"])
 
     def _write_counts(self, batch: DataFrame, plan: dict) -> None:
-        kept = self._kept(batch, plan["files"], plan["partitions"])
+        # A batch planned before its replaced rows were stored has all its ids looked up.
+        ids = self._replaced(plan["replaced"]) if "replaced" in plan else batch.filter("id is not null")
+        kept = self._kept(ids, plan["files"], plan["partitions"])
         self._write(batch.unionByName(kept.select(*batch.columns)), self.counts, plan, ("date_time",))
 
     def _write_index(self, plan: dict) -> None:
@@ -290,7 +310,8 @@ class CountMart:
         now = self.spark.read.schema(schemas.ID_COUNTS).parquet(plan["ids"])
         for name, rows in ((self.ids, now), (self.duplicates, now.filter("n > 1"))):
             found = {r[0] for r in rows.select("id_range").distinct().collect()}
-            overwrite_partitions(rows, name, ("id",), plan["ranges"], sorted(set(plan["ranges"]) - found))
+            gone = sorted((set(plan["ranges"]) - found) & listed_partitions(self.spark, name))
+            overwrite_partitions(rows, name, ("id",), sorted(found), gone, regroup=False)
 
     def _write_day_totals(self, plan: dict) -> None:
         totals = day_totals(self._touched(plan), "date_time", "sensor_id", "hourly_count", keys=(MONTH_COL,))
@@ -302,7 +323,11 @@ class CountMart:
         self._write(run_checks(touched, checks, jobs.SENSOR_COUNTS, by=(MONTH_COL,)), self.failures, plan)
         report_db = self.failures.rsplit(".", 1)[0]
         at = f"{self.root}/{report_db.replace('.', '/')}/{jobs.FAILING_ROWS}"
-        jobs.refresh_failing_rows(self.spark, touched, at, report_db, partitions=plan["partitions"], empty=plan["empty"])
+        counted = self.spark.table(self.failures).filter(F.col(MONTH_COL).isin(plan["partitions"]) & (F.col("failures") > 0))
+        failing = {r[0] for r in counted.select(MONTH_COL).distinct().collect()}
+        jobs.refresh_failing_rows(
+            self.spark, touched, at, report_db, partitions=plan["partitions"], empty=plan["empty"], failing=failing
+        )
 
     # ------------------------------------------------------------ rankings
 

@@ -48,6 +48,7 @@ from countlens.sources.files import (
 )
 from countlens.sources.tables import (
     empty_partitions,
+    listed_partitions,
     overwrite_partitions,
     overwrite_path,
     overwrite_table,
@@ -158,8 +159,7 @@ def corrected_files(spark: SparkSession, batch: DataFrame, raw_db: str = "raw")
     rows = batch.select(MONTH_COL, F.concat(F.lit(UNPARSED_PREFIX), F.col(FILE_KEY)).alias("key"))
     own = {r["key"] for r in rows.select("key").distinct().collect()}  # as many as the batch has files
     filled = {r[0] for r in rows.select(MONTH_COL).distinct().collect()}
-    listed = spark.sql(f"SHOW PARTITIONS {raw_db}.{SENSOR_COUNTS}").collect()
-    return sorted((own - filled) & {r[0].split("=", 1)[1] for r in listed})
+    return sorted((own - filled) & listed_partitions(spark, f"{raw_db}.{SENSOR_COUNTS}"))
 
 
 def stored_months(spark: SparkSession, name: str, batch: DataFrame) -> DataFrame:
@@ -230,28 +230,38 @@ def refresh_failing_rows(
     full: bool = False,
     partitions: list[str] | None = None,
     empty: list[str] = (),
+    failing: set[str] | None = None,
 ) -> str:
     """Maintain ``report_db.sensor_counts_failing_rows``: every stored row that fails a row-level
     check, once per check, by month.
 
     Same contract as ``refresh_day_totals``. ``partitions`` names the months that ``counts``
     holds: those of them without a failing row are emptied, as are those in ``empty``.
+    ``failing``: which of them have one, where that is known (``refresh_check_failures``);
+    only those are then read, once, and each task writes the months of the files that it reads.
     """
     name = f"{report_db}.{FAILING_ROWS}"
     row_checks = [ch for ch in sensor_counts_checks() if ch.kind == "row"]
-    failing = failing_rows(counts, row_checks, [*SENSOR_COUNTS_SCHEMA.names, MONTH_COL])
     register_table(spark, name, FAILING_ROWS_BY_MONTH, location, partition_by=[MONTH_COL])
+    if partitions is not None and failing is not None and not full:
+        counts = counts.filter(F.col(MONTH_COL).isin(sorted(failing)))
+    rows = failing_rows(counts, row_checks, [*SENSOR_COUNTS_SCHEMA.names, MONTH_COL])
     if full:
-        overwrite_table(failing, name)
+        overwrite_table(rows, name)
         return name
-    path = scratch_path(spark, "failing-rows")  # few rows; the scan of the counts is not repeated
-    overwrite_path(failing, path)
-    failing = spark.read.parquet(path)
+    if partitions is not None and failing is not None:
+        named = {*partitions, *empty}
+        gone = sorted((named - failing) & listed_partitions(spark, name))
+        overwrite_partitions(rows, name, (), sorted(failing & named), gone, regroup=False)
+        return name
+    path = scratch_path(spark, "failing-rows")  # the scan of the counts is not repeated
+    overwrite_path(rows, path)
+    rows = spark.read.parquet(path)
     if partitions is None:
-        overwrite_partitions(failing, name)
+        overwrite_partitions(rows, name)
         return name
-    found = {r[0] for r in failing.select(MONTH_COL).distinct().collect()}
-    overwrite_partitions(failing, name, ("column_name",), partitions, sorted({*partitions, *empty} - found))
+    found = {r[0] for r in rows.select(MONTH_COL).distinct().collect()}
+    overwrite_partitions(rows, name, ("column_name",), partitions, sorted({*partitions, *empty} - found))
     return name
 
 

@@ -81,6 +81,7 @@ def overwrite_partitions(
     sort_by: tuple[str, ...] = (),
     partitions: Sequence[str] | None = None,
     empty: Sequence[str] = (),
+    regroup: bool = True,
 ) -> None:
     """Replace only the partitions of table ``name`` that ``df`` holds rows for.
 
@@ -96,10 +97,14 @@ def overwrite_partitions(
     ``df`` may hold, which are then added to the catalog by name instead of by a
     listing of the table's folders; ``empty`` names partitions that lose all their
     rows, which a dynamic overwrite alone would leave as they are.
+
+    ``regroup=False``: for rows whose tasks hold few partitions each, such as rows
+    picked from a table with the same partitions; they are written without a shuffle.
     """
     out, part_cols, location = _for_table(df, name)
     if part_cols:
-        out = out.hint("rebalance", *part_cols).sortWithinPartitions(*part_cols, *sort_by)
+        out = out.hint("rebalance", *part_cols) if regroup else out
+        out = out.sortWithinPartitions(*part_cols, *sort_by)
     writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     (writer.partitionBy(*part_cols) if part_cols else writer).parquet(location)
     if partitions is None:
@@ -118,6 +123,11 @@ def _add_partitions(spark: SparkSession, name: str, part_cols: list[str], values
     spark.sql(f"REFRESH TABLE {_quote(name)}")
 
 
+def listed_partitions(spark: SparkSession, name: str) -> set[str]:
+    """The values of a table's one partition column that the catalog lists."""
+    return {r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {_quote(name)}").collect()}
+
+
 def empty_partitions(spark: SparkSession, name: str, values: Sequence[str]) -> None:
     """Take all rows from partitions of a table with one partition column (the partitions stay listed)."""
     none = spark.table(name).limit(0)

@@ -193,3 +193,52 @@ def test_a_stream_merges_and_changes_nothing_twice(spark):
     _file(land, "b.csv", [_row(1, "May"), _row(2), _row(3)])
     assert run() == [(1, "2019-05"), (2, "2019-03"), (3, "2019-03")]
     assert not mart.apply_rows("stream-0", spark.table(mart.counts)) and mart.complete()
+
+
+def test_a_batch_looks_up_only_what_it_may_replace(spark, tmp_path):
+    """The stored rows of other files with the batch's ids are all that a plan keeps to find the rows that stay."""
+    mart = _mart(spark, "replacedonly")
+    _file(tmp_path / "a", "a.csv", [_row(1), _row(2, day=2), _row(3, "April"), _row(3, "April", day=2), _row(4, "May")])
+    mart.apply("a", str(tmp_path / "a"))
+    _file(tmp_path / "b", "b.csv", [_row(3), _row(9), _row(4, "June")])
+    batch = jobs.read_landed_counts(spark, str(tmp_path / "b"), keep_key=True)
+    plan = mart._plan(batch, [])
+    assert sorted(map(tuple, spark.read.parquet(plan["replaced"]).select("id", "n").collect())) == [(3, 2), (4, 1)]
+    assert plan["partitions"] == ["2019-03", "2019-04", "2019-05", "2019-06"] and plan["empty"] == ["2019-04", "2019-05"]
+    # Months that are rewritten anyway are not looked up in the index.
+    assert mart._holding(batch, [], 3, 9, ["2019-03", "2019-06"]) == {"2019-04", "2019-05"}
+    assert mart._holding(batch, [], 3, 9, ["2019-03", "2019-05", "2019-06"]) == {"2019-04"}
+
+
+def test_rows_without_a_file_are_replaced_by_id_when_a_step_is_done_again(spark, tmp_path):
+    mart = _mart(spark, "unfiled")
+    _file(tmp_path / "a", "a.csv", [_row(1), _row(2, day=2)])
+    mart.apply("a", str(tmp_path / "a"))
+    _file(tmp_path / "b", "b.csv", [_row(2, n=7), _row(5, "April")])
+    rows = jobs.read_landed_counts(spark, str(tmp_path / "b"), keep_key=True).withColumn("file_key", F.lit(None).cast("string"))
+    plan = mart._plan(rows, [])
+    for _ in range(2):
+        mart._write_counts(rows, plan)
+    assert sorted(map(tuple, spark.table(mart.counts).select("id", "hourly_count").collect())) == [(1, 5), (2, 7), (5, 5)]
+
+
+def test_failing_rows_are_written_once_and_without_a_shuffle(spark, tmp_path, monkeypatch):
+    """Most rows may fail a check, so they are not stored on the way nor dealt out anew."""
+    mart = _mart(spark, "manyfailing")
+    rows = [_row(i, "March" if i % 2 else "April", sensor=5000 + i, n=-1) for i in range(40)] + [_row(50, "May")]
+    _file(tmp_path / "a", "a.csv", rows)
+    seen, write = [], jobs.overwrite_partitions
+    monkeypatch.setattr(jobs, "overwrite_path", lambda *a: pytest.fail("stored on the way"))
+
+    def spy(df, name, *a, **k):
+        seen.append((name, plan_text(df), k))
+        return write(df, name, *a, **k)
+
+    monkeypatch.setattr(jobs, "overwrite_partitions", spy)
+    mart.apply("a", str(tmp_path / "a"))
+    assert [(n.endswith(jobs.FAILING_ROWS), "Exchange" in plan, k) for n, plan, k in seen] == [(True, False, {"regroup": False})]
+    got = spark.table(f"manyfailing_report.{jobs.FAILING_ROWS}").groupBy("year_month", "column_name").count().collect()
+    assert sorted(map(tuple, got)) == [(m, c, 20) for m in ("2019-03", "2019-04") for c in ("hourly_count", "sensor_id")]
+    _file(tmp_path / "a", "a.csv", [_row(i, "March") for i in range(4)])
+    mart.apply("b", str(tmp_path / "a"))
+    assert spark.table(f"manyfailing_report.{jobs.FAILING_ROWS}").count() == 0
