@@ -278,10 +278,10 @@ def refresh_duplicate_ids(
     """
     name, stored = f"{report_db}.{DUPLICATE_IDS}", spark.table(f"{raw_db}.{SENSOR_COUNTS}")
     register_table(spark, name, DUPLICATE_IDS_SCHEMA, location, partition_by=[MONTH_COL])
-    ids = counts.filter("id is not null").select("id", MONTH_COL).distinct()
+    ids = counts.filter("id is not null").select("id", MONTH_COL)
     low, high = ids.agg(F.min("id"), F.max("id")).first()
     again = stored.filter(F.col("id").between(low, high)).groupBy("id").agg(F.count(F.lit(1)).alias("__n"))
-    again = ids.join(again.filter("__n > 1").select("id"), "id", "left_semi")
+    again = ids.join(again.filter("__n > 1").select("id"), "id", "left_semi").distinct()
     marks = counts.select(F.lit(None).cast("bigint").alias("id"), MONTH_COL).distinct()
     overwrite_partitions(again.unionByName(marks), name, sort_by=("id",))
     return name

@@ -6,6 +6,7 @@ import os
 
 import pytest
 
+from tests.helpers import plan_text
 from countlens.plans import jobs
 from countlens.session import scratch_path
 from tests.test_reports import RAW
@@ -355,3 +356,15 @@ def test_ordered_reports_and_narrow_types(spark):
     )
     got = decline_report(counts, dim).collect()
     assert [r.sensor_id for r in got] == [1, 2, 3]  # equal percents by sensor
+
+
+def test_duplicate_ids_are_dealt_out_by_id_alone(spark, monkeypatch):
+    """Of all rows only the ids are dealt out, once to count them and once to find the months of the repeated."""
+    land = _land(spark, [(str(i % 30), f"March {1 + i % 9:02d}, 2019 10:00:00 AM", "1", "A", "5") for i in range(40)], "twice")
+    months = jobs.merge_counts(spark, jobs.land_counts(spark, land), scratch_path(spark, "twice-counts"), "twice_raw")
+    seen, write = [], jobs.overwrite_partitions
+    monkeypatch.setattr(jobs, "overwrite_partitions", lambda df, *a, **k: (seen.append(df), write(df, *a, **k)))
+    name = jobs.refresh_duplicate_ids(spark, months, scratch_path(spark, "twice"), "twice_raw", "twice_report")
+    assert sorted(r["id"] for r in spark.table(name).filter("id is not null").collect()) == list(range(10))
+    dealt = [x for x in plan_text(seen[0]).splitlines() if x.startswith("Arguments: hashpartitioning(") and "id#" in x]
+    assert len(dealt) == 2 and not any("year_month" in x for x in dealt), dealt
