@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from countlens.functions.datetime import day_of, day_text_of, in_period, months_touching
 
+# Rows that one task groups: a million groups take about 0.3 GB of its memory.
+ROWS_PER_TASK = 1_000_000
+# From so many rows a group on, a sum per task before the shuffle saves most of the shuffle.
+ROWS_PER_GROUP = 4
+
 
 def period_total(
     df: DataFrame,
@@ -56,10 +63,56 @@ def day_totals(
     that the time determines (e.g. a ``yyyy-MM`` partition column), carried
     through so the result can be partitioned like its source.
     """
+    rows, groups = _by_day(df, ts_col, id_col, value_col, day_col, keys)
+    return _sum_days(rows, groups)
+
+
+def dealt_day_totals(
+    df: DataFrame,
+    ts_col: str,
+    id_col: str,
+    value_col: str,
+    day_col: str = "day",
+    keys: tuple[str, ...] = (),
+) -> DataFrame:
+    """``day_totals`` in tasks of bounded memory, for stored counts of any size (``dealt_by_group``
+    measures them at once)."""
+    rows, groups = _by_day(df, ts_col, id_col, value_col, day_col, keys)
+    return _sum_days(dealt_by_group(rows, groups), groups)
+
+
+def _by_day(df, ts_col, id_col, value_col, day_col, keys) -> tuple[DataFrame, list[str]]:
     day, text = day_of(df, ts_col).alias(day_col), day_text_of(df, ts_col).alias("day_text")
-    return df.groupBy(day, text, F.col(id_col), *keys).agg(
-        F.sum(value_col).alias("total"), F.count(F.lit(1)).alias("n_rows")
-    )
+    rows = df.select(day, text, F.col(id_col), *keys, F.col(value_col).alias("__value"))
+    return rows, [day_col, "day_text", id_col, *keys]
+
+
+def _sum_days(rows: DataFrame, groups: list[str]) -> DataFrame:
+    return rows.groupBy(*groups).agg(F.sum("__value").alias("total"), F.count(F.lit(1)).alias("n_rows"))
+
+
+def dealt_by_group(
+    df: DataFrame, keys: list[str], rows_per_task: int | None = None, summed: bool = False
+) -> DataFrame:
+    """``df`` dealt out by ``keys`` to tasks of about ``rows_per_task`` rows, for a ``groupBy`` of them.
+
+    A task that groups holds its groups in memory, and Spark sizes tasks by compressed
+    bytes and cores. Where groups are nearly as many as rows, a sum per task before the
+    shuffle saves nothing, so the rows are dealt out to as many tasks as they need; the
+    ``groupBy`` that follows takes this shuffle for its own. ``df`` is returned as it is when
+    one task can take its rows, or when its groups hold ``ROWS_PER_GROUP`` rows or more on
+    average: summing per task then leaves few to shuffle. ``summed``: the rows are known to be
+    sums already, one or few per group, and are only counted. This runs a job at once.
+    """
+    rows_per_task = rows_per_task or ROWS_PER_TASK
+    if summed:
+        n_rows, n_groups = df.count(), None
+    else:
+        group = F.approx_count_distinct(F.xxhash64(*keys))
+        n_rows, n_groups = df.agg(F.count(F.lit(1)), group).first()
+    if n_rows <= rows_per_task or (n_groups is not None and n_rows >= ROWS_PER_GROUP * n_groups):
+        return df
+    return df.repartition(math.ceil(n_rows / rows_per_task), *keys)
 
 
 def present_in_both(

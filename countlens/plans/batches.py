@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from countlens import schemas
 from countlens.operators.checks import run_checks, sensor_counts_checks
-from countlens.operators.periods import day_totals
+from countlens.operators.periods import dealt_day_totals
 from countlens.plans import jobs
 from countlens.plans.reports import top_n_by_month, top_n_from_day_totals
 from countlens.schemas import FILE_KEY, MONTH_COL, PART_COL, UNDATED
@@ -314,7 +314,7 @@ class CountMart:
             overwrite_partitions(rows, name, ("id",), sorted(found), gone, regroup=False)
 
     def _write_day_totals(self, plan: dict) -> None:
-        totals = day_totals(self._touched(plan), "date_time", "sensor_id", "hourly_count", keys=(MONTH_COL,))
+        totals = dealt_day_totals(self._touched(plan), "date_time", "sensor_id", "hourly_count", keys=(MONTH_COL,))
         self._write(totals, self.days, plan)
 
     def _write_failures(self, plan: dict) -> None:

@@ -32,7 +32,7 @@ from countlens.plans.reports import (
     top_n_from_day_totals,
 )
 from countlens.functions.datetime import is_day, month_of_day_text
-from countlens.operators.periods import day_totals
+from countlens.operators.periods import dealt_by_group, dealt_day_totals
 from countlens.schemas import CHECK_FAILURES_BY_MONTH, FAILING_ROWS_BY_MONTH, FILE_KEY, MONTH_COL
 from countlens.schemas import DUPLICATE_IDS_BY_MONTH as DUPLICATE_IDS_SCHEMA
 from countlens.schemas import SENSOR_COUNTS as SENSOR_COUNTS_SCHEMA
@@ -163,8 +163,9 @@ def corrected_files(spark: SparkSession, batch: DataFrame, raw_db: str = "raw")
 
 
 def stored_months(spark: SparkSession, name: str, batch: DataFrame) -> DataFrame:
-    """The stored rows of the months of a batch; other partitions are not opened."""
-    return spark.table(name).join(batch.select(MONTH_COL).distinct(), MONTH_COL, "left_semi")
+    """The stored rows of the months of a batch; other partitions are not opened, and the rows are
+    not shuffled: the months of a batch (and its files of unparsed rows) are few and broadcast."""
+    return spark.table(name).join(F.broadcast(batch.select(MONTH_COL).distinct()), MONTH_COL, "left_semi")
 
 
 def refresh_day_totals(
@@ -186,7 +187,7 @@ def refresh_day_totals(
     the raw counts; see ``build_reports(day_totals_table=...)``.
     """
     name = f"{report_db}.{DAY_TOTALS}"
-    totals = day_totals(counts, "date_time", "sensor_id", "hourly_count", keys=(MONTH_COL,))
+    totals = dealt_day_totals(counts, "date_time", "sensor_id", "hourly_count", keys=(MONTH_COL,))
     register_table(spark, name, DAY_TOTALS_SCHEMA, location, partition_by=[MONTH_COL])
     if full:
         overwrite_table(totals, name)
@@ -320,6 +321,7 @@ def ingest_reference(
 
 def _one_row_per_day(days: DataFrame) -> DataFrame:
     """Day totals with one row per (day, sensor), summed over the texts that stand for a day."""
+    days = dealt_by_group(days, ["day", "sensor_id"], summed=True)
     return days.groupBy("day", "sensor_id").agg(F.sum("total").alias("total"), F.sum("n_rows").alias("n_rows"))
 
 
@@ -388,7 +390,7 @@ def build_reports(
         # One scan of the raw counts: day totals are stored (a lineage cut)
         # and serve the daily ranking and both change reports.
         out[DAY_TOTALS] = publish_table(
-            day_totals(counts, "date_time", "sensor_id", "hourly_count"),
+            dealt_day_totals(counts, "date_time", "sensor_id", "hourly_count"),
             f"{report_db}.{DAY_TOTALS}",
             root,
         )

@@ -5,6 +5,7 @@ import json
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.helpers import plan_text
 from countlens.plans import jobs
@@ -368,3 +369,73 @@ def test_duplicate_ids_are_dealt_out_by_id_alone(spark, monkeypatch):
     assert sorted(r["id"] for r in spark.table(name).filter("id is not null").collect()) == list(range(10))
     dealt = [x for x in plan_text(seen[0]).splitlines() if x.startswith("Arguments: hashpartitioning(") and "id#" in x]
     assert len(dealt) == 2 and not any("year_month" in x for x in dealt), dealt
+
+
+def _hourly(spark, days, sensors, hours):
+    rows = [
+        (i, f"2019-{1 + d // 28:02d}-{1 + d % 28:02d}T{'99' if i % 8 == 2 else f'{h:02d}'}:00:00", s, f"S{s}", i % 7)
+        for i, (d, s, h) in enumerate((d, s, h) for d in range(days) for s in range(sensors) for h in range(hours))
+    ]
+    rows += [(None, None, None, None, None), (1, "2019-01-05T10:00:00", None, "S", None), rows[0], rows[0]]
+    return spark.createDataFrame(rows, "id long, date_time string, sensor_id int, sensor_name string, hourly_count int")
+
+
+def _tasks(df):
+    """Rows of each task that groups ``df``, as its plan deals them out."""
+    return df.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+
+
+def test_groups_near_as_many_as_rows_are_dealt_to_bounded_tasks(spark, monkeypatch):
+    from countlens.operators import periods
+
+    keys = ["date_time", "sensor_id"]
+    single, many = _hourly(spark, 50, 20, 1), _hourly(spark, 10, 2, 24).withColumn("date_time", F.substring("date_time", 1, 7))
+    monkeypatch.setattr(periods, "ROWS_PER_TASK", 100)
+    dealt = periods.dealt_by_group(single, keys)
+    sizes = _tasks(dealt)
+    assert len(sizes) == 11 and sum(sizes) == single.count() and max(sizes) < 200
+    plan = plan_text(dealt.groupBy(*keys).count())
+    assert plan.split("(1)")[0].count("Exchange") == 1  # the groupBy takes this shuffle for its own
+    assert periods.dealt_by_group(many, keys) is many  # a sum per task leaves few rows to shuffle
+    assert len(_tasks(periods.dealt_by_group(many, keys, summed=True))) == 5  # unless they are sums already
+    monkeypatch.setattr(periods, "ROWS_PER_TASK", 1004)
+    assert periods.dealt_by_group(single, keys) is single
+
+
+def test_day_totals_and_reports_are_equal_when_dealt(spark, monkeypatch):
+    """Null, repeated and malformed rows: totals and rankings of dealt rows are those of the plain plan."""
+    from countlens.operators import periods
+
+    counts = _hourly(spark, 40, 9, 1)
+    args = ("date_time", "sensor_id", "hourly_count")
+    plain = periods.day_totals(counts, *args)
+    wants = sorted(map(tuple, plain.collect()), key=str)
+    once = sorted(map(tuple, jobs._one_row_per_day(plain).collect()), key=str)
+    monkeypatch.setattr(periods, "ROWS_PER_TASK", 25)
+    dealt = periods.dealt_day_totals(counts, *args)
+    assert "REPARTITION_BY_NUM" in plan_text(dealt) and dealt.schema == plain.schema
+    assert sorted(map(tuple, dealt.collect()), key=str) == wants
+    again = jobs._one_row_per_day(dealt)
+    assert "REPARTITION_BY_NUM" in plan_text(again)
+    assert sorted(map(tuple, again.collect()), key=str) == once
+
+    batch = counts.withColumn(jobs.MONTH_COL, F.substring("date_time", 1, 7)).filter("date_time is not null")
+    months = jobs.merge_counts(spark, batch, scratch_path(spark, "dealt-counts"), "dealt_raw")
+    name = jobs.refresh_day_totals(spark, months, scratch_path(spark, "dealt-totals"), "dealt")
+    got = spark.table(name)
+    assert sorted(map(tuple, got.drop(jobs.MONTH_COL).select(plain.columns).collect()), key=str) == [
+        w for w in wants if w[1] is not None
+    ]
+
+
+def test_stored_rows_of_a_batch_are_not_shuffled_by_month(spark):
+    batch = _hourly(spark, 40, 9, 1).withColumn(jobs.MONTH_COL, F.substring("date_time", 1, 7)).filter("date_time is not null")
+    key, before = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set(key, "-1")
+    try:
+        months = jobs.merge_counts(spark, batch, scratch_path(spark, "by-month-counts"), "by_month_raw")
+        plan = plan_text(months)
+        assert months.count() == batch.count()
+    finally:
+        spark.conf.set(key, before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
