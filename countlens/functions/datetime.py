@@ -38,9 +38,12 @@ def parse_local_time(
         # ANSI off: the parse would give NULL, so fail explicitly
         return fail_if(c.isNotNull() & strict.isNull(), strict, "unparseable time", c)
     if on_bad == "null":
+        lenient = F.try_to_timestamp(c, F.lit(fmt))
+        if session_zone_is_fixed(spark) and not _ZONE_LETTERS.search(fmt):
+            return lenient.cast("timestamp_ntz")  # the wall clock as parsed: one parse a row
         # try_to_timestamp decides validity; the strict NTZ parse only runs
         # on rows that are known to parse, so the result is zone-free.
-        return F.when(F.try_to_timestamp(c, F.lit(fmt)).isNotNull(), strict)
+        return F.when(lenient.isNotNull(), strict)
     raise ValueError(f"on_bad must be 'fail' or 'null', not {on_bad!r}")
 
 
@@ -78,6 +81,10 @@ _FIXED_OFFSET_ZONE = re.compile(
 )
 
 
+# Pattern letters of a zone or an offset in the text.
+_ZONE_LETTERS = re.compile("[VvzOXxZ]")
+
+
 def session_zone_is_fixed(spark: SparkSession | None = None) -> bool:
     """Whether the session's (given, else active) time zone is a fixed
     offset (e.g. UTC).

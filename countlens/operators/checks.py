@@ -221,8 +221,8 @@ def violations(df: DataFrame, check: Check) -> DataFrame:
 def failing_rows(df: DataFrame, checks: Sequence[Check], keep: Sequence[str] = ()) -> DataFrame:
     """Each failing row of each row-level check: the columns ``keep`` (none named: all), ``column_name``, ``check_name``.
 
-    One scan for all checks: a row's failed checks are an array, and rows that
-    fail none are dropped before it is spread. The same rows as one
+    One scan for all checks, each of which is evaluated once a row: a row is spread over
+    its checks, and what it does not fail is dropped. The same rows as one
     ``violations`` per check. ``unique`` is no check of a row and is refused.
     """
     if any(ch.kind != "row" for ch in checks):
@@ -231,9 +231,8 @@ def failing_rows(df: DataFrame, checks: Sequence[Check], keep: Sequence[str] = (
     told = [F.struct(F.lit(ch.column).alias("column_name"), F.lit(ch.name).alias("check_name")) for ch in checks]
     if not told:
         return df.select(*keep, F.lit("").alias("column_name"), F.lit("").alias("check_name")).limit(0)
-    failed = F.array_compact(F.array(*[F.when(ch.failure(), t) for ch, t in zip(checks, told, strict=True)]))
-    rows = df.select(*keep, failed.alias("__failed")).filter(F.size("__failed") > 0)
-    return rows.select(*keep, F.inline("__failed"))
+    failed = F.array(*[F.when(ch.failure(), t) for ch, t in zip(checks, told, strict=True)])
+    return df.select(*keep, F.inline(failed)).filter(F.col("check_name").isNotNull())
 
 
 def all_pass(results: DataFrame) -> Column:

@@ -115,6 +115,14 @@ def dealt_by_group(
     return df.repartition(math.ceil(n_rows / rows_per_task), *keys)
 
 
+def dealt_in_order(df: DataFrame, keys: list[str], rows_per_task: int | None = None) -> DataFrame:
+    """``df`` dealt out by ranges of ``keys``, in their order, to tasks of about ``rows_per_task`` rows
+    whatever Spark's sizes of tasks; a ``groupBy`` of the keys takes this shuffle for its own.
+    This runs jobs at once: the rows are counted, and the ranges are found."""
+    n_rows = df.count()
+    return df.repartitionByRange(max(1, math.ceil(n_rows / (rows_per_task or ROWS_PER_TASK))), *keys)
+
+
 def present_in_both(
     df: DataFrame,
     ts_col: str,

@@ -36,6 +36,23 @@ def rank_within(
     return totals.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= n)
 
 
+def within_reach(totals: DataFrame, period_col: str, id_col: str, value_col: str, n: int) -> DataFrame:
+    """``totals`` (one row per period and id) without rows that cannot be among the ``n`` largest of their period.
+
+    Ids are dealt to ``n`` groups by their hash: the largest rows of a period's groups are ``n`` rows, so none below the
+    smallest of them is ranked. What is left is ``n`` groups' worth of rows near the top, so that ranking need not sort all
+    rows of a task. A period keeps all its rows if a group of it has no value. The bounds are broadcast, one row per
+    period: for a small ``n`` and periods such as days, of which there are thousands at most.
+    """
+    group = F.pmod(F.xxhash64(id_col), F.lit(n)).alias("__group")
+    tops = totals.groupBy(period_col, group).agg(F.max(value_col).alias("__top"))
+    bounds = tops.groupBy(F.col(period_col).alias("__period")).agg(F.count("__top").alias("__n"), F.min("__top").alias("__bound"))
+    bounds = bounds.filter(F.col("__n") == n).drop("__n")
+    bounded = totals.join(F.broadcast(bounds), F.col(period_col).eqNullSafe(F.col("__period")), "left")
+    reached = F.col("__bound").isNull() | F.coalesce(F.col(value_col) >= F.col("__bound"), F.lit(False))
+    return bounded.filter(reached).select(*totals.columns)
+
+
 def rank_by_range(
     totals: DataFrame,
     period_col: str,

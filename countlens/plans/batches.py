@@ -42,7 +42,8 @@ from pyspark.sql import functions as F
 
 from countlens import schemas
 from countlens.operators.checks import run_checks, sensor_counts_checks
-from countlens.operators.periods import dealt_day_totals
+from countlens.operators.periods import dealt_by_group, dealt_day_totals, dealt_in_order
+from countlens.operators.ranking import within_reach
 from countlens.plans import jobs
 from countlens.plans.reports import top_n_by_month, top_n_from_day_totals
 from countlens.schemas import FILE_KEY, MONTH_COL, PART_COL, UNDATED
@@ -60,11 +61,12 @@ IDS_PER_RANGE = 1 << 20
 
 
 def id_bits(rows: DataFrame, *by: str) -> DataFrame:
-    """The ids of ``rows`` as bits: (``by``, ``block`` = id / 64, ``bits``)."""
+    """The ids of ``rows`` as bits: (``by``, ``block`` = id / 64, ``bits``), in tasks of bounded memory where
+    nearly each id has a block of its own (``dealt_by_group`` measures that at once)."""
     bit = F.expr("shiftleft(1L, cast(id & 63 as int))")
     block = F.shiftright("id", 6).alias("block")
     bits = rows.filter("id is not null").select(*by, block, bit.alias("bit"))
-    return bits.groupBy(*by, "block").agg(F.bit_or("bit").alias("bits"))
+    return dealt_by_group(bits, [*by, "block"]).groupBy(*by, "block").agg(F.bit_or("bit").alias("bits"))
 
 
 class CountMart:
@@ -224,13 +226,16 @@ class CountMart:
     ) -> set[str]:
         """Partitions other than ``months``, which are rewritten anyway, that hold an id of the batch or rows of its files."""
         index = self.spark.table(self.index).filter(~F.col(MONTH_COL).isin(list(months)))
-        held = index.filter(F.col(FILE_KEY).isin(list(files))).select(MONTH_COL)
-        if low is not None:
+        # Each partition with rows has a row without a block; those that a file names need no look at their ids.
+        named = index.filter("block is null").groupBy(MONTH_COL).agg(F.max(self._own(files))).collect()
+        held, rest = {r[0] for r in named if r[1]}, sorted(r[0] for r in named if not r[1])
+        if low is not None and rest:
             # The index is sorted by block, so its files' statistics leave out most of it.
             bits = id_bits(batch).select("block", F.col("bits").alias("wanted"))
-            near = index.filter(F.col("block").between(low >> 6, high >> 6)).join(bits, "block")
-            held = held.union(near.filter(F.col("bits").bitwiseAND(F.col("wanted")) != 0).select(MONTH_COL))
-        return {r[0] for r in held.distinct().collect()}
+            near = index.filter(F.col(MONTH_COL).isin(rest) & F.col("block").between(low >> 6, high >> 6)).join(bits, "block")
+            near = near.filter(F.col("bits").bitwiseAND(F.col("wanted")) != 0)
+            held |= {r[0] for r in near.select(MONTH_COL).distinct().collect()}
+        return held
 
     def _own(self, files: Sequence[str]) -> Column:
         return F.coalesce(F.col(FILE_KEY).isin(list(files)), F.lit(False))
@@ -243,7 +248,8 @@ class CountMart:
     def _plan(self, batch: DataFrame, files: Sequence[str]) -> dict:
         """What a batch will change, found before it changes anything."""
         # As many values as the batch has files and the mart has partitions.
-        keys, months, low, high = batch.agg(F.collect_set(FILE_KEY), F.collect_set(MONTH_COL), F.min("id"), F.max("id")).first()
+        found = F.collect_set(FILE_KEY), F.collect_set(MONTH_COL), F.collect_set(self._range()), F.min("id"), F.max("id")
+        keys, months, ranges, low, high = batch.agg(*found).first()
         files, months = sorted({*keys, *files}), set(months)
         held = self._holding(batch, files, low, high, sorted(months))
         partitions = sorted(months | held)
@@ -261,17 +267,20 @@ class CountMart:
         replaced = self._replaced(changes + "/replaced")
         filled = {r[0] for r in self._kept(replaced, files, left).select(MONTH_COL).distinct().collect()} if left else set()
 
-        gone = stored.filter(self._own(files)).select("id", one(-1)).unionByName(replaced.select("id", (-F.col("n")).alias("n")))
-        change = batch.select("id", one(1)).unionByName(gone)
-        change = change.filter("id is not null").groupBy("id").agg(F.sum("n").alias("n")).filter("n <> 0")
-        overwrite_path(change.withColumn("id_range", self._range()), changes + "/differences")
-        change = self.spark.read.parquet(changes + "/differences")
-        ranges = sorted(r[0] for r in change.select("id_range").distinct().collect())
-        old = self.spark.table(self.ids).filter(F.col("id_range").isin(ranges))
-        # Dealt out by (range, id), so that the tables are written from it file by file.
-        both = old.unionByName(change).repartitionByRange("id_range", "id")
-        now = both.groupBy("id_range", "id").agg(F.sum("n").alias("n")).filter("n > 0")
+        # The ids of the ranges that may change, with their rows now and by how many the batch changes them, are
+        # grouped once, dealt out by (range, id), so that the tables are written from the result file by file.
+        own = stored.filter(self._own(files)).select("id")
+        if not listed_partitions(self.spark, self.ids) <= set(ranges):
+            ranges = sorted({*ranges, *own.agg(F.collect_set(self._range())).first()[0]})
+        moved = batch.select("id", one(1)).unionByName(own.select("id", one(-1)))
+        moved = moved.unionByName(replaced.select("id", (-F.col("n")).alias("n"))).filter("id is not null")
+        moved = moved.select("id", "n", F.col("n").alias("change"), self._range().alias("id_range"))
+        old = self.spark.table(self.ids).filter(F.col("id_range").isin(ranges)).withColumn("change", F.lit(0).cast("long"))
+        both = dealt_in_order(old.unionByName(moved), ["id_range", "id"])
+        now = both.groupBy("id_range", "id").agg(F.sum("n").alias("n"), F.sum("change").alias("change"))
         overwrite_path(now, changes + "/ids")
+        now = self.spark.read.schema(now.schema).parquet(changes + "/ids")
+        ranges = sorted(r[0] for r in now.filter("change <> 0").select("id_range").distinct().collect())
         return {
             "files": files,
             "partitions": partitions,
@@ -307,9 +316,12 @@ class CountMart:
         self._write(id_bits(rows, MONTH_COL).unionByName(files, allowMissingColumns=True), self.index, plan, ("block",))
 
     def _write_ids(self, plan: dict) -> None:
-        now = self.spark.read.schema(schemas.ID_COUNTS).parquet(plan["ids"])
-        for name, rows in ((self.ids, now), (self.duplicates, now.filter("n > 1"))):
-            found = {r[0] for r in rows.select("id_range").distinct().collect()}
+        # A range that the batch leaves as it is was looked at too, as was an id that no row has any more.
+        now = self.spark.read.schema(schemas.ID_COUNTS).parquet(plan["ids"]).filter("n > 0")
+        now = now.filter(F.col("id_range").isin(plan["ranges"]))
+        filled = now.groupBy("id_range").agg(F.max(F.col("n") > 1)).collect()
+        twice = {r[0] for r in filled if r[1]}
+        for name, rows, found in ((self.ids, now, {r[0] for r in filled}), (self.duplicates, now.filter("n > 1"), twice)):
             gone = sorted((set(plan["ranges"]) - found) & listed_partitions(self.spark, name))
             overwrite_partitions(rows, name, ("id",), sorted(found), gone, regroup=False)
 
@@ -336,11 +348,24 @@ class CountMart:
         days = self.spark.table(self.days).filter("day is not null")
         return self._ranked(days if partitions is None else days.filter(F.col(MONTH_COL).isin(list(partitions))))
 
-    def _ranked(self, days: DataFrame) -> DataFrame:
+    def _ranked(self, days: DataFrame, summed: bool = False) -> DataFrame:
+        """``summed``: the days are known to have one row per sensor (``_texts``)."""
         dim = self.spark.table(self.dim)
-        ranked = top_n_from_day_totals(jobs._one_row_per_day(days), dim, n=self.n)
+        if summed and self.n <= 100:
+            days = within_reach(days, "day", "sensor_id", "total", self.n)
+        else:
+            days = jobs._one_row_per_day(days)
+        ranked = top_n_from_day_totals(days, dim, n=self.n)
         return ranked.withColumn(PART_COL, F.coalesce(F.substring("date", 1, 7), F.lit(UNDATED)))
 
+    def _texts(self, days: DataFrame) -> tuple[bool, bool]:
+        """Whether ``days`` have rows without a day, and rows whose day stands in another text or month than its own.
+        Without the latter a dated day has one row per sensor, as a day's totals have one per text, month and sensor."""
+        day = F.col("day").cast("string")
+        plain = F.col("day_text").eqNullSafe(day) & F.col(MONTH_COL).eqNullSafe(day.substr(1, 7))
+        undated = F.col("day").isNull()
+        return tuple(n > 0 for n in days.agg(F.count_if(undated), F.count_if(~undated & ~plain)).first())
+
     def monthly_ranking(self, parts: Sequence[str] | None = None) -> DataFrame:
         """The monthly ranking of ``parts`` (None: all), from their stored daily ranking alone."""
         daily = self.spark.table(self.top_by_day)
@@ -353,11 +378,12 @@ class CountMart:
         touched = days if partitions is None else days.filter(F.col(MONTH_COL).isin(list(partitions)))
         if partitions is None:
             partitions = [r[0] for r in days.select(MONTH_COL).distinct().collect()]
-        daily = self.daily_ranking(partitions)
+        undated, odd = self._texts(touched)
+        daily = self._ranked(touched.filter("day is not null"), summed=not odd)
         parts = [p for p in partitions if not p.startswith(UNPARSED_PREFIX)]
         # Days without a date are one period over all partitions: read again only if that may have changed.
         ranked_before = self.spark.table(self.top_by_day).filter(F.col(PART_COL) == UNDATED)
-        if not touched.filter("day is null").isEmpty() or not ranked_before.isEmpty():
+        if undated or not ranked_before.isEmpty():
             parts.append(UNDATED)
             daily = daily.unionByName(self._ranked(days.filter("day is null")))
         for df, name, sort_by in (

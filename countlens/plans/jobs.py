@@ -300,7 +300,10 @@ def read_landed_counts(
     each row's file or of its folder)."""
     raw = read_raw_counts_csv(spark, csv_path, mixed_headers)
     file = F.col("_metadata.file_path")
-    file = F.regexp_replace(file, "/[^/]*$", "") if by_folder else file
+    if by_folder:
+        # Its bytes up to the last "/", taken by length: a pattern would search the whole path of every row.
+        folder = F.octet_length(file) - F.octet_length(F.substring_index(file, "/", -1)) - 1
+        file = F.substring(file.cast("binary"), F.lit(1), folder)
     typed = counts_from_raw(raw, on_bad, extra=(file.alias("__file"),))
     return with_month(typed, keep_key=keep_key)
 

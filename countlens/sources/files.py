@@ -164,7 +164,8 @@ def with_month(typed: DataFrame, file_col: str = "__file", keep_key: bool = Fals
     A row whose time does not parse (kept as NULL with ``on_bad="null"``) has
     no month; it is keyed by its source file (``unparsed-<hash of the path>``),
     so landing a file again replaces that file's unparsed rows and never
-    another's. ``keep_key``: also keep that hash, of every row, as ``file_key``.
+    another's. ``keep_key``: also keep that hash, of every row, as ``file_key``. ``file_col``
+    holds the path as text or as its UTF-8 bytes.
     """
     key = F.sha2(F.col(file_col), 256)
     unparsed = F.concat(F.lit(UNPARSED_PREFIX), key)

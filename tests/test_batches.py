@@ -242,3 +242,74 @@ def test_failing_rows_are_written_once_and_without_a_shuffle(spark, tmp_path, mo
     _file(tmp_path / "a", "a.csv", [_row(i, "March") for i in range(4)])
     mart.apply("b", str(tmp_path / "a"))
     assert spark.table(f"manyfailing_report.{jobs.FAILING_ROWS}").count() == 0
+
+
+def test_times_are_parsed_once_and_folders_taken_without_a_pattern(spark, tmp_path):
+    _file(tmp_path / "a", "a.csv", [_row(1), (2, "no time", 1, "A", 3)])
+    landed = jobs.read_landed_counts(spark, str(tmp_path / "a"), "null", keep_key=True, by_folder=True)
+    plan = plan_text(landed, "simple").lower()
+    assert plan.count("gettimestamp(") == 1 and "regexp" not in plan
+    key = batches.file_key(f"file:{tmp_path}/a")
+    got = sorted(map(tuple, landed.select("id", "date_time", "file_key", "year_month").collect()))
+    assert got == [(1, "2019-03-01T10:00:00", key, "2019-03"), (2, None, key, f"unparsed-{key}")]
+
+
+def test_partitions_that_a_file_names_are_not_looked_up_by_id(spark, tmp_path, monkeypatch):
+    """A folder that lands again holds its old partitions by name alone, and an empty mart holds none."""
+    mart = _mart(spark, "heldbyfile")
+    monkeypatch.setattr(batches, "id_bits", lambda *a: pytest.fail("ids looked up"))
+    batch = jobs.read_landed_counts(spark, _file(tmp_path / "a", "a.csv", [_row(1), _row(2, "May")]), keep_key=True)
+    assert mart._holding(batch, [], 1, 2, []) == set()
+    monkeypatch.undo()
+    mart.apply("a", str(tmp_path / "a"))
+    key = batch.select("file_key").first()[0]
+    monkeypatch.setattr(batches, "id_bits", lambda *a: pytest.fail("ids looked up"))
+    assert mart._holding(batch, [key], 1, 2, ["2019-03"]) == {"2019-05"}
+
+
+def test_ids_are_grouped_once_and_unchanged_ranges_left(spark, tmp_path, monkeypatch):
+    """The ids of the ranges that may change are dealt out once, in tasks of so many rows; what does not change is not written."""
+    mart = _mart(spark, "idranges")
+    far = batches.IDS_PER_RANGE
+    path = _file(tmp_path / "a", "a.csv", [*[_row(i) for i in range(1, 30)], _row(far + 1), _row(2 * far + 1), _row(2 * far + 1)])
+    mart.apply("a", path)
+    dealt, deal = [], batches.dealt_in_order
+    monkeypatch.setattr(batches, "dealt_in_order", lambda df, keys: dealt.append(deal(df, keys, 10)) or dealt[-1])
+    again = jobs.read_landed_counts(spark, path, keep_key=True)
+    assert mart._plan(again, [])["ranges"] == []
+    assert dealt[0].rdd.getNumPartitions() == 10  # 32 rows land, 32 go, and 31 ids are stored
+    _file(tmp_path / "a", "a.csv", [*[_row(i) for i in range(1, 30)], _row(far + 1), _row(2 * far + 1)])
+    plan = mart._plan(again, [])
+    assert plan["ranges"] == ["2"]
+    mart._write_ids(plan)
+    assert mart.spark.table(mart.duplicates).count() == 0 and mart.spark.table(mart.ids).count() == 31
+
+
+def test_days_of_several_texts_are_ranked_by_their_sum(spark):
+    """A day's rows are summed only where a text or a month other than the day's own stands for it."""
+    mart = _mart(spark, "oddtexts")
+    columns = "id bigint, date_time string, sensor_id int, sensor_name string, hourly_count int, file_key string, year_month string"
+    rows = [(i, f"2019-03-{i % 5 + 1:02d}T10:00:00", i % 4, "A", i, "f", "2019-03") for i in range(40)]
+    mart.apply_rows("a", spark.createDataFrame(rows, columns))
+    assert mart._texts(spark.table(mart.days)) == (False, False)
+    rows = [(100, "2019-3-1T10:00:00", 1, "A", 1000, "g", "2019-3-"), (101, "never", 1, "A", 7, "g", "never")]
+    mart.apply_rows("b", spark.createDataFrame(rows, columns))
+    assert mart._texts(spark.table(mart.days)) == (True, True)
+    mart.rank_again()
+    daily = top_n_by_day(spark.table(mart.counts), spark.table(mart.dim), n=2)
+    got = spark.table(mart.top_by_day).drop("part")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, daily.collect()), key=str)
+
+
+def test_sparse_ids_are_dealt_out_before_they_are_grouped(spark, monkeypatch):
+    """Where each id has a block of its own, a sum per task would hold all of a scan task's ids."""
+    from countlens.operators import periods
+
+    monkeypatch.setattr(periods, "ROWS_PER_TASK", 100)
+    sparse = spark.range(1000).select((F.col("id") * 64 + F.col("id") % 7).alias("id"), (F.col("id") % 3).alias("m"))
+    bits = batches.id_bits(sparse, "m")
+    text = plan_text(bits, "simple")
+    assert "REPARTITION_BY_NUM" in text and text.index("partial_bit_or") < text.index("REPARTITION_BY_NUM")
+    assert {tuple(r) for r in bits.collect()} == {(i % 3, i, 1 << (i % 7)) for i in range(1000)}
+    dense = spark.range(1000).select("id", F.lit(0).alias("m"))
+    assert "REPARTITION_BY_NUM" not in plan_text(batches.id_bits(dense, "m"))

@@ -127,3 +127,15 @@ def test_row_check_failures_per_group_add_up(spark):
     assert whole == {"not_null": 1, "non_negative": 2}
     with pytest.raises(ValueError):
         ck.run_checks(df, [ck.unique("k")], "t", by=["m"])
+
+
+def test_failing_rows_evaluate_each_check_once(spark):
+    """No array is built and searched per row, and a check is not evaluated again to drop sound rows."""
+    rows = [(1, "2019-03-01T10:00:00", 5), (None, "bad", -1), (3, None, None), (4, "bad", 5000)]
+    df = spark.createDataFrame(rows, "id int, date_time string, n int")
+    checks = [ck.not_null("id"), ck.is_iso_format("date_time"), ck.non_negative("n"), ck.in_range("n", 0, 1000)]
+    got = ck.failing_rows(df, checks, ["id", "n"])
+    plan = plan_text(got, "simple")
+    assert plan.count("RLIKE") == 1 and "lambdafunction" not in plan
+    want = [(r.id, r.n, c.column, c.name) for c in checks for r in ck.violations(df, c).collect()]
+    assert len(want) == 6 and sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)

@@ -1,7 +1,7 @@
 """Direct tests of the label join, the ranking cut and the view sink."""
 
 from countlens.operators.enrich import with_label
-from countlens.operators.ranking import rank_within
+from countlens.operators.ranking import rank_within, within_reach
 from countlens.sources.tables import publish_view
 
 
@@ -29,3 +29,17 @@ def test_publish_view(spark):
     v = publish_view(spark.createDataFrame([(1,), (2,)], "x int"), "published_v")
     assert v.count() == 2
     assert spark.sql("SELECT sum(x) AS s FROM published_v").first().s == 3
+
+
+def test_within_reach_keeps_all_that_is_ranked(spark):
+    """Ties, null values and ids, a null period, and periods of few rows or few values rank as without it."""
+    rows = [(p, k, (k * 7919) % 23 if k % 11 else None) for p in ("d1", None) for k in range(400)]
+    rows += [("few", k, k) for k in range(3)] + [("none", k, None) for k in range(50)] + [("tied", k, 1) for k in range(50)]
+    totals = spark.createDataFrame([*rows, ("d1", None, 22), ("d1", 5000, 22)], "p string, k int, t int")
+    for n in (1, 5, 101):
+        near = within_reach(totals, "p", "k", "t", n)
+        want = sorted(map(tuple, rank_within(totals, "p", "k", "t", n).collect()), key=str)
+        assert sorted(map(tuple, rank_within(near, "p", "k", "t", n).collect()), key=str) == want
+    near = within_reach(totals, "p", "k", "t", 5)
+    assert near.columns == totals.columns and near.filter("p = 'd1'").count() < 150
+    assert near.filter("p = 'none'").count() == 50
